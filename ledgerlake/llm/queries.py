@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import mixing, quality
+from . import fingerprint, mixing, quality
+
+
+def op2_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare(C.documents(spark, sf_dir))
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +23,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
     "op7_source_mixing": op7_source_mixing,
     "op8_quality_rules": op8_quality_rules,
 }
