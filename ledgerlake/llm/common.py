@@ -47,11 +47,11 @@ def staged(df: DataFrame, keep: bool = True) -> DataFrame:
     out = spark.read.parquet(path)
     out._staged_path = path
     if keep:
-        atexit.register(_forget, spark, path)
+        atexit.register(forget, spark, path)
     return out
 
 
-def _forget(spark: SparkSession, path: str) -> None:
+def forget(spark: SparkSession, path: str) -> None:
     if spark._jsc is not None and not spark._jsc.sc().isStopped():
         delete(spark, path)
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
+
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import fingerprint, mixing, quality
+from . import fingerprint, mixing, quality, tokenfile
 
 
 def op2_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,10 +26,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(C.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{C.shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    tokenfile.write(C.documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"))
+    atexit.register(C.forget, spark, path)
+    return tokenfile.read(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
     "op7_source_mixing": op7_source_mixing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_token_file": op9_token_file,
 }
 
 ORACLES: dict[str, str] = {}
