@@ -11,13 +11,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import fingerprint, mixing, quality, tokenfile
+from . import fingerprint, mixing, pii, quality, tokenfile
 
 
 def op2_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare(C.documents(spark, sf_dir))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(C.documents(spark, sf_dir))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(C.documents(spark, sf_dir))
 
@@ -35,6 +39,7 @@ def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
+    "op5_personal_data": op5_personal_data,
     "op7_source_mixing": op7_source_mixing,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_file": op9_token_file,
