@@ -11,13 +11,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import fingerprint, mixing, pii, quality, tokenfile
+from . import fingerprint, mixing, pieces, pii, quality, tokenfile
 
 
 def op2_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare(C.documents(spark, sf_dir))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.check(C.documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(C.documents(spark, sf_dir))
 
@@ -39,6 +43,7 @@ def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_personal_data": op5_personal_data,
     "op7_source_mixing": op7_source_mixing,
     "op8_quality_rules": op8_quality_rules,
