@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import fingerprint, mixing, pieces, pii, quality, tokenfile
+from . import fingerprint, html, mixing, pieces, pii, quality, tokenfile
 
 
 def op2_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(C.documents(spark, sf_dir))
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(C.documents(spark, sf_dir))
 
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_personal_data": op5_personal_data,
+    "op6_main_text": op6_main_text,
     "op7_source_mixing": op7_source_mixing,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_file": op9_token_file,
