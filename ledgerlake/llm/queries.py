@@ -11,13 +11,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import fingerprint, html, mixing, pieces, pii, quality, tokenfile
+from . import fingerprint, html, mixing, pieces, pii, quality, substringdedup, suffixdedup, tokenfile
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.digest(C.documents(spark, sf_dir))
 
 
 def op2_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare(C.documents(spark, sf_dir))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substringdedup.digest(C.documents(spark, sf_dir))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.check(C.documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -46,7 +54,9 @@ def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_personal_data": op5_personal_data,
     "op6_main_text": op6_main_text,
