@@ -44,3 +44,32 @@ def word_dedup(docs, width=50):
                 gone[i : i + width] = [True] * width
         out.append((d, len(w), sum(gone), sha(" ".join(x for x, g in zip(w, gone) if not g))))
     return out
+
+
+def near_components(docs, k=4):
+    """docs: (doc_id, text) with distinct ids; rows (doc_id, n_shingles, component_id, kept)."""
+    sets = {}
+    for d, t in docs:
+        w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        sets[d] = {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
+    inverted = defaultdict(list)
+    for d, s in sets.items():
+        for x in s:
+            inverted[x].append(d)
+    common = defaultdict(int)
+    for ids in inverted.values():
+        for i, a in enumerate(ids):
+            for b in ids[:i]:
+                common[a, b] += 1
+    up = {d: d for d in sets}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for (a, b), c in common.items():
+        if 100 * c >= 80 * (len(sets[a]) + len(sets[b]) - c):
+            a, b = find(a), find(b)
+            up[max(a, b)] = min(a, b)
+    return [(d, len(s), find(d), find(d) == d) for d, s in sets.items()]
