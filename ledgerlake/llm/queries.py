@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import common as C
-from . import fingerprint, html, mixing, pieces, pii, quality, substringdedup, suffixdedup, tokenfile
+from . import chosenpath, fingerprint, html, mixing, pieces, pii, quality, substringdedup, suffixdedup, tokenfile
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read(spark, path)
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosenpath.grouped(C.documents(spark, sf_dir), 4).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
@@ -63,6 +67,46 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_source_mixing": op7_source_mixing,
     "op8_quality_rules": op8_quality_rules,
     "op9_token_file": op9_token_file,
+    "op10_near_dedup": op10_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+# Words as runs of characters outside white space; the class is written out since DuckDB reads it alike.
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+_NEAR_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS c FROM sh GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT x, y FROM common JOIN n AS p ON p.doc_id = x JOIN n AS q ON q.doc_id = y WHERE 100 * common.c >= 80 * (p.c + q.c - common.c)),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
+comp AS (SELECT x, min(y) AS c FROM reach GROUP BY x)
+SELECT d.doc_id, coalesce(n.c, 0) AS n_shingles, comp.c AS component_id, comp.c = d.doc_id AS kept
+FROM documents d JOIN comp ON comp.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+_SUBSTRING_SQL = rf"""
+WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50)),
+least AS (SELECT s, min(doc_id) AS d FROM win GROUP BY s),
+hit AS (SELECT win.doc_id, win.i FROM win JOIN least USING (s) WHERE least.d < win.doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM hit),
+kept AS (
+  SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.i) AS t, count(*) AS n
+  FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM w) w
+  LEFT JOIN gone USING (doc_id, i) WHERE gone.i IS NULL GROUP BY w.doc_id)
+SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, (len(w.ws) - coalesce(kept.n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_substring_dedup": _SUBSTRING_SQL,
+    "op10_near_dedup": _NEAR_SQL,
+}
