@@ -1,0 +1,3 @@
+"""Named queries over the driver's tables; importing this package registers them all."""
+
+from . import books  # noqa: F401
