@@ -14,10 +14,11 @@ def source(spark: SparkSession, folder: str, schema, files_a_trigger: int = 100)
 
 def deduplicated(events: DataFrame, keys: list[str], time: str = "ts", late: str = "45 days") -> DataFrame:
     """The first of equal keys, for as long as the watermark keeps them."""
-    return events.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
+    return events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
 
 
 def tumbling(events: DataFrame, width: str, time: str = "ts", late: str = "45 days", keys: tuple[str, ...] = ("event_type",)) -> DataFrame:
+    events = events.withColumn(time, F.col(time).cast("timestamp"))
     marked = events.withWatermark(time, late) if events.isStreaming else events
     return marked.groupBy(F.window(time, width).alias("w"), *keys).agg(F.count("*").alias("n"), F.sum(F.col("value").cast("decimal(18,4)")).alias("total")).select(F.col("w.start").alias("start"), *keys, "n", "total")
 
