@@ -111,3 +111,57 @@ def financial_year(d: Column) -> Column:
     """April to March, as "2026-27"."""
     y = F.year(d) - F.when(F.month(d) >= 4, 0).otherwise(1)
     return F.concat(y.cast("string"), F.lit("-"), F.lpad(F.pmod(y + 1, F.lit(100)).cast("string"), 2, "0"))
+
+
+_SHORT = "jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec"
+
+
+def _each(t: Column, pattern: str, made) -> Column:
+    """Dates of every match of a pattern (look-arounds keep matches apart)."""
+    return F.transform(F.regexp_extract_all(t, F.lit(f"(?i){pattern}"), F.lit(0)), lambda m: F.try_to_date(made(m), "yyyy-M-d"))
+
+
+def _part(m: Column, pattern: str, day: int, month: int, year: int) -> Column:
+    """yyyy-M-d of a match with a named month."""
+    y = F.regexp_extract(m, f"(?i){pattern}", year)
+    name = F.lower(F.substring(F.regexp_extract(m, f"(?i){pattern}", month), 1, 3))
+    number = F.array_position(F.array(*[F.lit(x) for x in _SHORT.split("|")]), name)
+    y = F.when(F.length(y) == 2, F.concat(F.lit("20"), y)).otherwise(y)
+    return F.concat_ws("-", y, number.cast("string"), F.regexp_extract(m, f"(?i){pattern}", day))
+
+
+def extract_dates(text: Column) -> Column:
+    """All valid days from 1990 to 2100 named in a label, address or file name, sorted and distinct."""
+    t = F.replace(F.coalesce(text, F.lit("")), F.lit("_"), F.lit(" "))
+    iso = _each(t, r"(?<!\d)(?:19|20)\d{2}-\d{1,2}-\d{1,2}(?!\d)", lambda m: m)
+    dmy_p = rf"(?<!\d)(\d{{1,2}})(?:st|nd|rd|th)?[\s\-.,]*({_MONTH})[\s\-.,]*(20\d{{2}}|\d{{2}})(?!\d)"
+    mdy_p = rf"(?<![a-z])({_MONTH})[\s\-.,]*(\d{{1,2}}),?[\s\-.,]+(20\d{{2}})(?!\d)"
+    glued_p = rf"({_MONTH})(\d{{2}})(20\d{{2}})(?!\d)"
+    num_p = r"(?<!\d)(\d{1,2})[ /.\-](\d{1,2})[ /.\-](20\d{2})(?!\d)"
+
+    def numeric(m: Column) -> Column:
+        a, b = (F.regexp_extract(m, num_p, g).cast("int") for g in (1, 2))
+        day, month = F.when((b > 12) & (a <= 12), b).otherwise(a), F.when((b > 12) & (a <= 12), a).otherwise(b)
+        return F.concat_ws("-", F.regexp_extract(m, num_p, 3), month.cast("string"), day.cast("string"))
+
+    compact_p = r"(?<!\d)(\d{2})(\d{2})(20\d{2})(?!\d)"
+    named = [_each(t, p, lambda m, p=p, g=g: _part(m, p, *g)) for p, g in ((dmy_p, (1, 2, 3)), (mdy_p, (2, 1, 3)), (glued_p, (2, 1, 3)))]
+    plain = [_each(t, num_p, numeric), _each(t, compact_p, lambda m: F.concat_ws("-", *[F.regexp_extract(m, compact_p, g) for g in (3, 2, 1)]))]
+    # a month and a two-digit year between underscores: the month's end
+    short_p = rf"(?<![a-z])({_MONTH})_(2[0-9])(?=_|\.|$)"
+    ends = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"(?i){short_p}"), F.lit(0)), lambda m: F.last_day(F.try_to_date(F.concat(F.lit("20"), F.right(m, F.lit(2)), F.lit("-"), F.array_position(F.array(*[F.lit(x) for x in _SHORT.split("|")]), F.lower(F.substring(m, 1, 3))).cast("string"), F.lit("-1")), "yyyy-M-d")))
+    path_p = r"(?:^|/)monthly/(20\d{2})/(\d{1,2})(?:/|$)"
+    paths = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"(?i){path_p}"), F.lit(0)), lambda m: F.last_day(F.try_to_date(F.concat_ws("-", F.regexp_extract(m, f"(?i){path_p}", 1), F.regexp_extract(m, f"(?i){path_p}", 2), F.lit("1")), "yyyy-M-d")))
+    every = F.flatten(F.array(iso, *named, *plain, ends, paths))
+    return F.array_sort(F.array_distinct(F.filter(every, lambda d: d.isNotNull() & F.year(d).between(1990, 2100))))
+
+
+def matches_as_of(text: Column, as_of: Column) -> Column:
+    """True where a named day's slice is the wanted one; null where no day is named."""
+    found = extract_dates(text)
+    return F.when(F.size(found) > 0, F.exists(found, lambda d: F.coalesce(filing_slice(d) == as_of, F.lit(False))))
+
+
+def clamp_to_folder(extracted: Column, folder: Column) -> Column:
+    """The folder's date rules wherever it is one."""
+    return F.coalesce(folder, extracted)
