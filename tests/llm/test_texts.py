@@ -139,6 +139,8 @@ def test_personal_data(spark):
 def test_blocks():
     page = "<html><head><title>t</title></head><body><nav>menu</nav><header>top</header><div class='cookie-banner'>ok?</div><main><h1>T &amp; x</h1><p>one<br>two <b>bold</b><p>three &lt;b&gt;&nbsp;end<ul><li>i<li>j</ul><aside>side</aside><div id=comments>c</div><form>f</form></main><footer>end</footer><script>var t='</p>';</script>"
     assert [t for t, inside in html.blocks(page) if inside] == ["T & x", "one two bold", "three <b> end", "i", "j"]
+    wrapped = "<div class='with-sidebar'><article><div class='post-header'><h1>T</h1></div><p>x</p></article></div>"
+    assert html.blocks(wrapped) == [] and html.blocks(wrapped, wrappers=False) == [("T", True), ("x", True)]
     assert html.blocks("") == [] and html.blocks("<p") == [("<p", False)] and html.blocks("a < b") == [("a < b", False)]
     assert html.blocks("<p>a<div>b</div>c<!-- <p>no</p> -->") == [("a", False), ("b", False), ("c", False)]
 
