@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..operators import books, catalog, compare, guards, picks
-from ..rules import first_by
 from .registry import joined, money, query, real, text
 
 _BOOKS = """

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import classify, dates, numbers
 from ..functions import text as T
 from ..operators import sheets
-from ..rules import first_by
 from ..sources import pages as P
 from ..streaming import events as S
-from .registry import joined, money, query, real, text
+from .registry import joined, query, real, text
 
 
 @query("exact_dup_documents", """
