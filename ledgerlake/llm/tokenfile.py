@@ -17,6 +17,7 @@ token's string is encoded as the library does.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -33,22 +34,90 @@ BLOCK = 1 << 18
 LANES = 1024
 CHECKPOINT = 128
 BITS = 18
-CACHE = 1_000_000
-PART_BYTES = 24 << 20
+CACHE = 2_000_000  # pieces a worker remembers, and a sixteenth of the ids they may hold
+PART_BYTES = 12 << 20
 MAGIC = b"RANS1\0\0\0"
 
 _LONE = np.zeros(256, bool)
 _LONE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _BLUR = _LONE.copy()  # bytes next to which no cut is made: white space, separators, and lead bytes of non-ASCII white space
 _BLUR[[0x1C, 0x1D, 0x1E, 0x1F, 0xC2, 0xE1, 0xE2, 0xE3]] = True
-_CACHED: dict[str, dict] = {}
+_KIND = np.full(256, 8, np.uint8)  # 1: ASCII letters, 2: ASCII punctuation without the apostrophe
+_KIND[[*range(65, 91), *range(97, 123)]] = 1
+_KIND[[*range(33, 39), *range(40, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 2
+_CACHED: dict[str, Encoder] = {}
+
+
+class Encoder:
+    """A tokenizer and the pieces a worker remembers: sorted hashes, a large and a small level of them, over one pool of ids."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        self.special = [t["content"].encode() for t in made.get("added_tokens", ())]
+        self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        pre = made.get("pre_tokenizer") or {}
+        # a word of letters alone is one pre-token here, so that the library's model takes it directly
+        self.direct = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not made.get("normalizer") and not made.get("post_processor")
+        self.model = self.tokenizer.model
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in shown]
+        self.alphabet = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
+        self.forget()
+
+    def forget(self) -> None:
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.levels = [none, none]
+        self.pool, self.used = np.zeros(1 << 20, self.width), 0
+
+    def encode(self, raw: bytes) -> list[int]:
+        text = raw.decode()
+        if self.direct and (text[1:] if text[0] == " " else text).isalpha():
+            return [t.id for t in self.model.tokenize(raw.decode("latin-1").translate(self.alphabet))]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def look_up(self, keys: np.ndarray, raw: bytes, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places in the pool, numbers of ids) of pieces raw[s:e] with distinct sorted hashes; new ones are encoded and remembered."""
+        if len(self.levels[0][0]) > CACHE or self.used > 16 * CACHE:
+            self.forget()
+        at, n = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int32)
+        for known, places, sizes in self.levels:
+            if len(known):
+                k = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                hit = known[k] == keys
+                at[hit], n[hit] = places[k[hit]], sizes[k[hit]]
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            flat, ends = [], []
+            for a, b in zip(s[new].tolist(), e[new].tolist()):
+                flat += self.encode(raw[a:b])
+                ends.append(len(flat))
+            while self.used + len(flat) > len(self.pool):
+                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+            self.pool[self.used : self.used + len(flat)] = flat
+            sizes = np.diff(ends, prepend=0)
+            at[new], n[new] = self.used + np.array(ends) - sizes, sizes
+            self.used += len(flat)
+            self._remember(1, (keys[new], at[new], n[new]))
+            if 4 * len(self.levels[1][0]) > len(self.levels[0][0]):
+                self._remember(0, self.levels[1])
+                self.levels[1] = tuple(x[:0] for x in self.levels[1])
+        return at, n
+
+    def _remember(self, level: int, more: tuple) -> None:
+        both = [np.concatenate(x) for x in zip(self.levels[level], more)]
+        order = np.argsort(both[0], kind="stable")
+        self.levels[level] = tuple(x[order] for x in both)
 
 
 # ---------------------------------------------------------------- tokenizing
 
 
-def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Starts of the pieces that are encoded on their own."""
+def pieces(data: np.ndarray, offsets: np.ndarray, at_marks: bool = True) -> np.ndarray:
+    """Starts of the pieces that are encoded on their own; ``at_marks``: also between ASCII letters and punctuation other than apostrophes."""
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64)
@@ -58,6 +127,9 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     wide[2:] |= (data[:-2] >= 0xE1) & (data[:-2] <= 0xE3)
     cut = np.zeros(n, bool)
     cut[1:-1] = _LONE[data[1:-1]] & ~(blur | wide)[:-2] & ~blur[2:]
+    if at_marks:
+        kind = _KIND[data]
+        cut[1:] |= (kind[1:] + kind[:-1]) == 3
     ends = offsets[1:-1]
     cut[ends[ends < n] - 1] = False  # the white space at a text's end has no character after it
     starts = offsets[:-1]
@@ -65,31 +137,19 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
-def encode_slice(data: np.ndarray, offsets: np.ndarray, tokenizer, cache: dict) -> tuple[np.ndarray, np.ndarray]:
+def encode_slice(data: np.ndarray, offsets: np.ndarray, own: Encoder) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, number of ids of each)."""
-    s = pieces(data, offsets)
+    raw = data.tobytes()
+    s = pieces(data, offsets, not any(x in raw for x in own.special))
     if len(s) == 0:
-        return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        return np.zeros(0, own.width), np.zeros(len(offsets) - 1, np.int64)
     e = np.append(s[1:], len(data))
     h = C.range_hashes(data, s, e)
     keys, first, back = np.unique(h, return_index=True, return_inverse=True)
-    if len(cache) + len(keys) > CACHE:
-        cache.clear()
-    raw = data.tobytes()
-    found = []
-    for k, i in zip(keys.tolist(), first.tolist()):
-        ids = cache.get(k)
-        if ids is None:
-            ids = np.array(tokenizer.encode(raw[s[i] : e[i]].decode(), add_special_tokens=False).ids, np.uint32).tobytes()
-            if len(ids) <= 256:
-                cache[k] = ids
-        found.append(ids)
-    lens = np.fromiter(map(len, found), np.int64, len(found)) // 4
-    flat = np.frombuffer(b"".join(found), np.uint32)
-    at = np.cumsum(lens) - lens
+    at, lens = own.look_up(keys, raw, s[first], e[first])
     n = lens[back]
     total = np.cumsum(n)
-    out = flat[np.repeat(at[back] - (total - n), n) + np.arange(total[-1])]
+    out = own.pool[np.repeat(at[back] - (total - n), n) + np.arange(total[-1])]
     bounds = np.concatenate([[0], total])
     return out, np.diff(bounds[np.searchsorted(s, offsets)])
 
@@ -97,25 +157,23 @@ def encode_slice(data: np.ndarray, offsets: np.ndarray, tokenizer, cache: dict)
 def _tokenize(path: str):
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         if path not in _CACHED:
-            _CACHED[path] = {"tokenizer": Tokenizer.from_file(path), "cache": {}}
+            _CACHED[path] = Encoder(path)
         own = _CACHED[path]
         for b in batches:
             data, offsets = C.text_bytes(b.column("text"))
             for i, j in C.slices(offsets):
-                ids, n = encode_slice(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], own["tokenizer"], own["cache"])
+                ids, n = encode_slice(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], own)
                 ends = np.cumsum(n)
-                rows = [np.append(ids[e - k : e], np.uint32(END_ID)).tobytes() for e, k in zip(ends, n)]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i).cast(pa.int64()), pa.array(rows, pa.binary())], ["doc_id", "ids"])
+                rows = [np.append(ids[e - k : e], ids.dtype.type(END_ID)).tobytes() for e, k in zip(ends, n)]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i).cast(pa.int64()), pa.array(rows, pa.binary()), pa.array([own.width[1:]] * (j - i))], ["doc_id", "ids", "width"])
 
     return run
 
 
 def tokenized(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids): little-endian 32-bit ids of each text, the end id last."""
-    return docs.select("doc_id", "text").mapInArrow(_tokenize(path), "doc_id long, ids binary")
+    """(doc_id, ids, width): little-endian ids of each text, the end id last; width u2 or u4 by the vocabulary."""
+    return docs.select("doc_id", "text").mapInArrow(_tokenize(path), "doc_id long, ids binary, width string")
 
 
 # ---------------------------------------------------------------- the coder
@@ -210,7 +268,7 @@ def _counts(batches):
     c = np.zeros(0, np.int64)
     for b in batches:
         data, _ = C.text_bytes(b.column("ids"))
-        n = np.bincount(data.view("<u4")) if len(data) else np.zeros(0, np.int64)
+        n = np.bincount(data.view("<" + b.column("width")[0].as_py())) if len(data) else np.zeros(0, np.int64)
         if len(n) > len(c):
             c, n = n.astype(np.int64), c
         c[: len(n)] += n
@@ -231,8 +289,8 @@ def _write_blocks(freq: np.ndarray, bits: int):
             return pa.RecordBatch.from_pydict(rows, _BLOCKS)
 
         for b in batches:
-            for doc_id, raw in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist()):
-                held.append((doc_id, np.frombuffer(raw, np.uint32)))
+            for doc_id, raw, width in zip(*(b.column(k).to_pylist() for k in ("doc_id", "ids", "width"))):
+                held.append((doc_id, np.frombuffer(raw, "<" + width)))
                 held_n += len(held[-1][1])
                 if held_n >= BLOCK:
                     yield packed()
@@ -250,7 +308,7 @@ _BLOCKS = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("before", pa
 def write(docs: DataFrame, path: str, tokenizer: str, bits: int = BITS) -> None:
     """Tokenize ``docs`` and write the file (``path``/blocks and ``path``/header) in ascending document order."""
     ids = C.staged(tokenized(docs, tokenizer), keep=False)
-    counts = ids.select("ids").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # one row an id of the vocabulary
+    counts = ids.select("ids", "width").mapInArrow(_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # one row an id of the vocabulary
     size = int(counts.id.max()) + 1 if len(counts) else 1
     n = np.zeros(size, np.int64)
     n[counts.id] = counts.n
@@ -261,7 +319,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, bits: int = BITS) -> None:
     key = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit("99999999999999999999").cast("decimal(20,0)"))
     keyed = ids.withColumn("key", key)
     ranged = keyed.repartitionByRange(parts, "key") if parts > 1 else keyed.coalesce(1)
-    blocks = ranged.sortWithinPartitions("key", "ids").select("doc_id", "ids")
+    blocks = ranged.sortWithinPartitions("key", "ids").select("doc_id", "ids", "width")
     blocks.mapInArrow(_write_blocks(freq, bits), "shard int, block int, before long, n long, doc_ids array<long>, lengths array<long>, data binary").write.option("compression", "none").parquet(f"{path}/blocks")
     spark = docs.sparkSession
     table = freq.astype("<u4").tobytes()
