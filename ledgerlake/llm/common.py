@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _OWN: list[str] = []
 
 
@@ -61,7 +61,13 @@ def drop_stage(df: DataFrame) -> None:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table in fewer splits than cores, a small one therefore, is dealt to all cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 # ---------------------------------------------------------------- Arrow text
@@ -99,7 +105,7 @@ _pow = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_pow[0]) < n:
-        size = 1 << (n - 1).bit_length()
+        size = n + n // 8
         for k, base in enumerate((_MULT, _INV)):
             a = np.full(size, base, np.uint64)
             a[0] = 1
@@ -139,6 +145,59 @@ def window_hashes(values: np.ndarray, width: int) -> np.ndarray:
     return range_hashes(values, s, s + width)
 
 
+class Remembered:
+    """Ids of pieces by their hash, over slices and tasks of a worker: sorted hashes, a large and a small level of them, over one pool of ids."""
+
+    def __init__(self, dtype, most: int):
+        self.dtype, self.most = dtype, most
+        self.forget()
+
+    def forget(self) -> None:
+        none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.levels = [none, none]
+        self.pool, self.used = np.zeros(1 << 16, self.dtype), 0
+
+    def look_up(self, keys: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
+        """(places in the pool, numbers of ids) for distinct sorted hashes; ``encode`` gives the lists of ids of those at some indexes."""
+        if len(self.levels[0][0]) > self.most or self.used > 16 * self.most:
+            self.forget()
+        at, n = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int32)
+        for known, places, sizes in self.levels:
+            if len(known):
+                k = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                hit = known[k] == keys
+                at[hit], n[hit] = places[k[hit]], sizes[k[hit]]
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            flat, ends = [], []
+            for ids in encode(new):
+                flat += ids
+                ends.append(len(flat))
+            while self.used + len(flat) > len(self.pool):
+                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+            self.pool[self.used : self.used + len(flat)] = flat
+            sizes = np.diff(ends, prepend=0)
+            at[new], n[new] = self.used + np.array(ends) - sizes, sizes
+            self.used += len(flat)
+            self._add(1, (keys[new], at[new], n[new]))
+            if 4 * len(self.levels[1][0]) > len(self.levels[0][0]):
+                self._add(0, self.levels[1])
+                self.levels[1] = tuple(x[:0] for x in self.levels[1])
+        return at, n
+
+    def _add(self, level: int, more: tuple) -> None:
+        both = [np.concatenate(x) for x in zip(self.levels[level], more)]
+        order = np.argsort(both[0], kind="stable")
+        self.levels[level] = tuple(x[order] for x in both)
+
+    def gather(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The ids of many pieces, one after another."""
+        if len(n) == 0:
+            return self.pool[:0]
+        total = np.cumsum(n)
+        return self.pool[np.repeat(at - (total - n), n) + np.arange(total[-1])]
+
+
 # ---------------------------------------------------------------- words
 
 SEPARATOR = np.zeros(256, bool)

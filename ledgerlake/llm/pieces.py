@@ -29,8 +29,9 @@ from pyspark.sql import DataFrame
 from . import common as C
 
 MARK = "▁"
-CACHE = 1_000_000
-PAIRS = 2_000_000
+CACHE = 1_500_000
+PAIRS = 300_000
+SLICE = 2 << 20
 _MODELS: dict[str, Model] = {}
 
 OUT = "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string, round_trip boolean"
@@ -59,7 +60,7 @@ class Model:
                 self.raw[i] = b""
         self.pairs: dict[tuple[str, str], bool] = {}
         self.reached: dict[str, bool] = {}
-        self.words: dict[int, bytes] = {}
+        self.words = C.Remembered(np.uint32, CACHE)
 
     def merged(self, w: str) -> list[str]:
         """The model's merges carried out on ``w``: best score first, then leftmost."""
@@ -178,23 +179,16 @@ def encode_slice(data: np.ndarray, offsets: np.ndarray, m: Model) -> tuple[np.nd
     e = np.append(s[1:], n)
     h = C.range_hashes(data, s, e) ^ (head[s].astype(np.uint64) * np.uint64(0x5851F42D4C957F2D))
     keys, first, back = np.unique(h, return_index=True, return_inverse=True)
-    if len(m.words) + len(keys) > CACHE:
-        m.words.clear()
     raw = data.tobytes()
-    keys = keys.tolist()
-    new = [(k, i) for k, i in zip(keys, first.tolist()) if k not in m.words]
-    chunks = [(MARK if head[s[i]] else "") + raw[s[i] : e[i]].decode().replace(" ", MARK) for _, i in new]
-    for (k, _), ids in zip(new, m.encode_words(chunks)):
-        m.words[k] = np.array(ids, np.uint32).tobytes()
-    found = [m.words[k] for k in keys]
-    lens = np.fromiter(map(len, found), np.int64, len(found)) // 4
-    flat = np.frombuffer(b"".join(found), np.uint32)
-    at = np.cumsum(lens) - lens
-    size = lens[back]
-    total = np.cumsum(size)
-    out = flat[np.repeat(at[back] - (total - size), size) + np.arange(total[-1])]
-    bounds = np.concatenate([[0], total])
-    return out, np.diff(bounds[np.searchsorted(s, offsets)])
+
+    def encode(new):
+        chunks = [(MARK if head[s[i]] else "") + raw[s[i] : e[i]].decode().replace(" ", MARK) for i in first[new].tolist()]
+        return m.encode_words(chunks)
+
+    at, size = m.words.look_up(keys, encode)
+    size = size[back]
+    bounds = np.concatenate([[0], np.cumsum(size)])
+    return m.words.gather(at[back], size), np.diff(bounds[np.searchsorted(s, offsets)])
 
 
 def _encoded(column, path: str):
@@ -206,7 +200,7 @@ def _encoded(column, path: str):
     if mark in raw:
         texts = [(t or "").replace(MARK, " ") for t in column.to_pylist()]
         data, offsets = C.text_bytes(pa.array(texts, pa.string()))
-    for i, j in C.slices(offsets):
+    for i, j in C.slices(offsets, SLICE):
         ids, n = encode_slice(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], m)
         yield i, j, data, offsets, ids, np.concatenate([[0], np.cumsum(n)])
 
