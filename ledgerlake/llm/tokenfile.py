@@ -34,7 +34,8 @@ BLOCK = 1 << 18
 LANES = 1024
 CHECKPOINT = 128
 BITS = 18
-CACHE = 2_000_000  # pieces a worker remembers, and a sixteenth of the ids they may hold
+CACHE = 2_000_000
+SLICE = 3 << 20
 PART_BYTES = 12 << 20
 MAGIC = b"RANS1\0\0\0"
 
@@ -49,7 +50,7 @@ _CACHED: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """A tokenizer and the pieces a worker remembers: sorted hashes, a large and a small level of them, over one pool of ids."""
+    """A tokenizer and the pieces that a worker remembers."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -66,12 +67,7 @@ class Encoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.alphabet = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
-        self.forget()
-
-    def forget(self) -> None:
-        none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.levels = [none, none]
-        self.pool, self.used = np.zeros(1 << 20, self.width), 0
+        self.known = C.Remembered(self.width, CACHE)
 
     def encode(self, raw: bytes) -> list[int]:
         text = raw.decode()
@@ -79,39 +75,6 @@ class Encoder:
             return [t.id for t in self.model.tokenize(raw.decode("latin-1").translate(self.alphabet))]
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def look_up(self, keys: np.ndarray, raw: bytes, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places in the pool, numbers of ids) of pieces raw[s:e] with distinct sorted hashes; new ones are encoded and remembered."""
-        if len(self.levels[0][0]) > CACHE or self.used > 16 * CACHE:
-            self.forget()
-        at, n = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int32)
-        for known, places, sizes in self.levels:
-            if len(known):
-                k = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                hit = known[k] == keys
-                at[hit], n[hit] = places[k[hit]], sizes[k[hit]]
-        new = np.flatnonzero(at < 0)
-        if len(new):
-            flat, ends = [], []
-            for a, b in zip(s[new].tolist(), e[new].tolist()):
-                flat += self.encode(raw[a:b])
-                ends.append(len(flat))
-            while self.used + len(flat) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-            self.pool[self.used : self.used + len(flat)] = flat
-            sizes = np.diff(ends, prepend=0)
-            at[new], n[new] = self.used + np.array(ends) - sizes, sizes
-            self.used += len(flat)
-            self._remember(1, (keys[new], at[new], n[new]))
-            if 4 * len(self.levels[1][0]) > len(self.levels[0][0]):
-                self._remember(0, self.levels[1])
-                self.levels[1] = tuple(x[:0] for x in self.levels[1])
-        return at, n
-
-    def _remember(self, level: int, more: tuple) -> None:
-        both = [np.concatenate(x) for x in zip(self.levels[level], more)]
-        order = np.argsort(both[0], kind="stable")
-        self.levels[level] = tuple(x[order] for x in both)
-
 
 # ---------------------------------------------------------------- tokenizing
 
@@ -146,12 +109,10 @@ def encode_slice(data: np.ndarray, offsets: np.ndarray, own: Encoder) -> tuple[n
     e = np.append(s[1:], len(data))
     h = C.range_hashes(data, s, e)
     keys, first, back = np.unique(h, return_index=True, return_inverse=True)
-    at, lens = own.look_up(keys, raw, s[first], e[first])
-    n = lens[back]
-    total = np.cumsum(n)
-    out = own.pool[np.repeat(at[back] - (total - n), n) + np.arange(total[-1])]
-    bounds = np.concatenate([[0], total])
-    return out, np.diff(bounds[np.searchsorted(s, offsets)])
+    at, n = own.known.look_up(keys, lambda new: (own.encode(raw[a:b]) for a, b in zip(s[first[new]].tolist(), e[first[new]].tolist())))
+    n = n[back]
+    bounds = np.concatenate([[0], np.cumsum(n)])
+    return own.known.gather(at[back], n), np.diff(bounds[np.searchsorted(s, offsets)])
 
 
 def _tokenize(path: str):
@@ -162,7 +123,7 @@ def _tokenize(path: str):
         own = _CACHED[path]
         for b in batches:
             data, offsets = C.text_bytes(b.column("text"))
-            for i, j in C.slices(offsets):
+            for i, j in C.slices(offsets, SLICE):
                 ids, n = encode_slice(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], own)
                 ends = np.cumsum(n)
                 rows = [np.append(ids[e - k : e], ids.dtype.type(END_ID)).tobytes() for e, k in zip(ends, n)]
