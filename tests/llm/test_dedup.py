@@ -117,3 +117,22 @@ def test_subtrees_split_by_longer_prefixes():
     for i in at:
         rows.setdefault(v[i : i + 50].tobytes(), set()).add(int(got[i]))
     assert all(len(x) == 1 for x in rows.values()) and len({next(iter(x)) for x in rows.values()}) == len(rows)
+
+
+@pytest.mark.parametrize("task_edges", [1_000_000, 40])
+def test_components(spark, task_edges):
+    rng = random.Random(8)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(rng.randint(0, 80), rng.randint(0, 80)) for _ in range(60)] + [(500, 400), (500, 450)]
+    up = {x: x for e in edges for x in e}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        up[max(a, b)] = min(a, b)
+    df = spark.createDataFrame(edges, "u long, v long").repartition(3)
+    assert {r.u: r.root for r in chosenpath.components(df, task_edges=task_edges).collect()} == {x: find(x) for x in up}
+    assert chosenpath.components(df.limit(0)).count() == 0
