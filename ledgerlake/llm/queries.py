@@ -35,7 +35,7 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return html.extract(C.spread(spark.read.parquet(f"{sf_dir}/pages.parquet")))
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
