@@ -7,6 +7,8 @@ All byte kernels treat a null text as empty. Words are maximal runs of bytes out
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
@@ -70,6 +72,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def released(run):
+    """A task's function that gives its memory back when it ends; workers live on for later stages."""
+
+    def whole(batches):
+        yield from run(batches)
+        _pow[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries than glibc
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return whole
+
+
 # ---------------------------------------------------------------- Arrow text
 
 

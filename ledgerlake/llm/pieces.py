@@ -30,7 +30,7 @@ from . import common as C
 
 MARK = "▁"
 CACHE = 1_500_000
-PAIRS = 300_000
+PAIRS = 200_000
 SLICE = 2 << 20
 _MODELS: dict[str, Model] = {}
 
@@ -222,7 +222,7 @@ def check(docs: DataFrame, path: str) -> DataFrame:
                     cols["round_trip"].append(text == data[offsets[i + k] : offsets[i + k + 1]].tobytes())
                 yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id").slice(i, j - i).cast(pa.int64())} | cols)
 
-    return docs.select("doc_id", "text").mapInArrow(run, OUT)
+    return docs.select("doc_id", "text").mapInArrow(C.released(run), OUT)
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -237,7 +237,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 source = part.column("source").cast(pa.string()) if has else pa.nulls(j - i, pa.string())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), source, pa.array(np.diff(ends)), lists], ["doc_id", "source", "n_tokens", "ids"])
 
-    return docs.select("doc_id", "text", *["source"] * has).mapInArrow(run, "doc_id long, source string, n_tokens long, ids array<int>")
+    return docs.select("doc_id", "text", *["source"] * has).mapInArrow(C.released(run), "doc_id long, source string, n_tokens long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -249,4 +249,4 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             texts = [m.decode(np.array(x or [], np.int64)) for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(C.released(run), "doc_id long, text string")

@@ -221,7 +221,7 @@ def find(docs: DataFrame) -> DataFrame:
                     cols["spans"].append(_joined(spans))
                 yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id").slice(i, j - i).cast(pa.int64())} | {k: pa.array(v, pa.string() if k in ("base_sha256", "spans") else pa.int64()) for k, v in cols.items()})
 
-    return docs.select("doc_id", "text").mapInArrow(run, OUT)
+    return docs.select("doc_id", "text").mapInArrow(C.released(run), OUT)
 
 
 def redact(docs: DataFrame) -> DataFrame:
@@ -246,4 +246,4 @@ def redact(docs: DataFrame) -> DataFrame:
                 cols = [pa.array(new, c.type) if n == "text" else pa.array([None if x is None else len(x) for x in new], c.type) if n == "n_chars" else c for n, c in zip(names, part.columns)]
                 yield pa.RecordBatch.from_arrays(cols, schema=part.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(C.released(run), docs.schema)
