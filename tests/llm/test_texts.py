@@ -177,6 +177,15 @@ def test_main_text(spark):
     assert html.extract(df.limit(0)).count() == 0
 
 
+def test_shared_blocks_of_articles(spark):
+    rows = [(i, f"http://h.org/{i}", f"<article><p>unique {i}</p><p>Share this with all your friends</p>{'<p>seen on a third of them</p>' if i % 3 == 0 else ''}</article>") for i in range(12)]
+    rows += [(100 + i, "http://copies.org", "<main><p>one article in many copies</p></main>") for i in range(5)]
+    rows += [(200 + i, f"http://two.org/{i}", f"<main><p>on both pages</p><p>{i}</p></main>") for i in range(2)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"unique {i}" + ("\nseen on a third of them" if i % 3 == 0 else "") for i in range(12))
+    assert all(got[100 + i] == "one article in many copies" for i in range(5)) and got[201] == "on both pages\n1"
+
+
 def test_given_pages(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     want = {}
