@@ -186,6 +186,21 @@ def test_shared_blocks_of_articles(spark):
     assert all(got[100 + i] == "one article in many copies" for i in range(5)) and got[201] == "on both pages\n1"
 
 
+def test_runs_are_counted_over_the_whole_host(spark):
+    notice = {3: "five pages hold this notice here", 7: "Top story", 11: "two pages hold this other notice"}
+    rows = []
+    for i in range(60):
+        held = "".join(f"<p>{t}</p>" for k, t in notice.items() if i % k == 0 and i < (k * 5 if k < 11 else 22))
+        rows.append((i, f"http://h.org/{i}", f"<p>unique {i} words w{i} x{i}</p>{held}"))
+    rows.append((60, "http://h.org/copy", rows[11][2]))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for size in (4, 200):
+        got = {r.page_id: r.text for r in html.extract(df, group=size).collect()}
+        for i in range(60):
+            assert got[i] == f"unique {i} words w{i} x{i}" + ("\ntwo pages hold this other notice" if i in (0, 11) else "")
+        assert got[60] == got[11]
+
+
 def test_given_pages(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     want = {}
