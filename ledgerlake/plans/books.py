@@ -314,7 +314,7 @@ def filings_merge(t):
 @query("published_contract")
 def published_contract(t):
     """Raw holdings shaped to the 17 contract fields."""
-    raw = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).where("l_suppkey <= 20").select(
+    raw = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_suppkey").alias("book"), F.col("p_name").alias("instrument"), F.concat(F.lit("INE"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias("isin"), F.col("p_type").alias("section"), F.col("p_brand").alias("industry"),
         F.lit(None).cast("string").alias("industry_rating"), F.lit(None).cast("string").alias("rating"), F.lit("").alias("coupon"), text("l_quantity").alias("quantity"), text("l_extendedprice").alias("market_value"), F.lit("nil").alias("pct_nav"), F.lit("-").alias("ytm"), F.lit("").alias("ytc"), F.lit("").alias("instrument_yield"), F.lit("").alias("maturity_date"))
     return books.publish(raw)

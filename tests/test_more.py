@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions import dates, names
 from ledgerlake.operators import connectors, increments
+from ledgerlake.plans import registry
 from ledgerlake.sources import trees
 
 
@@ -80,3 +81,9 @@ def test_increments(spark, tmp_path):
     assert {r.k: r.change for r in d.collect()} == {"a": "gone", "b": "changed", "c": "new"}
     t = spark.createDataFrame([("s", 1, "Total : Equity", 50.0), ("s", 2, "Grand Total", 100.0), ("s", 3, "Net Assets", 900.0)], "s string, n int, label string, v double")
     assert increments.total_value(t, ["s"], "label", "v", "n").first().stated_total == 100.0
+
+
+def test_published_contract_holds_every_holding(spark):
+    folder = "/root/testdata/sf0.01"
+    want = {r.l_suppkey: r["count"] for r in spark.read.parquet(f"{folder}/lineitem.parquet").groupBy("l_suppkey").count().collect()}
+    assert {r.book: r["count"] for r in registry.QUERIES["published_contract"](spark, folder).groupBy("book").count().collect()} == want
