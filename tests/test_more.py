@@ -87,3 +87,10 @@ def test_published_contract_holds_every_holding(spark):
     folder = "/root/testdata/sf0.01"
     want = {r.l_suppkey: r["count"] for r in spark.read.parquet(f"{folder}/lineitem.parquet").groupBy("l_suppkey").count().collect()}
     assert {r.book: r["count"] for r in registry.QUERIES["published_contract"](spark, folder).groupBy("book").count().collect()} == want
+
+
+def test_match_cascade_binds_every_part(spark):
+    folder = "/root/testdata/sf0.001"
+    got = {r.via: r.n for r in registry.QUERIES["match_cascade"](spark, folder).collect()}
+    n = spark.read.parquet(f"{folder}/part.parquet").count()
+    assert got["shortcode"] == n // 8 and got["shortcode"] + got["direct"] + got.get("fuzzy", 0) == n
