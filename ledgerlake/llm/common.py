@@ -15,18 +15,21 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 _OWN: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; only where it is unset (tests) a temporary one."""
+    """The folder in ``spark.checkpoint.dir``; only where it is unset, and the master is local, a temporary one."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
     if not _OWN:
         _OWN.append("file://" + tempfile.mkdtemp(prefix="shared"))
     return _OWN[0]
@@ -77,7 +80,6 @@ def released(run):
 
     def whole(batches):
         yield from run(batches)
-        _pow[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
         pa.default_memory_pool().release_unused()
         with contextlib.suppress(OSError, AttributeError):  # other C libraries than glibc
             ctypes.CDLL("libc.so.6").malloc_trim(0)
@@ -110,22 +112,11 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES):
         i = j
 
 
-# ---------------------------------------------------------------- hashing modulo 2**64
+# ---------------------------------------------------------------- hashing
 
-_MULT = np.uint64(0x9E3779B97F4A7C15)
-_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_BYTES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_pow = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_pow[0]) < n:
-        size = n + n // 8
-        for k, base in enumerate((_MULT, _INV)):
-            a = np.full(size, base, np.uint64)
-            a[0] = 1
-            _pow[k] = np.multiply.accumulate(a)
-    return _pow[0][:n], _pow[1][:n]
+_LONG = 512
+_SEED = np.uint64(0x9E3779B97F4A7C15)
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -141,76 +132,129 @@ def mix_int(x: int) -> int:
     return int(mix(np.array([x & (1 << 64) - 1], np.uint64))[0])
 
 
-def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of values[start:end]; uint8 values go through a random table first."""
-    v = _BYTES[values] if values.dtype == np.uint8 else values
-    up, down = _powers(len(v) + 1)
-    prefix = np.zeros(len(v) + 1, np.uint64)
-    np.cumsum(v * up[: len(v)], out=prefix[1:])
-    h = (prefix[ends] - prefix[starts]) * down[starts]
-    return mix(h + (np.asarray(ends) - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+def fold(h: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The hash of a sequence that hashed to ``h``, with one more value; a bijection of either argument."""
+    h = (h ^ x) * np.uint64(0x9FB21C651E98DF25)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(29)
+    return h
+
+
+def eights(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from every position as integers, zeros beyond the end: a view, not a copy for each."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes data[start:end], folded 8 bytes at a time (long ranges: by xxh3)."""
+    size = np.asarray(ends) - np.asarray(starts)
+    h = fold(np.full(len(size), _SEED), size.astype(np.uint64))
+    v = eights(data)
+    live = np.flatnonzero((size > 0) & (size <= _LONG))
+    at, left = np.asarray(starts)[live], size[live]
+    while len(live):
+        h[live] = fold(h[live], v[at] & _MASK[np.minimum(left, 8)])
+        more = np.flatnonzero(left > 8)
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > _LONG).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(np.ascontiguousarray(data[starts[i] : ends[i]]))
+    return mix(h)
+
+
+def equal_ranges(data: np.ndarray, s: np.ndarray, e: np.ndarray, s2: np.ndarray, e2: np.ndarray) -> np.ndarray:
+    """Whether data[s:e] and data[s2:e2] hold the same bytes, pair by pair."""
+    same = (e - s) == (e2 - s2)
+    v = eights(data)
+    live = np.flatnonzero(same & (s != s2) & (e > s) & (e - s <= _LONG))
+    a, b, left = s[live], s2[live], (e - s)[live]
+    while len(live):
+        differ = ((v[a] ^ v[b]) & _MASK[np.minimum(left, 8)]) != 0
+        same[live[differ]] = False
+        more = np.flatnonzero(~differ & (left > 8))
+        live, a, b, left = live[more], a[more] + 8, b[more] + 8, left[more] - 8
+    for i in np.flatnonzero(same & (s != s2) & (e - s > _LONG)).tolist():
+        same[i] = bool((data[s[i] : e[i]] == data[s2[i] : e2[i]]).all())
+    return same
+
+
+def distinct_ranges(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of one range of each different content, the content of every range); equal hashes are compared byte by byte."""
+    if len(s) == 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    _, first, back = np.unique(range_hashes(data, s, e), return_index=True, return_inverse=True)
+    odd = np.flatnonzero(~equal_ranges(data, s, e, s[first[back]], e[first[back]]))
+    if len(odd):  # different contents of one hash
+        more: dict[bytes, int] = {}
+        extra = []
+        for i in odd.tolist():
+            k = more.setdefault(data[s[i] : e[i]].tobytes(), len(first) + len(extra))
+            if k == len(first) + len(extra):
+                extra.append(i)
+            back[i] = k
+        first = np.append(first, extra)
+    return first, back
 
 
 def window_hashes(values: np.ndarray, width: int) -> np.ndarray:
-    """Hashes of every ``width`` consecutive values (none where there are fewer)."""
+    """Hashes of every ``width`` consecutive values (none where there are fewer); bytes are folded 8 at a time."""
     n = len(values) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    s = np.arange(n)
-    return range_hashes(values, s, s + width)
+    h = np.full(n, mix_int(width), np.uint64)
+    if values.dtype == np.uint8:
+        v = eights(values)
+        for k in range(0, width - 7, 8):
+            h = fold(h, v[k : k + n])
+        if width % 8:
+            h = fold(h, v[width // 8 * 8 : width // 8 * 8 + n] & _MASK[width % 8])
+        return h
+    for k in range(width):
+        h = fold(h, values[k : k + n])
+    return h
+
+
+def wide_hashes(grams: np.ndarray, gram: int, at: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the ``width`` values from each place ``at``, out of the hashes of all windows of ``gram`` values."""
+    h = np.full(len(at), mix_int(width), np.uint64)
+    for k in [*range(0, width - gram, gram), width - gram]:
+        h = fold(h, grams[at + k])
+    return h
 
 
 class Remembered:
-    """Ids of pieces by their hash, over slices and tasks of a worker: sorted hashes, a large and a small level of them, over one pool of ids."""
-
-    def __init__(self, dtype, most: int):
-        self.dtype, self.most = dtype, most
-        self.forget()
-
-    def forget(self) -> None:
-        none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.levels = [none, none]
-        self.pool, self.used = np.zeros(1 << 16, self.dtype), 0
-
-    def look_up(self, keys: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
-        """(places in the pool, numbers of ids) for distinct sorted hashes; ``encode`` gives the lists of ids of those at some indexes."""
-        if len(self.levels[0][0]) > self.most or self.used > 16 * self.most:
-            self.forget()
-        at, n = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int32)
-        for known, places, sizes in self.levels:
-            if len(known):
-                k = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                hit = known[k] == keys
-                at[hit], n[hit] = places[k[hit]], sizes[k[hit]]
-        new = np.flatnonzero(at < 0)
-        if len(new):
-            flat, ends = [], []
-            for ids in encode(new):
-                flat += ids
-                ends.append(len(flat))
-            while self.used + len(flat) > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-            self.pool[self.used : self.used + len(flat)] = flat
-            sizes = np.diff(ends, prepend=0)
-            at[new], n[new] = self.used + np.array(ends) - sizes, sizes
-            self.used += len(flat)
-            self._add(1, (keys[new], at[new], n[new]))
-            if 4 * len(self.levels[1][0]) > len(self.levels[0][0]):
-                self._add(0, self.levels[1])
-                self.levels[1] = tuple(x[:0] for x in self.levels[1])
-        return at, n
-
-    def _add(self, level: int, more: tuple) -> None:
-        both = [np.concatenate(x) for x in zip(self.levels[level], more)]
-        order = np.argsort(both[0], kind="stable")
-        self.levels[level] = tuple(x[order] for x in both)
-
-    def gather(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """The ids of many pieces, one after another."""
-        if len(n) == 0:
-            return self.pool[:0]
-        total = np.cumsum(n)
-        return self.pool[np.repeat(at - (total - n), n) + np.arange(total[-1])]
+    """Ids of pieces by their bytes, for the slices of one task; at most ``most`` bytes are held."""
+
+    def __init__(self, dtype, most: int = 24 << 20):
+        self.dtype, self.most = np.dtype(dtype), most
+        self.known: dict[bytes, bytes] = {}
+        self.held = 0
+
+    def look_up(self, keys: list[bytes], encode) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all keys one after another, numbers of ids); ``encode`` gives the lists of ids of some of the keys."""
+        got = [self.known.get(k) for k in keys]
+        new = [i for i, x in enumerate(got) if x is None]
+        for i, ids in zip(new, encode([keys[i] for i in new]) if new else ()):
+            k, x = keys[i], np.array(ids, self.dtype).tobytes()
+            got[i] = x
+            if len(k) <= 64:
+                self.held += len(k) + len(x) + 120
+                if self.held > self.most:
+                    self.known.clear()
+                    self.held = 0
+                self.known[k] = x
+        size = np.fromiter(map(len, got), np.int64, len(got)) // self.dtype.itemsize
+        return np.frombuffer(b"".join(got), self.dtype), size
+
+
+def gather(flat: np.ndarray, size: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of many pieces one after another, bounds), out of the ids of the different ones."""
+    n = size[back]
+    bounds = np.concatenate([[0], np.cumsum(n)])
+    at = (np.cumsum(size) - size)[back]
+    return flat[np.repeat(at - bounds[:-1], n) + np.arange(bounds[-1])], bounds
 
 
 # ---------------------------------------------------------------- words
@@ -241,9 +285,40 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def run_sums(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """Sums of flags over consecutive ranges given by n + 1 bounds."""
-    total = np.zeros(len(flags) + 1, np.int64)
-    np.cumsum(flags, out=total[1:])
-    return total[bounds[1:]] - total[bounds[:-1]]
+    out = np.zeros(len(bounds) - 1, np.int64)
+    full = np.flatnonzero(bounds[1:] > bounds[:-1])
+    if len(full):
+        out[full] = np.add.reduceat(flags[bounds[0] : bounds[-1]], bounds[full] - bounds[0], dtype=np.int64)
+    return out
+
+
+def text_pieces(data: np.ndarray, limit: int = 4 << 20):
+    """Ranges of a text's bytes of about ``limit``, cut before separators so that no word is split."""
+    a = 0
+    while a < len(data):
+        b = min(a + limit, len(data))
+        step = 1 << 16
+        while b < len(data):
+            at = np.flatnonzero(SEPARATOR[data[b : b + step]])
+            if len(at):
+                b += int(at[0])
+                break
+            b = min(b + step, len(data))
+        yield a, b
+        a = b
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words, index of each text's first word, n + 1 of them); a long text is read piece by piece."""
+    if len(offsets) != 2 or len(data) <= 8 << 20:
+        s, e, first = words(data, offsets)
+        return range_hashes(data, s, e), first
+    parts = []
+    for a, b in text_pieces(data):
+        s, e, _ = words(data[a:b], np.array([0, b - a]))
+        parts.append(range_hashes(data[a:b], s, e))
+    out = np.concatenate(parts)
+    return out, np.array([0, len(out)])
 
 
 def owner(bounds: np.ndarray) -> np.ndarray:

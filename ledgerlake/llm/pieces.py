@@ -12,9 +12,11 @@ SentencePiece library; a unigram model's scores play no part, since the public m
 Runs of marks: all merges of marks alone rank below every other, so the marks that no word takes are grouped
 from the left by the longest piece of marks.
 
+Words are told apart by their bytes. A very long text is one slice of its own.
+
 Defined cases: null is empty, an empty text has no ids and decodes to an empty text; a mark in a text decodes
-to a space; characters outside the vocabulary become byte pieces; an empty table gives no rows; other columns
-are ignored.
+to a space; characters outside the vocabulary become byte pieces; repeated rows have equal
+ids; ties of merges go to the leftmost, as in the library; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from pyspark.sql import DataFrame
 from . import common as C
 
 MARK = "▁"
-CACHE = 1_500_000
-PAIRS = 200_000
+PAIRS = 300_000
+WORDS = 56 << 20
 SLICE = 2 << 20
 _MODELS: dict[str, Model] = {}
 
@@ -38,7 +40,7 @@ OUT = "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string, round_
 
 
 class Model:
-    """Pieces, scores and byte pieces of a BPE model, with the pair and word caches of a worker."""
+    """Pieces, scores and byte pieces of a BPE model, with the bounded pair and word caches of a task."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -58,9 +60,18 @@ class Model:
         for i in range(n):
             if sp.is_control(i):
                 self.raw[i] = b""
-        self.pairs: dict[tuple[str, str], bool] = {}
+        # bounded by the vocabulary: pieces that their own merges give
         self.reached: dict[str, bool] = {}
-        self.words = C.Remembered(np.uint32, CACHE)
+        self.ends_in: dict[str, int] = {}  # longest piece by its last two characters
+        for t in self.id_of:
+            self.ends_in[t[-2:]] = max(self.ends_in.get(t[-2:], 0), len(t))
+        self.fresh()
+
+    def fresh(self) -> Model:
+        """Caches are a task's own, and bounded."""
+        self.pairs: dict[int, bool] = {}
+        self.words = C.Remembered(np.uint32, WORDS)
+        return self
 
     def merged(self, w: str) -> list[str]:
         """The model's merges carried out on ``w``: best score first, then leftmost."""
@@ -76,12 +87,18 @@ class Model:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def key(self, piece: str) -> int:
+        """A number for a piece or a single character outside the vocabulary."""
+        k = self.id_of.get(piece)
+        return (1 << 21) + ord(piece) if k is None else k
+
     def stays(self, a: str, b: str) -> bool:
-        got = self.pairs.get((a, b))
+        key = self.key(a) << 22 | self.key(b)
+        got = self.pairs.get(key)
         if got is None:
             if len(self.pairs) > PAIRS:
                 self.pairs.clear()
-            got = self.pairs[a, b] = self.merged(a + b) == [a, b]
+            got = self.pairs[key] = self.merged(a + b) == [a, b]
         return got
 
     def alone(self, piece: str) -> bool:
@@ -93,10 +110,11 @@ class Model:
     def forward(self, w: str, last: list[str], shared: int) -> None:
         """Set ``last[i]``, the last piece of w[:i], for i > shared; earlier ones hold already."""
         del last[shared + 1 :]
+        known, ends_in = self.id_of, self.ends_in
         for i in range(shared + 1, len(w) + 1):
-            for j in range(max(0, i - self.longest), i):  # longest piece first
+            for j in range(max(0, i - ends_in.get(w[max(0, i - 2) : i], 1)), i):  # longest piece first
                 t = w[j:i]
-                if (t in self.id_of or i - j == 1) and (j == 0 or self.stays(last[j], t)) and (i - j == 1 or self.alone(t)):
+                if (t in known or i - j == 1) and (j == 0 or self.stays(last[j], t)) and (i - j == 1 or self.alone(t)):
                     last.append(t)
                     break
             else:
@@ -177,18 +195,17 @@ def encode_slice(data: np.ndarray, offsets: np.ndarray, m: Model) -> tuple[np.nd
     cut |= head
     s = np.flatnonzero(cut)
     e = np.append(s[1:], n)
-    h = C.range_hashes(data, s, e) ^ (head[s].astype(np.uint64) * np.uint64(0x5851F42D4C957F2D))
-    keys, first, back = np.unique(h, return_index=True, return_inverse=True)
+    different, back = C.distinct_ranges(data, s, e)
+    # the first piece of a text gets a mark before it: its content counts as another one
+    kinds, back = np.unique(2 * back + head[s], return_inverse=True)
     raw = data.tobytes()
+    keys = [(b"\0" if k & 1 else b"\1") + raw[s[i] : e[i]] for k, i in zip(kinds.tolist(), different[kinds >> 1].tolist())]
 
     def encode(new):
-        chunks = [(MARK if head[s[i]] else "") + raw[s[i] : e[i]].decode().replace(" ", MARK) for i in first[new].tolist()]
-        return m.encode_words(chunks)
+        return m.encode_words([(MARK if k[0] == 0 else "") + k[1:].decode().replace(" ", MARK) for k in new])
 
-    at, size = m.words.look_up(keys, encode)
-    size = size[back]
-    bounds = np.concatenate([[0], np.cumsum(size)])
-    return m.words.gather(at[back], size), np.diff(bounds[np.searchsorted(s, offsets)])
+    ids, bounds = C.gather(*m.words.look_up(keys, encode), back)
+    return ids, np.diff(bounds[np.searchsorted(s, offsets)])
 
 
 def _encoded(column, path: str):
@@ -209,6 +226,7 @@ def check(docs: DataFrame, path: str) -> DataFrame:
     """Ids' count and checksum, and the decoded text's digest, of every document."""
 
     def run(batches):
+        model(path).fresh()
         for b in batches:
             for i, j, data, offsets, ids, ends in _encoded(b.column("text"), path):
                 m = model(path)
@@ -230,6 +248,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     has = "source" in docs.columns
 
     def run(batches):
+        model(path).fresh()
         for b in batches:
             for i, j, _, _, ids, ends in _encoded(b.column("text"), path):
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))

@@ -2,7 +2,7 @@
 
 Texts are tokenized with the ``tokenizers`` library. A text is cut where every byte-level pre-tokenizer of
 this family cuts (before a lone ASCII white space between two other characters), equal pieces of a slice are
-encoded once, and a worker remembers pieces up to ``CACHE`` of them.
+encoded once, told apart by their bytes, and a task remembers a bounded number of them.
 
 The file is a Parquet folder whose rows are blocks in ascending document order, plus a header row with the
 shared table. A block holds whole documents, about ``BLOCK`` ids, coded by ``LANES`` interleaved states;
@@ -34,8 +34,7 @@ BLOCK = 1 << 18
 LANES = 1024
 CHECKPOINT = 128
 BITS = 18
-CACHE = 2_000_000
-SLICE = 3 << 20
+SLICE = 2 << 20
 PART_BYTES = 12 << 20
 MAGIC = b"RANS1\0\0\0"
 
@@ -50,7 +49,7 @@ _CACHED: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """A tokenizer and the pieces that a worker remembers."""
+    """A tokenizer and the pieces that a task remembers."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -67,7 +66,7 @@ class Encoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.alphabet = {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
-        self.known = C.Remembered(self.width, CACHE)
+        self.known = C.Remembered(self.width)
 
     def encode(self, raw: bytes) -> list[int]:
         text = raw.decode()
@@ -107,12 +106,10 @@ def encode_slice(data: np.ndarray, offsets: np.ndarray, own: Encoder) -> tuple[n
     if len(s) == 0:
         return np.zeros(0, own.width), np.zeros(len(offsets) - 1, np.int64)
     e = np.append(s[1:], len(data))
-    h = C.range_hashes(data, s, e)
-    keys, first, back = np.unique(h, return_index=True, return_inverse=True)
-    at, n = own.known.look_up(keys, lambda new: (own.encode(raw[a:b]) for a, b in zip(s[first[new]].tolist(), e[first[new]].tolist())))
-    n = n[back]
-    bounds = np.concatenate([[0], np.cumsum(n)])
-    return own.known.gather(at[back], n), np.diff(bounds[np.searchsorted(s, offsets)])
+    different, back = C.distinct_ranges(data, s, e)
+    keys = [raw[a:b] for a, b in zip(s[different].tolist(), e[different].tolist())]
+    ids, bounds = C.gather(*own.known.look_up(keys, lambda new: map(own.encode, new)), back)
+    return ids, np.diff(bounds[np.searchsorted(s, offsets)])
 
 
 def _tokenize(path: str):
@@ -121,6 +118,7 @@ def _tokenize(path: str):
         if path not in _CACHED:
             _CACHED[path] = Encoder(path)
         own = _CACHED[path]
+        own.known = C.Remembered(own.width)  # a task's own
         for b in batches:
             data, offsets = C.text_bytes(b.column("text"))
             for i, j in C.slices(offsets, SLICE):
@@ -134,7 +132,7 @@ def _tokenize(path: str):
 
 def tokenized(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, width): little-endian ids of each text, the end id last; width u2 or u4 by the vocabulary."""
-    return docs.select("doc_id", "text").mapInArrow(_tokenize(path), "doc_id long, ids binary, width string")
+    return docs.select("doc_id", "text").mapInArrow(C.released(_tokenize(path)), "doc_id long, ids binary, width string")
 
 
 # ---------------------------------------------------------------- the coder
