@@ -5,13 +5,16 @@ of the window alone, so equal windows have their anchor at the same place. Conse
 form a run; a text of n units has about 2n / (width - gram) runs. The initial buckets are the anchors.
 
 1. ``runs``: (anchor, content id, document, starts) of all runs. Content ids are 64-bit hashes.
-2. Runs of equal content are counted with map-side sums; those settle at once, however many copies there are.
-3. Where an anchor has runs of different content, one of each is fetched (its text) and dealt by anchor to tasks,
-   where ``classes`` (a suffix array or suffix trees) finds the windows that are equal.
+2. Runs of equal content are counted with map-side sums, and two of them stand for all, however many there are.
+3. Of every anchor with two runs or more the standing ones are fetched (their text) and dealt by anchor to tasks,
+   where ``classes`` (a suffix array or suffix trees) finds the windows that are equal. What it finds for a run
+   holds for the other copies of that run.
 4. An anchor with more than ``GROUP`` different runs is dealt in salted parts. Each part settles what it can; of
    the rest, blocks of windows are compared by hash over all parts, then windows of blocks that recur.
 
-Documents are keyed by a hash of id and text. No task holds more than a document, or ``GROUP`` runs.
+Documents are keyed by their id and a hash of id and text. No task holds more than a document, or ``GROUP`` runs;
+long texts are read in overlapping pieces of ``PIECE`` units. A common anchor is one key of the joins below, whose
+other side has one row for it: adaptive execution splits such keys, and map-side sums shrink them before.
 """
 
 from __future__ import annotations
@@ -28,8 +31,8 @@ from . import common as C
 
 GROUP = 20_000
 BLOCK = 8
-CHUNK_UNITS = 3 << 20
-PIECE = 4 << 20
+CHUNK_UNITS = 1 << 20
+PIECE = 1 << 20
 LAST = (1 << 63) - 1
 
 Units = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
@@ -64,7 +67,9 @@ def find_runs(values: np.ndarray, bounds: np.ndarray, width: int, gram: int):
     last = valid.copy()
     last[:-1] &= ~valid[1:] | (p[1:] != p[:-1])
     a, b = np.flatnonzero(new), np.flatnonzero(last)
-    return a, b, C.mix(g[p[a]]), C.range_hashes(values, a, b + width)
+    # a run is shorter than two windows: its first and last one and the distance tell it whole
+    content = C.fold(C.fold(C.wide_hashes(g, gram, a, width), C.wide_hashes(g, gram, b, width)), (b - a).astype(np.uint64))
+    return a, b, C.mix(g[p[a]]), content
 
 
 def _runs(units: Units, width: int, gram: int):
@@ -108,7 +113,7 @@ def _fetch(units: Units, width: int):
                 w = wanted.slice(i, 1).flatten()
                 start, size = np.asarray(w.field("start")), np.asarray(w.field("size"))
                 cut = [values[s : s + n - 1 + width].tobytes() for s, n in zip(start.tolist(), size.tolist())]
-                names = ("a", "r", "salt", "merge", "v", "size")
+                names = ("a", "r", "salt", "merge", "v", "size", "rep", "d0")
                 yield pa.RecordBatch.from_arrays([*(w.field(k) for k in names), pa.array(cut, pa.binary())], [*names, "content"])
 
     return run
@@ -144,10 +149,10 @@ def _settle(classes: Classes, dtype, width: int, by_least: bool):
             first[np.unique(cls, return_index=True)[1]] = True
             found = count[cls] >= 2
             open_, told = first, count[cls]
-        out = {k: [] for k in ("kind", "a", "r", "lo", "hi", "block", "bh", "wh", "v", "own")}
+        out = {k: [] for k in ("kind", "a", "r", "lo", "hi", "block", "bh", "wh", "v", "own", "rep", "d0")}
 
         def add(kind, x, lo, hi, block, bh, wh, v):
-            for k, value in zip(out, (kind, x[0], x[1], lo, hi, block, bh, wh, v, x[4])):
+            for k, value in zip(out, (kind, x[0], x[1], lo, hi, block, bh, wh, v, x[4], x[8], x[9])):
                 out[k].append(value)
 
         edge = np.append(np.cumsum(size) - size, size.sum())
@@ -160,15 +165,15 @@ def _settle(classes: Classes, dtype, width: int, by_least: bool):
                 x, s = rows[i], slice(edge[i], edge[i + 1])
                 own, told_ = open_[s], told[s]
                 v_ = values[begin[i] : begin[i] + lens[i]]
-                wh = C.window_hashes(v_, width)
                 # blocks stand at fixed distances from the anchor, which all runs of the bucket share
                 g = C.window_hashes(v_, x[7])
+                wh = C.wide_hashes(g, x[7], np.arange(int(size[i])), width)
                 p = int(np.argmin((g[size[i] - 1 : width - x[7] + 1] >> np.uint64(32)))) + int(size[i]) - 1
                 dist = p - np.arange(int(size[i]))
                 for b in np.unique(dist[own] // BLOCK).tolist():
                     k = np.flatnonzero(own & (dist // BLOCK == b))
-                    s0, s1 = p - (b * BLOCK + BLOCK - 1), p - b * BLOCK  # first and last window of the whole block
-                    bh = int(C.range_hashes(v_, np.array([s1]), np.array([s0 + width]))[0].view(np.int64))  # what its windows share
+                    s1 = p - b * BLOCK  # last window of the whole block
+                    bh = int(C.wide_hashes(g, x[7], np.array([s1]), width - BLOCK + 1)[0].view(np.int64))  # what its windows share
                     add(1, x, k.tolist(), [], b, bh, wh[k].view(np.int64).tolist(), told_[k].tolist())
         return pa.RecordBatch.from_pydict(out, _SETTLED)
 
@@ -188,8 +193,8 @@ def _settle(classes: Classes, dtype, width: int, by_least: bool):
     return run
 
 
-_SETTLED = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("r", pa.int64()), ("lo", pa.list_(pa.int32())), ("hi", pa.list_(pa.int32())), ("block", pa.int32()), ("bh", pa.int64()), ("wh", pa.list_(pa.int64())), ("v", pa.list_(pa.int64())), ("own", pa.int64())])
-SETTLED = "kind int, a long, r long, lo array<int>, hi array<int>, block int, bh long, wh array<long>, v array<long>, own long"
+_SETTLED = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("r", pa.int64()), ("lo", pa.list_(pa.int32())), ("hi", pa.list_(pa.int32())), ("block", pa.int32()), ("bh", pa.int64()), ("wh", pa.list_(pa.int64())), ("v", pa.list_(pa.int64())), ("own", pa.int64()), ("rep", pa.int32()), ("d0", pa.int64())])
+SETTLED = "kind int, a long, r long, lo array<int>, hi array<int>, block int, bh long, wh array<long>, v array<long>, own long, rep int, d0 long"
 
 
 def release(spark) -> None:
@@ -205,50 +210,48 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def covered(docs: DataFrame, units: Units, classes: Classes, dtype, width: int, gram: int, by_least: bool, group: int = GROUP) -> DataFrame:
-    """(key, spans): for each keyed document, the unit ranges that windows found elsewhere cover.
+    """(doc, key, spans): for each keyed document, the unit ranges that windows found elsewhere cover.
 
     ``by_least``: only windows that also start in a document of lesser id count; else any other start counts.
     """
     spark = docs.sparkSession
     docs = keyed(docs)
-    runs = C.staged(docs.select("key", "doc", "text").mapInArrow(_runs(units, width, gram), "a long, r long, key long, doc long, starts array<long>, size int"))
-    rep = F.min(F.struct("doc", "key", F.element_at("starts", 1).alias("start")))
-    by = runs.groupBy("a", "r").agg(F.sum(F.size("starts")).alias("n"), rep.alias("rep"), F.max("doc").alias("d1"), F.min("size").alias("size"))
-    each = C.staged(by.select("a", "r", "n", F.col("rep.doc").alias("d0"), F.col("rep.key").alias("key"), F.col("rep.start").alias("start"), "d1", "size"))
+    runs = C.staged(docs.select("key", "doc", "text").mapInArrow(C.released(_runs(units, width, gram)), "a long, r long, key long, doc long, starts array<long>, size int"))
+    at = lambda k: F.struct("doc", "key", F.element_at("starts", k).alias("start"))
+    by = runs.groupBy("a", "r").agg(F.sum(F.size("starts")).alias("n"), F.min(at(1)).alias("one"), F.max(at(-1)).alias("two"), F.min("size").alias("size"))
+    twin = F.col("two.doc") > F.col("one.doc") if by_least else F.col("n") > 1
+    each = C.staged(by.withColumn("twin", twin))
     release(spark)
-    # anchors whose runs differ, and hold one that isn't settled by equal runs alone
-    buckets = each.groupBy("a").agg(F.count("*").alias("m"), F.sum((F.col("n") == 1).cast("long")).alias("u")).where("m > 1" if by_least else "m > 1 and u > 0")
+    # anchors of two runs or more (of two documents)
+    buckets = each.groupBy("a").agg(F.count("*").alias("m"), F.max("twin").alias("twins")).where("m > 1 or twins").drop("twins")
     parts = F.ceil(F.col("m") / F.lit(group))
-    v = F.col("d0") if by_least else F.col("n")
-    wanted = each.join(buckets, "a").select("key", F.struct("a", "r", F.pmod("r", parts).cast("int").alias("salt"), (parts > 1).alias("merge"), v.alias("v"), "size", "start").alias("w"))
-    wanted = wanted.groupBy("key").agg(F.collect_list("w").alias("wanted"))  # at most a document's runs
-    fetched = docs.select("key", "text").join(wanted, "key").mapInArrow(_fetch(units, width), "a long, r long, salt int, merge boolean, v long, size int, content binary")
-    dealt = fetched.repartition("a", "salt").sortWithinPartitions("a", "salt", "r")
-    dealt = dealt.select("a", "r", "salt", "merge", "v", "size", "content", F.lit(gram).alias("gram"))
-    settled = C.staged(dealt.mapInArrow(_settle(classes, dtype, width, by_least), SETTLED))
+    found_by = lambda rep: F.col(rep + ".doc") if by_least else F.when(F.col("twin") & F.lit(rep == "one"), F.col("n") - 1).when(F.lit(rep == "one"), F.col("n")).otherwise(1)
+    stands = lambda rep, k: F.struct(F.col(rep + ".doc").alias("doc"), F.col(rep + ".key").alias("key"), F.struct("a", "r", F.pmod("r", parts).cast("int").alias("salt"), (parts > 1).alias("merge"), found_by(rep).cast("long").alias("v"), "size", F.col(rep + ".start").alias("start"), F.lit(k).alias("rep"), F.col("one.doc").alias("d0")).alias("w"))
+    reps = F.when(F.col("twin"), F.array(stands("one", 0), stands("two", 1))).otherwise(F.array(stands("one", 0)))
+    wanted = each.join(buckets, "a").select(F.explode(reps).alias("x")).select("x.doc", "x.key", "x.w")
+    wanted = wanted.groupBy("doc", "key").agg(F.collect_list("w").alias("wanted"))  # at most a document's runs
+    fetched = docs.select("doc", "key", "text").join(wanted, ["doc", "key"]).select("text", "wanted").mapInArrow(C.released(_fetch(units, width)), "a long, r long, salt int, merge boolean, v long, size int, rep int, d0 long, content binary")
+    dealt = fetched.repartition("a", "salt").sortWithinPartitions("a", "salt", "r", "rep")
+    dealt = dealt.select("a", "r", "salt", "merge", "v", "size", "content", F.lit(gram).alias("gram"), "rep", "d0")
+    settled = C.staged(dealt.mapInArrow(C.released(_settle(classes, dtype, width, by_least)), SETTLED))
     release(spark)
-    found = settled.where("kind = 0").select("a", "r", F.arrays_zip("lo", "hi").alias("part"))
+    found = settled.where("kind = 0").select("a", "r", "rep", "d0", F.arrays_zip("lo", "hi").alias("part"))
     # buckets dealt in parts: blocks, then windows, that recur in several parts
     blocks = settled.where("kind = 1")
     again = blocks.groupBy("a", "block", "bh").agg(F.count("*").alias("n")).where("n > 1").select("a", "block", "bh")
     near = blocks.join(again, ["a", "block", "bh"], "left_semi")
-    one = near.select("a", "r", "own", F.explode(F.arrays_zip("lo", "wh", "v")).alias("x")).select("a", "r", "own", F.col("x.lo").alias("lo"), F.col("x.wh").alias("wh"), F.col("x.v").alias("v"))
+    one = near.select("a", "r", "rep", "d0", "own", F.explode(F.arrays_zip("lo", "wh", "v")).alias("x")).select("a", "r", "rep", "d0", "own", F.col("x.lo").alias("lo"), F.col("x.wh").alias("wh"), F.col("x.v").alias("v"))
     whole = one.groupBy("a", "wh").agg(F.min("v").alias("t") if by_least else F.sum("v").alias("t"), F.count("*").alias("c")).where("c > 1").select("a", "wh", "t")
     more = one.join(whole, ["a", "wh"]).where(F.col("t") < F.col("own") if by_least else F.col("t") > 1)
-    more = more.groupBy("a", "r").agg(F.collect_list(F.struct(F.col("lo").alias("lo"), (F.col("lo") + 1).alias("hi"))).alias("part"))
+    more = more.groupBy("a", "r", "rep", "d0").agg(F.collect_list(F.struct(F.col("lo").alias("lo"), (F.col("lo") + 1).alias("hi"))).alias("part"))
     part = found.unionByName(more)
-    if by_least:
-        part = part.join(each.select("a", "r", "d0"), ["a", "r"])
-        full = each.where("d1 > d0").select("a", "r", F.lit(None).cast(part.schema["part"].dataType).alias("part"), "d0")
-        applies = F.when(F.col("part").isNull(), F.col("doc") > F.col("d0")).otherwise(F.col("doc") == F.col("d0"))
+    if by_least:  # the least document's run loses what lesser ones hold; its later copies are told by the last of them
+        applies = F.when(F.col("rep") == 0, F.col("doc") == F.col("d0")).otherwise(F.col("doc") > F.col("d0"))
     else:
-        part = part.join(each.where("n = 1").select("a", "r"), ["a", "r"])
-        full = each.where("n > 1").select("a", "r", F.lit(None).cast(part.schema["part"].dataType).alias("part"))
-        applies = F.lit(True)
-    hits = runs.join(full.unionByName(part.select(full.columns)), ["a", "r"]).where(applies)
-    own = F.coalesce("part", F.array(F.struct(F.lit(0).alias("lo"), F.col("size").alias("hi"))))
-    spans = hits.select("key", F.explode("starts").alias("s"), own.alias("own")).select("key", F.transform("own", lambda x: F.struct((F.col("s") + x["lo"]).alias("from"), (F.col("s") + x["hi"] - 1 + width).alias("to"))).alias("t"))
-    out = C.staged(spans.groupBy("key").agg(F.flatten(F.collect_list("t")).alias("spans")))  # at most a document's runs
+        part, applies = part.where("rep = 0"), F.lit(True)
+    hits = runs.join(part, ["a", "r"]).where(applies)
+    spans = hits.select("doc", "key", F.explode("starts").alias("s"), "part").select("doc", "key", F.transform("part", lambda x: F.struct((F.col("s") + x["lo"]).alias("from"), (F.col("s") + x["hi"] - 1 + width).alias("to"))).alias("t"))
+    out = C.staged(spans.groupBy("doc", "key").agg(F.flatten(F.collect_list("t")).alias("spans")))  # at most a document's runs
     C.drop_stage(settled)
     C.drop_stage(runs)
     C.drop_stage(each)
@@ -266,7 +269,7 @@ def flags(spans, n: int) -> np.ndarray:
 
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """Keyed documents with their spans (null: none)."""
-    return keyed(docs).select("doc_id", "text", "key").join(spans, "key", "left").select("doc_id", "text", "spans")
+    return keyed(docs).select("doc_id", "text", "doc", "key").join(spans, ["doc", "key"], "left").select("doc_id", "text", "spans")
 
 
 def span_columns(batch) -> list[tuple[np.ndarray, np.ndarray] | None]:

@@ -2,9 +2,10 @@
 
 Candidate texts come from ``repeats`` (buckets of anchors, dealt to tasks). In a task, the suffixes that start a
 window are split by prefixes of variable length: a group of suffixes that share a prefix and exceed ``MEMORY``
-suffixes is split by a prefix twice as long, down to the whole window. Each group's subtree is built as an
-interval tree over its sorted suffixes: sorting, the lengths of shared prefixes, and the internal nodes of
-``WIDTH`` words or more, whose leaves are the occurrences of one maximal repeat (cut at the window).
+suffixes is split by a prefix twice as long, up to the whole window. Suffixes reach to their run's end. Each
+group's subtree is built over its sorted suffixes from the lengths of their shared prefixes; its internal nodes of
+``WIDTH`` words or more are the maximal repeats, their leaves the occurrences. Windows below one such node that has
+no deep parent are equal.
 
 Defined cases: null has no words; texts of fewer than ``WIDTH`` words keep all; a null id counts as larger than
 any; repeated rows (equal id and text) don't remove each other; an empty table gives no rows; other columns are
@@ -27,57 +28,95 @@ MEMORY = 16_384
 OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
-def prefix_groups(values: np.ndarray, at: np.ndarray, width: int, memory: int = MEMORY):
-    """Groups of indexes into ``at`` whose suffixes share a prefix, and the prefix's length."""
-    todo = [(np.arange(len(at)), 1)]
+def prefix_groups(ranks: np.ndarray, at: np.ndarray, width: int, memory: int = MEMORY):
+    """Groups of indexes into ``at`` whose suffixes share a prefix, and the prefix's length; small groups go together."""
+    base = int(ranks.max(initial=0)) + 1
+    todo = [(np.arange(len(at)), 0)]
     while todo:
         idx, size = todo.pop()
-        h = C.range_hashes(values, at[idx], at[idx] + size)
-        order = np.argsort(h, kind="stable")
-        cuts = np.flatnonzero(np.diff(h[order], prepend=h[order][:1] + np.uint64(1)))
-        small = []
+        longer = min(max(1, 2 * size), width)
+        group = np.zeros(len(idx), np.int64)
+        for k in range(size, longer):
+            group = np.unique(group * base + ranks[at[idx] + k], return_inverse=True)[1]
+        order = np.argsort(group, kind="stable")
+        cuts = np.flatnonzero(np.diff(group[order], prepend=-1))
+        held, n = [], 0
         for a, b in zip(cuts, np.append(cuts[1:], len(order))):
             part = idx[order[a:b]]
-            if b - a > memory and size < width:
-                todo.append((part, min(2 * size, width)))
-            else:
-                small.append(part)
-        held, n = [], 0
-        for part in small:  # small subtrees are built side by side
+            if b - a > memory and longer < width:
+                todo.append((part, longer))
+                continue
             held.append(part)
             n += len(part)
             if n >= memory:
-                yield np.concatenate(held), size
+                yield np.concatenate(held), longer
                 held, n = [], 0
         if held:
-            yield np.concatenate(held), size
+            yield np.concatenate(held), longer
 
 
-def subtree(values: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(order, shared prefix lengths) of suffixes cut at ``width``, sorted word by word: the leaves of their subtree and the depths between them."""
-    rows = values[at[:, None] + np.arange(width)].astype(">u8")
-    order = np.argsort(rows.view(f"V{8 * width}").ravel(), kind="stable")
-    ranked = rows[order]
+def subtree(ranks: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, shared prefix lengths) of the suffixes of ``size`` words from ``at``, sorted word by word: the leaves of their subtree and the depths between them."""
+    width = int(size.max(initial=1))
+    k = np.arange(width)
+    rows = np.where(k < size[:, None], ranks[np.minimum(at[:, None] + k, len(ranks) - 1)] + 1, 0).astype(">u4")
+    order = np.argsort(rows.view(f"V{4 * width}").ravel(), kind="stable")
+    ranked, size = rows[order], size[order]
     same = ranked[1:] == ranked[:-1]
     depth = np.where(same.all(1), width, np.argmin(same, 1))
-    return order, np.concatenate([[0], depth])
+    return order, np.concatenate([[0], np.minimum(depth, np.minimum(size[1:], size[:-1]))])
+
+
+def deep_nodes(depth: np.ndarray, width: int) -> list[tuple[int, int, int, int]]:
+    """(first leaf, end, depth in words, parent or -1) of the subtree's internal nodes of ``width`` words or more: its maximal repeats and their occurrences. A parent stands before its children."""
+    nodes: list[list[int]] = []
+    starts, ends = np.flatnonzero((depth >= width) & (np.append(0, depth[:-1]) < width)), np.flatnonzero((depth >= width) & (np.append(depth[1:], 0) < width)) + 1
+    for a, b in zip((starts - 1).tolist(), ends.tolist()):
+        first = len(nodes)
+        stack: list[list[int]] = []
+        d = depth[a + 1 : b].tolist()
+        for i, h in enumerate(d, a):
+            left = i
+            while stack and stack[-1][2] > h:
+                top = stack.pop()
+                top[1], left = i + 1, top[0]
+                nodes.append(top)
+            if not stack or stack[-1][2] < h:
+                stack.append([left, -1, h, -1])
+        while stack:
+            stack[-1][1] = b
+            nodes.append(stack.pop())
+        mine = sorted(nodes[first:], key=lambda x: (x[0], -x[1], x[2]))
+        open_: list[int] = []
+        for i, x in enumerate(mine, first):
+            while open_ and mine[open_[-1] - first][1] <= x[0]:
+                open_.pop()
+            x[3] = open_[-1] if open_ else -1
+            open_.append(i)
+        nodes[first:] = mine
+    return [tuple(x) for x in nodes]
 
 
 def classes(values: np.ndarray, begin: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """A class for every window start: the internal node of window depth above it, or the leaf itself."""
+    """A class for every window start: the highest internal node of window depth above it, or the leaf itself."""
+    ranks = np.unique(values, return_inverse=True)[1].astype(np.int64)
+    end = np.append(begin[1:], len(values))
+    size = end[np.searchsorted(begin, at, "right") - 1] - at
     out = np.zeros(len(at), np.int64)
     n = 0
-    for idx, _ in prefix_groups(values, at, WIDTH):
-        order, depth = subtree(values, at[idx], WIDTH)
-        node = np.cumsum(depth < WIDTH) - 1
+    for idx, _ in prefix_groups(ranks, at, WIDTH):
+        order, depth = subtree(ranks, at[idx], size[idx])
+        node = np.arange(len(idx))
+        for a, b, _, parent in deep_nodes(depth, WIDTH):
+            if parent < 0:
+                node[a:b] = a
         out[idx[order]] = n + node
-        n += int(node[-1]) + 1
-    return out
+        n += len(idx)
+    return np.unique(out, return_inverse=True)[1]
 
 
 def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    s, e, first = C.words(data, offsets)
-    return C.range_hashes(data, s, e), first
+    return C.word_hashes(data, offsets)
 
 
 def spans(docs: DataFrame, **params) -> DataFrame:
