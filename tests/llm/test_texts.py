@@ -143,6 +143,25 @@ def test_blocks():
     assert html.blocks(wrapped) == [] and html.blocks(wrapped, wrappers=False) == [("T", True), ("x", True)]
     assert html.blocks("") == [] and html.blocks("<p") == [("<p", False)] and html.blocks("a < b") == [("a < b", False)]
     assert html.blocks("<p>a<div>b</div>c<!-- <p>no</p> -->") == [("a", False), ("b", False), ("c", False)]
+    assert html.blocks("<p>an <svg><text>icon</text></svg> inline <button>press</button> part <math>x</math></p>") == [("an inline part x", False)]
+    assert html.blocks("<p title=it's>q&#99999999999;&#0000065;<a title=\"x>y</a>") == [("q\ufffdAy", False)]
+
+
+HOSTILE = ["<a \"", "<a =\"", "<a ='>", "<!", "<", "<b>", "<div>", "<p>x", "</p>", "<![CDATA[", "<!--", "&#9", "<script>", "<script></script ", "<a class=", "<svg>", "<li><a href='#'>x"]
+
+
+@pytest.mark.parametrize("unit", HOSTILE)
+def test_hostile_pages_take_linear_time(unit):
+    import time
+
+    took = []
+    for size in (100_000, 1_000_000):
+        page = unit * (size // len(unit))
+        began = time.perf_counter()
+        html.parts(page)
+        html.parts(page + "</x>" * 1000 + "<hr>" * 1000 + ">")
+        took.append(time.perf_counter() - began)
+    assert took[1] < max(40 * took[0], 2) and took[1] < 8
 
 
 def test_suffix_array_and_repeats():
