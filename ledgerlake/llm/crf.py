@@ -12,7 +12,7 @@ import numpy as np
 
 from . import common as C
 
-KINDS = ("email", "ip", "card", "phone")
+KINDS = ("email", "ip", "card", "phone", "secret")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 N_LABELS = len(LABELS)
 OFFSETS = (-2, -1, 0, 1, 2)
@@ -23,6 +23,7 @@ CUES = {
     "ip": ("ip", "host", "address", "server", "adresse"),
     "card": ("card", "visa", "mastercard", "karte", "carte", "tarjeta"),
     "phone": ("phone", "tel", "call", "telephone", "telefon", "fax", "mobile", "telefono"),
+    "secret": ("token", "password", "passwd", "pwd", "secret", "api_key", "apikey", "api-key", "key", "bearer", "passwort", "contrasena"),
     "at": ("at", "(at)", "[at]"),
     "dot": ("dot", "(dot)", "[dot]"),
 }
@@ -45,9 +46,16 @@ _ALPHA = np.zeros(256, bool)
 _ALPHA[65:91] = _ALPHA[97:123] = True
 _ALPHA[128:] = True
 _TAIL = np.zeros(256, bool)
-_TAIL[list(b".,;:!?")] = True
+_TAIL[list(b".,;:!?=\"")] = True
+_JOIN = np.zeros(256, bool)
+_JOIN[list(b"=:")] = True
+_QUOTE = np.zeros(256, bool)
+_QUOTE[list(b"\"'")] = True
+LONG = 12
 
-N_CLASSES = 8 + len(CUES) + 7 * 3 * 2 * 2 * 2
+# 0 edge, 1 plain, 2 capitalised, 3 marks, 4 and 5 with @, 6 an assignment's mark, 7 quoted, 8 a cue and its value in one word
+_CUE = 9
+N_CLASSES = _CUE + len(CUES) + 7 * 4 * 2 * 2 * 2
 
 
 def shapes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -69,18 +77,34 @@ def shapes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     out = np.where((first >= 65) & (first <= 90), 2, 1)
     out = np.where(alpha == 0, 3, out)
     out = np.where(at, np.where(dots > 0, 5, 4), out)
+    out = np.where((digits == 0) & (alpha > 0) & _QUOTE[first] & (size >= LONG), 7, out)
+    joins = count(_JOIN[data])
+    out = np.where((alpha == 0) & (digits == 0) & (joins > 0), 6, out)
     trimmed = ends - _TAIL[data[ends - 1]]
-    short = np.flatnonzero((digits == 0) & (size <= 12) & (trimmed > starts))
+    lower = C.LOWER[data]
+    short = np.flatnonzero((digits == 0) & (size <= 12) & (trimmed > starts) & (alpha > 0))
     if len(short):
-        h = C.range_hashes(C.LOWER[data], starts[short], trimmed[short])
-        k = np.minimum(np.searchsorted(_CUE_KEYS, h), len(_CUE_KEYS) - 1)
-        hit = _CUE_KEYS[k] == h
-        out[short[hit]] = 8 + _CUE_KINDS[k[hit]]
+        out[short] = np.where((kind := _cue(lower, starts[short], trimmed[short])) >= 0, _CUE + kind, out[short])
     # words with digits
     step = np.searchsorted([2, 3, 4, 5, 9, 12], digits, "right")
-    kind = np.where(alpha == 0, 0, np.where(at, 1, 2))
-    full = ((((step * 3 + kind) * 2 + plus) * 2 + paren) * 2) + (dots - (data[ends - 1] == 46) >= 1)
-    return np.where(digits > 0, 8 + len(CUES) + full, out)
+    kind = np.where(alpha == 0, 0, np.where(at, 1, np.where(size < LONG, 2, 3)))
+    full = ((((step * 4 + kind) * 2 + plus) * 2 + paren) * 2) + (dots - (data[ends - 1] == 46) >= 1)
+    out = np.where(digits > 0, _CUE + len(CUES) + full, out)
+    # a cue, an equals sign or a colon, and more
+    both = np.flatnonzero((joins > 0) & (alpha > 0) & (size > 6))
+    if len(both):
+        marks = np.flatnonzero(_JOIN[data])
+        cut = marks[np.searchsorted(marks, starts[both])]
+        kind = _cue(lower, starts[both], cut)
+        out[both[(kind == list(CUES).index("secret")) & (ends[both] - cut > 4)]] = 8
+    return out
+
+
+def _cue(lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The kind of cue that some bytes are; -1: none."""
+    h = C.range_hashes(lower, starts, ends)
+    k = np.minimum(np.searchsorted(_CUE_KEYS, h), len(_CUE_KEYS) - 1)
+    return np.where(_CUE_KEYS[k] == h, _CUE_KINDS[k], -1)
 
 
 # ---------------------------------------------------------------- the labelled table
@@ -88,8 +112,8 @@ def shapes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
 _FILL = "the of and to in is on for with that was are this we he she it please see send or und der die das ist nicht mit les des est pour dans que los las una por con more text then after before some note".split()
 
 
-def labelled_table(n: int = 500, seed: int = 5) -> list[tuple[list[str], list[str]]]:
-    """(words, labels) of made-up lines: personal data in plain and spelled-out forms, and lines with other numbers."""
+def labelled_table(n: int = 600, seed: int = 5) -> list[tuple[list[str], list[str]]]:
+    """(words, labels) of made-up lines: personal data and secrets in plain and spelled-out forms, and lines with other numbers and codes."""
     rng = np.random.default_rng(seed)
     digits = lambda k: "".join(str(rng.integers(0, 10)) for _ in range(k))
     pick = lambda xs: xs[int(rng.integers(len(xs)))]
@@ -97,18 +121,26 @@ def labelled_table(n: int = 500, seed: int = 5) -> list[tuple[list[str], list[st
     def name():
         return "".join(pick("abcdefghiklmnoprstuvw") for _ in range(int(rng.integers(3, 9))))
 
+    def code(k):
+        chars = pick(["0123456789abcdef", "0123456789ABCDEF", "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ0123456789", "abcdefgh0123456789-_"])
+        return pick("abcdef") * int(rng.random() < 0.2) + "".join(pick(chars) for _ in range(k)) + pick("0123456789")
+
     def entity(kind):
         if kind == "email":
             plain = [f"{name()}.{digits(2)}@{name()}.{pick(['example.com', 'org', 'net'])}"]
-            return pick([plain, [name(), pick(["(at)", "[at]"]), name(), pick(["(dot)", "[dot]"]), pick(["com", "org", "net"])]])
+            at, dot = pick([("(at)", "(dot)"), ("[at]", "[dot]"), ("at", "dot")])
+            return pick([plain, [name(), at, name(), dot, pick(["com", "org", "net"])]])
         if kind == "ip":
             return [".".join(str(rng.integers(1, 256)) for _ in range(4))]
+        if kind == "secret":
+            quoted = pick(['"', '"', "'", ""])
+            return [quoted + code(int(rng.integers(10, 48))) + quoted]
         if kind == "card":
             return pick([[pick("456") + digits(15)], [digits(4) for _ in range(4)]])
         return pick([[f"+{rng.integers(1, 99)}", f"({digits(3)})", f"{digits(3)}-{digits(4)}"], [f"({digits(3)})", f"{digits(3)}-{digits(4)}"], [f"{digits(3)}-{digits(3)}-{digits(4)}"], [f"+{digits(11)}"], ["0" + digits(3), digits(6)]])
 
     def other():
-        return pick([[digits(1) + "."], [digits(2)], ["19" + digits(2)], ["20" + digits(2) + "."], [digits(1) + "." + digits(1) + "."], [f"{digits(1)}.{digits(2)}"], [digits(5)], ["A" + digits(1) + "B" + digits(3)], ["v" + digits(1) + "." + digits(1)], [digits(3), digits(2)], [f"{digits(4)}-{digits(2)}-{digits(2)}"], ["password=" + digits(3) + "fa" + digits(5)], ['"' + digits(4) + "ab" + digits(6) + '"'], [digits(7)], ["Version", digits(1) + "." + digits(1) + "."], ["at"], ["at", "the"], ["dot"], ["call"], ["the", "card"], ["mail"]])
+        return pick([[digits(1) + "."], [digits(2)], ["19" + digits(2)], ["20" + digits(2) + "."], [digits(1) + "." + digits(1) + "."], [f"{digits(1)}.{digits(2)}"], [digits(5)], ["A" + digits(1) + "B" + digits(3)], ["v" + digits(1) + "." + digits(1)], [digits(3), digits(2)], [f"{digits(4)}-{digits(2)}-{digits(2)}"], ['"' + code(8) + '"'], [code(int(rng.integers(8, 40)))], ["#" + code(7)], ["token"], ["the", "secret", "of"], ["key", "=", pick(_FILL)], ["password", "is"], [digits(7)], ["Version", digits(1) + "." + digits(1) + "."], ["at"], ["at", "the"], ["dot"], ["call"], ["the", "card"], ["mail"]])
 
     table = []
     for _ in range(n):
@@ -126,9 +158,15 @@ def labelled_table(n: int = 500, seed: int = 5) -> list[tuple[list[str], list[st
                 kind = pick(KINDS)
                 ent = entity(kind)
                 bare = kind == "phone" and not ent[0].startswith("+")
-                if bare or rng.random() < 0.3:
-                    add([pick(CUES[kind]) + pick(["", ":"])])
-                add([*ent[:-1], ent[-1] + pick(["", "", ".", ","])], kind)
+                cue = pick(CUES[kind])
+                cue = cue.upper() if rng.random() < 0.2 else cue
+                if kind == "secret" and rng.random() < 0.3:
+                    ent = [cue + pick("=:") + ent[0]]
+                elif kind == "secret":
+                    add(pick([[cue, "="], [cue, ":"], [cue + ":"], [cue + "="], [cue, "is"], [cue]]))
+                elif bare or rng.random() < 0.3:
+                    add([cue + pick(["", ":"])])
+                add([*ent[:-1], ent[-1] + pick(["", "", ".", ",", "!!"])], kind)
             elif u < 0.8:
                 add(other())
         add([pick(_FILL) for _ in range(int(rng.integers(0, 5)))])

@@ -3,9 +3,12 @@
 Base spans (e-mail, IP address, card and phone numbers) come from fixed patterns, leftmost and without overlap
 per kind; matches that fail their check are dropped. The field (``crf``) labels every word of every line; its
 spans are kept where they touch no base span and pass their kind's check (digits, Luhn), which adds phone
-numbers without a plus and spelled-out e-mail addresses. Positions are code points, ends exclusive.
+numbers without a plus, spelled-out e-mail addresses, and a kind of its own, ``secret``: codes assigned to a
+password, token or key. Positions are code points, ends exclusive.
 
-Defined cases: null is empty and has no spans; repeated rows are judged alike; an empty table gives no rows;
+Defined cases: null is empty and has no spans; repeated rows are judged alike; spans of one start stand in the order
+of their kinds, labels of equal score are the first listed; long lines are cut between plain words for decoding, and
+a very long text is a slice of its own; an empty table gives no rows;
 ``redact`` leaves a null text null and keeps all other columns, whatever their names.
 """
 
@@ -23,6 +26,7 @@ from . import common as C
 from . import crf
 
 KINDS = crf.KINDS
+BASE = KINDS[:4]
 PIECE = 64
 OUT = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
 
@@ -32,7 +36,10 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]+")
-_LOCAL_TAIL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
+_LETTER = re.compile(r"[A-Za-z]")
+_LABEL = re.compile(r"[a-z0-9._%+-]+")
+_ASSIGNED = re.compile(rb"[A-Za-z_-]+[=:]+[\"']?")
+_AFTER = re.compile(rb"[^A-Za-z0-9+/=_-]+\Z")
 
 
 def luhn(digits: str) -> bool:
@@ -144,9 +151,12 @@ def _passes(kind: str, text: str) -> bool:
         return 9 <= len(d) <= 15
     if kind == "ip":
         return bool(_IP.fullmatch(text)) and all(int(p) <= 255 for p in text.split("."))
-    words = text.lower().split()
-    at, dot = (sum(x in crf.CUES[c] for x in words) for c in ("at", "dot"))
-    return ("@" in text and "." in text.split("@")[1]) or (at == 1 and dot >= 1 and len(words) == 3 + 2 * dot)
+    if kind == "secret":
+        return len(text) >= 8 and bool(_DIGITS.search(text)) and bool(_LETTER.search(text)) and " " not in text
+    if "@" in text:
+        return "." in text.split("@")[1]
+    words = text.lower().split()  # local at label (dot label)+
+    return len(words) >= 5 and len(words) % 2 == 1 and words[1] in crf.CUES["at"] and all(x in crf.CUES["dot"] for x in words[3::2]) and all(_LABEL.fullmatch(x) for x in words[::2]) and words[-1].isalpha()
 
 
 def field_spans(data: np.ndarray, offsets: np.ndarray, w: np.ndarray, tr: np.ndarray) -> dict[int, list[tuple[int, int, str]]]:
@@ -177,6 +187,11 @@ def field_spans(data: np.ndarray, offsets: np.ndarray, w: np.ndarray, tr: np.nda
             e -= 1
         while s < e and raw[s] in b"\"'[<":
             s += 1
+        if kind == "secret":  # what is assigned, without the name and further marks
+            m = _ASSIGNED.match(raw, s, e)
+            s = m.end() if m else s
+            m = _AFTER.search(raw[s:e])
+            e = s + m.start() if m else e
         if s < e and _passes(kind, raw[s:e].decode("utf-8", "ignore")):
             d = int(doc[a])
             zero = chars[offsets[d]]
@@ -215,7 +230,7 @@ def find(docs: DataFrame) -> DataFrame:
                 cols = {name.split()[0]: [] for name in OUT.split(", ")[1:]}
                 for base, spans in found:
                     kinds = [k for _, _, k in base]
-                    for k in KINDS:
+                    for k in BASE:
                         cols[f"n_{k}"].append(kinds.count(k))
                     cols["base_sha256"].append(hashlib.sha256(_joined(base).encode()).hexdigest())
                     cols["spans"].append(_joined(spans))
