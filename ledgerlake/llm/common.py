@@ -164,19 +164,22 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix(h)
 
 
-def equal_ranges(data: np.ndarray, s: np.ndarray, e: np.ndarray, s2: np.ndarray, e2: np.ndarray) -> np.ndarray:
-    """Whether data[s:e] and data[s2:e2] hold the same bytes, pair by pair."""
+def equal_ranges(data: np.ndarray, s: np.ndarray, e: np.ndarray, s2: np.ndarray, e2: np.ndarray, other: np.ndarray | None = None) -> np.ndarray:
+    """Whether data[s:e] and data[s2:e2] (of ``other``, if given, which has 8 bytes to spare) hold the same bytes, pair by pair."""
     same = (e - s) == (e2 - s2)
     v = eights(data)
-    live = np.flatnonzero(same & (s != s2) & (e > s) & (e - s <= _LONG))
+    u = v if other is None else np.ndarray((len(other) - 7,), "<u8", other, 0, (1,))
+    there = data if other is None else other
+    known = (s == s2) if other is None else np.zeros(len(s), bool)
+    live = np.flatnonzero(same & ~known & (e > s) & (e - s <= _LONG))
     a, b, left = s[live], s2[live], (e - s)[live]
     while len(live):
-        differ = ((v[a] ^ v[b]) & _MASK[np.minimum(left, 8)]) != 0
+        differ = ((v[a] ^ u[b]) & _MASK[np.minimum(left, 8)]) != 0
         same[live[differ]] = False
         more = np.flatnonzero(~differ & (left > 8))
         live, a, b, left = live[more], a[more] + 8, b[more] + 8, left[more] - 8
-    for i in np.flatnonzero(same & (s != s2) & (e - s > _LONG)).tolist():
-        same[i] = bool((data[s[i] : e[i]] == data[s2[i] : e2[i]]).all())
+    for i in np.flatnonzero(same & ~known & (e - s > _LONG)).tolist():
+        same[i] = bool((data[s[i] : e[i]] == there[s2[i] : e2[i]]).all())
     return same
 
 
@@ -225,28 +228,81 @@ def wide_hashes(grams: np.ndarray, gram: int, at: np.ndarray, width: int) -> np.
 
 
 class Remembered:
-    """Ids of pieces by their bytes, for the slices of one task; at most ``most`` bytes are held."""
+    """Ids of pieces by their bytes, over slices and tasks of a worker: sorted hashes, a large and a small level of them, over pools of bytes and of ids.
 
-    def __init__(self, dtype, most: int = 24 << 20):
+    A hit is compared byte by byte. At most ``most`` pieces of up to 64 bytes are held, about 40 bytes each; then all go.
+    """
+
+    def __init__(self, dtype, most: int = 700_000):
         self.dtype, self.most = np.dtype(dtype), most
-        self.known: dict[bytes, bytes] = {}
-        self.held = 0
-
-    def look_up(self, keys: list[bytes], encode) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all keys one after another, numbers of ids); ``encode`` gives the lists of ids of some of the keys."""
-        got = [self.known.get(k) for k in keys]
-        new = [i for i, x in enumerate(got) if x is None]
-        for i, ids in zip(new, encode([keys[i] for i in new]) if new else ()):
-            k, x = keys[i], np.array(ids, self.dtype).tobytes()
-            got[i] = x
-            if len(k) <= 64:
-                self.held += len(k) + len(x) + 120
-                if self.held > self.most:
-                    self.known.clear()
-                    self.held = 0
-                self.known[k] = x
-        size = np.fromiter(map(len, got), np.int64, len(got)) // self.dtype.itemsize
-        return np.frombuffer(b"".join(got), self.dtype), size
+        self.forget()
+
+    def forget(self) -> None:
+        none = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint8), np.zeros(0, np.uint32), np.zeros(0, np.uint8)
+        self.levels = [none, none]
+        self.raw, self.ids = np.zeros(1 << 16, np.uint8), np.zeros(1 << 16, self.dtype)
+        self.raw_used = self.ids_used = 0
+
+    def look_up(self, data: np.ndarray, s: np.ndarray, e: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the different pieces data[s:e] one after another, numbers of ids); ``encode`` gives the lists of ids of those at some indexes."""
+        if len(self.levels[0][0]) + len(self.levels[1][0]) > self.most:
+            self.forget()
+        h = range_hashes(data, s, e)
+        at, n = np.full(len(s), -1, np.int64), np.zeros(len(s), np.int64)
+        for known, place, size, first, count in self.levels:
+            if len(known):
+                k = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                hit = np.flatnonzero((known[k] == h) & (at < 0))
+                k = k[hit]
+                begin = place[k].astype(np.int64)
+                same = equal_ranges(data, s[hit], e[hit], begin, begin + size[k], self.raw)
+                at[hit[same]], n[hit[same]] = first[k[same]], count[k[same]]
+        new = np.flatnonzero(at < 0)
+        old = np.flatnonzero(at >= 0)
+        flat: list[int] = []
+        ends = []
+        for ids in encode(new) if len(new) else ():
+            flat += ids
+            ends.append(len(flat))
+        fresh = np.array(flat, self.dtype)
+        n[new] = np.diff(ends, prepend=0)
+        bounds = np.concatenate([[0], np.cumsum(n)])
+        out = np.empty(bounds[-1], self.dtype)
+        for which, pool, begin in ((old, self.ids, at[old]), (new, fresh, np.cumsum(n[new]) - n[new])):
+            m = n[which]
+            step = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+            out[np.repeat(bounds[which], m) + step] = pool[np.repeat(begin, m) + step]
+        keep = (e - s)[new] <= 64
+        if keep.any():
+            self._add(data, s[new], e[new], h[new], fresh, n[new], keep)
+        return out, n
+
+    def _add(self, data, s, e, h, ids, n, keep) -> None:
+        first = self.ids_used + np.cumsum(n) - n
+        self.ids, self.ids_used = _appended(self.ids, self.ids_used, ids, 0)
+        s, e, h, n, first = (x[keep] for x in (s, e, h, n, first))
+        size = e - s
+        place = self.raw_used + np.cumsum(size) - size
+        held = data[np.repeat(s - (place - self.raw_used), size) + np.arange(size.sum())]
+        self.raw, self.raw_used = _appended(self.raw, self.raw_used, held, 8)
+        self._merge(1, (h, place.astype(np.uint32), size.astype(np.uint8), first.astype(np.uint32), n.astype(np.uint8)))
+        if 4 * len(self.levels[1][0]) > len(self.levels[0][0]):
+            self._merge(0, self.levels[1])
+            self.levels[1] = tuple(x[:0] for x in self.levels[1])
+
+    def _merge(self, level: int, more: tuple) -> None:
+        both = [np.concatenate(x) for x in zip(self.levels[level], more)]
+        order = np.argsort(both[0], kind="stable")
+        self.levels[level] = tuple(x[order] for x in both)
+
+
+def _appended(pool: np.ndarray, used: int, more: np.ndarray, slack: int) -> tuple[np.ndarray, int]:
+    if used + len(more) + slack > len(pool):
+        grown = np.zeros((used + len(more) + slack) * 5 // 4, pool.dtype)
+        grown[:used] = pool[:used]
+        pool = grown
+    pool[used : used + len(more)] = more
+    return pool, used + len(more)
 
 
 def gather(flat: np.ndarray, size: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

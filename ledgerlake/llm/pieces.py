@@ -32,7 +32,7 @@ from . import common as C
 
 MARK = "▁"
 PAIRS = 300_000
-WORDS = 56 << 20
+FREE = 1 << 21  # numbers of characters outside the vocabulary follow
 SLICE = 2 << 20
 _MODELS: dict[str, Model] = {}
 
@@ -40,7 +40,7 @@ OUT = "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string, round_
 
 
 class Model:
-    """Pieces, scores and byte pieces of a BPE model, with the bounded pair and word caches of a task."""
+    """Pieces, scores and byte pieces of a BPE model, with the bounded pair and word caches of a worker."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -60,18 +60,16 @@ class Model:
         for i in range(n):
             if sp.is_control(i):
                 self.raw[i] = b""
-        # bounded by the vocabulary: pieces that their own merges give
-        self.reached: dict[str, bool] = {}
-        self.ends_in: dict[str, int] = {}  # longest piece by its last two characters
+        self.piece = {i: sp.id_to_piece(i) for i in own}
+        # bounded by the vocabulary: whether a piece's own merges give it (1), don't (2), or nobody asked (0)
+        self.reached = bytearray(n)
+        self.ends_in: dict[str, int] = {}  # longest piece by its last three characters
         for t in self.id_of:
-            self.ends_in[t[-2:]] = max(self.ends_in.get(t[-2:], 0), len(t))
-        self.fresh()
-
-    def fresh(self) -> Model:
-        """Caches are a task's own, and bounded."""
+            if len(t) > 2:
+                self.ends_in[t[-3:]] = max(self.ends_in.get(t[-3:], 0), len(t))
         self.pairs: dict[int, bool] = {}
-        self.words = C.Remembered(np.uint32, WORDS)
-        return self
+        self.words = C.Remembered(np.uint16 if n <= 1 << 16 else np.uint32)
+
 
     def merged(self, w: str) -> list[str]:
         """The model's merges carried out on ``w``: best score first, then leftmost."""
@@ -87,45 +85,61 @@ class Model:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def key(self, piece: str) -> int:
+    def text(self, k: int) -> str:
+        return self.piece[k] if k < FREE else chr(k - FREE)
+
+    def number(self, t: str) -> int:
         """A number for a piece or a single character outside the vocabulary."""
-        k = self.id_of.get(piece)
-        return (1 << 21) + ord(piece) if k is None else k
-
-    def stays(self, a: str, b: str) -> bool:
-        key = self.key(a) << 22 | self.key(b)
-        got = self.pairs.get(key)
-        if got is None:
-            if len(self.pairs) > PAIRS:
-                self.pairs.clear()
-            got = self.pairs[key] = self.merged(a + b) == [a, b]
+        k = self.id_of.get(t)
+        return FREE + ord(t) if k is None else k
+
+    def stays(self, key: int) -> bool:
+        """Whether a pair of pieces, numbered ``key``, is what the merges of its text give."""
+        if len(self.pairs) > PAIRS:
+            self.pairs.clear()
+        a, b = self.text(key >> 22), self.text(key & (1 << 22) - 1)
+        got = self.pairs[key] = self.merged(a + b) == [a, b]
         return got
 
-    def alone(self, piece: str) -> bool:
-        got = self.reached.get(piece)
-        if got is None:
-            got = self.reached[piece] = self.merged(piece) == [piece]
-        return got
+    def alone(self, k: int) -> bool:
+        if not self.reached[k]:
+            self.reached[k] = 1 if self.merged(self.piece[k]) == [self.piece[k]] else 2
+        return self.reached[k] == 1
 
-    def forward(self, w: str, last: list[str], shared: int) -> None:
-        """Set ``last[i]``, the last piece of w[:i], for i > shared; earlier ones hold already."""
+    def forward(self, w: str, last: list[int], shared: int) -> None:
+        """Set ``last[i]``, the number of the last piece of w[:i], for i > shared; earlier ones hold already."""
         del last[shared + 1 :]
-        known, ends_in = self.id_of, self.ends_in
+        known, ends_in, reached, pairs = self.id_of.get, self.ends_in.get, self.reached, self.pairs
         for i in range(shared + 1, len(w) + 1):
-            for j in range(max(0, i - ends_in.get(w[max(0, i - 2) : i], 1)), i):  # longest piece first
-                t = w[j:i]
-                if (t in known or i - j == 1) and (j == 0 or self.stays(last[j], t)) and (i - j == 1 or self.alone(t)):
-                    last.append(t)
+            for j in range(max(0, i - max(ends_in(w[i - 3 : i], 2) if i > 2 else 2, 2)), i - 1):  # longest piece first
+                k = known(w[j:i])
+                if k is None or reached[k] == 2:
+                    continue
+                if j:
+                    key = last[j] << 22 | k
+                    ok = pairs.get(key)
+                    if not (self.stays(key) if ok is None else ok):
+                        continue
+                if self.alone(k):
+                    last.append(k)
                     break
             else:
-                last.append(self.merged(w[:i])[-1])
-
-    def ids(self, w: str, last: list[str]) -> list[int]:
+                k = self.number(w[i - 1])
+                if i > 1:
+                    key = last[i - 1] << 22 | k
+                    ok = pairs.get(key)
+                    if not (self.stays(key) if ok is None else ok):
+                        k = self.number(self.merged(w[:i])[-1])
+                last.append(k)
+
+    def ids(self, w: str, last: list[int]) -> list[int]:
         out, i = [], len(w)
         while i:
-            out.append(last[i])
-            i -= len(last[i])
-        return [k for t in reversed(out) for k in self.piece_ids(t)]
+            k = last[i]
+            out.append(k)
+            i -= len(self.piece[k]) if k < FREE else 1
+        out.reverse()
+        return out if max(out, default=0) < FREE else [x for k in out for x in ([k] if k < FREE else self.piece_ids(chr(k - FREE)))]
 
     def piece_ids(self, t: str) -> list[int]:
         k = self.id_of.get(t)
@@ -143,7 +157,7 @@ class Model:
 
     def encode_sorted(self, words: list[str]) -> list[list[int]]:
         """Ids of distinct marked words in sorted order, each of at most one mark followed by other characters."""
-        out, before, last = [], "", [""]
+        out, before, last = [], "", [0]
         for w in words:
             n = min(len(w), len(before))
             shared = next((i for i in range(n) if w[i] != before[i]), n)
@@ -196,16 +210,21 @@ def encode_slice(data: np.ndarray, offsets: np.ndarray, m: Model) -> tuple[np.nd
     s = np.flatnonzero(cut)
     e = np.append(s[1:], n)
     different, back = C.distinct_ranges(data, s, e)
-    # the first piece of a text gets a mark before it: its content counts as another one
-    kinds, back = np.unique(2 * back + head[s], return_inverse=True)
+    s_, e_ = s[different], e[different]
     raw = data.tobytes()
-    keys = [(b"\0" if k & 1 else b"\1") + raw[s[i] : e[i]] for k, i in zip(kinds.tolist(), different[kinds >> 1].tolist())]
 
-    def encode(new):
-        return m.encode_words([(MARK if k[0] == 0 else "") + k[1:].decode().replace(" ", MARK) for k in new])
+    def encode(new, mark=""):
+        return m.encode_words([mark + raw[a:b].decode().replace(" ", MARK) for a, b in zip(s_[new].tolist(), e_[new].tolist())])
 
-    ids, bounds = C.gather(*m.words.look_up(keys, encode), back)
-    return ids, np.diff(bounds[np.searchsorted(s, offsets)])
+    ids, size = m.words.look_up(data, s_, e_, encode)
+    # the first piece of a text gets a mark before it: its content counts as another one
+    heads = np.flatnonzero(head[s])
+    own, at = np.unique(back[heads], return_inverse=True)
+    marked = encode(own, MARK)
+    back[heads] = len(different) + at
+    ids = np.concatenate([ids, np.array([k for x in marked for k in x], ids.dtype)])
+    ids, bounds = C.gather(ids, np.append(size, [len(x) for x in marked]), back)
+    return ids.astype(np.uint32), np.diff(bounds[np.searchsorted(s, offsets)])
 
 
 def _encoded(column, path: str):
@@ -226,7 +245,6 @@ def check(docs: DataFrame, path: str) -> DataFrame:
     """Ids' count and checksum, and the decoded text's digest, of every document."""
 
     def run(batches):
-        model(path).fresh()
         for b in batches:
             for i, j, data, offsets, ids, ends in _encoded(b.column("text"), path):
                 m = model(path)
@@ -248,7 +266,6 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     has = "source" in docs.columns
 
     def run(batches):
-        model(path).fresh()
         for b in batches:
             for i, j, _, _, ids, ends in _encoded(b.column("text"), path):
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))

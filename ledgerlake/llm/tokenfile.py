@@ -2,7 +2,7 @@
 
 Texts are tokenized with the ``tokenizers`` library. A text is cut where every byte-level pre-tokenizer of
 this family cuts (before a lone ASCII white space between two other characters), equal pieces of a slice are
-encoded once, told apart by their bytes, and a task remembers a bounded number of them.
+encoded once, told apart by their bytes, and a worker remembers a bounded number of them.
 
 The file is a Parquet folder whose rows are blocks in ascending document order, plus a header row with the
 shared table. A block holds whole documents, about ``BLOCK`` ids, coded by ``LANES`` interleaved states;
@@ -49,7 +49,7 @@ _CACHED: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """A tokenizer and the pieces that a task remembers."""
+    """A tokenizer and the pieces that a worker remembers."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -107,8 +107,9 @@ def encode_slice(data: np.ndarray, offsets: np.ndarray, own: Encoder) -> tuple[n
         return np.zeros(0, own.width), np.zeros(len(offsets) - 1, np.int64)
     e = np.append(s[1:], len(data))
     different, back = C.distinct_ranges(data, s, e)
-    keys = [raw[a:b] for a, b in zip(s[different].tolist(), e[different].tolist())]
-    ids, bounds = C.gather(*own.known.look_up(keys, lambda new: map(own.encode, new)), back)
+    s_, e_ = s[different], e[different]
+    ids, n = own.known.look_up(data, s_, e_, lambda new: (own.encode(raw[a:b]) for a, b in zip(s_[new].tolist(), e_[new].tolist())))
+    ids, bounds = C.gather(ids, n, back)
     return ids, np.diff(bounds[np.searchsorted(s, offsets)])
 
 
@@ -118,7 +119,6 @@ def _tokenize(path: str):
         if path not in _CACHED:
             _CACHED[path] = Encoder(path)
         own = _CACHED[path]
-        own.known = C.Remembered(own.width)  # a task's own
         for b in batches:
             data, offsets = C.text_bytes(b.column("text"))
             for i, j in C.slices(offsets, SLICE):
