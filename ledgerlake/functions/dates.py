@@ -165,3 +165,59 @@ def matches_as_of(text: Column, as_of: Column) -> Column:
 def clamp_to_folder(extracted: Column, folder: Column) -> Column:
     """The folder's date rules wherever it is one."""
     return F.coalesce(folder, extracted)
+
+
+def has_explicit_day(name: Column) -> Column:
+    """Whether a file's name tells a day, not only a month."""
+    t = F.regexp_replace(F.replace(F.coalesce(name, F.lit("")), F.lit("_"), F.lit(" ")), r"(?i)(\d)(?:st|nd|rd|th)\b", "$1")
+    named = rf"(?i)\b\d{{1,2}}[-/ .](?:{_MONTH})[-/ . ]?(?:20\d{{2}}|\d{{2}})\b|\b(?:{_MONTH})[-/ .]+\d{{1,2}}[-/ .,]+(?:20\d{{2}}|\d{{2}})\b"
+    return t.rlike(named) | t.rlike(r"\b\d{1,2}[./-]\d{1,2}[./-](?:20)?\d{2}\b")
+
+
+def choose_as_of(from_rows: Column, from_name: Column, name: Column) -> Column:
+    """The sheet's date before the file name's, but for a name that tells another day."""
+    return F.when(from_rows.isNotNull() & from_name.isNotNull() & (from_rows != from_name) & has_explicit_day(name), from_name).otherwise(F.coalesce(from_rows, from_name))
+
+
+def strict_as_of(raw: Column) -> Column:
+    """An ISO day as it stands, unchecked, or a year-month's end; else an empty text."""
+    t = F.trim(F.coalesce(raw, F.lit("")))
+    end = F.last_day(F.try_to_date(F.when(t.rlike(r"^\d{4}-\d{2}$"), F.concat(t, F.lit("-01"))), "yyyy-MM-dd")).cast("string")
+    return F.when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), t).otherwise(F.coalesce(end, F.lit("")))
+
+
+# Source names that belong to another cadence's slice
+_MID_MONTH = r"(?:^|[^0-9])15(?:st|th)?(?:[^0-9]|$)|as[_ -]?on[_ -]?15|portfolio[_ -]?15[_ -]"
+_MONTH_END = r"(?i)(?:^|[^0-9])31[-_./ ]?(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)|(?:january|february|march|april|may|june|july|august|september|october|november|december)[-_./ ]*31(?:st)?"
+_MONTHLY_PACK = r"in_mf_monthly_|monthly-portfolio-|monthly portfolio|equity exposure"
+_FORTNIGHT_END = r"fortnightlyportfolio(?:of)?july31|fortnightly.*31[-_ ]?jul|31st[-_ ]july.*fortnight"
+
+
+def source_fits_cadence(source: Column, as_of: Column, kind: Column) -> Column:
+    """Whether a source file's name goes with the slice it is filed under; an unnamed source does."""
+    low = F.lower(F.coalesce(source, F.lit("")))
+    monthly_wrong = (kind == "monthly") & (as_of == F.last_day(as_of)) & low.rlike("fortnightly|fortnight") & low.rlike(_MID_MONTH)
+    ends = source.rlike(_MONTH_END) & ~low.rlike(r"\b15\b|15th|15[-_./ ]")
+    mid_wrong = (kind == "fortnightly") & (F.dayofmonth(as_of) == 15) & (ends | low.rlike(_MONTHLY_PACK) | low.rlike(_FORTNIGHT_END))
+    return (low == "") | as_of.isNull() | ~F.coalesce(monthly_wrong | mid_wrong, F.lit(False))
+
+
+def stale_label(as_of: Column, period: Column) -> Column:
+    """Whether a label's month is not the period's: for the two periods that were looked into."""
+    t = F.upper(F.replace(F.coalesce(as_of, F.lit("")), F.lit(" "), F.lit("")))
+    june = t.rlike(r"MAY|APR|MAR|JUL|31[\-/]?JUL|JULY") & ~t.contains("JUN")
+    july = t.contains("JUN") | t.contains("MAY") | t.rlike(r"31|JULY\s*31")
+    return F.when(t == "", F.lit(False)).when(period == "2026-06", june).when(period == "2026-07-15", july).otherwise(F.lit(False))
+
+
+def year_guard(token: Column) -> Column:
+    """A two-digit number after a month is a year from 20 to 29 only where no day could be meant: "Jul_31" is a day."""
+    n = F.regexp_extract(token, r"(?i)^[a-z]+[_\-. ](\d{2})$", 1).try_cast("int")
+    return F.coalesce(n.between(20, 29), F.lit(False))
+
+
+def sync_window(spark, first: str, last: str):
+    """(as_of, cadence, rank) of a window of months in the safe order: all mid-month slices, then month ends, then monthly ones."""
+    months = spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(f"{first}-01")), F.to_date(F.lit(f"{last}-01")), F.expr("interval 1 month"))).alias("m"))
+    three = F.array(*[F.struct(d.alias("as_of"), F.lit(c).alias("cadence"), F.lit(k).alias("rank")) for k, (d, c) in enumerate(((fifteenth(F.col("m")), "fortnightly"), (F.last_day("m"), "fortnightly"), (F.last_day("m"), "monthly")))])
+    return months.select(F.explode(three).alias("x")).select("x.*").orderBy("rank", "as_of")

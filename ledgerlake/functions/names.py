@@ -12,20 +12,24 @@ from .text import norm_text, squeeze
 # Spellings and renamings in the master's names, applied in this order
 NAME_REWRITES = (
     ("glit", "gilt"), ("reality", "realty"), ("financials", "financial"), ("consumer trends", "consumption"), ("hybrd", "hybrid"), ("hyrbrid", "hybrid"),
-    ("govenment", "government"), ("duratio ", "duration "), ("owsal", "oswal"), ("midsmall ", "midsmallcap "), ("largecap", "large cap"), ("smallcap", "small cap"),
+    ("govenment", "government"), ("duratio ", "duration "), ("duratiofund", "durationfund"), ("owsal", "oswal"), ("midsmall ", "midsmallcap "), ("largecap", "large cap"), ("smallcap", "small cap"),
     ("multicap", "multi cap"), ("midcap", "mid cap"), ("flexicap", "flexi cap"), ("emerging market fund", "emerging markets fund"), ("fund of funds", "fund of fund"), ("fund of fund", "fof"),
     ("asia pacific yield", "asia pacific ex japan dividend yield"), ("dynamic term fund", "dynamic bond fund"), ("ultra short term fund", "ultra short duration fund"),
     ("omni fund of fund", "active fund of fund"), ("payouout", "payout"), ("interval fund interval fund", "interval fund"), ("bharat bond etf fof", "bharat bond fof"),
 )
-# Short labels of packs and what they stand for
+# Short labels of packs and what they stand for, applied in this order
 ABBREVIATIONS = (
     (r"\bEdel\b", "Edelweiss"), (r"\bNY\b", "Nifty"), (r"\bLMcap", "LargeMidcap"), (r"\bG[\s\-]?S\b", "G-Sec"), (r"\bIDX\b", "Index Fund"), (r"\bPl\b", "Plus"), (r"\bWD\b", "World"), (r"\bDM\b", "Domestic"),
-    (r"\bHC\b", "Healthcare"), (r"\bID\s+Fund\b", "Index Fund"), (r"\(\s*I\s*\)", "India"), (r"\bMMF\b", "Money Market Fund"), (r"\bQlty\b", "Quality"), (r"\bfixed\s+term\s+plan\b", "Fixed Term"), (r"\bquarterly\s+interval\s+fund\b", "Interval Fund"),
+    (r"\bHC\b", "Healthcare"), (r"\bID\s+Fund\b", "Index Fund"), (r"\(\s*I\s*\)", "India"), (r"\bMMF\b", "Money Market Fund"), (r"\bLargeMidcap\s*250\b", "LargeMidcap250"), (r"\bfixed\s+term\s+plan\b", "Fixed Term"),
+    (r"\bunit\s+linked\s+insurance\s+scheme\b", "ULIS"), (r"\bQlty\b", "Quality"), (r"\bquarterly\s+interval\s+fund\b", "Interval Fund"), (r"\bseries\s*[-–—]?\s*2\b", "Series II"), (r"\bseries\s*[-–—]?\s*ii\b", "Series II"),
+    (r"\bfund\s+of\s+funds?\s*[-–—:]?\s*conservative\b", "FOF - C"), (r"\bfund\s+of\s+funds?\s*[-–—:]?\s*aggressive\b", "FOF - Aggressive"), (r"\bmulti\s*[- ]?\s*asset\s+allocation\s+fund\b", "Multi Asset Fund"),
+    (r"\bsmallcap\s*250\b", "Smallcap 250"), (r"\bmomentum\s+quality\s*(?:100|index)?\b", "Momentum quality index"),
 )
 # Words that open a variant's tail
 VARIANT_WORDS = ("unclaimed", "cumulative", "retail", "super institutional", "institutional", "defunct", "discontinued", "prescribed date", "segregated", "principal unit", "payout", "reinvest", "formerly", "erstwhile", "standard", "payment", "no lock in", "periodic", "provident")
 CLOSED_END = r"fixed\s+(?:maturity|term)|\bfmp\b|interval\s+fund|capital\s+protection|series\s+[ivx\d]+\s*$"
-DEBT_WORDS = r"liquid|overnight|duration|gilt|bond|money\s+market|corporate|credit|banking\s+(?:and|&)\s+psu|floater|debt|income"
+# Words of debt funds
+DEBT_WORDS = r"\b(?:liquid|overnight|money\s*market|ultra\s*short|low\s*duration|short\s*(?:term|duration|tem)|medium\s*(?:term|duration)|long\s*duration|dynamic\s*(?:bond|accrual)|corporate\s*bond|credit\s*risk|banking\s*(?:and|&)?\s*psu|gilt|g[\s-]?sec|floater|floating\s*rate|debt|income|bond|accrual|arbitrage|savings|segregated\s*portfolio|conservative\s*hybrid|equity\s*savings|fixed\s*(?:maturity|term)|fmp|target\s*maturity|crisil\s*ibx|nifty.*(?:sdl|gilt|bond)|retirement.*debt|children.*debt)\b"
 JUNK = r"^\s*(?:index|sheet\d*|cover|contents?|disclaimer|notes?|summary|annex\w*|riskometer|hyperlinks?)\s*$"
 
 
@@ -38,7 +42,7 @@ def root_key(c: Column) -> Column:
     """A key without spaces in which renamed and misspelt names meet."""
     t = F.regexp_replace(rewrite(norm_text(c), NAME_REWRITES), r"\bmmf\b", "money market fund")
     t = F.replace(F.regexp_replace(squeeze(t), r"duratio$", "duration"), F.lit(" "), F.lit(""))
-    return F.replace(t, F.lit("midsmallcapcap"), F.lit("midsmallcap"))
+    return rewrite(t, (("duratio", "duration"), ("durationn", "duration"), ("midsmallcapcap", "midsmallcap"), ("intervalfundintervalfund", "intervalfund")))
 
 
 def expand(c: Column) -> Column:

@@ -29,6 +29,16 @@ def parser_number(c: Column) -> Column:
     return plain_number(F.regexp_replace(c, "[,%]", ""))
 
 
+def check_weight(c: Column) -> Column:
+    """The quality check's weights: thousands and percent marks go, "NIL" is none."""
+    return plain_number(F.regexp_replace(F.trim(c), "[,%]", ""))
+
+
+def shown6(x: Column) -> Column:
+    """Six decimal places, zeros at the end left out."""
+    return F.regexp_replace(F.regexp_replace(F.format_string("%.6f", x.cast("double")), r"0+$", ""), r"\.$", "")
+
+
 def round6(c: Column) -> Column:
     """Half-even at 6 decimal places, in decimal arithmetic."""
     return F.bround(c.cast("decimal(38,12)"), 6).cast("double")

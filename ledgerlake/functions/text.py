@@ -47,6 +47,14 @@ def strip_tags(c: Column) -> Column:
     return squeeze(c)
 
 
+def escaped(c: Column) -> Column:
+    """A text as markup shows it; null as an empty one."""
+    c = F.coalesce(c, F.lit(""))
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#39;")):
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c
+
+
 def strip_to_fixpoint(c: Column, pattern: str, rounds: int = 4) -> Column:
     """Remove a tail pattern again and again, a bounded number of times."""
     return reduce(lambda x, _: F.trim(F.regexp_replace(x, pattern, "")), range(rounds), c)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import dates
+from ..functions import dates, text
 from ..rules import first_by
 
 
@@ -90,9 +90,9 @@ def holdings_as_of(catalog: DataFrame, books: DataFrame, code: str, as_of: str |
     return q.select("code", F.col("pid").alias("portfolio_id"), F.col("want").alias("as_of"), status.alias("status"), message.alias("message"), "previous", F.coalesce("previous_exists", F.lit(False)).alias("previous_exists"), "next", F.coalesce("next_exists", F.lit(False)).alias("next_exists"), "holdings")
 
 
-def search(catalog: DataFrame, text: str, columns: list[str], size: int = 60) -> DataFrame:
+def search(catalog: DataFrame, wanted: str, columns: list[str], size: int = 60) -> DataFrame:
     """Rows that contain the text in any of the columns, those with holdings first."""
-    q = F.lit(text.lower())
+    q = F.lit(wanted.lower())
     hit = F.lit(False)
     for c in columns:
         hit = hit | F.coalesce(F.contains(F.lower(F.col(c).cast("string")), q), F.lit(False))
@@ -102,3 +102,57 @@ def search(catalog: DataFrame, text: str, columns: list[str], size: int = 60) ->
 def siblings(catalog: DataFrame, code: str, parent: str) -> DataFrame:
     other = catalog.select(F.col(parent), F.col(code).alias("sibling"))
     return catalog.join(other, parent).where(F.col(code) != F.col("sibling"))
+
+
+def public_row(catalog: DataFrame) -> DataFrame:
+    """The four public fields; no dates are an empty list."""
+    return catalog.select("code", "parent_name", F.coalesce("available_as_of", F.array().cast("array<date>")).alias("available_as_of"), "latest_as_of")
+
+
+def rewritten(catalog: DataFrame, books: DataFrame) -> DataFrame:
+    """Rows as they are synchronised: local fields go, and an id stays only where a book is linked to it."""
+    have = books.select("portfolio_id").distinct().withColumn("__b", F.lit(True))
+    out = catalog.drop("local_path", "portfolio_key", "portfolio_url").join(have, "portfolio_id", "left")
+    linked = F.coalesce(F.col("has_holdings") & F.col("__b"), F.lit(False))
+    return out.withColumn("portfolio_id", F.when(linked, F.col("portfolio_id"))).drop("__b")
+
+
+def scheme_card(row: Column, name: str = "scheme") -> Column:
+    """struct(code, name, house, category) of a catalog row."""
+    return F.struct(row["code"].alias("code"), F.coalesce(row["parent_name"], row["code"]).alias("name"), row["amc_id"].alias("amc_id"), row["category"].alias("category")).alias(name)
+
+
+def build(schemes: DataFrame, funds: DataFrame, books: DataFrame, mappings: DataFrame, aliases: DataFrame) -> DataFrame:
+    """The browser's catalog: every scheme with the book that its plan, its fund, its short code or its name leads to; then books that none of them uses.
+
+    schemes: code, name, amc_id. funds: canonical, base_name, codes. books: book_id, amc_id, code, shortcode, name
+    (any may be null but book_id). mappings: map_id, amc_id, shortcode, name, parent, plan_codes. aliases: orphan,
+    target. Where several rows compete the least map_id and book_id win; a book's mapping is found by its plan code,
+    else by house and short code (any case), else by house and name.
+    """
+    key = lambda c: text.compact(F.col(c))
+    fold = lambda c: F.lower(F.regexp_replace(F.col(c), r"[^A-Za-z0-9]", ""))
+    plans = mappings.select("map_id", F.explode(F.array_distinct(F.concat("plan_codes", F.array("parent")))).alias("code")).where("code is not null")
+    tries = [
+        (books.select("book_id", "code"), first_by(plans, ["code"], [F.col("map_id")]), ["code"]),
+        (books.select("book_id", "amc_id", fold("shortcode").alias("k")), first_by(mappings.select("map_id", "amc_id", fold("shortcode").alias("k")).where("k <> ''"), ["amc_id", "k"], [F.col("map_id")]), ["amc_id", "k"]),
+        (books.select("book_id", "amc_id", key("name").alias("k")), first_by(mappings.select("map_id", "amc_id", key("name").alias("k")).where("k <> ''"), ["amc_id", "k"], [F.col("map_id")]), ["amc_id", "k"]),
+    ]
+    found = None
+    for rank, (left, right, on) in enumerate(tries):
+        hit = left.join(right, on).select("book_id", "map_id", F.lit(rank).alias("rank"))
+        found = hit if found is None else found.unionByName(hit)
+    mapped = books.join(first_by(found, ["book_id"], [F.col("rank"), F.col("map_id")]).select("book_id", "map_id"), "book_id", "left")
+    # a book serves its mapping's plans and parent, and its own code
+    serves = mapped.select("book_id", "map_id").join(plans, "map_id").select("book_id", "code").unionByName(mapped.where("code is not null").select("book_id", "code"))
+    by_plan = first_by(serves, ["code"], [F.col("book_id")]).select("code", "book_id")
+    heirs = aliases.join(by_plan.withColumnRenamed("code", "target"), "target").select(F.col("orphan").alias("code"), "book_id").join(by_plan.select("code"), "code", "left_anti")
+    by_plan = by_plan.unionByName(first_by(heirs, ["code"], [F.col("book_id")]))
+    # a fund's book is that of its canonical plan, else of its first plan that has one; all its plans share it
+    members = funds.select("canonical", "base_name", F.posexplode(F.array_distinct(F.concat(F.array("canonical"), "codes"))).alias("pos", "code"))
+    own = first_by(members.join(by_plan, "code"), ["canonical"], [F.col("pos")]).select("canonical", F.col("book_id").alias("fund_book"))
+    parent = first_by(members, ["code"], [F.col("pos"), F.col("canonical")]).join(own, "canonical", "left").select("code", F.col("canonical").alias("parent_code"), "base_name", "fund_book")
+    rows = schemes.join(parent, "code", "left").join(by_plan, "code", "left")
+    rows = rows.select("code", "name", "amc_id", F.coalesce("base_name", "name").alias("parent_name"), "parent_code", F.coalesce("fund_book", "book_id").alias("book_id"))
+    left = mapped.join(serves.select("book_id").distinct(), "book_id", "left_anti").select(F.lit(None).cast(schemes.schema["code"].dataType).alias("code"), F.coalesce("name", F.col("book_id").cast("string")).alias("name"), "amc_id", F.col("name").alias("parent_name"), F.lit(None).cast(funds.schema["canonical"].dataType).alias("parent_code"), "book_id")
+    return rows.unionByName(left).withColumn("has_holdings", F.col("book_id").isNotNull())

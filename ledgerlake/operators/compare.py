@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import pct, within_tolerance
@@ -18,19 +18,15 @@ def full_compare(ours: DataFrame, theirs: DataFrame, keys: list[str], weight: st
 
 def coverage(universe: DataFrame, present: DataFrame, key: str, slice_: str, group: Column) -> DataFrame:
     """Per slice and group, and over all groups: members present, members, and the share in per cent."""
-    total = universe.select(key, group.alias("grp"))
-    seen = present.select(key, slice_).distinct().withColumn("__in", F.lit(1))
-    x = _pairs(total, present, slice_).join(seen, [key, slice_], "left")
-    out = x.groupBy(slice_, F.col("grp")).agg(F.count("__in").alias("present"), F.count("*").alias("total"))
+    members = universe.select(key, group.alias("grp"))
+    seen = present.select(key, slice_).distinct()
+    counted = members.join(seen, key).groupBy(slice_, "grp").agg(F.count("*").alias("present"))
+    slices = present.agg(F.array_sort(F.collect_set(slice_)).alias("__s")).withColumn("__one", F.lit(1))  # one row: the dates of a calendar
+    total = members.groupBy("grp").agg(F.count("*").alias("total")).withColumn("__one", F.lit(1)).join(F.broadcast(slices), "__one")
+    out = total.withColumn(slice_, F.explode("__s")).join(counted, [slice_, "grp"], "left").select(slice_, "grp", F.coalesce("present", F.lit(0)).alias("present"), "total")
     return out.withColumn("pct", pct(F.col("present"), F.col("total")))
 
 
-def _pairs(total: DataFrame, present: DataFrame, slice_: str) -> DataFrame:
-    """Members with every slice: the slices, a calendar's few dates, ride along as one array."""
-    all_slices = present.agg(F.array_sort(F.collect_set(slice_)).alias("__s"))
-    return total.withColumn("__one", F.lit(1)).join(F.broadcast(all_slices.withColumn("__one", F.lit(1))), "__one").withColumn(slice_, F.explode("__s")).drop("__one", "__s")
-
-
 def wide_presence(present: DataFrame, key: str, slice_: str, slices: list) -> DataFrame:
     """One row a key, a column a slice: the number of rows there."""
     return present.groupBy(key).pivot(slice_, slices).count().na.fill(0)
@@ -64,3 +60,31 @@ def root_cause(ours: Column, theirs: Column, ours_total: Column, theirs_total: C
         ],
         "weight_differs",
     )
+
+
+def missing_by_house(funds: DataFrame, present: DataFrame, house: str, key: str) -> DataFrame:
+    """Per house: funds, and those without a book, most missing first."""
+    have = present.select(key, F.lit(True).alias("__have")).distinct()
+    out = funds.join(have, key, "left").groupBy(house).agg(F.count("*").alias("total"), F.count_if(F.col("__have").isNull()).alias("missing"))
+    return out.where("missing > 0").orderBy(F.col("missing").desc(), F.col("total").desc(), house)
+
+
+def missing_list(funds: DataFrame, present: DataFrame, key: str, slice_: str, most: int = 50) -> DataFrame:
+    """Per slice, the first ``most`` funds without a book there (a report's length)."""
+    every = present.agg(F.array_sort(F.collect_set(slice_)).alias("__all"))  # one row: the dates of a calendar
+    have = present.groupBy(key).agg(F.collect_set(slice_).alias("__have"))
+    lack = funds.select(key).join(have, key, "left").withColumn("__one", F.lit(1)).join(F.broadcast(every.withColumn("__one", F.lit(1))), "__one")
+    none = F.array().cast(every.schema["__all"].dataType)
+    lack = lack.select(key, F.explode(F.array_except("__all", F.coalesce("__have", none))).alias(slice_))
+    w = Window.partitionBy(slice_).orderBy(key)
+    return lack.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)
+
+
+def parent_coverage(parents: DataFrame, plans: DataFrame) -> DataFrame:
+    """Per parent: plans, plans with a disclosure, the disclosures' names, and whether all plans have one (true where there are none).
+
+    parents: parent, name. plans: parent, disclosure (null: none).
+    """
+    agg = plans.groupBy("parent").agg(F.count("*").alias("plans"), F.count("disclosure").alias("with_disclosure"), F.array_sort(F.collect_set("disclosure")).alias("names"))
+    out = parents.join(agg, "parent", "left").na.fill(0, ["plans", "with_disclosure"])
+    return out.select("parent", "name", "plans", "with_disclosure", F.substring(F.array_join(F.coalesce("names", F.array().cast("array<string>")), " | "), 1, 320).alias("names"), ((F.col("plans") == 0) | (F.col("plans") == F.col("with_disclosure"))).alias("coverage_ok"))

@@ -57,3 +57,17 @@ def total_value(rows: DataFrame, keys: list[str], label: str, value: str, row_no
     score = F.when(t.rlike(r"grand\s+total"), 20).when(t.rlike(r"total\s+net\s+assets?"), 18).when(t.rlike(r"net\s+assets?"), 12).when(t.rlike(r"^\s*total\s*:"), 10).otherwise(0) + F.when(F.col(value) > 0, 2).otherwise(0)
     w = Window.partitionBy(*keys).orderBy(F.col("__s").desc(), F.abs(F.col(value)).desc(), row_no)
     return rows.where(F.abs(F.col(value)) > 1.5).withColumn("__s", score).where("__s >= 10").withColumn("__r", F.row_number().over(w)).where("__r = 1").select(*keys, F.col(value).alias("stated_total"))
+
+
+def without_mega(files: DataFrame, group: str, path: str) -> DataFrame:
+    """Workbooks without the consolidated ones, where a group has others."""
+    mega = F.lower(F.col(path)).rlike(r"consolidated|all[\s_-]*schemes|mega")
+    df = files.withColumn("__mega", mega).withColumn("__other", F.max(~mega).over(Window.partitionBy(group)))
+    return df.where(~F.col("__mega") | ~F.col("__other")).drop("__mega", "__other")
+
+
+def smallest_and_median(files: DataFrame, group: str, path: str, size: str) -> DataFrame:
+    """Each group's smallest file and the one at place n // 2 by size."""
+    w = Window.partitionBy(group)
+    df = files.withColumn("__i", F.row_number().over(w.orderBy(size, path)) - 1).withColumn("__n", F.count("*").over(w))
+    return df.where((F.col("__i") == 0) | (F.col("__i") == F.floor(F.col("__n") / 2))).drop("__i", "__n")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import text
-from ..functions.similarity import name_match_score
+from ..functions import names, text
+from ..functions.similarity import name_match_score, token_sort_ratio
 from ..rules import first_by
 
 
@@ -75,3 +75,106 @@ def new_parents(parents: DataFrame, known: DataFrame, labels: DataFrame, mapped:
     best = first_by(pairs, ["code"], [F.col("score").desc(), F.col("label_id")]).select("code", "label_id", "score")
     out = fresh.drop("__b").join(best, "code", "left")
     return out.withColumn("action", F.when(F.col("score") >= 95, "bind").when(F.col("score") >= 90, "review").otherwise("add"))
+
+
+def house_core(c: Column) -> Column:
+    """A fund house's name without the words that all of them share."""
+    return text.squeeze(F.regexp_replace(text.norm_text(c), r"\b(mutual\s+fund|asset\s+management(?:\s+company)?|limited|ltd|pvt|private|company|amc|idf)\b", " "))
+
+
+def map_houses(registry: DataFrame, official: DataFrame, cutoff: float = 86.0) -> DataFrame:
+    """amc_id, official name, score of every registered house: the first of its three names whose core is an official one's, else the likeliest official core of all.
+
+    registry: amc_id, name, amc_name. official: name.
+    """
+    cands = F.array(F.col("name"), F.col("amc_name"), F.replace(F.col("amc_id"), F.lit("-"), F.lit(" ")))
+    a = registry.select("amc_id", F.posexplode(cands).alias("pos", "said")).withColumn("core", house_core(F.col("said"))).where("core <> ''")
+    b = official.select(F.col("name").alias("official"), house_core(F.col("name")).alias("key")).where("key <> ''")
+    b = first_by(b, ["key"], [F.col("official").desc()])
+    exact = first_by(a.join(b, F.col("core") == F.col("key")), ["amc_id"], [F.col("pos")]).select("amc_id", "official", F.lit(100.0).alias("score"))
+    rest = a.join(exact, "amc_id", "left_anti")
+    word = lambda d, c: d.withColumn("__w", F.explode(F.array_distinct(F.transform(F.split(c, " "), lambda w: F.substring(w, 1, 2)))))
+    # likeness of 86 or more shares the start of a word
+    pairs = word(rest, "core").join(word(b, "key"), "__w").select("amc_id", "pos", "core", "official", "key").distinct()
+    near = first_by(pairs.withColumn("score", token_sort_ratio("core", "key")), ["amc_id"], [F.col("score").desc(), F.col("pos"), F.col("official")])
+    near = near.where(F.col("score") >= cutoff).select("amc_id", "official", "score")
+    return registry.select("amc_id").join(exact.unionByName(near), "amc_id", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+
+
+def _soft(key: Column) -> Column:
+    """A compact key without a closing "fund"."""
+    return F.regexp_replace(key, "fund$", "")
+
+
+def _near_pairs(left: DataFrame, right: DataFrame, block: str) -> DataFrame:
+    """Candidates (code, sibling, a, b, ka, kb) of names that are nearly equal, found by equi-joins: a stretch of the shorter key, or a rare word.
+
+    left, right: code, block, words (the name's), key (compact). The likeness asked for (94 and more) leaves at most
+    one in eight characters to differ, so of so many words and one more, rarest first, two such names share one.
+    """
+    gram = 8
+    grams = lambda d: d.where(F.length("key") >= gram).withColumn("__g", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("key") - gram + 1), lambda i: F.substring(F.col("key"), i, gram)))))
+    first = lambda d: d.where(F.length("key") >= gram).withColumn("__g", F.array_min(F.transform(F.sequence(F.lit(1), F.length("key") - gram + 1), lambda i: F.struct(F.xxhash64(F.substring(F.col("key"), i, gram)), F.substring(F.col("key"), i, gram).alias("g"))))["g"])
+    side = lambda d, c, k, n: d.select(F.col("code").alias(c), block, F.col("words").alias(n), F.col("key").alias(k), *[x for x in ("__g", "__w") if x in d.columns])
+    l1, r1 = side(first(left), "code", "ka", "a"), side(grams(right), "sibling", "kb", "b")
+    l2, r2 = side(grams(left), "code", "ka", "a"), side(first(right), "sibling", "kb", "b")
+    inside = l1.join(r1, [block, "__g"]).unionByName(l2.join(r2, [block, "__g"]))
+    every = left.unionByName(right, allowMissingColumns=True).select(block, F.explode(F.array_distinct(F.split("words", " "))).alias("__w"))
+    freq = every.groupBy(block, "__w").agg(F.count("*").alias("__f"))
+
+    def rare(d):
+        w = d.withColumn("__w", F.explode(F.array_distinct(F.split("words", " ")))).join(freq, [block, "__w"])
+        order = Window.partitionBy("code", block).orderBy("__f", "__w")
+        return w.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= F.floor(F.length("words") / 8) + 2)
+
+    by_word = side(rare(left), "code", "ka", "a").join(side(rare(right), "sibling", "kb", "b"), [block, "__w"])
+    keep = ["code", "sibling", block, "a", "b", "ka", "kb"]
+    return inside.select(*keep).unionByName(by_word.select(*keep)).distinct()
+
+
+def _length_ratio(a: str, b: str) -> Column:
+    return F.least(F.length(a), F.length(b)) / F.greatest(F.length(a), F.length(b), F.lit(1))
+
+
+def near_copies(master: DataFrame, bound: DataFrame, block: str) -> DataFrame:
+    """code, sibling of unbound funds that are near-duplicates of bound ones: equal compact keys, equal but for a closing "fund", one inside the other (95), or likeness of 94 with lengths within 8 %. Ties: that order, then the least sibling.
+
+    master: code, block, name. bound: code.
+    """
+    keyed = master.select("code", block, text.norm_text(F.col("name")).alias("words"), names.root_key(F.col("name")).alias("key")).where("key <> ''")
+    have, lack = keyed.join(bound.select("code").distinct(), "code", "left_semi"), keyed.join(bound.select("code").distinct(), "code", "left_anti")
+    other = have.select(F.col("code").alias("sibling"), block, F.col("key").alias("kb"))
+    equal = lack.join(other, (lack[block] == other[block]) & (lack["key"] == other["kb"])).select("code", "sibling", F.lit(0).alias("rank"))
+    soft = lack.withColumn("s", _soft(F.col("key"))).join(other.withColumn("s", _soft(F.col("kb"))), [block, "s"]).select("code", "sibling", F.lit(1).alias("rank"))
+    rest = lack.join(equal.unionByName(soft), "code", "left_anti")
+    pairs = _near_pairs(rest, have, block).withColumn("held", (containment_score(F.col("ka"), F.col("kb")) >= 95) | (containment_score(F.col("kb"), F.col("ka")) >= 95))
+    held = pairs.where("held").select("code", "sibling", F.lit(2).alias("rank"))
+    alike = pairs.where(~F.col("held") & (_length_ratio("ka", "kb") >= 0.92)).where(token_sort_ratio("a", "b") >= 94).select("code", "sibling", F.lit(3).alias("rank"))
+    return first_by(equal.unionByName(soft).unionByName(held).unionByName(alike), ["code"], [F.col("rank"), F.col("sibling")]).select("code", "sibling", F.lit(95.0).alias("score"), F.lit("compact").alias("via"))
+
+
+def attach_variants(master: DataFrame, bound: DataFrame, block: str) -> DataFrame:
+    """code, sibling, score of unbound variants: "invested in" a bound fund, or a bound fund's name once variant tails are gone, else that at a likeness of 95. Closed-end funds stay alone.
+
+    master: code, block, name. bound: code.
+    """
+    m = master.where(~names.is_closed_end(F.col("name")))
+    stripped = names.strip_variant(F.col("name"))
+    keyed = m.select("code", block, "name", names.root_key(F.col("name")).alias("whole"), names.root_key(stripped).alias("key"), text.norm_text(stripped).alias("words"), names.root_key(text.invested_in(F.col("name"))).alias("host"))
+    have, lack = keyed.join(bound.select("code").distinct(), "code", "left_semi"), keyed.join(bound.select("code").distinct(), "code", "left_anti")
+    target = lambda c, k: have.select(F.col("code").alias("sibling"), block, c.alias(k))
+    host = lack.where("host <> ''").join(target(F.col("whole"), "host"), [block, "host"]).select("code", "sibling", F.lit(0).alias("rank"), F.lit(100.0).alias("score"))
+    same = lack.join(target(F.col("key"), "key").unionByName(target(F.col("whole"), "key")), [block, "key"]).where("key <> ''").select("code", "sibling", F.lit(1).alias("rank"), F.lit(100.0).alias("score"))
+    soft = lack.withColumn("s", _soft(F.col("key"))).join(target(_soft(F.col("whole")), "s").unionByName(target(_soft(F.col("key")), "s")), [block, "s"]).where("s <> ''").select("code", "sibling", F.lit(2).alias("rank"), F.lit(100.0).alias("score"))
+    sure = host.unionByName(same).unionByName(soft)
+    pairs = _near_pairs(lack.join(sure, "code", "left_anti"), have, block).where(_length_ratio("ka", "kb") >= 0.92).withColumn("score", token_sort_ratio("a", "b"))
+    alike = pairs.where("score >= 95").select("code", "sibling", F.lit(3).alias("rank"), "score")
+    return first_by(sure.unionByName(alike), ["code"], [F.col("rank"), F.col("score").desc(), F.col("sibling")]).select("code", "sibling", "score", F.lit("sibling").alias("via"))
+
+
+def full_cascade(labels: DataFrame, master: DataFrame, shortcodes: DataFrame, block: str) -> DataFrame:
+    """``cascade``, then near copies and variants of the funds that are bound: (code, via, sibling) of every bound fund."""
+    bound = cascade(labels, master, shortcodes, block).groupBy("code").agg(F.min("via").alias("via")).withColumn("sibling", F.lit(None).cast(master.schema["code"].dataType))
+    copies = near_copies(master, bound, block).select("code", "via", "sibling")
+    bound = bound.unionByName(copies)
+    return bound.unionByName(attach_variants(master, bound, block).select("code", "via", "sibling"))

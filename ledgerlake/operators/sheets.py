@@ -11,7 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..rules import has
+from ..functions import dates, names
+from ..rules import has, ordered_case
 
 MAX_HEADER_ROW = 120
 
@@ -24,19 +25,33 @@ HEADER_ALIASES = {
     "ytm": r"\bytm\b|yield\s*to\s*maturity",
     "ytc": r"\bytc\b|yield\s*to\s*call|at1|tier\s*2",
     "instrument_yield": r"\byield\b",
+    "residual_maturity": r"residual|remaining\s*maturity|\btenor\b",
     "maturity_date": r"maturity\s*date|date\s*of\s*maturity|redemption\s*date|(?<!to )\bmaturity\b",
+    "face_value": r"face\s*value|par\s*value",
+    "put_call_date": r"put\s*/?\s*call|call\s*date|put\s*date",
     "industry_rating": r"industry\s*[\^+\*]?\s*/\s*rating|rating\s*/\s*industry|industry\s+classification\s*/\s*rating",
+    "rating_agency": r"rating\s*agency",
     "rating": r"credit\s*rating|^\s*rating\b|conservative\s+rating",
     "industry": r"\bindustry\b|\bsector\b",
     "quantity": r"^\s*quantity\b|\bqty\b|no\.?\s*of\s*(shares|units)|hedged\s+quantity",
+    "futures_price": r"(futures?|option|contract)\s+price|current\s+price\s+of\s+the\s+contract",
     "market_value": r"market\s*/?\s*fair\s*value|market[\s\-]*value|mkt\.?\s*[\-]?\s*val(?:ue)?|exposure\s*/\s*market|value\s*\(.*?(rs|inr|lakh)|value\s+recognised\s+in\s+nav",
     "pct_nav": r"%\s*(to|of)?\s*(n\.?a\.?v|aum|net\s*assets?)|percent(age)?\s*(to|of)?\s*(n\.?a\.?v|aum|net\s*assets?)",
+    "macaulay_duration": r"macaulay",
+    "modified_duration": r"modified\s*duration",
+    "duration": r"\bduration\b",
     "listed_status": r"listed\s*status|\blisted\b|\bunlisted\b",
+    "accrued_interest": r"accrued\s*interest|interest\s*accrued",
+    "position_side": r"long\s*/\s*\(?\s*short",
+    "margin": r"^\s*margin\b|margin\s+maintained",
+    "market_cap": r"market\s*capital",
     "underlying": r"^\s*underlying\b",
+    "asset_class": r"asset\s*(class|type)|type of security",
 }
-# Words that mark a header row, and words of marketing text
-HEADER_HINTS = (r"instrument|issuer|security", r"isin", r"quantity|qty", r"market|fair", r"%|percent", r"industry|rating|sector", r"coupon|yield")
+# Words that mark a header row, what else tells one and how much, and words of marketing text
+HEADER_HINTS = (r"\bisin\b", r"\binstrument\b", r"\bsecurity\b", r"\bquantity\b", r"\bmarket\b", r"%\s*to", r"\bnav\b", r"\baum\b", r"\bindustry\b", r"\brating\b", r"\bytm\b")
 MARKETING = r"(?:^[•\-\*]|\bseeking\b|investors?\s+who|consult\s+their|suitable\s+for|riskometer|potential\s+risk\s+class)"
+HEADER_MORE = ((8, r"\bisin\b"), (6, r"%\s*(to|of)|percent|%\s*nav|%\s*to\s*net"), (4, r"name\s+of\s+(the\s+)?(instrument|security)"), (2, r"\bquantity\b"), (-12, MARKETING))
 STOP = r"^\s*(?:grand\s+total|total\s+net\s+assets?|net\s+assets?\s*$|notes?\s*:|disclaimers?|portfolio\s+turnover)"
 TOTAL = r"^\s*(?:sub[\s-]*)?totals?\b"
 SECTION = r"^\s*(?:\(?[a-z0-9]{1,3}\)|[ivx]+\.)?\s*(?:equity|debt|money\s+market|others?|derivatives?|futures?|options?|mutual\s+fund|cash|treps?|gold|silver|commodit|government|listed|unlisted)"
@@ -47,8 +62,13 @@ def header_score(cells: Column) -> Column:
     """How much a row looks like the table's header; at least two hints are needed."""
     t = F.array_join(F.filter(cells, lambda c: F.length(F.trim(c)) > 0), " | ")
     hints = sum((has(t, h).cast("int") for h in HEADER_HINTS), F.lit(0))
-    score = hints + 8 * has(t, r"\bisin\b").cast("int") + 6 * has(t, r"%\s*(to|of)|percent|%\s*nav").cast("int") + 4 * has(t, r"name\s+of\s+(the\s+)?(instrument|security)").cast("int") + 2 * has(t, r"\bquantity\b").cast("int") - 12 * has(t, MARKETING).cast("int")
-    return F.when(hints >= 2, score).otherwise(-1)
+    more = sum((n * has(t, p).cast("int") for n, p in HEADER_MORE), F.lit(0))
+    return F.when(hints >= 2, hints + more).otherwise(-1)
+
+
+def header_alias(header: Column) -> Column:
+    """The canonical name of one header cell, or null."""
+    return ordered_case([(has(header, p), k) for k, p in HEADER_ALIASES.items()])
 
 
 def header_rows(grid: DataFrame, keys: list[str], row_no: str, score: Column, good: int = 10, least: int = 2) -> DataFrame:
@@ -77,6 +97,48 @@ def trim_after(df: DataFrame, keys: list[str], order: str, stop: Column) -> Data
     return df.withColumn("__stop", F.min(F.when(stop, F.col(order))).over(w)).where(F.col("__stop").isNull() | (F.col(order) < F.col("__stop"))).drop("__stop")
 
 
+# Banners of a portfolio's date, weaker labels, and rows whose dates are another's
+STRONG_BANNER = r"portfolio\s+statement\s+as\s+o[nf]|holdings?\s+as\s+o[nf]|(?:monthly|fortnightly)\s+portfolio\s+as\s+o[nf]|portfolio\s+disclosure\s+as\s+o[nf]|scheme\s+portfolio\s+as\s+o[nf]"
+WEAK_LABEL = r"as\s*on|as\s*of|as\s*at|month\s+ended|period\s+ended|(?:monthly|fortnightly|half[\s-]?yearly)?\s*portfolio\s+statement|portfolio\s+(?:disclosure\s+)?as\s+o[nf]|holdings?\s+as\s+o[nf]"
+NOT_AS_OF = r"nav\s+(?:histrory|history)|dividend\s+history|nav\s+rs\.?\s+per\s+unit\s+as\s+on|inception\s+date|date\s+of\s+allotment"
+AS_OF_ROWS = 40
+
+
+def row_as_of(cells: Column) -> Column:
+    """The date that a labelled row tells: of the row as a whole, else of its first cell that tells one (a bare day number counts)."""
+    joined = F.array_join(F.filter(cells, lambda c: F.length(c) > 0), " | ")
+    quiet = F.filter(cells, lambda c: (F.length(c) > 0) & ~has(c, NOT_AS_OF))
+    each = F.transform(quiet, lambda c: F.coalesce(dates.serial_date(F.regexp_extract(c, r"^(\d{5})(?:\.\d+)?$", 1).try_cast("int")), dates.parse_as_of(c)))
+    first = F.try_element_at(F.filter(each, lambda d: d.isNotNull()), F.lit(1))
+    return F.when(has(joined, WEAK_LABEL) & ~has(joined, NOT_AS_OF), F.coalesce(dates.parse_as_of(joined), first))
+
+
+def sheet_as_of(grid: DataFrame, keys: list[str], row_no: str = "row_no") -> DataFrame:
+    """Each sheet's as-of date: the first strong banner's among its first rows, else the first weak label's."""
+    joined = F.array_join(F.filter("cells", lambda c: F.length(c) > 0), " | ")
+    told = grid.where(F.col(row_no) < AS_OF_ROWS).withColumn("__d", row_as_of(F.col("cells"))).withColumn("__weak", (~has(joined, STRONG_BANNER)).cast("int"))
+    return told.groupBy(*keys).agg(F.min_by("__d", F.when(F.col("__d").isNotNull(), F.struct("__weak", row_no))).alias("as_of"))
+
+
+def title_of(grid: DataFrame, keys: list[str], row_no: str = "row_no") -> DataFrame:
+    """Each sheet's scheme title: of the first rows, the first cell that names one, or what a statement banner names."""
+    cell = F.trim(F.col("cell"))
+    named = F.nullif(F.regexp_replace(F.regexp_extract(cell, r"(?i)portfolio\s+statement\s+of\s+(.+?)\s+as\s+on\b", 1), r"^[ \-–—]+|[ \-–—]+$", ""), F.lit(""))
+    noise = has(cell, r"registration\s+no|registered\s+office|toll\s+free|mutual\s+fund$|open\s+ended|name\s+of\s+the\s+instrument|portfolio\s+(statement|as\s+on)")
+    fund = has(cell, r"\b(fund|etf|fof|index|scheme|liquid|overnight|arbitrage|momentum|quality|nifty|sensex|nasdaq)\b") & (header_score(F.array(cell)) < 0)
+    title = F.coalesce(F.when(~has(named, r"registration\s+no"), named), F.when(~noise & fund, cell))
+    cells = grid.where(F.col(row_no) < 12).select(*keys, row_no, F.posexplode("cells").alias("col_no", "cell")).where(F.length(F.trim("cell")) >= 6)
+    return cells.withColumn("__t", title).groupBy(*keys).agg(F.min_by("__t", F.when(F.col("__t").isNotNull(), F.struct(row_no, "col_no"))).alias("title"))
+
+
+def sheet_shortcode(tab: Column, a1: Column, b1: Column) -> Column:
+    """A scheme's short code: a tab that is one, else the first two cells, else a tab that is a label."""
+    generic = has(tab, names.JUNK)
+    code = lambda c: F.when(names.is_shortcode(F.upper(F.trim(c))) & F.trim(c).rlike("^[A-Z0-9]+$"), F.trim(c))
+    label = F.when(~generic & (F.length(F.trim(tab)) >= 4) & tab.rlike("[A-Za-z]{3}"), F.trim(tab))
+    return F.coalesce(F.when(~generic, code(tab)), code(a1), code(b1), label)
+
+
 _ALIAS = [(k, re.compile(p, re.I)) for k, p in HEADER_ALIASES.items()]
 
 
@@ -109,13 +171,15 @@ def _number(s: str) -> float | None:
     return float(s) if re.fullmatch(r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?", s) else None
 
 
+_HINT = [re.compile(h, re.I) for h in HEADER_HINTS]
+_MORE = [(n, re.compile(p, re.I)) for n, p in HEADER_MORE]
+
+
 def _score(cells: list[str]) -> int:
+    """``header_score`` of one row inside the parser."""
     t = " | ".join(c for c in cells if c and c.strip())
-    hints = sum(bool(re.search(h, t, re.I)) for h in HEADER_HINTS)
-    if hints < 2:
-        return -1
-    more = ((8, r"\bisin\b"), (6, r"%\s*(to|of)|percent|%\s*nav"), (4, r"name\s+of\s+(the\s+)?(instrument|security)"), (2, r"\bquantity\b"), (-12, MARKETING))
-    return hints + sum(w for w, p in more if re.search(p, t, re.I))
+    hints = sum(bool(h.search(t)) for h in _HINT)
+    return -1 if hints < 2 else hints + sum(n for n, p in _MORE if p.search(t))
 
 
 def parse_sheet(rows: list[list[str]]) -> list[dict]:

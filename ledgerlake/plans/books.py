@@ -197,13 +197,13 @@ def fill_from_alias(t):
 
 
 @query("allocation_totals", """
-WITH w AS (SELECT l_suppkey AS book, CAST(l_discount AS DECIMAL(38,10)) AS w, l_returnflag = 'A' AS f, l_returnflag = 'N' AS o FROM lineitem WHERE l_linenumber = 1),
+WITH w AS (SELECT l_suppkey AS book, CAST(l_discount AS DECIMAL(38,10)) AS w, l_returnflag = 'A' AS f, l_returnflag = 'N' AS o FROM lineitem),
 s AS (SELECT book, CAST(sum(w) AS DOUBLE) AS a, CAST(sum(w) FILTER (WHERE NOT f) AS DOUBLE) AS b, CAST(sum(w) FILTER (WHERE NOT o) AS DOUBLE) AS c, CAST(sum(w) FILTER (WHERE NOT f AND NOT o) AS DOUBLE) AS d, CAST(max(abs(w)) AS DOUBLE) AS top FROM w GROUP BY book),
 k AS (SELECT *, coalesce(top <= 1.5 AND (coalesce(abs(a) BETWEEN 0.9 AND 1.1, false) OR coalesce(abs(b) BETWEEN 0.9 AND 1.1, false) OR coalesce(abs(c) BETWEEN 0.9 AND 1.1, false) OR coalesce(abs(d) BETWEEN 0.9 AND 1.1, false)), false) AS scaled FROM s)
 SELECT book, scaled, CASE WHEN scaled THEN a * 100 ELSE a END AS t_all, CASE WHEN scaled THEN b * 100 ELSE b END AS t_no_futures, CASE WHEN scaled THEN c * 100 ELSE c END AS t_no_options, CASE WHEN scaled THEN d * 100 ELSE d END AS t_plain FROM k""")
 def allocation_totals(t):
     """Four totals of each book under one scale."""
-    w = t.lineitem.where("l_linenumber = 1").select(F.col("l_suppkey").alias("book"), F.col("l_discount").alias("w"), "l_returnflag")
+    w = t.lineitem.select(F.col("l_suppkey").alias("book"), F.col("l_discount").alias("w"), "l_returnflag")
     return books.allocation_totals(w, "book", "w", F.col("l_returnflag") == "A", F.col("l_returnflag") == "N")
 
 
@@ -269,14 +269,14 @@ def full_outer_compare(t):
 
 
 @query("root_cause_classes", """
-WITH a AS (SELECT l_suppkey AS k, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS v, count(*) AS n FROM lineitem WHERE l_suppkey % 7 > 0 AND l_returnflag <> 'A' GROUP BY 1),
-b AS (SELECT l_suppkey AS k, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) * CASE WHEN l_suppkey % 5 = 0 THEN 100 ELSE 1 END AS v, count(*) AS n FROM lineitem WHERE l_suppkey % 3 > 0 AND (l_suppkey % 4 > 0 OR l_returnflag = 'R') AND l_returnflag <> 'A' GROUP BY 1)
+WITH a AS (SELECT l_suppkey AS k, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS v, count(*) AS n FROM lineitem WHERE l_suppkey % 7 > 0 GROUP BY 1),
+b AS (SELECT l_suppkey AS k, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) * CASE WHEN l_suppkey % 5 = 0 THEN 100 ELSE 1 END AS v, count(*) AS n FROM lineitem WHERE l_suppkey % 3 > 0 AND (l_suppkey % 4 > 0 OR l_returnflag = 'R') GROUP BY 1)
 SELECT s.s_suppkey AS k, CASE WHEN a.v IS NULL AND b.v IS NULL THEN 'both_missing' WHEN b.v IS NULL THEN 'vendor_missing' WHEN a.v IS NULL THEN 'parser_missing' WHEN abs(a.v - b.v) <= 0.05 THEN 'match'
   WHEN a.v > 0 AND abs(b.v / a.v - 100) <= 1 THEN 'vendor_percent_scale' WHEN b.v > 0 AND abs(a.v / b.v - 100) <= 1 THEN 'parser_percent_scale' WHEN abs(a.v - b.v) > 0.05 * abs(a.v) THEN 'total_differs' WHEN a.n <> b.n THEN 'row_count_differs'
   WHEN abs(a.v - b.v) <= 0.35 OR abs(a.v - b.v) / greatest(abs(a.v), 0.2) <= 0.15 THEN 'rounding' ELSE 'weight_differs' END AS reason
 FROM supplier s LEFT JOIN a ON a.k = s.s_suppkey LEFT JOIN b ON b.k = s.s_suppkey""")
 def root_cause_classes(t):
-    li = t.lineitem.where("l_returnflag <> 'A'")
+    li = t.lineitem
     total = lambda d: d.groupBy(F.col("l_suppkey").alias("k")).agg(real(F.sum(money("l_extendedprice"))).alias("v"), F.count("*").alias("n"))
     a = total(li.where("l_suppkey % 7 > 0"))
     b = total(li.where("l_suppkey % 3 > 0 and (l_suppkey % 4 > 0 or l_returnflag = 'R')")).withColumn("v", F.col("v") * F.when(F.col("k") % 5 == 0, 100).otherwise(1))
@@ -284,9 +284,13 @@ def root_cause_classes(t):
     return j.select("k", compare.root_cause(F.col("v"), F.col("y"), F.col("v"), F.col("y"), F.col("n") == F.col("m")).alias("reason"))
 
 
-@query("rollup_subset_sum")
+@query("rollup_subset_sum", """
+WITH f AS (SELECT l_suppkey AS k, l_quantity AS q, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_quantity DESC, l_orderkey, l_linenumber) AS r FROM lineitem QUALIFY r <= 25),
+two AS (SELECT DISTINCT a.k FROM f a JOIN f b ON a.k = b.k AND a.r < b.r WHERE abs(a.q + b.q - 97) <= 0.15),
+three AS (SELECT DISTINCT a.k FROM f a JOIN f b ON a.k = b.k AND a.r < b.r JOIN f c ON c.k = b.k AND b.r < c.r WHERE abs(a.q + b.q + c.q - 97) <= 0.15)
+SELECT DISTINCT k AS l_suppkey, k IN (SELECT k FROM two) OR k IN (SELECT k FROM three) AS can FROM f""")
 def rollup_subset_sum(t):
-    """Whether two or three of a supplier's largest weights sum to 40."""
+    """Whether two or three of a supplier's largest weights sum to 97."""
     w = Window.partitionBy("l_suppkey").orderBy(F.col("l_quantity").desc(), "l_orderkey", "l_linenumber")
     few = t.lineitem.withColumn("r", F.row_number().over(w)).where("r <= 25").groupBy("l_suppkey").agg(F.collect_list("l_quantity").alias("ws"))
     return few.select("l_suppkey", compare.can_roll_up(F.lit(97.0), F.col("ws")).alias("can"))

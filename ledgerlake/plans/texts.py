@@ -128,11 +128,11 @@ def json_props(t):
     return e.select("event_id", "event_type", F.try_element_at(m, F.try_element_at("keys", F.lit(1))).alias("first_value"), F.size("keys").cast("long").alias("n_keys"))
 
 
-@query("map_annotate")
+@query("map_annotate", "SELECT event_id, len(list_filter(json_keys(props), lambda k: length(coalesce(json_extract_string(props, '$.' || k), '')) > 0))::BIGINT + 1 AS n, '1' AS flag FROM events WHERE props IS NOT NULL")
 def map_annotate(t):
     m = F.map_concat(F.from_json("props", "map<string,string>"), F.create_map(F.lit("rescaled"), F.lit("1")))
     kept = F.map_filter(m, lambda k, v: F.length(v) > 0)
-    return t.events.where("props is not null").select("event_id", F.size(kept).alias("n"), kept["rescaled"].alias("flag"))
+    return t.events.where("props is not null").select("event_id", F.size(kept).cast("long").alias("n"), kept["rescaled"].alias("flag"))
 
 
 @query("histogram_top20", "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n, count(DISTINCT user_id) AS users, bool_or(event_type = 'purchase') AS bought FROM events GROUP BY 1 ORDER BY n DESC, day LIMIT 20")
@@ -151,14 +151,20 @@ def tumbling_windows(t):
     return S.tumbling(t.events, "1 hour").select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", real(F.col("total")).alias("total"))
 
 
-@query("sliding_windows")
+@query("sliding_windows", """
+SELECT strftime(h, '%Y-%m-%d %H:%M:%S') AS start, count(*) AS n FROM (SELECT unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS h FROM events) GROUP BY 1""")
 def sliding_windows(t):
-    return S.sliding(t.events, "2 hours", "1 hour")
+    return S.sliding(t.events, "2 hours", "1 hour").select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "n")
 
 
-@query("session_windows")
+@query("session_windows", """
+WITH g AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS new FROM events),
+s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, strftime(max(ts) + INTERVAL 30 MINUTE, '%Y-%m-%d %H:%M:%S') AS stop, count(*) AS n FROM s GROUP BY user_id, k""")
 def session_windows(t):
-    return S.sessions(t.events, "30 minutes")
+    """A user's events with gaps of less than half an hour."""
+    show = lambda c, n: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(n)
+    return S.sessions(t.events, "30 minutes").select("user_id", show("start", "start"), show("end", "stop"), "n")
 
 
 @query("half_month_events", """
@@ -177,12 +183,14 @@ def stream_dedup_watermark(t):
     base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="stream")
     base = f"{base}/events-{uuid.uuid4().hex}"
     t.events.unionByName(t.events).repartition(4).write.parquet(f"{base}/in")
-    stream = S.deduplicated(S.source(spark, f"{base}/in", t.events.schema), ["event_id"], late="3650 days")
+    stream = S.deduplicated(S.source(spark, f"{base}/in", t.events.schema), ["event_id"], late="45 days")
     S.run_available(stream.select("event_id", "event_type"), f"{base}/out", f"{base}/state")
     return spark.read.parquet(f"{base}/out").groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-@query("udtf_lines")
+@query("udtf_lines", """
+WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)
+SELECT doc_id, (unnest(range(1, len(ls) + 1)) - 1)::BIGINT AS row_no, length(unnest(ls))::BIGINT AS n FROM l""")
 def udtf_lines(t):
     """A user's table function: lines of a text with their numbers."""
     from pyspark.sql.functions import udtf
@@ -194,7 +202,7 @@ def udtf_lines(t):
 
     t.spark.udtf.register("ledger_lines", Lines)
     t.documents.createOrReplaceTempView("ledger_documents")
-    return t.spark.sql("SELECT d.doc_id, l.row_no, length(l.line) AS n FROM ledger_documents d, LATERAL ledger_lines(d.text) l")
+    return t.spark.sql("SELECT d.doc_id, CAST(l.row_no AS BIGINT) AS row_no, CAST(length(l.line) AS BIGINT) AS n FROM ledger_documents d, LATERAL ledger_lines(d.text) l")
 
 
 @query("file_classification", """
@@ -203,8 +211,6 @@ SELECT k, CASE c WHEN 0 THEN 'not_spreadsheet' WHEN 1 THEN 'excluded_non_portfol
 def file_classification(t):
     names = F.array(*[F.lit(x) for x in ("Portfolio Aug 2026.pdf", "Half Yearly Portfolio Aug 2026.xlsx", "Portfolio Jul 2026.xlsx", "Portfolio 31-Aug-2026.xlsx", "Portfolio Aug 2026.xlsx", "Portfolio.xlsx")])
     f = t.orders.select(F.col("o_orderkey").alias("k"), F.element_at(names, (F.col("o_orderkey") % 6 + 1).cast("int")).alias("name"))
-    day = F.regexp_extract("name", r"(\d{2}-[A-Z][a-z]{2}-\d{4})", 1)
-    ds = F.filter(F.array(F.try_to_date(day, "dd-MMM-yyyy")), lambda x: x.isNotNull())
-    months = dates.all_months(F.regexp_replace("name", r"\d{2}-([A-Z])", "$1"))
-    reason = classify.file_reason(F.col("name"), months, ds, F.lit("2026-08-31").cast("date"), F.lit(False))
+    name, day = F.col("name"), lambda s: F.lit(s).cast("date")
+    reason = classify.file_reason(F.lit(None).cast("string"), name, dates.extract_dates(name), dates.all_months(name), dates.matches_as_of(name, day("2026-08-31")), day("2026-08-01"), day("2026-08-31"), F.lit(False))
     return f.select("k", reason.alias("reason")).withColumn("keep", F.col("reason").isin(*classify.KEEP_REASONS))
