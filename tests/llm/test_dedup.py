@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
 from ledgerlake.llm import chosenpath, repeats, substringdedup, suffixdedup
@@ -49,7 +50,7 @@ def test_word_dedup(spark, rows, group):
     assert got == sorted(brute.word_dedup(rows))
 
 
-@pytest.mark.parametrize("limits", [{}, {"node": 8, "cluster": 8}])
+@pytest.mark.parametrize("limits", [{}, {"node": 8, "cluster": 8}, {"node": 4, "cluster": 1500, "shingles": 400}])
 def test_near_dedup(spark, rows, limits):
     distinct = [r for i, r in enumerate(rows) if r not in rows[:i]]
     got = sorted(map(tuple, chosenpath.grouped(table(spark, distinct), 4, **limits).select("doc_id", "n_shingles", "component_id", "kept").collect()))
@@ -65,6 +66,23 @@ def test_near_dedup_keeps_columns_and_one_of_each_group(spark, rows):
     assert kept == want
 
 
+def test_rows_of_one_id_and_sets_of_one_sum(spark, monkeypatch):
+    text = lambda p: " ".join(f"{p}{i}" for i in range(60))
+    rows = [(None, text("a")), (None, text("b")), (None, text("b") + " x"), (5, text("c")), (5, text("d")), (5, text("d")), (9, text("c")), (7, ""), (7, "")]
+    df = table(spark, rows)
+    got = sorted((r.doc_id or 0, (r.text or "")[:1]) for r in chosenpath.dedup(df, 5).collect())
+    assert got == [(0, "a"), (0, "b"), (5, "c"), (5, "d"), (7, ""), (7, "")]
+    seen, sets = chosenpath.classes(df, 5)
+    one = sets.first().set_id
+    made = spark.createDataFrame([(1, 1, 1, one, 10, 3, b"s"), (2, 2, 2, one, 11, 3, b"s"), (3, 3, 3, one, 10, 3, b"s")], "doc long, doc_id long, key long, set_id long, alt long, n long, sig binary")
+    real = chosenpath.C.staged
+    first = []
+    monkeypatch.setattr(chosenpath.C, "staged", lambda d: real(made) if not first and (first.append(1) or True) else real(d))
+    seen, sets = chosenpath.classes(df, 5)
+    by = {r.doc: r.set_id for r in seen.collect()}
+    assert by[1] == by[3] != by[2] and sets.count() == 2
+
+
 def test_null_ids_and_empty_tables(spark):
     text = " ".join(f"w{i}" for i in range(60))
     df = spark.createDataFrame([(None, text), (7, text)], "doc_id long, text string")
@@ -75,13 +93,45 @@ def test_null_ids_and_empty_tables(spark):
 
 
 def test_long_text_in_pieces(spark, monkeypatch):
-    import numpy as np
-
-    rng = np.random.default_rng(3)
-    raw = rng.integers(97, 101, 5000).astype(np.uint8)
-    whole = repeats.find_runs(raw, np.array([0, 5000]), 200, 32)
-    assert len(whole[0]) and whole[0][0] == 0 and whole[1][-1] == 4800
-    assert ((whole[1][:-1] + 1) == whole[0][1:]).all()
+    """Texts longer than a piece are read in overlapping pieces, and give the same rows."""
+    rng = random.Random(3)
+    passage = " ".join(f"s{rng.randint(0, 999)}" for _ in range(160))
+    rows = [(i, " ".join(f"w{rng.randint(0, 99999)}" for _ in range(500)) + f" {passage} " + " ".join(f"v{rng.randint(0, 99999)}" for _ in range(500))) for i in range(3)]
+    monkeypatch.setattr(repeats, "PIECE", 700)
+    seen = []
+    find = repeats.find_runs
+    monkeypatch.setattr(repeats, "find_runs", lambda v, *a: seen.append(len(v)) or find(v, *a))
+    for units, width, gram in ((suffixdedup.units, 200, 32), (substringdedup.units, 50, 8)):
+        batch = [pa.RecordBatch.from_pydict({"key": [1, 2, 3], "doc": [0, 1, 2], "text": [t for _, t in rows]})]
+        whole, starts = {}, {}
+        for piece in (10**9, 700):
+            monkeypatch.setattr(repeats, "PIECE", piece)
+            covered = {}
+            for out in repeats._runs(units, width, gram)(batch):
+                for r in out.to_pylist():
+                    for s in r["starts"]:
+                        covered.setdefault(r["doc"], set()).update(range(s, s + r["size"]))
+            whole[piece] = covered
+        assert whole[10**9] == whole[700]  # every window lies in a run
+    assert max(seen) > 5000 and sum(n <= 700 + 199 for n in seen) > 20
+    monkeypatch.setattr(repeats, "PIECE", 700)
+    batch = pa.RecordBatch.from_pydict({"key": [1], "doc": [0], "text": [rows[0][1]]})
+    got = suffixdedup.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == sorted((d, *x) for (d, _), x in zip(rows, brute.byte_dedup([t for _, t in rows])))
+    assert batch.num_rows == 1
+
+
+def test_texts_of_megabytes(spark):
+    """Long texts that share long passages, one of them a single word."""
+    rng = random.Random(4)
+    base = [f"w{rng.randint(0, 10**7)}" for _ in range(150_000)]
+    rows = [(1, " ".join(base)), (2, " ".join(base[:75_000] + [f"x{i}" for i in range(40_000)])), (3, "a" * 1_000_000), (4, "\n".join(base[100_000:]))]
+    got = {r.doc_id: r for r in substringdedup.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].n_removed for i in (1, 2, 3, 4)] == [0, 75_000, 0, 50_000] and got[3].n_words == 1
+    by = {r.doc_id: r for r in suffixdedup.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert by[3].n_removed == 1_000_000 and by[2].n_removed > 500_000
+    near = {r.doc_id: r for r in chosenpath.grouped(spark.createDataFrame([*rows, (5, " ".join(base[:140_000]))], "doc_id long, text string"), 4).collect()}
+    assert near[5].component_id == 1 and near[2].component_id == 2 and near[1].n_shingles == len({tuple(base[i : i + 4]) for i in range(len(base) - 3)})
 
 
 def test_bucket_refinement_equals_sorting():
@@ -108,10 +158,11 @@ def test_subtrees_split_by_longer_prefixes():
     at = np.arange(0, 850)
     cls = {}
     for memory in (16_384, 16):
-        groups = list(substringdedup.prefix_groups(v, at, 50, memory))
+        groups = list(substringdedup.prefix_groups(v.astype(np.int64), at, 50, memory))
         assert sorted(np.concatenate([g for g, _ in groups]).tolist()) == list(range(850))
         cls[memory] = groups
     assert max(size for _, size in cls[16]) > 1
+    v[400:470] = v[100:170]
     got = substringdedup.classes(v, np.array([0]), at)
     rows = {}
     for i in at:
@@ -119,6 +170,31 @@ def test_subtrees_split_by_longer_prefixes():
     assert all(len(x) == 1 for x in rows.values()) and len({next(iter(x)) for x in rows.values()}) == len(rows)
 
 
+def test_internal_nodes_are_the_maximal_repeats():
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    v = np.concatenate([rng.integers(0, 3, 60), [9], rng.integers(0, 3, 60)])
+    v[70:95] = v[5:30]
+    v[100:112] = v[10:22]
+    n, width = len(v), 6
+    order, depth = substringdedup.subtree(v, np.arange(n), n - np.arange(n))
+    text = v.tolist()
+    assert [text[i:] for i in order] == sorted(text[i:] for i in range(n))
+    got = {(d, tuple(sorted(order[a:b].tolist()))) for a, b, d, _ in substringdedup.deep_nodes(depth, width)}
+    want = set()
+    for size in range(width, n):
+        places = {}
+        for i in range(n - size + 1):
+            places.setdefault(tuple(text[i : i + size]), []).append(i)
+        for at in places.values():  # repeats that no longer one holds at all its places
+            if len(at) > 1 and len({text[i + size] if i + size < n else -1 - i for i in at}) > 1:
+                want.add((size, tuple(at)))
+    assert got == want and len(want) > 5
+    nodes = substringdedup.deep_nodes(depth, width)
+    assert all(p < 0 or nodes[p][0] <= a and b <= nodes[p][1] and nodes[p][2] < d for a, b, d, p in nodes)
+
+
 @pytest.mark.parametrize("task_edges", [1_000_000, 40])
 def test_components(spark, task_edges):
     rng = random.Random(8)
