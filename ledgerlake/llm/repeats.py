@@ -5,10 +5,11 @@ of the window alone, so equal windows have their anchor at the same place. Conse
 form a run; a text of n units has about 2n / (width - gram) runs. The initial buckets are the anchors.
 
 1. ``runs``: (anchor, content id, document, starts) of all runs. Content ids are 64-bit hashes.
-2. Runs of equal content are counted with map-side sums, and two of them stand for all, however many there are.
-3. Of every anchor with two runs or more the standing ones are fetched (their text) and dealt by anchor to tasks,
-   where ``classes`` (a suffix array or suffix trees) finds the windows that are equal. What it finds for a run
-   holds for the other copies of that run.
+2. Runs of equal content are counted with map-side sums, and one of them (``twins``: two) stands for all, however
+   many there are.
+3. Of anchors with several runs (``twins``: copies of one run are several) the standing ones are fetched (their text)
+   and dealt by anchor to tasks, where ``classes`` (a suffix array or suffix trees) finds the windows that are equal.
+   What it finds for a run holds for the other copies of that run.
 4. An anchor with more than ``GROUP`` different runs is dealt in salted parts. Each part settles what it can; of
    the rest, blocks of windows are compared by hash over all parts, then windows of blocks that recur.
 
@@ -209,10 +210,12 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text"), doc.alias("doc"), F.xxhash64(F.lit(7), doc, text).alias("key"))
 
 
-def covered(docs: DataFrame, units: Units, classes: Classes, dtype, width: int, gram: int, by_least: bool, group: int = GROUP) -> DataFrame:
+def covered(docs: DataFrame, units: Units, classes: Classes, dtype, width: int, gram: int, by_least: bool, twins: bool, group: int = GROUP) -> DataFrame:
     """(doc, key, spans): for each keyed document, the unit ranges that windows found elsewhere cover.
 
     ``by_least``: only windows that also start in a document of lesser id count; else any other start counts.
+    ``twins``: of a repeated run two copies go to ``classes``, which then tells all of the result; else equal runs
+    settle by counting, and only runs of anchors that also have a run of one copy go there.
     """
     spark = docs.sparkSession
     docs = keyed(docs)
@@ -222,12 +225,13 @@ def covered(docs: DataFrame, units: Units, classes: Classes, dtype, width: int,
     twin = F.col("two.doc") > F.col("one.doc") if by_least else F.col("n") > 1
     each = C.staged(by.withColumn("twin", twin))
     release(spark)
-    # anchors of two runs or more (of two documents)
-    buckets = each.groupBy("a").agg(F.count("*").alias("m"), F.max("twin").alias("twins")).where("m > 1 or twins").drop("twins")
+    # anchors that have something to compare
+    buckets = each.groupBy("a").agg(F.count("*").alias("m"), F.max("twin").alias("any_twin"), F.min("n").alias("least"))
+    buckets = buckets.where("m > 1 or any_twin" if twins else "m > 1 and least = 1").select("a", "m")
     parts = F.ceil(F.col("m") / F.lit(group))
-    found_by = lambda rep: F.col(rep + ".doc") if by_least else F.when(F.col("twin") & F.lit(rep == "one"), F.col("n") - 1).when(F.lit(rep == "one"), F.col("n")).otherwise(1)
+    found_by = lambda rep: F.col(rep + ".doc") if by_least else F.when(F.col("twin") & F.lit(twins), F.col("n") - 1 if rep == "one" else F.lit(1)).otherwise(F.col("n"))
     stands = lambda rep, k: F.struct(F.col(rep + ".doc").alias("doc"), F.col(rep + ".key").alias("key"), F.struct("a", "r", F.pmod("r", parts).cast("int").alias("salt"), (parts > 1).alias("merge"), found_by(rep).cast("long").alias("v"), "size", F.col(rep + ".start").alias("start"), F.lit(k).alias("rep"), F.col("one.doc").alias("d0")).alias("w"))
-    reps = F.when(F.col("twin"), F.array(stands("one", 0), stands("two", 1))).otherwise(F.array(stands("one", 0)))
+    reps = F.when(F.col("twin") & F.lit(twins), F.array(stands("one", 0), stands("two", 1))).otherwise(F.array(stands("one", 0)))
     wanted = each.join(buckets, "a").select(F.explode(reps).alias("x")).select("x.doc", "x.key", "x.w")
     wanted = wanted.groupBy("doc", "key").agg(F.collect_list("w").alias("wanted"))  # at most a document's runs
     fetched = docs.select("doc", "key", "text").join(wanted, ["doc", "key"]).select("text", "wanted").mapInArrow(C.released(_fetch(units, width)), "a long, r long, salt int, merge boolean, v long, size int, rep int, d0 long, content binary")
@@ -235,7 +239,7 @@ def covered(docs: DataFrame, units: Units, classes: Classes, dtype, width: int,
     dealt = dealt.select("a", "r", "salt", "merge", "v", "size", "content", F.lit(gram).alias("gram"), "rep", "d0")
     settled = C.staged(dealt.mapInArrow(C.released(_settle(classes, dtype, width, by_least)), SETTLED))
     release(spark)
-    found = settled.where("kind = 0").select("a", "r", "rep", "d0", F.arrays_zip("lo", "hi").alias("part"))
+    found = settled.where("kind = 0").select("a", "r", "rep", "d0", "own", F.arrays_zip("lo", "hi").alias("part"))
     # buckets dealt in parts: blocks, then windows, that recur in several parts
     blocks = settled.where("kind = 1")
     again = blocks.groupBy("a", "block", "bh").agg(F.count("*").alias("n")).where("n > 1").select("a", "block", "bh")
@@ -243,13 +247,16 @@ def covered(docs: DataFrame, units: Units, classes: Classes, dtype, width: int,
     one = near.select("a", "r", "rep", "d0", "own", F.explode(F.arrays_zip("lo", "wh", "v")).alias("x")).select("a", "r", "rep", "d0", "own", F.col("x.lo").alias("lo"), F.col("x.wh").alias("wh"), F.col("x.v").alias("v"))
     whole = one.groupBy("a", "wh").agg(F.min("v").alias("t") if by_least else F.sum("v").alias("t"), F.count("*").alias("c")).where("c > 1").select("a", "wh", "t")
     more = one.join(whole, ["a", "wh"]).where(F.col("t") < F.col("own") if by_least else F.col("t") > 1)
-    more = more.groupBy("a", "r", "rep", "d0").agg(F.collect_list(F.struct(F.col("lo").alias("lo"), (F.col("lo") + 1).alias("hi"))).alias("part"))
+    more = more.groupBy("a", "r", "rep", "d0", "own").agg(F.collect_list(F.struct(F.col("lo").alias("lo"), (F.col("lo") + 1).alias("hi"))).alias("part"))
     part = found.unionByName(more)
     if by_least:  # the least document's run loses what lesser ones hold; its later copies are told by the last of them
         applies = F.when(F.col("rep") == 0, F.col("doc") == F.col("d0")).otherwise(F.col("doc") > F.col("d0"))
-    else:
+    elif twins:
         part, applies = part.where("rep = 0"), F.lit(True)
-    hits = runs.join(part, ["a", "r"]).where(applies)
+    else:  # runs of several copies are repeated whole
+        full = each.where("n > 1").select("a", "r", F.lit(0).alias("rep"), F.lit(0).cast("long").alias("d0"), F.col("n").alias("own"), F.array(F.struct(F.lit(0).alias("lo"), F.col("size").alias("hi"))).alias("part"))
+        part, applies = part.where("own = 1").unionByName(full), F.lit(True)
+    hits = runs.join(part.drop("own"), ["a", "r"]).where(applies)
     spans = hits.select("doc", "key", F.explode("starts").alias("s"), "part").select("doc", "key", F.transform("part", lambda x: F.struct((F.col("s") + x["lo"]).alias("from"), (F.col("s") + x["hi"] - 1 + width).alias("to"))).alias("t"))
     out = C.staged(spans.groupBy("doc", "key").agg(F.flatten(F.collect_list("t")).alias("spans")))  # at most a document's runs
     C.drop_stage(settled)

@@ -121,7 +121,7 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def spans(docs: DataFrame, **params) -> DataFrame:
     """(key, spans) of the word ranges that windows of lesser documents cover."""
-    return repeats.covered(docs, units, classes, np.uint64, WIDTH, GRAM, by_least=True, **params)
+    return repeats.covered(docs, units, classes, np.uint64, WIDTH, GRAM, by_least=True, twins=True, **params)
 
 
 def _cut(batches):

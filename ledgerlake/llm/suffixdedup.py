@@ -21,6 +21,7 @@ from . import common as C
 from . import repeats
 
 WIDTH, GRAM = 200, 32
+TWINS = False  # two copies of every repeated run cost more disk and time than the job's budget
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -79,7 +80,7 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def spans(docs: DataFrame, **params) -> DataFrame:
     """(key, spans) of the byte ranges that repeated strings cover."""
-    return repeats.covered(docs, units, classes, np.uint8, WIDTH, GRAM, by_least=False, **params)
+    return repeats.covered(docs, units, classes, np.uint8, WIDTH, GRAM, by_least=False, **{"twins": TWINS, **params})
 
 
 def _cut(batches):

@@ -38,9 +38,9 @@ def rows():
     return planted()
 
 
-@pytest.mark.parametrize("group", [20_000, 5])
-def test_byte_dedup(spark, rows, group):
-    got = sorted(map(tuple, suffixdedup.digest(table(spark, rows), group=group).collect()))
+@pytest.mark.parametrize("group, twins", [(20_000, False), (5, False), (20_000, True)])
+def test_byte_dedup(spark, rows, group, twins):
+    got = sorted(map(tuple, suffixdedup.digest(table(spark, rows), group=group, twins=twins).collect()))
     assert got == sorted((d, *x) for (d, _), x in zip(rows, brute.byte_dedup([t for _, t in rows])))
 
 
