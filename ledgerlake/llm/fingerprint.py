@@ -10,7 +10,8 @@ chance matches count nothing.
 Defined cases: null is empty; an empty text has the empty fingerprint; a text without an anchor counts as a
 single anchor; two empty fingerprints are alike (1), an empty and another are not (0); with one document its
 next is itself; equal ids stand in the order of their texts; null ids come last; an empty table gives no rows.
-Further columns are ignored.
+Repeated rows have equal fingerprints and stand next to each other. A very long text is read piece by piece for its
+fingerprint; it and its edited text are held whole. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,14 +20,16 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
 
 K, S, SLOTS = 24, 8, 64
 NEAR_BYTES = 64
-PART_BYTES = 48 << 20
+PART_BYTES = 256 << 20
+COARSE = 1000
+HEADS = 500_000
 
 OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
@@ -122,32 +125,55 @@ def _compare(batches):
     yield packed()
 
 
+def _part(part_bytes: int, docs: DataFrame):
+    """The range of ids that a row belongs to, as a column, and the number of ranges.
+
+    Up to ``COARSE`` quantiles cut the ids, each range evenly once more where more parts are needed; rows without an
+    id are cut by their tie.
+    """
+    size, key = F.octet_length("text") + 100, F.col("key").cast("double")
+    coarse = [i / COARSE for i in range(1, COARSE)]
+    s = docs.agg(F.sum(size).alias("n"), F.sum(F.when(key.isNull(), size)).alias("free"), F.percentile_approx(key, coarse, 10_000).alias("q"), F.min(key).alias("low"), F.max(key).alias("high")).first()
+    if s.n is None:
+        return F.lit(0), 1
+    spread = min(3 * docs.sparkSession.sparkContext.defaultParallelism, -(-s.n // (4 << 20)))
+    of = lambda n: max(1, -(-n // part_bytes), -(-n * spread // s.n))
+    free = of(s.free or 0)
+    if s.low is None:
+        return F.floor((F.col("tie").cast("double") / 2.0**64 + 0.5) * free).cast("int"), free + 1
+    parts = of(s.n - (s.free or 0))
+    step = -(-COARSE // min(parts, COARSE))
+    cuts = sorted(set(s.q[step - 1 :: step]) - {s.high})
+    each = -(-parts // (len(cuts) + 1)) if parts > COARSE else 1
+    edges = F.array(*[F.lit(float(c)) for c in [s.low, *cuts, s.high]])
+    at = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c < key)) if cuts else F.lit(0)
+    low, high = F.element_at(edges, at + 1), F.element_at(edges, at + 2)
+    inside = F.coalesce(F.least(F.floor((key - low) / F.nullif(high - low, F.lit(0.0)) * each), F.lit(each - 1)), F.lit(0))
+    known = (len(cuts) + 1) * each
+    untold = known + F.floor((F.col("tie").cast("double") / 2.0**64 + 0.5) * free)
+    return F.when(key.isNull(), untold).otherwise(at * each + F.greatest(inside, F.lit(0))).cast("int"), known + free + 1
+
+
 def compare(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """Each document's fingerprint against its edited text's and the next document's (descending id).
 
-    Texts move once, into ranges of ids cut at quantiles; each range also gets the row that follows it (its halo).
+    Texts move once, into ranges of ids; each range also gets the row that follows it (its halo), found by a table of
+    the ranges' first rows, which is broadcast up to ``HEADS`` ranges (counted).
     """
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # descending ids, nulls last; equal ids by hash of the text
-    docs = docs.withColumn("key", F.coalesce(-F.col("doc_id").cast("decimal(20,0)"), F.lit("99999999999999999999").cast("decimal(20,0)"))).withColumn("tie", F.xxhash64("text"))
-    size = docs.agg(F.sum(F.octet_length("text")).alias("n"), F.count("*").alias("c")).first()
-    if not size.c:
-        return docs.select("doc_id", "text").mapInArrow(_compare, OUT)
-    parts = max(1, -(-(size.n + 100 * size.c) // part_bytes))
-    cuts = []
-    if parts > 1:
-        q = docs.select(F.percentile_approx(F.col("key").cast("double"), [i / parts for i in range(1, parts)], 10_000)).first()[0]
-        cuts = sorted(set(q))
-    part = F.lit(0)
-    if cuts:
-        edges = F.array(*[F.lit(float(c)) for c in cuts])
-        part = F.size(F.filter(edges, lambda c: c < F.col("key").cast("double")))
-    docs = docs.withColumn("part", part.cast("int"))
-    heads = {r.part: r.head for r in docs.groupBy("part").agg(F.min(F.struct("key", "tie")).alias("head")).collect()}  # one row a part
-    order = sorted(heads)
-    spark = docs.sparkSession
-    follow = [(int(order[i - 1]), int(p), heads[p].key, heads[p].tie) for i, p in enumerate(order)]  # the part before gets this part's first row; the last one the first part's
-    halo = F.broadcast(spark.createDataFrame(follow, "to int, part int, hkey decimal(20,0), htie long"))
-    extra = docs.join(halo, "part").where("key = hkey and tie = htie").dropDuplicates(["to"]).select("doc_id", "text", "key", "tie", F.col("to").alias("part"), F.lit(1).alias("halo"))
+    docs = docs.withColumn("key", -F.col("doc_id").cast("decimal(20,0)")).withColumn("tie", F.xxhash64("text"))
+    part, parts = _part(part_bytes, docs)
+    docs = docs.withColumn("part", part)
+    heads = C.staged(docs.groupBy("part").agg(F.min(F.struct("key", "tie")).alias("head")))
+    n = heads.count()
+    # a range's first row also goes to the range before it, the very first one to the last: one small row a range
+    before = F.lag("part").over(Window.orderBy("part"))
+    last = heads.agg(F.max("part").alias("last"))
+    halo = heads.withColumn("to", before).join(F.broadcast(last)).select("part", F.coalesce("to", "last").alias("to"), F.col("head.key").alias("hkey"), F.col("head.tie").alias("htie"))
+    halo = F.broadcast(halo) if n <= HEADS else halo
+    extra = docs.join(halo, "part").where(F.col("key").eqNullSafe(F.col("hkey")) & (F.col("tie") == F.col("htie"))).dropDuplicates(["to"])
+    extra = extra.select("doc_id", "text", "key", "tie", F.col("to").alias("part"), F.lit(1).alias("halo"))
     both = docs.select("doc_id", "text", "key", "tie", "part", F.lit(0).alias("halo")).unionByName(extra)
-    return both.repartitionById(len(cuts) + 1, F.col("part")).sortWithinPartitions("halo", "key", "tie").select("doc_id", "text").mapInArrow(_compare, OUT)
+    ordered = both.repartitionById(parts, F.col("part")).sortWithinPartitions("halo", F.col("key").asc_nulls_last(), "tie")
+    return ordered.select("doc_id", "text").mapInArrow(C.released(_compare), OUT)

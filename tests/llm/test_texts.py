@@ -1,5 +1,6 @@
 """Fingerprints, pieces, personal data, pages, quality: against plain versions and on edge cases."""
 
+import hashlib
 import html as entities
 import random
 import re
@@ -41,6 +42,53 @@ def test_fingerprints(spark, part_bytes):
     assert min(r.near_edited for r in long) > max(r.near_next for r in long)
 
 
+def plain_fingerprint(raw: bytes):
+    """Slots of closed syncmers, one k-mer at a time."""
+    k, s = fingerprint.K, fingerprint.S
+    h8 = lambda b: int(C.mix(np.array([int.from_bytes(b, "little")], np.uint64))[0])
+    slots = {}
+    for i in range(len(raw) - k + 1):
+        inner = [h8(raw[i + j : i + j + s]) for j in range(k - s + 1)]
+        if min(inner) in (inner[0], inner[-1]):
+            e = [np.array([int.from_bytes(raw[i + j : i + j + 8], "little")], np.uint64) for j in (0, 8, 16)]
+            h = int(C.mix(e[0] ^ C.mix(e[1] ^ C.mix(e[2])))[0])
+            slots[h % fingerprint.SLOTS] = min(slots.get(h % fingerprint.SLOTS, (h, i)), (h, i))
+    if raw and not slots:
+        h = int.from_bytes(hashlib.sha256(raw).digest()[:8], "little")
+        slots[h % fingerprint.SLOTS] = (h, 0)
+    return slots
+
+
+def plain_likeness(a, b):
+    used = set(a) | set(b)
+    if not used:
+        return 1.0
+    moves = sorted(a[x][1] - b[x][1] for x in set(a) & set(b) if a[x][0] == b[x][0])
+    return sum(abs(m - moves[len(moves) // 2]) <= fingerprint.NEAR_BYTES for m in moves) / len(used) if moves else 0.0
+
+
+def test_fingerprints_equal_a_plain_version(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randint(0, 99)}é" for _ in range(rng.choice([0, 1, 5, 60])))) for i in range(14)] + [(None, "no id " * 9), (None, None), (3, "again")]
+    got = {(r.doc_id, r.edited_sha256): r for r in fingerprint.compare(docs(spark, rows).repartition(3), 500).collect()}
+    seen = set()
+    order = fingerprint.compare(docs(spark, rows).coalesce(1), 1 << 30).collect()
+    assert sorted(map(str, order)) == sorted(map(str, got.values()))
+    known = [r for r in rows if r[0] is not None and r[0] != 3]
+    ordered = sorted(known, key=lambda r: -r[0])
+    for (d, t), (e, n) in zip(ordered, ordered[1:]):
+        if d - e != 1:
+            continue
+        new = t[: len(t) - len(t) // 3] + n[: len(t) // 3]
+        r = got[d, brute.sha(new)]
+        a, b, c = (plain_fingerprint(x.encode()) for x in (t, new, n))
+        show = lambda f: ",".join(f"{f[k][0]:016x}.{f[k][1]:x}" if k in f else "-" for k in range(fingerprint.SLOTS)) if f else ""
+        assert (r.fingerprint, r.edited_fingerprint) == (show(a), show(b))
+        assert abs(r.near_edited - plain_likeness(a, b)) < 1e-12 and abs(r.near_next - plain_likeness(a, c)) < 1e-12
+        seen.add(d)
+    assert len(seen) > 8
+
+
 def test_anchors_are_free_of_context():
     rng = np.random.default_rng(1)
     mid = bytes(rng.integers(32, 127, 500).astype(np.uint8))
@@ -267,6 +315,39 @@ def test_quality_verdicts(spark):
     assert quality.judge(df.limit(0), labels).count() == 0
 
 
+def test_scores_equal_a_plain_version(spark):
+    """Log ratios of word and bigram cells, counted one by one."""
+    import math
+
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice(("Stone", "river", "moon,", "q#", "x1")) for _ in range(rng.choice([0, 3, 80])))) for i in range(40)] + [(None, "Stone river"), (41, None)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    cells = {}
+
+    def features(t):
+        words = re.findall(r"[a-z0-9]+|[^\sa-z0-9]+", (t or "").lower())
+        for x in [*words, *zip(words, words[1:])]:
+            if x not in cells:
+                f, _ = quality.features(*C.text_bytes(pa.array([x if isinstance(x, str) else " ".join(x)])))
+                cells[x] = int(f[-1])
+        return [cells[x] for x in [*words, *zip(words, words[1:])]]
+
+    raw, target = Counter(), Counter()
+    for d, t in rows:
+        raw.update(features(t))
+        if d is not None and d < 30 and d % 2:
+            target.update(features(t))
+    n_raw, n_target = sum(raw.values()) + quality.BUCKETS, sum(target.values())
+    smooth = 0.05 * max(n_target, 1) + 1
+    ratio = lambda c: math.log((target[c] + smooth * (raw[c] + 1) / n_raw) / (n_target + smooth)) - math.log((raw[c] + 1) / n_raw)
+    want = {d: sum(map(ratio, features(t))) / max(len(features(t)), 1) for d, t in rows}
+    got = quality.judge(docs(spark, rows), labels).collect()
+    assert all(abs(r.score - want[r.doc_id]) < 1e-9 for r in got) and len({round(r.score, 6) for r in got}) > 5
+    good, bad = ([r.score for r in got if r.doc_id is not None and r.doc_id < 30 and r.doc_id % 2 == q and not r.base_failed] for q in (1, 0))
+    cut = quality.best_threshold(np.array(good), np.array(bad))
+    assert all(r.kept == (not r.base_failed and r.score >= cut) for r in got)
+
+
 def test_threshold_stands_in_the_widest_gap():
     assert quality.best_threshold(np.array([1.0, 2.0]), np.array([-1.0, 0.0])) == 0.5
     assert quality.best_threshold(np.array([1.0]), np.array([])) == -np.inf
