@@ -1,8 +1,7 @@
 """Mixing sources to target weights by Pareto order sampling, in DataFrame operations only.
 
-A document's expected copies e is its source's ratio target / size, tilted by a priority that favours short
-documents (their sum stays closer to the target) without moving the source's total and without leaving
-[0, ``cap``]. Its floor(e) whole copies are certain; one more is drawn with inclusion odds f / (1 - f), f the
+A document's expected copies e is its source's ratio target / size. With ``tilt`` (off: 0) it is moved by a priority
+that favours short documents without moving the source's total and without leaving [0, ``cap``]. Its floor(e) whole copies are certain; one more is drawn with inclusion odds f / (1 - f), f the
 fraction of e: documents of a source are ranked by their random odds U / (1 - U) over the inclusion odds, and
 the sample's size is fixed in words: the prefix of that order whose words come nearest to what is left of the
 target. U is a hash of seed and id, so reruns agree. The cut-off rank is found by two rounds of 1024-fold
@@ -23,6 +22,7 @@ from . import common as C
 WEIGHTS = (5, 2, 1)
 CAP = 3
 SEED = 17
+TILT = 0.0
 FANOUT = 1024
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -31,18 +31,18 @@ def word_count(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
-def _priority(size: Column) -> Column:
-    """In (1, 2]: larger for short documents."""
-    return 1 + 1 / (1 + size / 1000.0)
+def _priority(size: Column, tilt: float) -> Column:
+    """In (1, 1 + tilt]: larger for short documents."""
+    return 1 + tilt / (1 + size / 1000.0)
 
 
 def _uniform(doc_id: str, seed: int) -> Column:
     return (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(doc_id)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
 
 
-def targets(base: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
+def targets(base: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, tilt: float = TILT) -> DataFrame:
     """(source, source_size, mean_priority, target) from (source, size): weights by the sources' order, water-filled up to ``cap`` times the size."""
-    by = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * _priority(F.col("size"))).alias("p"))
+    by = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * _priority(F.col("size"), tilt)).alias("p"))
     n = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.pmod(n - 1, F.lit(len(weights))) + 1)
     by = by.withColumn("weight", weight).withColumn("limit", cap * F.col("source_size").cast("double"))
@@ -58,16 +58,16 @@ def targets(base: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP)
     return by.select("source", "source_size", (F.col("p") / F.greatest("source_size", F.lit(1))).alias("mean_priority"), target.alias("target"))
 
 
-def _expected(cap: int) -> Column:
+def _expected(cap: int, tilt: float) -> Column:
     r = F.col("target") / F.greatest(F.col("source_size"), F.lit(1))
-    e = r + (_priority(F.col("size")) / F.col("mean_priority") - 1) * F.least(r, cap - r)
+    e = r + (_priority(F.col("size"), tilt) / F.col("mean_priority") - 1) * F.least(r, cap - r) if tilt else r
     return F.when(F.col("size") > 0, F.least(F.greatest(e, F.lit(0.0)), F.lit(float(cap)))).otherwise(0.0)
 
 
-def _ranked(base: DataFrame, sources: DataFrame, n_sources: int, cap: int, seed: int) -> DataFrame:
+def _ranked(base: DataFrame, sources: DataFrame, n_sources: int, cap: int, seed: int, tilt: float) -> DataFrame:
     """``base`` with its source's columns, sure copies and rank in (0, 1); no fraction: rank null."""
     df = C.small_or_salted_join(base, sources, "source", n_sources)
-    df = df.withColumn("e", _expected(cap))
+    df = df.withColumn("e", _expected(cap, tilt))
     df = df.withColumn("sure", F.floor(F.col("e") + 1e-9)).withColumn("f", F.greatest(F.col("e") - F.col("sure"), F.lit(0.0)))
     u = _uniform("doc_id", seed)
     odds = u / (1 - u) * (1 - F.col("f")) / F.col("f")
@@ -82,11 +82,11 @@ def _cut(parts: DataFrame, keys: str, bucket: Column) -> DataFrame:
     return sums.groupBy("source").agg(F.max(keys).alias(keys), F.min("rest").alias("left"))
 
 
-def cutoffs(base: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED) -> tuple[DataFrame, int]:
+def cutoffs(base: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = SEED, tilt: float = TILT) -> tuple[DataFrame, int]:
     """Per source its size, target and the last rank that is taken (-1: none), as a staged table, and its row count."""
-    sources = C.staged(targets(base, weights, cap))
+    sources = C.staged(targets(base, weights, cap, tilt))
     n = sources.count()
-    ranked = _ranked(base, sources, n, cap, seed)
+    ranked = _ranked(base, sources, n, cap, seed, tilt)
     sure = ranked.groupBy("source", "target").agg(F.sum(F.col("sure") * F.col("size")).alias("got"))
     left = C.staged(sure.select("source", (F.col("target") - F.col("got")).alias("left")))
     drawn = ranked.where("rank is not null").select("source", "size", "rank", "doc_id")
@@ -106,9 +106,9 @@ def cutoffs(base: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP,
     return C.staged(out), n
 
 
-def plan(base: DataFrame, cuts: DataFrame, n_sources: int, cap: int = CAP, seed: int = SEED) -> DataFrame:
+def plan(base: DataFrame, cuts: DataFrame, n_sources: int, cap: int = CAP, seed: int = SEED, tilt: float = TILT) -> DataFrame:
     """``base`` (doc_id, source, size) with source_size, target and copies."""
-    df = _ranked(base, cuts, n_sources, cap, seed)
+    df = _ranked(base, cuts, n_sources, cap, seed, tilt)
     copies = F.col("sure") + F.coalesce((F.col("rank") <= F.col("last")).cast("int"), F.lit(0))
     return df.withColumn("copies", copies.cast("long"))
 
@@ -117,7 +117,7 @@ def mixture(docs: DataFrame, **params) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies of every document."""
     base = C.staged(docs.select("doc_id", "source", word_count().alias("size")))
     cuts, n = cutoffs(base, **params)
-    return plan(base, cuts, n).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+    return plan(base, cuts, n, **{k: v for k, v in params.items() if k != "weights"}).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
 
 
 def mix(docs: DataFrame, **params) -> DataFrame:
@@ -125,5 +125,5 @@ def mix(docs: DataFrame, **params) -> DataFrame:
     base = C.staged(docs.select("doc_id", "source", word_count().alias("size")))
     cuts, n = cutoffs(base, **params)
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "source", word_count().alias("size"))
-    taken = plan(packed, cuts, n).where("copies > 0")
+    taken = plan(packed, cuts, n, **{k: v for k, v in params.items() if k != "weights"}).where("copies > 0")
     return taken.select(F.explode(F.array_repeat("row", F.col("copies").cast("int"))).alias("row")).select("row.*")

@@ -12,7 +12,8 @@ independent: any executor decodes any block, and a lost one is coded again from
 
 Defined cases: null is empty and holds only the end id; equal ids of documents stand in text order; null
 document ids come last; an empty table writes no block; further columns are ignored; a text holding a special
-token's string is encoded as the library does.
+token's string is encoded as the library does; repeated rows stand next to each other; a very long text is encoded as
+a slice of its own and stands in one block.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -35,7 +36,8 @@ LANES = 1024
 CHECKPOINT = 128
 BITS = 18
 SLICE = 2 << 20
-PART_BYTES = 12 << 20
+PART_BYTES = 128 << 20
+SHARDS = 1_000_000
 MAGIC = b"RANS1\0\0\0"
 
 _LONE = np.zeros(256, bool)
@@ -274,10 +276,11 @@ def write(docs: DataFrame, path: str, tokenizer: str, bits: int = BITS) -> None:
     bits = max(bits, int(np.ceil(np.log2(size + 1))) + 2)
     freq = scaled(n, bits)
     total = ids.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
-    parts = max(1, -(-int(total) // PART_BYTES))
+    cores = ids.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, -(-int(total) // PART_BYTES), min(3 * cores, -(-int(total) // (4 << 20))))
     key = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit("99999999999999999999").cast("decimal(20,0)"))
     keyed = ids.withColumn("key", key)
-    ranged = keyed.repartitionByRange(parts, "key") if parts > 1 else keyed.coalesce(1)
+    ranged = keyed.repartitionByRange(parts, "key", F.substring("ids", 1, 16)) if parts > 1 else keyed.coalesce(1)
     blocks = ranged.sortWithinPartitions("key", "ids").select("doc_id", "ids", "width")
     blocks.mapInArrow(_write_blocks(freq, bits), "shard int, block int, before long, n long, doc_ids array<long>, lengths array<long>, data binary").write.option("compression", "none").parquet(f"{path}/blocks")
     spark = docs.sparkSession
@@ -286,17 +289,18 @@ def write(docs: DataFrame, path: str, tokenizer: str, bits: int = BITS) -> None:
     C.drop_stage(ids)
 
 
-def _read_blocks(freq: np.ndarray, bits: int, base: dict[int, int], whole: bool):
+def _read_blocks(freq: np.ndarray, bits: int, whole: bool):
     def run(batches):
         coder = Coder(freq, bits)
         for b in batches:
-            for r in b.to_pylist():
+            for i in range(b.num_rows):
+                r = b.slice(i, 1).to_pylist()[0]
                 ids = coder.decode(r["data"])
                 n = np.array(r["lengths"], np.int64)
                 ends = np.cumsum(n)
                 raw = memoryview(ids.tobytes())
                 cut = [raw[4 * (e - k) : 4 * e] for e, k in zip(ends.tolist(), n.tolist())]
-                cols = {"doc_id": pa.array(r["doc_ids"], pa.int64()), "start": base[r["shard"]] + r["before"] + ends - n, "n_tokens": n, "ids_crc32": np.array([zlib.crc32(c) for c in cut], np.int64)}
+                cols = {"doc_id": pa.array(r["doc_ids"], pa.int64()), "start": r["base"] + r["before"] + ends - n, "n_tokens": n, "ids_crc32": np.array([zlib.crc32(c) for c in cut], np.int64)}
                 if whole:
                     cols["ids"] = pa.array([c.tobytes() for c in cut], pa.binary())
                 yield pa.RecordBatch.from_pydict(cols)
@@ -304,15 +308,28 @@ def _read_blocks(freq: np.ndarray, bits: int, base: dict[int, int], whole: bool)
     return run
 
 
-def read(spark, path: str, whole: bool = False) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 (and the ids) of every document, decoded from the file."""
+def _table(spark, path: str) -> tuple[np.ndarray, int]:
     head = spark.read.parquet(f"{path}/header").first()
     table = zlib.decompress(bytes(head.freq))
     if zlib.crc32(table) != head.crc:
         raise ValueError("damaged header")
+    return np.frombuffer(table, "<u4").astype(np.int64), head.bits
+
+
+def read(spark, path: str, whole: bool = False) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 (and the ids) of every document, decoded from the file."""
+    freq, bits = _table(spark, path)
     blocks = spark.read.parquet(f"{path}/blocks")
-    base, before = {}, 0
-    for r in sorted(blocks.groupBy("shard").agg(F.sum("n").alias("n")).collect(), key=lambda r: r.shard):  # one row a shard
-        base[r.shard], before = before, before + r.n
+    sums = C.staged(blocks.groupBy("shard").agg(F.sum("n").alias("n")))  # one small row a shard
+    before = F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
+    base = sums.select("shard", F.coalesce(before, F.lit(0)).alias("base"))
+    placed = blocks.join(F.broadcast(base) if sums.count() <= SHARDS else base, "shard")
     out = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * whole
-    return blocks.mapInArrow(_read_blocks(np.frombuffer(table, "<u4").astype(np.int64), head.bits, base, whole), out)
+    return placed.select("before", "base", "doc_ids", "lengths", "data").mapInArrow(C.released(_read_blocks(freq, bits, whole)), out)
+
+
+def read_part(spark, path: str, shard: int, block: int, part: int) -> np.ndarray:
+    """The ids from one checkpoint of a block to the next, decoded without what stands before them."""
+    freq, bits = _table(spark, path)
+    row = spark.read.parquet(f"{path}/blocks").where((F.col("shard") == shard) & (F.col("block") == block)).select("data").first()
+    return Coder(freq, bits).decode(bytes(row.data), part)
