@@ -9,7 +9,7 @@ bucket sums, then exactly in one bucket: no source is gathered in one task.
 
 Defined cases: a null text has size 0 and is never taken; null is a source of its own, last in order; a null
 id is hashed as null; rows with equal ids share their rank; an empty table gives an empty result; a source of
-size 0 has target 0. Other columns pass through ``mix`` untouched, whatever their names.
+size 0 has target 0; repeated rows are drawn alike; a very long text is one row of its size. Other columns pass through ``mix`` untouched, whatever their names.
 """
 
 from __future__ import annotations

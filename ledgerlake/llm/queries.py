@@ -106,7 +106,24 @@ SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, (len(w.ws) - coalesce(kept.n, 0))
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
+# Bytes as pairs of hexadecimal digits, since DuckDB's texts must be UTF-8
+_BYTES_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, p, md5(substr(h, p * 2 + 1, 400)) AS w FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199)) AS p FROM d WHERE length(h) >= 400)),
+many AS (SELECT w FROM win GROUP BY w HAVING count(*) > 1),
+hit AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS q FROM win WHERE w IN (SELECT w FROM many)),
+run AS (SELECT doc_id, p, sum(CASE WHEN q IS NULL OR p > q + 200 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM hit),
+span AS (SELECT doc_id, k, min(p) AS a, max(p) + 200 AS b FROM run GROUP BY doc_id, k),
+edge AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM span),
+kept AS (
+  SELECT e.doc_id, string_agg(substr(d.h, e.before * 2 + 1, (e.a - e.before) * 2), '' ORDER BY e.a) AS t, max(e.b) AS last, sum(e.b - e.a) AS gone, count(*) AS n
+  FROM edge e JOIN d USING (doc_id) GROUP BY e.doc_id)
+SELECT d.doc_id, (length(d.h) // 2)::BIGINT AS n_bytes, coalesce(kept.gone, 0)::BIGINT AS n_removed, coalesce(kept.n, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept.t || substr(d.h, kept.last * 2 + 1), d.h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_suffix_dedup": _BYTES_SQL,
     "op3_substring_dedup": _SUBSTRING_SQL,
     "op10_near_dedup": _NEAR_SQL,
 }

@@ -8,8 +8,9 @@ group's subtree is built over its sorted suffixes from the lengths of their shar
 no deep parent are equal.
 
 Defined cases: null has no words; texts of fewer than ``WIDTH`` words keep all; a null id counts as larger than
-any; repeated rows (equal id and text) don't remove each other; an empty table gives no rows; other columns are
-ignored.
+any; repeated rows (equal id and text) don't remove each other, nor do rows of one id; very long texts are hashed
+piece by piece (8 bytes a word are held) and read in overlapping pieces; an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations

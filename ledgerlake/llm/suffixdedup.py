@@ -6,7 +6,8 @@ starts as that of its first 8 bytes; buckets are refined by sorting on the bucke
 buckets mean equal strings of ``WIDTH`` bytes. A bucket of one position is final and leaves the sort.
 
 Defined cases: null is empty; texts of fewer than ``WIDTH`` bytes keep all; repeated rows are copies of each
-other and lose every byte that such a string covers; an empty table gives no rows; other columns are ignored.
+other and lose every byte that such a string covers; rows without an id are rows like others; ties don't arise; very
+long texts are read in overlapping pieces; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
