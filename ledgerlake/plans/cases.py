@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions import classify, dates, names, numbers
+from ..functions import classify, dates, landed, names, numbers
 from ..functions import similarity as S
 from ..functions import text as T
 from ..operators import compare, matching, sheets
@@ -173,3 +173,14 @@ cases("absolute_links", [
     (("https://h.org/a/b", "/c d.xlsx"), "https://h.org/c%20d.xlsx"), (("https://h.org/a/b", "c.xls"), "https://h.org/a/c.xls"), (("https://h.org/a", "https://x.org/y z"), "https://x.org/y%20z"), (("https://h.org/a/", "//x.org/y"), "https://x.org/y"),
 ], pages.absolute, "Links made absolute, path segments encoded.")
 cases("subset_sums", [(("10,20,30", 30.0), True), (("10,20,30", 60.0), True), (("10,20,30", 45.0), False), (("10", 10.0), False), (("1.1,2.2,3.3", 5.55), True), (("", 1.0), False)], lambda v, x: compare.can_roll_up(x, F.transform(F.filter(F.split(v, ","), lambda s: F.length(s) > 0), lambda s: s.cast("double"))), "Whether a roll-up is the sum of two or three of its rows.")
+
+
+cases("epoch_months", [(("Portfolio Aug 2026", None), "2026-08-01"), (("Portfolio", "1785542400000"), "2026-08-01"), (("Portfolio", "/Date(1785542400000)/"), "2026-08-01"), (("Portfolio", "/Date(1785542400000+0530)/"), "2026-08-01"), (("Jul 2026", "1785542400000"), "2026-07-01"), (("x", "abc"), None), ((None, None), None)], landed.month_of_row, "Months of titles, else of milliseconds.")
+cases("compact_days", [(("https://h/a_31082026.xlsx",), "2026-08-31"), (("https://h/a_150826.xls",), "2026-08-15"), (("https://h/a_10082026.xlsx",), None), (("https://h/a_31022026.xlsx",), None), (("https://h/31082026/b.xlsx",), None), ((None,), None), (("28022026.zip?x=1",), "2026-02-28")], landed.compact_day, "Slices' days in file names.")
+cases("day_tokens", [(("Portfolio 31-08-2026", "2026-08-31"), True), (("31082026.pdf", "2026-08-31"), True), (("30082026", "2026-08-31"), False), ((None, "2026-08-31"), False)], lambda t, d: landed.names_day(t, d.cast("date")), "Whether a token is the day.")
+cases("first_addresses", [((None, "", "/f/a.xlsx"), "https://h.org/f/a.xlsx"), (("https://x.org/b", "c", "d"), "https://x.org/b"), ((" ", "c.xls", "d"), "https://h.org/c.xls"), ((None, None, None), None), (("//f/a", None, None), "https://h.org/f/a")], lambda a, b, c: landed.first_address("https://h.org/", a, b, c), "Addresses out of several fields.")
+cases("tab_sections", [(('<div id="one">A</div><div id="two">B</div>',), '>A</div><div '), (('<div id="one">A',), ">A"), (("none",), None)], lambda h: landed.between(h, 'id="one"', 'id="two"'), "What stands between two tabs.")
+cases("zipped_labels", [(("a,b,a,c", "x,y,y"), "a=x,b=y"), (("a", "x,y"), "a=x"), (("a,b", "x,y"), "a=x,b=y")], lambda a, b: F.array_join(landed.zipped(F.split(a, ","), F.split(b, ",")), ","), "Labels and addresses by position.")
+cases("json_line_rows", [(('0:{"u":"a"}\n1:[1]\nx\n2:{"u":"b"}',), "a,b"), (("nothing",), ""), (('{"u":"c"}',), "c")], lambda p: F.array_join(F.transform(landed.json_lines(p, "u string"), lambda r: r["u"]), ","), "Rows of a payload of lines.")
+cases("last_labels", [(("<li><b>Old</b><span>Aug 2026</span><a href='x'>f</a></li>",), "Aug 2026"), (("<li><a href='x'>f</a></li>",), None), (("<p>One</p> <i>Two </i><a>z</a><b>after</b>",), "Two")], landed.last_label, "The last label before a link.")
+cases("listing_scopes", [(("Consolidated Portfolio",), "all,consolidated"), (("Acme Fund",), "all,scheme"), (("All Schemes Aug",), "all,consolidated")], lambda t: F.array_join(F.filter(F.array(*[F.when(landed.in_scope(t, s), s) for s in ("all", "consolidated", "scheme")]), lambda x: x.isNotNull()), ","), "Scopes that a title is within.")

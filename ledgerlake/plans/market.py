@@ -13,9 +13,9 @@ from ..rules import has, ordered_case
 from .registry import joined, money, query, real, text
 
 
-@query("anti_new_parents", "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderdate >= TIMESTAMP '1996-01-01')")
+@query("anti_new_parents", "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderdate >= TIMESTAMP '1998-05-01')")
 def anti_new_parents(t):
-    recent = t.orders.where("o_orderdate >= timestamp '1996-01-01'").select(F.col("o_custkey").alias("c_custkey"))
+    recent = t.orders.where("o_orderdate >= timestamp '1998-05-01'").select(F.col("o_custkey").alias("c_custkey"))
     return t.customer.join(recent, "c_custkey", "left_anti").select("c_custkey", "c_name")
 
 
@@ -261,3 +261,31 @@ for _name, _order in (("first_per_month", "ordinal"), ("last_per_month", "ordina
     query(f"listing_{_name}", f"WITH {_LISTING} SELECT amc_id, month, ordinal FROM l QUALIFY row_number() OVER (PARTITION BY amc_id, month ORDER BY {_order}) = 1")(
         lambda t, _name=_name: listings.select(_listing(t), listings.POLICIES[_name]).select("amc_id", text("month").alias("month"), "ordinal")
     )
+
+
+_POLICY_ROWS = """
+r AS (SELECT page_id % 7 AS amc_id, page_id AS ordinal, ['Portfolio ', 'Monthly Portfolio ', 'Fortnightly Portfolio ', 'Consolidated Monthly Portfolio ', 'Final Portfolio '][1 + page_id % 5] || ['Jan','Feb','Mar','Apr'][1 + page_id % 4] || ' 202' || (page_id % 3) AS title,
+  'https://h.org/f' || (page_id % 11) || '.xlsx' AS url, '202' || (page_id % 3) || '-0' || (1 + page_id % 4) || '-01' AS month FROM pages)"""
+_FIRST_URL = "SELECT amc_id, month, ordinal FROM r{where} QUALIFY row_number() OVER (PARTITION BY amc_id, url ORDER BY ordinal) = 1"
+_POLICY_SQL = {
+    "keep_all": _FIRST_URL.format(where=""),
+    "first_per_url": _FIRST_URL.format(where=""),
+    "last_per_url": "SELECT amc_id, month, ordinal FROM r QUALIFY row_number() OVER (PARTITION BY amc_id, url ORDER BY ordinal DESC) = 1",
+    "first_per_name": _FIRST_URL.format(where=""),
+    "final_first": "SELECT amc_id, month, ordinal FROM r QUALIFY row_number() OVER (PARTITION BY amc_id, month ORDER BY contains(title, 'Final') DESC, url DESC, ordinal) = 1",
+    "monthly_only": _FIRST_URL.format(where=" WHERE contains(title, 'Monthly')"),
+    "fortnightly_only": _FIRST_URL.format(where=" WHERE contains(title, 'Fortnightly')"),
+    "consolidated_first": "SELECT amc_id, month, ordinal FROM (SELECT *, bool_or(contains(title, 'Consolidated')) OVER (PARTITION BY amc_id, month) AS c FROM r) WHERE NOT c OR contains(title, 'Consolidated') QUALIFY row_number() OVER (PARTITION BY amc_id, month ORDER BY ordinal) = 1",
+}
+
+
+def _policy_rows(t):
+    k = F.col("page_id")
+    pick = lambda i, *xs: F.element_at(F.array(*[F.lit(x) for x in xs]), (1 + i).cast("int"))
+    kind = pick(k % 5, "Portfolio ", "Monthly Portfolio ", "Fortnightly Portfolio ", "Consolidated Monthly Portfolio ", "Final Portfolio ")
+    title = F.concat(kind, pick(k % 4, "Jan", "Feb", "Mar", "Apr"), F.lit(" 202"), (k % 3).cast("string"))
+    return t.pages.select((k % 7).alias("amc_id"), k.alias("ordinal"), F.concat(F.lit("https://h.org/f"), (k % 11).cast("string"), F.lit(".xlsx")).alias("url"), title.alias("title"))
+
+
+for _name, _sql in _POLICY_SQL.items():
+    query(f"policy_{_name}", f"WITH {_POLICY_ROWS} {_sql}")(lambda t, _name=_name: listings.select(_policy_rows(t), listings.POLICIES[_name]).select("amc_id", text("month").alias("month"), "ordinal"))

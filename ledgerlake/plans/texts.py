@@ -180,7 +180,11 @@ def stream_dedup_watermark(t):
     import uuid
 
     spark = t.spark
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="stream")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+        base = "file://" + tempfile.mkdtemp(prefix="stream")
     base = f"{base}/events-{uuid.uuid4().hex}"
     t.events.unionByName(t.events).repartition(4).write.parquet(f"{base}/in")
     stream = S.deduplicated(S.source(spark, f"{base}/in", t.events.schema), ["event_id"], late="45 days")

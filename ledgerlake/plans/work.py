@@ -504,3 +504,72 @@ def next_month_links(t):
 def wide_month_rows(t):
     wide = t.part.select("p_partkey", F.concat(F.lit("u"), text("p_partkey")).alias("jan"), F.when(F.col("p_partkey") % 2 == 0, "v").otherwise("").alias("feb"))
     return connectors.wide_months(wide, "p_partkey")
+
+
+@query("listing_plugin", "SELECT * FROM (VALUES ('a', 0::INTEGER, 'u0', 't'), ('a', 1, 'u1', NULL), ('b', 0, 'u2', 'x')) AS v(amc_id, ordinal, url, title)")
+def listing_plugin(t):
+    """Landed listings read through the registered data source."""
+    import json
+
+    from ..sources import plugin
+
+    plugin.register(t.spark)
+    landed = {"a": [{"url": "u0", "title": "t"}, {"title": "no address"}, {"url": "u1"}], "b": [{"url": "u2", "title": "x"}], "c": []}
+    return t.spark.read.format("ledger_listing").option("landed", json.dumps(landed)).load()
+
+
+@query("json_dimension", "SELECT n_nationkey AS id, n_name AS name FROM nation")
+def json_dimension(t):
+    """A registry document of entries, written and read as rows."""
+    path = _place(t, "registry")
+    whole = t.nation.agg(F.to_json(F.struct(F.collect_list(F.struct(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))).alias("amcs"))).alias("value"))  # 25 rows by the schema
+    whole.coalesce(1).write.text(path)
+    return paths.dimension(t.spark, path, "amcs").select("id", "name")
+
+
+@query("bad_lines_skipped", "SELECT p_partkey AS code, p_name AS name FROM part WHERE p_partkey % 5 > 0")
+def bad_lines_skipped(t):
+    """A line-by-line checkpoint of which a fifth of the lines is cut off."""
+    path = _place(t, "lines")
+    line = F.to_json(F.struct(F.col("p_partkey").alias("code"), F.col("p_name").alias("name")))
+    t.part.select(F.when(F.col("p_partkey") % 5 == 0, F.substring(line, 1, 9)).otherwise(line).alias("value")).write.text(path)
+    return increments.checkpoint_lines(t.spark, path, "code long, name string")
+
+
+@query("month_upserts", "SELECT strftime(o_orderdate, '%Y-%m') AS slice, o_custkey AS k, max(o_orderkey) AS v FROM orders GROUP BY 1, 2")
+def month_upserts(t):
+    """Orders in two files, the later one's rows replacing those of equal customer and month."""
+    from ..streaming import events as S
+
+    base = _place(t, "upserts")
+    o = t.orders.select(F.date_format("o_orderdate", "yyyy-MM").alias("slice"), F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("v"))
+    last = o.groupBy("slice", "k").agg(F.max("v").alias("v"), F.min("v").alias("w"))
+    last.select("slice", "k", F.col("w").alias("v")).coalesce(1).write.parquet(f"{base}/in")
+    S.upsert_batches(S.source(t.spark, f"{base}/in", "slice string, k long, v long", 1), f"{base}/out", f"{base}/state", "k", "slice")
+    last.select("slice", "k", "v").coalesce(1).write.mode("append").parquet(f"{base}/in")
+    S.upsert_batches(S.source(t.spark, f"{base}/in", "slice string, k long, v long", 1), f"{base}/out", f"{base}/state", "k", "slice")
+    return t.spark.read.parquet(f"{base}/out").select(F.col("slice").cast("string").alias("slice"), "k", "v")
+
+
+@query("nearest_members", "SELECT s_suppkey AS code, CASE WHEN s_suppkey % 3 = 0 THEN 'add' ELSE 'bind' END AS action FROM supplier WHERE s_suppkey % 2 = 1")
+def nearest_members(t):
+    """Parents not known yet: bound to a label of their name, else to be added."""
+    k = F.col("s_suppkey")
+    name = F.concat(_word(k), F.lit(" "), F.reverse(_word(k)), F.lit(" Fund"))
+    other = F.concat(F.lit("zz "), F.translate(text(k), "0123456789", "nopqrstvwx"), F.lit(" xx yy"))
+    parents = t.supplier.select(k.alias("code"), k.alias("block"), name.alias("name"))
+    labels = t.supplier.select(k.alias("label_id"), k.alias("block"), F.when(k % 3 == 0, other).otherwise(name).alias("label"))
+    out = matching.new_parents(parents, parents.where("code % 2 = 0"), labels, labels.limit(0), "block")
+    return out.select("code", "action")
+
+
+@query("cascade_vias", """
+SELECT p_partkey AS label_id, CASE p_partkey % 3 WHEN 0 THEN 'shortcode' WHEN 1 THEN 'direct' ELSE 'fuzzy' END AS via, p_partkey AS code FROM part""")
+def cascade_vias(t):
+    """How each label is bound: its short code, its key inside a name, or its likeness."""
+    k = F.col("p_partkey")
+    word = F.concat(_word(k), F.lit(" "), F.reverse(_word(k)))
+    master = t.part.select(k.alias("code"), k.alias("block"), F.concat(word, F.lit(" Balanced Advantage Fund")).alias("name"))
+    labels = t.part.select(k.alias("label_id"), k.alias("block"), F.when(k % 3 == 0, "unlike").when(k % 3 == 1, F.concat(word, F.lit(" Balanced Advantage"))).otherwise(F.concat(F.lit("Fund Advantage Balanced "), word)).alias("label"), F.concat(F.lit("s"), text(k)).alias("shortcode"))
+    short = t.part.where("p_partkey % 3 = 0").select(k.alias("block"), F.concat(F.lit("S"), text(k)).alias("key"), k.alias("code"))
+    return matching.cascade(labels, master, short, "block").where("via <> 'key_share'").select("label_id", "via", "code")

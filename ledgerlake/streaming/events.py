@@ -42,21 +42,31 @@ def run_available(stream: DataFrame, out: str, checkpoint: str, mode: str = "app
     q.awaitTermination()
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def upsert_batches(stream: DataFrame, out: str, checkpoint: str, key: str, slice_: str) -> None:
-    """Late and partial refreshes merge into their slice: new rows replace those of equal key."""
+    """Late and partial refreshes merge into their slice: new rows replace those of equal key.
+
+    A batch's merged slices are written whole to a folder of their own before they replace the old ones. A batch that
+    is run again after a crash finds them there, complete, and replaces the slices from them, so none is lost.
+    """
 
-    def upsert(batch: DataFrame, _: int) -> None:
+    def upsert(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        batch = batch.dropDuplicates([slice_, key])
-        touched = [r[0] for r in batch.select(slice_).distinct().collect()]  # slices of a calendar
-        try:
-            old = spark.read.parquet(out).where(F.col(slice_).isin(touched))
-            batch = old.join(batch.select(slice_, key), [slice_, key], "left_anti").unionByName(batch)
-            batch.write.mode("overwrite").parquet(f"{out}_next")
-            batch = spark.read.parquet(f"{out}_next")
-        except Exception as e:  # nothing is stored yet
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        batch.write.option("partitionOverwriteMode", "dynamic").partitionBy(slice_).mode("overwrite").parquet(out)
+        merged = f"{out}_next/{number}"
+        if not _exists(spark, f"{merged}/_SUCCESS"):
+            batch = batch.dropDuplicates([slice_, key])
+            if _exists(spark, f"{out}/_SUCCESS"):
+                touched = batch.select(slice_).distinct()
+                old = spark.read.parquet(out).join(touched, slice_, "left_semi")
+                batch = old.join(batch.select(slice_, key), [slice_, key], "left_anti").unionByName(batch)
+            batch.write.mode("overwrite").parquet(merged)
+        spark.read.parquet(merged).write.option("partitionOverwriteMode", "dynamic").partitionBy(slice_).mode("overwrite").parquet(out)
+        if number > 0:  # the batch before is done for good
+            p = spark._jvm.org.apache.hadoop.fs.Path(f"{out}_next/{number - 1}")
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
     stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
