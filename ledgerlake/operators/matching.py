@@ -27,11 +27,44 @@ def containment_score(label: Column, name: Column) -> Column:
     return F.when(label == name, 100.0).when((F.length(label) > 0) & F.contains(name, label), inside).when((F.length(name) >= 10) & F.contains(label, name), around).otherwise(0.0)
 
 
+_GRAMS = (8, 4, 1)
+
+
+def _pieces(key: str, size) -> Column:
+    """All stretches of ``size`` characters of a key (it has as many)."""
+    return F.transform(F.sequence(F.lit(1), F.length(key) - size + 1), lambda i: F.substring(F.col(key), i, size))
+
+
+def _one_piece(df: DataFrame, key: str) -> DataFrame:
+    """A stretch that stands for the key: of its longest size, the one of least hash."""
+    size = F.coalesce(*[F.when(F.length(key) >= g, F.lit(g)) for g in _GRAMS])
+    least = F.array_min(F.transform(_pieces(key, size), lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("x"))))
+    return df.where(F.length(key) > 0).withColumn("__g", least["x"])
+
+
+def _every_piece(df: DataFrame, key: str, sizes: tuple[int, ...] = _GRAMS) -> DataFrame:
+    return df.withColumn("__g", F.explode(F.array_distinct(F.flatten(F.array(*[F.when(F.length(key) >= g, _pieces(key, g)).otherwise(F.array().cast("array<string>")) for g in sizes])))))
+
+
+def holding_pairs(a: DataFrame, b: DataFrame, block: str) -> DataFrame:
+    """(label_id, code) of a block's compact keys ``__a`` and ``__b`` of which one may hold the other.
+
+    A key that is held has all its stretches in the one that holds it, so one of them, joined by equality, finds all
+    such pairs; work grows with the keys, not with the block's square.
+    """
+    a, b = a.select("label_id", block, "__a"), b.select("code", block, "__b")
+    inside = _one_piece(a, "__a").join(_every_piece(b, "__b"), [block, "__g"])
+    around = _every_piece(a, "__a", _GRAMS[:1]).join(_one_piece(b.where(F.length("__b") >= 10), "__b"), [block, "__g"])
+    both = inside.where(F.contains("__b", F.col("__a"))).unionByName(around.where(F.contains("__a", F.col("__b"))))
+    return both.select("label_id", "code", block).distinct()
+
+
 def contained(labels: DataFrame, master: DataFrame, block: str, cutoff: float = 90.0) -> DataFrame:
     """The best containment match of each label in its block: score, then the longer key, then the key."""
     a = labels.withColumn("__a", text.compact(F.col("label")))
     b = master.withColumn("__b", text.compact(F.col("name")))
-    pairs = a.join(b, block).withColumn("score", containment_score(F.col("__a"), F.col("__b"))).where((F.col("score") >= cutoff) & ~structure_conflict(F.col("label"), F.col("name")))
+    met = holding_pairs(a, b, block)
+    pairs = met.join(a, ["label_id", block]).join(b, ["code", block]).withColumn("score", containment_score(F.col("__a"), F.col("__b"))).where((F.col("score") >= cutoff) & ~structure_conflict(F.col("label"), F.col("name")))
     return first_by(pairs, ["label_id"], [F.col("score").desc(), F.length("__b").desc(), F.col("__b"), F.col("code")]).drop("__a", "__b")
 
 

@@ -158,15 +158,29 @@ def alias_headers(headers: list[str]) -> list[str]:
     return out
 
 
-_COLUMNS = ("instrument", "isin", "industry", "industry_rating", "rating", "quantity", "market_value", "pct_nav", "coupon", "ytm", "ytc", "instrument_yield", "maturity_date", "security_code")
+_COLUMNS = ("instrument", "isin", "industry", "industry_rating", "rating", "rating_agency", "quantity", "market_value", "pct_nav", "coupon", "ytm", "ytc", "instrument_yield", "residual_maturity", "maturity_date", "face_value", "put_call_date", "futures_price", "security_code")
 PARSED = "file string, sheet string, ordinal int, section string, implied boolean, raw map<string,string>, " + ", ".join(f"{c} string" for c in _COLUMNS)
 
-_R = {k: re.compile(p, re.I) for k, p in {"stop": STOP, "total": TOTAL, "section": SECTION, "marketing": MARKETING}.items()}
+# Words by which the parser tells rows apart
+_R = {
+    k: re.compile(p, re.I)
+    for k, p in {
+        "stop": STOP, "total": TOTAL, "section": SECTION, "named": r"name\s+of\s+(the\s+)?(instrument|security)|^\s*(instrument|security)\b", "percent": r"%\s*(to|of|age)|percent",
+        "contract": r"^(futures?|options?)\s*$", "assets": r"^net\s+current\s+assets|^net\s+receivables", "cash": r"^(?:\(?[a-z0-9]+\)\s+)?(?:treps|tri[- ]?party|cblo|cash|net\s+current|net\s+receivables|nca\b)\b|^\(?[a-z0-9]+\)\s+repo\b",
+        "repo": r"^reverse\s+repo\s*$", "repos": r"^reverse\s+repos?\b", "dated_repo": r"^reverse\s+repo\s*\(", "next_sleeve": r"^(total|sub\s*total|grand|triparty|treps|corporate\s+bond|money\s+market|others?|net\s+current|cash\s+margin|units\s+of)\b",
+        "derivative": r"\bfutures?\b|\boptions?\b|derivative", "category": r"instruments?$|exchanges?$|securities$|bills$|bonds?$|papers?$|deposits?$|debentures?$|\bfunds?\b|\baif\b", "coupon": r"^\d+(\.\d+)?\s*%|\brepo\s+in\b",
+        "subtotal": r"^sub\s*total\b", "childless": r"\bfutures?\b|treps?|tri[\s\-]?party|reverse\s+repo|\bcblo\b",
+        "grand": r"grand\s+total", "net_assets": r"(total\s+)?net\s+assets?",
+    }.items()
+}
 _ISIN = re.compile(ISIN)
+_ANY_ISIN = re.compile(r"\b([A-Z]{2}[A-Z0-9]{9}\d)\b")
 _NIL = re.compile(r"^\s*(?:nil|na|n\.a\.?|-|--)?\s*$", re.I)
+_CODE = re.compile(r"[A-Za-z0-9./\-]{1,16}")
+CONTRACT_ROWS, REPO_ROWS = 8, 30
 
 
-def _number(s: str) -> float | None:
+def _number(s: str | None) -> float | None:
     s = re.sub(r"[,%\s]", "", s or "")
     return float(s) if re.fullmatch(r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?", s) else None
 
@@ -182,51 +196,165 @@ def _score(cells: list[str]) -> int:
     return -1 if hints < 2 else hints + sum(n for n, p in _MORE if p.search(t))
 
 
-def parse_sheet(rows: list[list[str]]) -> list[dict]:
-    """Holdings of one sheet. State carries from row to row: the bound columns, the section, and the total that accepted rows imply, from which missing weights follow."""
-    rows = [[(c or "").strip() for c in r] for r in rows]
-    scored = [(_score(r), i) for i, r in enumerate(rows[:MAX_HEADER_ROW])]
-    head = next((i for s, i in scored if s >= 10), None)
-    if head is None:
+def _lead(cells: list[str]) -> str:
+    return next((c for c in cells if c), "")
+
+
+class _Sheet:
+    """One sheet's rows and the state that carries from row to row: bound columns, section, holdings so far."""
+
+    def __init__(self, rows: list[list[str]], leading_code: bool):
+        self.rows = [[(c or "").strip() for c in r] for r in rows]
+        self.leading_code, self.names, self.section, self.out = leading_code, [], "", []
+        self.total = self._stated_total()
+
+    def _stated_total(self) -> float | None:
+        """The book's value as a total row tells it: grand total before net assets before totals; ties by size."""
+        best = (0, 0.0)
+        for cells in self.rows:
+            lead = _lead(cells)
+            rank = 3 if _R["grand"].search(lead) else 2 if _R["net_assets"].fullmatch(lead) else 0
+            numbers = [n for n in map(_number, cells[1:]) if n is not None]
+            if rank and len(numbers) > 1 and (rank, abs(numbers[0])) > best:
+                best = (rank, abs(numbers[0]))
+        return best[1] or None
+
+    def header(self) -> int | None:
+        scored = [(_score(r), i) for i, r in enumerate(self.rows[:MAX_HEADER_ROW])]
+        good = next((i for s, i in scored if s >= 10), None)
         best = max(scored, key=lambda x: (x[0], -x[1]), default=(-1, 0))
-        if best[0] < 2:
-            return []
-        head = best[1]
-    names, section, out = alias_headers(rows[head]), "", []
-    value_sum = weight_sum = 0.0
-    for at in range(head + 1, len(rows)):
-        cells = rows[at]
+        return good if good is not None else best[1] if best[0] >= 2 else None
+
+    def bind(self, cells: list[str]) -> None:
+        self.names = alias_headers([c or f"col_{i + 1}" for i, c in enumerate(cells)])
+        at = {n: i for i, n in enumerate(self.names)}
+        if self.leading_code and "security_code" not in at and at.get("isin") == 2 and at.get("instrument", 0) == 0:
+            # a code without a header stands before the name
+            self.names = ["security_code", "instrument", *self.names[2:]]
+
+    def again(self, cells: list[str], at: int) -> bool | None:
+        """None: no header. Else whether the table that it opens holds holdings too, or contracts within a few rows."""
         filled = [c for c in cells if c]
-        if not filled:
-            continue
-        lead = filled[0]
-        if _R["stop"].search(lead):
-            break
-        if _score(cells) >= 10:  # another header: columns are bound anew
-            names = alias_headers(cells)
-            continue
-        got = {n: cells[k] for k, n in enumerate(names) if k < len(cells)}
-        numbers = [n for n in (_number(got.get(c, "")) for c in ("quantity", "market_value", "pct_nav")) if n is not None]
-        isin = next((c for c in [got.get("isin", ""), *cells] if _ISIN.match(c)), "")
+        joined = " | ".join(filled)
+        if not self.out or len(filled) < 3 or _score(cells) < 0 or not _R["named"].search(joined) or not (re.search(r"\bisin\b", joined, re.I) or _R["percent"].search(joined)):
+            return None
+        new = set(alias_headers(cells))
+        if {"pct_nav", "instrument"} <= new and new & {"isin", "market_value"}:
+            return True
+        for row in self.rows[at + 1 : at + 1 + CONTRACT_ROWS]:
+            lead = _lead(row)
+            if _R["contract"].match(lead):
+                return True
+            if lead and (_R["stop"].search(lead) or re.match(r"total\s*:", lead, re.I)):
+                break
+        return False
+
+    def has_metrics(self, got: dict, cells: list[str]) -> bool:
+        if any(_number(got.get(c)) is not None for c in ("quantity", "market_value", "pct_nav")) or got.get("pct_nav") == "*":
+            return True
+        return any(_number(c) is not None for c in cells[1:])
+
+    def dated_children(self, at: int) -> bool:
+        """Whether dated repos follow a sleeve's total before the next sleeve."""
+        for row in self.rows[at + 1 : at + 1 + REPO_ROWS]:
+            lead = dict(zip(self.names, row)).get("instrument") or _lead(row)
+            if _R["dated_repo"].match(lead):
+                return True
+            if _R["next_sleeve"].match(lead):
+                return False
+        return False
+
+    def read(self) -> list[dict]:
+        head = self.header()
+        if head is None:
+            return []
+        self.bind(self.rows[head])
+        for at in range(head + 1, len(self.rows)):
+            cells = self.rows[at]
+            lead = _lead(cells)
+            if not lead:
+                continue
+            if _R["stop"].search(lead):
+                break
+            more = self.again(cells, at)
+            if more is False:
+                break
+            if more:
+                self.bind(cells)
+                self.section = ""
+                continue
+            self.row(cells, lead, at)
+        return self.out
+
+    def row(self, cells: list[str], lead: str, at: int) -> None:
+        got = dict(zip(self.names, cells))
+        found = _ANY_ISIN.search(got.get("isin", "")) or _ANY_ISIN.search(" | ".join(cells))
+        isin, metrics = found.group(1) if found else "", self.has_metrics(got, cells)
         name = got.get("instrument") or lead
-        if not numbers and not isin:
-            if _R["section"].search(lead) or len(filled) == 1:
-                section = lead
-            continue
+        if self.leading_code and found and _CODE.fullmatch(name) and not _ANY_ISIN.search(got.get("isin", "")) and len(cells) > 2:
+            # the whole row is shifted by a code
+            got = dict(zip(["security_code", *self.names], cells))
+            name = got.get("instrument") or name
+        if not isin and not metrics:
+            if not _R["total"].search(lead) and (_R["section"].search(lead) or sum(map(bool, cells)) == 1):
+                self.section = lead
+            return
+        if not isin and _R["assets"].search(name):
+            self.compact(got, cells)
         if _R["total"].search(name) or _NIL.match(name):
-            continue
-        value, weight = _number(got.get("market_value", "")), _number(got.get("pct_nav", ""))
-        implied = False
-        if weight is None and value is not None and value_sum and weight_sum:
-            weight, implied = value * weight_sum / value_sum, True
-        if weight is not None and value is not None and not implied:
-            value_sum, weight_sum = value_sum + value, weight_sum + weight
+            if not (_R["subtotal"].match(name) and _R["childless"].search(self.section) and not any(r["section"] == self.section for r in self.out)):
+                return
+            name = self.section  # a weighted total without rows of its own
+        value, weight = _number(got.get("market_value")), _number(got.get("pct_nav"))
+        if not isin and not got.get("quantity") and value is not None and (weight is not None or got.get("pct_nav") == "*") and self.sleeve(name, at):
+            self.section = name
+            return
+        if not isin and not any(not _NIL.match(got.get(c) or "") for c in ("quantity", "market_value", "pct_nav")):
+            return
+        self.keep(got, name, isin, value, weight)
+
+    def compact(self, got: dict, cells: list[str]) -> None:
+        """Name, value, weight without the columns between: the last two numbers."""
+        numbers = [c.replace(",", "") for c in cells[1:] if _number(c) is not None and not c.endswith("%")]
+        if len(numbers) >= 2 and (_number(got.get("market_value")) is None or _number(got.get("pct_nav")) is None):
+            got["market_value"], got["pct_nav"] = numbers[-2:]
+            got["quantity"] = got["industry"] = ""
+        elif len(numbers) == 1 and not got.get("pct_nav"):
+            got["pct_nav"] = numbers[0]
+            got["quantity"] = got["industry"] = ""
+
+    def sleeve(self, name: str, at: int) -> bool:
+        """Whether a row with a value and a weight is the total of a category whose rows follow."""
+        if _R["cash"].search(name):
+            return False
+        if _R["repo"].match(name):
+            return self.dated_children(at)
+        if _R["derivative"].search(name):
+            return False
+        return bool(_R["section"].search(name) and not _R["repos"].match(name)) or bool(_R["category"].search(name) and not _R["coupon"].search(name))
+
+    def keep(self, got: dict, name: str, isin: str, value: float | None, weight: float | None) -> None:
+        shown, implied = got.get("pct_nav") or "", False
+        if (not shown or shown == "*") and self.total and value is not None:
+            prior = [abs(w) for w in (_number(r["pct_nav"]) for r in self.out) if w is not None]
+            share = value / self.total * (1.0 if prior and max(prior) <= 1.5 else 100.0)
+            shown, implied = f"{share:.10f}".rstrip("0").rstrip("."), True
         row = {c: got.get(c) or None for c in _COLUMNS}
-        row |= {"instrument": name, "isin": isin or None, "section": section or None, "implied": implied, "ordinal": len(out), "raw": {k: v for k, v in got.items() if v}}
-        if implied:
-            row["pct_nav"] = f"{weight:.6f}".rstrip("0").rstrip(".")
-        out.append(row)
-    return out
+        row |= {"instrument": name, "isin": isin or None, "section": self.section or None, "implied": implied, "ordinal": len(self.out), "raw": {k: v for k, v in got.items() if v}}
+        row["market_value"] = None if _NIL.match(got.get("market_value") or "") else got["market_value"]
+        row["pct_nav"] = None if _NIL.match(shown) else shown
+        self.out.append(row)
+
+
+def parse_sheet(rows: list[list[str]], leading_code: bool = False) -> list[dict]:
+    """Holdings of one sheet, row by row.
+
+    A second header opens another table of holdings, or of contracts if one is named within ``CONTRACT_ROWS`` rows,
+    else it ends the sheet. A category's total opens a section, "Reverse Repo" only if dated ones follow within
+    ``REPO_ROWS`` rows. Weights that are missing or "*" follow from the stated total. ``leading_code``: a code
+    without a header may stand before the name.
+    """
+    return _Sheet(rows, leading_code).read()
 
 
 def parse_tables(grid: DataFrame) -> DataFrame:

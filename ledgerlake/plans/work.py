@@ -208,6 +208,22 @@ def parsed_sheets(t):
     return sheets.parse_tables(grid).select("file", "ordinal", "instrument", "section", F.col("pct_nav").alias("pct"))
 
 
+_LOOK_AHEAD = [
+    ["Name of the Instrument", "ISIN", "Quantity", "Market Value (Rs. in Lakhs)", "% to NAV"], ["Equity"], ["Acme Ltd", "INE000A01011", "10", "500", "50"], ["Certificate of Deposits", "", "", "200", "20"], ["Bank CD", "INE000A16011", "2", "200", "20"],
+    ["Reverse Repo", "", "", "100", "10"], ["Reverse Repo (03-Aug-2026)", "", "", "100", "10"], ["TREPS", "", "", "50", "*"], ["Net Current Assets", "", "50", "5", ""], ["Index Futures"], ["Sub Total", "", "", "-20", "-2"],
+    ["Name of the Instrument", "Underlying", "Long / (Short)", "Margin", "% to AUM"], ["Futures"], ["NIFTY Aug26", "NIFTY", "Long", "1", "3"], ["Name of Security", "ISIN", "Rating date"], ["Footnote", "INE000A01011", "x"], ["GRAND TOTAL", "", "", "1000", "100"],
+]
+
+
+@query("sheet_look_aheads", """
+SELECT s_suppkey::VARCHAR AS file, unnest(range(0, 7)) AS ordinal, unnest(['Acme Ltd', 'Bank CD', 'Reverse Repo (03-Aug-2026)', 'TREPS', 'Net Current Assets', 'Index Futures', 'NIFTY Aug26']) AS instrument, unnest(['Equity', 'Certificate of Deposits', 'Reverse Repo', 'Reverse Repo', 'Reverse Repo', 'Index Futures', 'Futures']) AS section, unnest(['50', '20', '10', '5', '5', '-2', '3']) AS pct, unnest([false, false, false, true, false, false, false]) AS implied FROM supplier""")
+def sheet_look_aheads(t):
+    """Category totals, dated repos, a weight from the stated total, a table of contracts, and a foreign table that ends the sheet."""
+    cells = F.array(*[F.array(*[F.lit(c) for c in r]) for r in _LOOK_AHEAD])
+    grid = t.supplier.select(text("s_suppkey").alias("file"), F.lit("s").alias("sheet"), F.posexplode(cells).alias("row_no", "cells"))
+    return sheets.parse_tables(grid).select("file", "ordinal", "instrument", "section", F.col("pct_nav").alias("pct"), "implied")
+
+
 # ---------------------------------------------------------------- windows of books
 
 

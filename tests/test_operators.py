@@ -183,10 +183,26 @@ def test_futures_policy(spark):
     from ledgerlake.functions.classify import is_cash, is_future
 
     def f(name, section="", isin=None, swaps=False, options=False):
-        return spark.range(1).select(is_future(F.lit(name), F.lit(section), F.lit(isin).cast("string"), F.lit(False), F.lit(swaps), F.lit(options)).alias("x")).first().x
+        return spark.range(1).select(is_future(F.lit(name), F.lit(section), F.lit(None).cast("string"), F.lit(isin).cast("string"), F.lit(False), F.lit(swaps), F.lit(options)).alias("x")).first().x
 
     assert f("NIFTY 28-Jul-2026") and f("Acme Ltd JUL-2026") and f("x", "Stock Futures")
     assert not f("Covered call 28-Jul-2026") and not f("Treasury Bill 28-Jul-2026") and not f("Interest Rate Swap") and f("Interest Rate Swap", swaps=True)
     assert f("NIFTY Put", options=True) and not f("Acme Ltd", "Stock Futures", "INE1")
     c = lambda n, s="", i=None: spark.range(1).select(is_cash(F.lit(n), F.lit(s), F.lit(i).cast("string")).alias("x")).first().x
     assert c("TREPS") and c("whatever", "Cash / Bank") and not c("7% paper", "Reverse repo") and not c("OIS", "TREPS")
+
+
+def test_pairs_that_hold_one_another(spark):
+    import random
+
+    from ledgerlake.operators import matching
+
+    rng = random.Random(2)
+    word = lambda n: "".join(rng.choice("ab") for _ in range(n))
+    keys = [word(rng.choice([1, 3, 5, 9, 14])) for _ in range(40)]
+    names = [word(rng.choice([2, 9, 11, 20])) for _ in range(40)] + [keys[0] + "zz", "x" + keys[5]]
+    a = spark.createDataFrame([(i, i % 2, k) for i, k in enumerate(keys)], "label_id long, block int, __a string")
+    b = spark.createDataFrame([(i, i % 2, k) for i, k in enumerate(names)], "code long, block int, __b string")
+    got = {(r.label_id, r.code) for r in matching.holding_pairs(a, b, "block").collect()}
+    want = {(i, j) for i, x in enumerate(keys) for j, y in enumerate(names) if i % 2 == j % 2 and (x in y or (len(y) >= 10 and y in x))}
+    assert got == want and len(want) > 50
