@@ -315,7 +315,10 @@ def filings_merge(t):
     return out.select(text("as_of").alias("as_of"), "cadence", "portfolio_count")
 
 
-@query("published_contract")
+@query("published_contract", """
+SELECT l_suppkey AS book, p_name AS instrument, 'INE' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS isin, 'equity' AS holding_type, p_brand AS industry, CAST(NULL AS VARCHAR) AS rating, CAST(NULL AS DOUBLE) AS coupon, l_quantity AS quantity, l_extendedprice AS market_value,
+  round_even(l_extendedprice * 100 / CAST(sum(CAST(l_extendedprice AS DECIMAL(38,10))) OVER (PARTITION BY l_suppkey) AS DOUBLE), 6) AS pct_nav, CAST(NULL AS DOUBLE) AS ytm, CAST(NULL AS DOUBLE) AS ytc, CAST(NULL AS DOUBLE) AS instrument_yield, CAST(NULL AS VARCHAR) AS maturity_date, p_type AS section, CAST(NULL AS VARCHAR) AS listed_status, CAST(NULL AS VARCHAR) AS underlying, CAST(NULL AS VARCHAR) AS position_side
+FROM lineitem JOIN part ON l_partkey = p_partkey""")
 def published_contract(t):
     """Raw holdings shaped to the 17 contract fields."""
     raw = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(

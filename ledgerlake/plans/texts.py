@@ -50,7 +50,7 @@ def header_pick(t):
     return sheets.header_rows(lines, ["doc_id"], "row_no", score).select("doc_id", F.col("header_row").cast("long").alias("header_row"))
 
 
-@query("holding_type_classifier")
+@query("holding_type_classifier", "SELECT p_partkey, ['equity', 'debt', 'cash', 'other', 'fund_unit', 'derivative', 'money_market', 'other'][1 + p_partkey % 8] AS holding_type FROM part")
 def holding_type_classifier(t):
     """The contract's classifier over made-up holdings."""
     h = t.part.select("p_partkey", F.concat_ws(" ", "p_name", F.element_at(F.array(*[F.lit(x) for x in ("Ltd", "7.5% Bond", "TREPS", "Gold", "ETF", "Nifty Futures", "Treasury Bill", "units")]), (1 + F.col("p_partkey") % 8).cast("int"))).alias("name"), F.col("p_type").alias("section"))
@@ -77,10 +77,12 @@ def period_expansion(t):
     return m.select(text("m").alias("period"), "cadence", joined(dates.period_keys(F.col("m"), F.col("cadence"))).alias("keys"), dates.financial_year(F.col("m")).alias("fy"))
 
 
-@query("date_from_text")
+@query("date_from_text", """
+WITH d AS (SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) + INTERVAL 30 YEAR AS DATE) AS d FROM orders)
+SELECT o_orderkey, unnest(['Portfolio as on ' || strftime(d, '%d-%b-%Y'), 'As on ' || strftime(d, '%B %-d, %Y'), strftime(d, '%d/%m/%Y'), 'statement as on : ' || (d - DATE '1899-12-30')::VARCHAR, 'book_' || strftime(d, '%Y-%m-%d') || '.xlsx']) AS banner, CAST(d AS VARCHAR) AS as_of, true AS same FROM d""")
 def date_from_text(t):
-    """As-of dates of banners in several spellings."""
-    d = F.to_date("o_orderdate")
+    """As-of dates of banners in several spellings, thirty years after the orders."""
+    d = F.add_months(F.to_date("o_orderdate"), 360)
     styles = F.array(F.concat(F.lit("Portfolio as on "), F.date_format(d, "dd-MMM-yyyy")), F.concat(F.lit("As on "), F.date_format(d, "MMMM d, yyyy")), F.date_format(d, "dd/MM/yyyy"), F.concat(F.lit("statement as on : "), (F.datediff(d, F.lit("1899-12-30").cast("date"))).cast("string")), F.date_format(d, "'book_'yyyy-MM-dd'.xlsx'"))
     x = t.orders.select("o_orderkey", d.alias("d"), F.explode(styles).alias("banner"))
     return x.select("o_orderkey", "banner", text(dates.parse_as_of(F.col("banner"))).alias("as_of"), (dates.parse_as_of(F.col("banner")) == F.col("d")).alias("same"))
@@ -109,9 +111,12 @@ def html_links(t):
     return P.links(t.pages).select("page_id", F.col("pos").cast("long").alias("pos"), "href")
 
 
-@query("html_absolute_links")
+@query("html_absolute_links", r"""
+WITH l AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]+') AS origin, regexp_extract_all(html, '(?is)<a\b[^>]*?href\s*=\s*["'']([^"'']+)["''][^>]*>', 1) AS hs FROM pages),
+h AS (SELECT page_id, origin, unnest(range(0, len(hs))) AS pos, unnest(hs) AS href FROM l)
+SELECT page_id, pos::BIGINT AS pos, CASE WHEN href LIKE '/%' THEN replace(origin || href, ' ', '%20') ELSE replace(href, ' ', '%20') END AS link FROM h""")
 def html_absolute_links(t):
-    return P.links(t.pages).select("page_id", "pos", P.absolute(F.col("url"), F.col("href")).alias("link"))
+    return P.links(t.pages).select("page_id", F.col("pos").cast("long").alias("pos"), P.absolute(F.col("url"), F.col("href")).alias("link"))
 
 
 @query("html_year_walk")
