@@ -50,7 +50,7 @@ def test_word_dedup(spark, rows, group):
     assert got == sorted(brute.word_dedup(rows))
 
 
-@pytest.mark.parametrize("limits", [{}, {"node": 8, "cluster": 8}, {"node": 4, "cluster": 1500, "shingles": 400}])
+@pytest.mark.parametrize("limits", [{}, {"node": 8, "cluster": 8}, {"node": 4, "cluster": 1500, "shingles": 400}, {"node": 6, "cluster": 2}])
 def test_near_dedup(spark, rows, limits):
     distinct = [r for i, r in enumerate(rows) if r not in rows[:i]]
     got = sorted(map(tuple, chosenpath.grouped(table(spark, distinct), 4, **limits).select("doc_id", "n_shingles", "component_id", "kept").collect()))
