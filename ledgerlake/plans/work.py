@@ -221,7 +221,7 @@ def sheet_look_aheads(t):
     """Category totals, dated repos, a weight from the stated total, a table of contracts, and a foreign table that ends the sheet."""
     cells = F.array(*[F.array(*[F.lit(c) for c in r]) for r in _LOOK_AHEAD])
     grid = t.supplier.select(text("s_suppkey").alias("file"), F.lit("s").alias("sheet"), F.posexplode(cells).alias("row_no", "cells"))
-    return sheets.parse_tables(grid).select("file", "ordinal", "instrument", "section", F.col("pct_nav").alias("pct"), "implied")
+    return sheets.parse_tables(grid).select("file", "ordinal", "instrument", "section", F.col("pct_nav").alias("pct"), "implied").withColumn("ordinal", F.col("ordinal").cast("long"))
 
 
 # ---------------------------------------------------------------- windows of books
@@ -534,7 +534,7 @@ def listing_plugin(t):
     return t.spark.read.format("ledger_listing").option("landed", json.dumps(landed)).load()
 
 
-@query("json_dimension", "SELECT n_nationkey AS id, n_name AS name FROM nation")
+@query("json_dimension", "SELECT n_nationkey::BIGINT AS id, n_name AS name FROM nation")
 def json_dimension(t):
     """A registry document of entries, written and read as rows."""
     path = _place(t, "registry")
