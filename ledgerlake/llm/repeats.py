@@ -69,7 +69,10 @@ def find_runs(values: np.ndarray, bounds: np.ndarray, width: int, gram: int):
     last[:-1] &= ~valid[1:] | (p[1:] != p[:-1])
     a, b = np.flatnonzero(new), np.flatnonzero(last)
     # a run is shorter than two windows: its first and last one and the distance tell it whole
-    content = C.fold(C.fold(C.wide_hashes(g, gram, a, width), C.wide_hashes(g, gram, b, width)), (b - a).astype(np.uint64))
+    # (the distance goes first: a run of one window would else fold its hash into itself)
+    content = C.mix((b - a).astype(np.uint64) + np.uint64(1))
+    for end in (a, b):
+        content = C.fold(content, C.wide_hashes(g, gram, end, width))
     return a, b, C.mix(g[p[a]]), content
 
 

@@ -92,6 +92,28 @@ def test_null_ids_and_empty_tables(spark):
     assert suffixdedup.digest(empty).count() == substringdedup.digest(empty).count() == chosenpath.grouped(empty, 4).count() == 0
 
 
+def test_runs_of_one_window_differ():
+    """Texts of exactly one window that share their anchor only."""
+    import numpy as np
+
+    anchor = None
+    for seed in range(200):
+        rng = np.random.default_rng(seed)
+        mid = rng.integers(97, 123, 32).astype(np.uint8)
+        a, b = (np.concatenate([rng.integers(97, 123, 84).astype(np.uint8), mid, rng.integers(97, 123, 84).astype(np.uint8)]) for _ in range(2))
+        x, y = (repeats.find_runs(t, np.array([0, 200]), 200, 32) for t in (a, b))
+        assert x[3][0] != y[3][0] and repeats.find_runs(a.copy(), np.array([0, 200]), 200, 32)[3][0] == x[3][0]
+        anchor = x[2][0] == y[2][0] or anchor
+    assert anchor  # some of them do share it
+
+
+def test_given_documents_equal_plain_versions(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+    assert sorted(map(tuple, suffixdedup.digest(df).collect())) == sorted((d, *x) for (d, _), x in zip(rows, brute.byte_dedup([t for _, t in rows])))
+    assert sorted(map(tuple, substringdedup.digest(df).collect())) == sorted(brute.word_dedup(rows))
+
+
 def test_long_text_in_pieces(spark, monkeypatch):
     """Texts longer than a piece are read in overlapping pieces, and give the same rows."""
     rng = random.Random(3)
