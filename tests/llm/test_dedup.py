@@ -96,15 +96,15 @@ def test_runs_of_one_window_differ():
     """Texts of exactly one window that share their anchor only."""
     import numpy as np
 
-    anchor = None
-    for seed in range(200):
-        rng = np.random.default_rng(seed)
-        mid = rng.integers(97, 123, 32).astype(np.uint8)
-        a, b = (np.concatenate([rng.integers(97, 123, 84).astype(np.uint8), mid, rng.integers(97, 123, 84).astype(np.uint8)]) for _ in range(2))
+    shared = 0
+    for seed in range(50):
+        a = np.random.default_rng(seed).integers(97, 123, 200).astype(np.uint8)
+        b = a.copy()
+        b[0] ^= 1
         x, y = (repeats.find_runs(t, np.array([0, 200]), 200, 32) for t in (a, b))
         assert x[3][0] != y[3][0] and repeats.find_runs(a.copy(), np.array([0, 200]), 200, 32)[3][0] == x[3][0]
-        anchor = x[2][0] == y[2][0] or anchor
-    assert anchor  # some of them do share it
+        shared += int(x[2][0] == y[2][0])
+    assert shared > 40
 
 
 def test_given_documents_equal_plain_versions(spark):
