@@ -9,9 +9,10 @@ from collections.abc import Callable
 import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import common as C
-from . import chosenpath, fingerprint, html, mixing, pieces, pii, quality, substringdedup, suffixdedup, tokenfile
+from . import chosenpath, divideskip, fingerprint, html, mixing, negatives, pieces, pii, quality, substringdedup, suffixdedup, tokenfile, turntrie
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +58,20 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosenpath.grouped(C.documents(spark, sf_dir), 4).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divideskip.linked(C.documents(spark, sf_dir), 3).select("doc_id", "n_shingles", "component_id")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table.withColumn("label", moved))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turntrie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_syncmer_fingerprints": op2_syncmer_fingerprints,
@@ -68,6 +83,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_token_file": op9_token_file,
     "op10_near_dedup": op10_near_dedup,
+    "op11_ngram_join": op11_ngram_join,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 # Words as runs of characters outside white space; the class is written out since DuckDB reads it alike.
@@ -106,6 +124,51 @@ SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, (len(w.ws) - coalesce(kept.n, 0))
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
+_JOIN_SQL = _NEAR_SQL.replace("ws[i:i + 3]", "ws[i:i + 2]").replace("len(ws) - 3", "len(ws) - 2").replace(">= 80 *", ">= 90 *").replace(", comp.c = d.doc_id AS kept", "")
+
+_NEGATIVES_SQL = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id, b.label, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0),
+p AS (
+  SELECT * FROM (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS k
+    FROM s WHERE label = own AND vec_id <> anchor_id) WHERE k <= 5),
+n AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS k
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.own AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT anchor_id, positive_id, k::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE k <= 10
+"""
+
+# crc32 bit by bit: a byte comes in at every eighth step
+_TRIE_SQL = r"""
+WITH c AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, '')) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+bits AS (
+  SELECT conv_id, t, list_transform(range(0, 8 * length(conv_id::VARCHAR)), lambda i: CASE WHEN i % 8 = 0 THEN ord(substr(conv_id::VARCHAR, (i // 8 + 1)::INTEGER, 1))::BIGINT ELSE 0::BIGINT END) AS b
+  FROM c),
+h AS (
+  SELECT conv_id, t, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda x, y: xor(xor(x, y) >> 1, (xor(x, y) & 1) * 3988292384)), 4294967295) % 4 AS h
+  FROM bits),
+r AS (
+  SELECT h.conv_id, list_concat(coalesce(b.t, [])[1:h.h], h.t[h.h + 1:]) AS t FROM h LEFT JOIN c b ON b.conv_id = h.conv_id - h.conv_id % 20),
+m AS (SELECT conv_id, d, t[1:d] AS k, t[d].t AS last, len(t) = d AS ends FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM r)),
+n AS (
+  SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(any_value(len(regexp_extract_all(last, '[^\x20\x09-\x0D]+'))), 0) AS words,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM m GROUP BY k, d),
+kids AS (SELECT k[1:d - 1] AS k, d - 1 AS d, count(*) AS c FROM n WHERE d > 0 GROUP BY 1, 2),
+f AS (SELECT n.*, coalesce(kids.c, 0) AS n_children FROM n LEFT JOIN kids ON kids.d = n.d AND kids.k = n.k),
+up AS (SELECT k[1:a] AS k, a AS d, (n_children = 0)::INTEGER AS leaf, (n_convs - 1) * words AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM f)),
+tot AS (SELECT k, d, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM up GROUP BY k, d)
+SELECT f.conv_id, f.d::BIGINT AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children::BIGINT AS n_children, tot.n_leaves::BIGINT AS n_leaves, tot.saved_tokens::BIGINT AS saved_tokens, f.ends_sha256
+FROM f JOIN tot ON tot.d = f.d AND tot.k = f.k LEFT JOIN f p ON p.d = f.d - 1 AND p.k = f.k[1:f.d - 1]
+"""
+
 # Bytes as pairs of hexadecimal digits, since DuckDB's texts must be UTF-8
 _BYTES_SQL = r"""
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
@@ -126,4 +189,7 @@ ORACLES: dict[str, str] = {
     "op1_suffix_dedup": _BYTES_SQL,
     "op3_substring_dedup": _SUBSTRING_SQL,
     "op10_near_dedup": _NEAR_SQL,
+    "op11_ngram_join": _JOIN_SQL,
+    "op12_hard_negatives": _NEGATIVES_SQL,
+    "op13_conversation_trie": _TRIE_SQL,
 }
