@@ -12,7 +12,7 @@ either side.
 Scores are multiplied in floating point where every partial sum is below 2^53, thus exact, else in 64-bit integers.
 
 Defined cases: rows with a null label, a null vector, or a null or non-finite component take no part, nor do those
-whose sum of squares after quantising reaches 2^62, beyond which a score may not fit a long; a missing component
+whose sum of squares after quantising reaches 2^63, beyond which a score may not fit a long; a missing component
 of a shorter vector counts as 0; a null id is no anchor, comes last among ties and is reported as null; equal scores
 are ordered by id; repeated rows are rows of their own, as anchors, positives and negatives, and the copy of an anchor
 is one of its other rows; an empty table, or one without anchors, gives no rows; other columns are ignored.
@@ -39,7 +39,7 @@ def quantised(table: DataFrame, scale: int = SCALE) -> DataFrame:
     x = F.col("embedding")
     odd = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     power = F.aggregate(x, F.lit(0.0), lambda acc, v: acc + F.pow(F.abs(v.cast("double")) * scale + 1, F.lit(2.0)))
-    rows = table.where(F.col("label").isNotNull() & x.isNotNull() & ~odd).where(power < float(1 << 62))
+    rows = table.where(F.col("label").isNotNull() & x.isNotNull() & ~odd).where(power < float(1 << 63))
     vec_id = F.col("vec_id").cast("long")
     q = F.transform(x, lambda v: F.floor(v.cast("double") * scale).cast("long"))
     rows = rows.select(vec_id.alias("vec_id"), F.col("label").cast("long").alias("label"), q.alias("q"))

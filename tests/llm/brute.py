@@ -46,7 +46,7 @@ def word_dedup(docs, width=50):
     return out
 
 
-def near_components(docs, k=4):
+def near_components(docs, k=4, like=80):
     """docs: (doc_id, text) with distinct ids; rows (doc_id, n_shingles, component_id, kept)."""
     sets = {}
     for d, t in docs:
@@ -69,7 +69,7 @@ def near_components(docs, k=4):
         return x
 
     for (a, b), c in common.items():
-        if 100 * c >= 80 * (len(sets[a]) + len(sets[b]) - c):
+        if 100 * c >= like * (len(sets[a]) + len(sets[b]) - c):
             a, b = find(a), find(b)
             up[max(a, b)] = min(a, b)
     return [(d, len(s), find(d), find(d) == d) for d, s in sets.items()]
