@@ -6,9 +6,9 @@
    segment's content are joined, copies inside a task first, and their components are the clusters: no link leaves one.
    Segments of under ``THIN`` shingles are left out where a pair must share another one as well.
 3. Search. A cluster's sets are indexed by inverted lists, its classes in order of size. For a class of n shingles and T,
-   the overlap that any partner of its size or less must reach, its lists are divided: the L longest (DivideSkip's
-   T / (mu log2 M + 1)) are set aside, the short ones merged by a heap, classes found T - L times are looked up in the
-   long lists by binary search, and those that reach the overlap of their own sizes are linked. Classes that are
+   the overlap that any partner of its size or less must reach, its lists are divided: the L longest are set aside, L
+   by least cost, the short ones merged by a heap, classes found T - L times are looked up in the long lists by
+   binary search, and those that reach the overlap of their own sizes are linked. Classes that are
    connected already are skipped before the merge, since only reachability is asked for.
 4. Clusters of more than ``CLUSTER`` classes or ``SHINGLES`` shingles are searched in parts that share some classes. Classes
    that end up outside the largest component then meet the whole cluster: few of them go with every part; of many, the
@@ -42,7 +42,7 @@ THIN = 3
 CLUSTER = 1500
 SHINGLES = 1_500_000
 SHARED = 8
-MU = 0.05
+PROBE = 80
 
 
 # ---------------------------------------------------------------- sets and classes
@@ -211,15 +211,17 @@ class Lists:
         self.code, self.start = code, np.searchsorted(code, np.arange(len(shingle) + 1) * self.m)
         self.bounds = bounds
 
-    def lists(self, q: int, low: int, skip: np.ndarray) -> list[np.ndarray]:
-        """The lists of set ``q``, cut to places from ``low`` to before ``q``; places to be skipped are left out."""
-        mine = self.of[self.bounds[q] : self.bounds[q + 1]]
-        a, b = np.searchsorted(self.code, mine * self.m + low), np.searchsorted(self.code, mine * self.m + q)
-        out = []
-        for s, e in zip(a.tolist(), b.tolist()):
-            x = self.code[s:e] % self.m
-            out.append(x[~skip[x]])
-        return out
+    def spans(self, shingles: np.ndarray, low: int, q: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the lists of some shingles hold places from ``low`` to before ``q``: begins and ends."""
+        return np.searchsorted(self.code, shingles * self.m + low), np.searchsorted(self.code, shingles * self.m + q)
+
+    def lists(self, a: np.ndarray, b: np.ndarray, skip: np.ndarray) -> list[np.ndarray]:
+        """The places of some spans, without those to be skipped; empty lists are left out."""
+        n = b - a
+        x = self.code[np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())] % self.m
+        keep = ~skip[x]
+        own = np.repeat(np.arange(len(n)), n)[keep]
+        return [p for p in np.split(x[keep], np.flatnonzero(np.diff(own)) + 1) if len(p)]
 
     def holds(self, shingles: np.ndarray, place: int) -> np.ndarray:
         """Whether the lists of some shingles hold a place, each by binary search."""
@@ -228,10 +230,15 @@ class Lists:
         return self.code[at] == want
 
 
-def divided(sizes: np.ndarray, overlap: int, mu: float = MU) -> int:
-    """How many of the longest lists DivideSkip sets aside."""
-    longest = int(sizes.max(initial=0))
-    return min(overlap - 1, int(overlap / (mu * np.log2(max(longest, 2)) + 1)), len(sizes))
+def divided(sizes: np.ndarray, overlap: int, probe: int = PROBE) -> int:
+    """How many of the longest lists to set aside; sizes ascend.
+
+    DivideSkip's trade-off, from the lists' own sizes: with L set aside, the others have S(L) entries to merge and at
+    most S(L) / (T - L) candidates to look up, each as dear as ``probe`` entries.
+    """
+    aside = np.arange(min(overlap, len(sizes) + 1))
+    merged = np.concatenate([[0], np.cumsum(sizes)])[len(sizes) - aside]
+    return int(np.argmin(merged * (1 + probe / (overlap - aside))[: len(aside)]))
 
 
 def occurrences(lists: list[np.ndarray]) -> list[tuple[int, int]]:
@@ -265,35 +272,37 @@ def joined(value: np.ndarray, bounds: np.ndarray, like: int, fresh: np.ndarray)
         a, b = known[a], known[b]
         known[known == max(a, b)] = min(a, b)
 
+    hits = np.zeros(len(n), np.int64)
     for q in range(1, len(n)):
-        low = int(np.searchsorted(n, -(-int(n[q]) * like // 100)))
+        overlap = max(1, -(-int(n[q]) * like // 100))
+        low = int(np.searchsorted(n, overlap))
         if low >= q:
             continue
-        overlap = max(1, -(-int(n[q]) * like // 100))
-        mine = index.of[bounds[q] : bounds[q + 1]]
-        # the latest set of the largest component in reach, tried first: most copies of a common text hang on it
-        near = known[low:q]
-        comp, first = np.unique(near[::-1], return_index=True)
-        for c, back in sorted(zip(comp.tolist(), first.tolist()), key=lambda x: x[1])[:1]:
-            place = q - 1 - back
-            if c != known[q]:
-                both = int(index.holds(mine, place).sum())
-                if 100 * both >= like * (int(n[q]) + int(n[place]) - both):
-                    connect(q, place)
+        mine = index.of[bounds[q] : bounds[q + 1]].astype(np.int64)
+
+        def near(place: int, count: int, left: np.ndarray) -> bool:
+            """Whether a set of ``count`` common shingles, and those of the lists ``left``, is linked with q; then they are connected."""
+            both = count + int(index.holds(left, place).sum())
+            linked = 100 * both >= like * (int(n[q]) + int(n[place]) - both)
+            if linked:
+                hits[place] += 1
+                connect(q, place)
+            return linked
+
+        # the set that most others hang on, and the one before, are tried first: their components need no search then
+        for place in (low + int(hits[low:q].argmax()), q - 1):
+            if known[place] != known[q]:
+                near(place, 0, mine)
         skip = known == known[q]
         if skip[low:q].all():
             continue
-        lists = index.lists(q, low, skip)
-        sizes = np.array([len(x) for x in lists])
-        order = np.argsort(sizes, kind="stable")
-        n_long = divided(sizes, overlap)
-        short, long = order[: len(order) - n_long], mine[order[len(order) - n_long :]]
-        for place, count in occurrences([lists[i] for i in short.tolist()]):
-            if count < overlap - n_long or known[place] == known[q]:
-                continue
-            both = count + (int(index.holds(long, place).sum()) if n_long else 0)
-            if 100 * both >= like * (int(n[q]) + int(n[place]) - both):
-                connect(q, place)
+        a, b = index.spans(mine, low, q)
+        order = np.argsort(b - a, kind="stable")
+        aside = divided((b - a)[order], overlap)
+        short, long = order[: len(order) - aside], mine[order[len(order) - aside :]]
+        for place, count in occurrences(index.lists(a[short], b[short], skip)):
+            if count >= overlap - aside and known[place] != known[q]:
+                near(place, count, long)
     for i, c in enumerate(known.tolist()):
         u.join(i, c)
     return u
@@ -336,7 +345,7 @@ CLASS = ["set_id", "doc", "key", "root", "part", "fresh"]
 
 
 def _searched(dealt: DataFrame, texts: DataFrame, k: int, like: int) -> DataFrame:
-    rows = texts.join(dealt.select(CLASS), ["doc", "key"]).repartition("root", "part").sortWithinPartitions("root", "part", "set_id")
+    rows = texts.join(dealt.select(CLASS).hint("merge"), ["doc", "key"]).repartition("root", "part").sortWithinPartitions("root", "part", "set_id")
     return rows.select("root", "part", "set_id", "text", "fresh").mapInArrow(C.released(_search(k, like)), "u long, v long").where("u <> v")
 
 
