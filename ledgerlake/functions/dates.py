@@ -63,9 +63,17 @@ def _named(text: Column, pattern: str, day: int, month: int, year: int) -> Colum
     return F.try_to_date(s, "d-MMM-yyyy")
 
 
+def _once(value: Column, body) -> Column:
+    """``body`` of a value that is named once, however often it is used there: the expression stays small."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def parse_as_of(text: Column) -> Column:
     """The as-of date of a banner: labelled day number, ISO, day-month-year, month-day-year, numeric (day first), else the last month and year, as its end."""
-    t = F.regexp_replace(F.replace(F.coalesce(text, F.lit("")), F.lit("_"), F.lit(" ")), r"(?i)(\d)(?:st|nd|rd|th)\b", "$1")
+    return _once(F.regexp_replace(F.replace(F.coalesce(text, F.lit("")), F.lit("_"), F.lit(" ")), r"(?i)(\d)(?:st|nd|rd|th)\b", "$1"), _as_of)
+
+
+def _as_of(t: Column) -> Column:
     serial = serial_date(F.regexp_extract(t, r"(?i)as\s+(?:on|at|of)\D{0,12}\b(\d{5})\b", 1).try_cast("int"))
     iso = F.try_to_date(_group(t, r"\b(20\d{2})-(\d{2})-(\d{2})\b", 1, 2, 3), "yyyy-MM-dd")
     dmy = _named(t, rf"(?i)\b(\d{{1,2}})[\s\-.,]*({_MONTH})[\s\-.,]*(20\d{{2}}|\d{{2}})\b", 1, 2, 3)

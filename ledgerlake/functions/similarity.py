@@ -39,12 +39,13 @@ def token_set(a: str, b: str) -> float:
 
 
 def partial(a: str, b: str) -> float:
-    """The best likeness of the shorter text to any stretch of the longer one."""
+    """The best likeness of the shorter text to any stretch of the longer one; of texts of one length, either way round."""
     short, long = sorted((a, b), key=len)
     if not short:
         return 100.0 if not long else 0.0
     n = len(short)
-    return max(indel(short, long[max(0, i) : i + n]) for i in range(1 - n, len(long)))
+    ways = [(short, long)] if n < len(long) else [(a, b), (b, a)]
+    return max(indel(x, y[max(0, i) : i + n]) for x, y in ways for i in range(1 - n, len(y)))
 
 
 def name_score(a: str, b: str) -> float:

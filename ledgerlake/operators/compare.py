@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text
 from ..functions.numbers import pct, within_tolerance
 from ..rules import ordered_case
+from .likeness import alike_pairs, greedy
 
 
 def full_compare(ours: DataFrame, theirs: DataFrame, keys: list[str], weight: str) -> DataFrame:
@@ -16,6 +18,35 @@ def full_compare(ours: DataFrame, theirs: DataFrame, keys: list[str], weight: st
     return both.withColumn("status", ordered_case([(F.col("theirs").isNull(), "ours_only"), (F.col("ours").isNull(), "theirs_only"), (within_tolerance(F.col("ours"), F.col("theirs")), "match")], "off"))
 
 
+def vendor_compare(ours: DataFrame, theirs: DataFrame, book: str, cutoff: float = 88.0, leftover: float = 0.05) -> DataFrame:
+    """Our holdings against a vendor's, one to one inside a book: book, ours, theirs, score, our_weight, their_weight, status.
+
+    Equal normalised names pair up in order; the rest by likeness of their sorted words, ``cutoff`` or more, the best
+    pair first (ties: the lesser of our ids, then of theirs), so no holding is used twice. Weights agree within
+    tolerance (``match``) or don't (``off``; a missing weight agrees). Unpaired: ``ours_only``, ``theirs_only``; a
+    vendor's leftover of under ``leftover`` per cent is ``negligible``. Both sides hold book, id, name, weight, ids
+    being unique; rows without a name are left out.
+    """
+
+    def side(d: DataFrame) -> DataFrame:
+        d = d.select(F.col(book).alias("book"), "id", text.norm_text(F.col("name")).alias("norm"), "name", "weight").where("norm <> ''")
+        return d.withColumn("nth", F.row_number().over(Window.partitionBy("book", "norm").orderBy("id")))
+
+    a, b = side(ours), side(theirs)
+    equal = a.select("book", "norm", "nth", "id").join(b.select("book", "norm", "nth", F.col("id").alias("other")), ["book", "norm", "nth"])
+    equal = equal.select("book", "id", "other", F.lit(100.0).alias("score"))
+    left = a.join(equal, ["book", "id"], "left_anti").select("id", "book", "name")
+    right = b.join(equal.select("book", F.col("other").alias("id")), ["book", "id"], "left_anti").select("id", "book", "name")
+    alike = alike_pairs(left, right, "book", cutoff).join(left.select("id", "book"), "id")
+    pairs = equal.unionByName(greedy(alike, "book").select("book", "id", "other", "score"))
+    o = a.select("book", "id", F.col("weight").alias("our_weight")).join(pairs, ["book", "id"], "left")
+    t = b.select("book", F.col("id").alias("other"), F.col("weight").alias("their_weight"))
+    out = o.join(t, ["book", "other"], "full_outer")
+    agree = F.coalesce(within_tolerance(F.col("their_weight"), F.col("our_weight")), F.lit(True))
+    status = ordered_case([(F.col("other").isNull(), "ours_only"), (F.col("id").isNull() & (F.abs("their_weight") < leftover), "negligible"), (F.col("id").isNull(), "theirs_only"), (agree, "match")], "off")
+    return out.select("book", F.col("id").alias("ours"), F.col("other").alias("theirs"), "score", "our_weight", "their_weight", status.alias("status"))
+
+
 def coverage(universe: DataFrame, present: DataFrame, key: str, slice_: str, group: Column) -> DataFrame:
     """Per slice and group, and over all groups: members present, members, and the share in per cent."""
     members = universe.select(key, group.alias("grp"))

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names, text
-from ..functions.similarity import name_match_score, token_sort_ratio
+from ..functions.similarity import token_sort_ratio
 from ..rules import first_by
+from .likeness import best_alike
 
 
 def structure_conflict(a: Column, b: Column) -> Column:
@@ -69,11 +70,10 @@ def contained(labels: DataFrame, master: DataFrame, block: str, cutoff: float =
 
 
 def fuzzy(labels: DataFrame, master: DataFrame, block: str, cutoff: float = 84.0) -> DataFrame:
-    """The best likeness match of each label in its block, for what is left after cheaper tests."""
-    a = labels.withColumn("__a", text.norm_text(F.col("label")))
-    b = master.withColumn("__b", text.norm_text(F.col("name")))
-    pairs = a.join(b, block).where(~structure_conflict(F.col("label"), F.col("name"))).withColumn("score", name_match_score("__a", "__b")).where(F.col("score") >= cutoff)
-    return first_by(pairs, ["label_id"], [F.col("score").desc(), F.length("__b").desc(), F.col("code")]).drop("__a", "__b")
+    """label_id, code, score: the likeliest master name of each label in its block, for what is left after cheaper tests."""
+    left = labels.select(F.col("label_id").alias("id"), block, F.col("label").alias("name"))
+    right = master.select(F.col("code").alias("id"), block, "name")
+    return best_alike(left, right, block, cutoff).select(F.col("id").alias("label_id"), F.col("other").alias("code"), "score")
 
 
 def cascade(labels: DataFrame, master: DataFrame, shortcodes: DataFrame, block: str) -> DataFrame:
@@ -102,11 +102,12 @@ def unmatched(master: DataFrame, matches: DataFrame) -> DataFrame:
 
 def new_parents(parents: DataFrame, known: DataFrame, labels: DataFrame, mapped: DataFrame, block: str) -> DataFrame:
     """Parents not known yet with their best label (2 points less for labels mapped already) and what to do: bind from 95, review from 90, else add."""
-    fresh = parents.join(known.select("code"), "code", "left_anti").withColumn("__b", text.norm_text(F.col("name")))
-    cand = labels.join(mapped.select("label_id", F.lit(2.0).alias("__less")), "label_id", "left").withColumn("__a", text.norm_text(F.col("label")))
-    pairs = fresh.join(cand, block).withColumn("score", name_match_score("__a", "__b") - F.coalesce("__less", F.lit(0.0)))
-    best = first_by(pairs, ["code"], [F.col("score").desc(), F.col("label_id")]).select("code", "label_id", "score")
-    out = fresh.drop("__b").join(best, "code", "left")
+    fresh = parents.join(known.select("code"), "code", "left_anti")
+    less = labels.join(mapped.select("label_id", F.lit(2.0).alias("less")).distinct(), "label_id", "left").na.fill(0.0, ["less"])
+    left = fresh.select(F.col("code").alias("id"), block, "name")
+    right = less.select(F.col("label_id").alias("id"), block, F.col("label").alias("name"), "less")
+    best = best_alike(left, right, block, -100.0, strict=False, longest=False)
+    out = fresh.join(best.select(F.col("id").alias("code"), F.col("other").alias("label_id"), "score"), "code", "left")
     return out.withColumn("action", F.when(F.col("score") >= 95, "bind").when(F.col("score") >= 90, "review").otherwise("add"))
 
 

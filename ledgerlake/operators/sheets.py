@@ -113,22 +113,42 @@ def row_as_of(cells: Column) -> Column:
     return F.when(has(joined, WEAK_LABEL) & ~has(joined, NOT_AS_OF), F.coalesce(dates.parse_as_of(joined), first))
 
 
+def first_as_of(day: str, joined: str, row_no: str) -> Column:
+    """Of a sheet's rows with a day: the first strong banner's, else the first weak label's."""
+    return F.min_by(day, F.when(F.col(day).isNotNull(), F.struct((~has(F.col(joined), STRONG_BANNER)).cast("int"), row_no)))
+
+
+def joined_cells(cells: Column) -> Column:
+    return F.array_join(F.filter(cells, lambda c: F.length(c) > 0), " | ")
+
+
 def sheet_as_of(grid: DataFrame, keys: list[str], row_no: str = "row_no") -> DataFrame:
-    """Each sheet's as-of date: the first strong banner's among its first rows, else the first weak label's."""
-    joined = F.array_join(F.filter("cells", lambda c: F.length(c) > 0), " | ")
-    told = grid.where(F.col(row_no) < AS_OF_ROWS).withColumn("__d", row_as_of(F.col("cells"))).withColumn("__weak", (~has(joined, STRONG_BANNER)).cast("int"))
-    return told.groupBy(*keys).agg(F.min_by("__d", F.when(F.col("__d").isNotNull(), F.struct("__weak", row_no))).alias("as_of"))
+    """Each sheet's as-of date, from its first rows."""
+    told = grid.where(F.col(row_no) < AS_OF_ROWS).withColumn("__j", joined_cells(F.col("cells"))).where(has("__j", WEAK_LABEL))
+    return told.withColumn("__d", row_as_of(F.col("cells"))).groupBy(*keys).agg(first_as_of("__d", "__j", row_no).alias("as_of"))
+
+
+TITLE_ROWS = 12
+
+
+def row_title(cells: Column) -> Column:
+    """The scheme that a row names: in its first cell that names one, or what a statement banner names."""
+
+    def title(c: Column) -> Column:
+        cell = F.trim(c)
+        named = F.nullif(F.regexp_replace(F.regexp_extract(cell, r"(?i)portfolio\s+statement\s+of\s+(.+?)\s+as\s+on\b", 1), r"^[ \-–—]+|[ \-–—]+$", ""), F.lit(""))
+        noise = has(cell, r"registration\s+no|registered\s+office|toll\s+free|mutual\s+fund$|open\s+ended|name\s+of\s+the\s+instrument|portfolio\s+(statement|as\s+on)")
+        fund = has(cell, r"\b(fund|etf|fof|index|scheme|liquid|overnight|arbitrage|momentum|quality|nifty|sensex|nasdaq)\b") & (header_score(F.array(cell)) < 0)
+        return F.coalesce(F.when(~has(named, r"registration\s+no"), named), F.when(~noise & fund, cell))
+
+    long = F.filter(cells, lambda c: F.length(F.trim(c)) >= 6)
+    return F.try_element_at(F.filter(F.transform(long, title), lambda t: t.isNotNull()), F.lit(1))
 
 
 def title_of(grid: DataFrame, keys: list[str], row_no: str = "row_no") -> DataFrame:
-    """Each sheet's scheme title: of the first rows, the first cell that names one, or what a statement banner names."""
-    cell = F.trim(F.col("cell"))
-    named = F.nullif(F.regexp_replace(F.regexp_extract(cell, r"(?i)portfolio\s+statement\s+of\s+(.+?)\s+as\s+on\b", 1), r"^[ \-–—]+|[ \-–—]+$", ""), F.lit(""))
-    noise = has(cell, r"registration\s+no|registered\s+office|toll\s+free|mutual\s+fund$|open\s+ended|name\s+of\s+the\s+instrument|portfolio\s+(statement|as\s+on)")
-    fund = has(cell, r"\b(fund|etf|fof|index|scheme|liquid|overnight|arbitrage|momentum|quality|nifty|sensex|nasdaq)\b") & (header_score(F.array(cell)) < 0)
-    title = F.coalesce(F.when(~has(named, r"registration\s+no"), named), F.when(~noise & fund, cell))
-    cells = grid.where(F.col(row_no) < 12).select(*keys, row_no, F.posexplode("cells").alias("col_no", "cell")).where(F.length(F.trim("cell")) >= 6)
-    return cells.withColumn("__t", title).groupBy(*keys).agg(F.min_by("__t", F.when(F.col("__t").isNotNull(), F.struct(row_no, "col_no"))).alias("title"))
+    """Each sheet's scheme title: that of the first of its first rows that names one."""
+    rows = grid.where(F.col(row_no) < TITLE_ROWS).withColumn("__t", row_title(F.col("cells")))
+    return rows.groupBy(*keys).agg(F.min_by("__t", F.when(F.col("__t").isNotNull(), F.col(row_no))).alias("title"))
 
 
 def sheet_shortcode(tab: Column, a1: Column, b1: Column) -> Column:

@@ -6,13 +6,14 @@ import io
 import re
 import zipfile
 from xml.etree import ElementTree
+from xml.sax.saxutils import escape
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_ROWS, MAX_COLS = 20_000, 80
-GRID = "file string, sheet_no int, sheet string, row_no int, cells array<string>, error string"
+GRID = "file string, sheet_no int, sheet string, row_no int, cells array<string>, error string, size int"
 _REF = re.compile(r"([A-Z]+)(\d+)")
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -107,16 +108,63 @@ def _grids(batches):
                 for name, raw in books:
                     for k, (sheet, rows) in enumerate(sheets(raw)):
                         for i, cells in enumerate(rows):
-                            for c, v in zip(cols.values(), (name, k, sheet, i, cells, None)):
+                            for c, v in zip(cols.values(), (name, k, sheet, i, cells, None, len(raw))):
                                 c.append(v)
             except (zipfile.BadZipFile, KeyError, ElementTree.ParseError, OSError) as e:
-                for c, v in zip(cols.values(), (path, None, None, None, None, f"{type(e).__name__}: {e}"[:200])):
+                for c, v in zip(cols.values(), (path, None, None, None, None, f"{type(e).__name__}: {e}"[:200], len(content))):
                     c.append(v)
-            yield pa.RecordBatch.from_pydict(cols, pa.schema([("file", pa.string()), ("sheet_no", pa.int32()), ("sheet", pa.string()), ("row_no", pa.int32()), ("cells", pa.list_(pa.string())), ("error", pa.string())]))
+            yield pa.RecordBatch.from_pydict(cols, pa.schema([("file", pa.string()), ("sheet_no", pa.int32()), ("sheet", pa.string()), ("row_no", pa.int32()), ("cells", pa.list_(pa.string())), ("error", pa.string()), ("size", pa.int32())]))
+
+
+def grids(files: DataFrame) -> DataFrame:
+    """All cells of files (path, content), members of archives as ``path!member``; a file that can't be read gives its reason in ``error``."""
+    return files.select("path", "content").mapInArrow(_grids, GRID)
 
 
 def read(spark: SparkSession, path: str, glob: str = "*") -> tuple[DataFrame, DataFrame]:
     """(grid of all cells, files that couldn't be read with the reason)."""
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
-    every = raw.select("path", "content").mapInArrow(_grids, GRID)
-    return every.where("error is null").drop("error"), every.where("error is not null").select("file", "error")
+    every = grids(spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path))
+    return every.where("error is null").drop("error", "size"), every.where("error is not null").select("file", "error")
+
+
+_PARTS = {
+    "[Content_Types].xml": '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>{types}</Types>',
+    "_rels/.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" Target="xl/workbook.xml"/></Relationships>',
+    "xl/workbook.xml": '<workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets>{sheets}</sheets></workbook>',
+    "xl/_rels/workbook.xml.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">{rels}</Relationships>',
+}
+
+
+def _column(i: int) -> str:
+    return (_column(i // 26 - 1) if i >= 26 else "") + chr(65 + i % 26)
+
+
+def book_bytes(sheets: list[tuple[str, list[list]]]) -> bytes:
+    """A workbook of (name, rows): numbers as values, everything else as inline text, empty cells left out."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        numbered = [(i, escape(n, {'"': "&quot;"})) for i, (n, _) in enumerate(sheets, 1)]
+        fill = {
+            "types": "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>' for i, _ in numbered),
+            "sheets": "".join(f'<sheet name="{n}" sheetId="{i}" r:id="rId{i}"/>' for i, n in numbered),
+            "rels": "".join(f'<Relationship Id="rId{i}" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" Target="worksheets/sheet{i}.xml"/>' for i, _ in numbered),
+        }
+        for name, part in _PARTS.items():
+            for k, v in fill.items():
+                part = part.replace(f"{{{k}}}", v)
+            z.writestr(name, part)
+        for i, (_, rows) in enumerate(sheets, 1):
+            lines = []
+            for r, row in enumerate(rows, 1):
+                cells = [(f"{_column(c)}{r}", v) for c, v in enumerate(row) if v is not None and v != ""]
+                lines.append(f'<row r="{r}">' + "".join(f'<c r="{at}"><v>{v}</v></c>' if isinstance(v, (int, float)) else f'<c r="{at}" t="inlineStr"><is><t xml:space="preserve">{escape(str(v))}</t></is></c>' for at, v in cells) + "</row>")
+            z.writestr(f"xl/worksheets/sheet{i}.xml", f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{"".join(lines)}</sheetData></worksheet>')
+    return out.getvalue()
+
+
+def archive_bytes(files: list[tuple[str, bytes]]) -> bytes:
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, content in files:
+            z.writestr(name, content)
+    return out.getvalue()
