@@ -45,9 +45,28 @@ def containment_match(t):
     return matching.contained(labels, master, "block", 100.0).select("label_id", "code", "score")
 
 
-@query("fuzzy_match_block")
+_INDEL = """(CASE WHEN length({a}) + length({b}) = 0 THEN 100.0 ELSE 200.0 * bit_count(xor((1::BIGINT << length({a})) - 1, list_reduce(list_prepend((1::BIGINT << length({a})) - 1,
+    list_transform(string_split({b}, ''), lambda c: coalesce(list_sum(list_transform(range(0, length({a})), lambda i: CASE WHEN substr({a}, (i + 1)::INTEGER, 1) = c THEN 1::BIGINT << i::INTEGER ELSE 0::BIGINT END)), 0)::BIGINT)),
+    lambda r, m: ((r + (r & m)) | (r - (r & m))) & ((1::BIGINT << length({a})) - 1)))) / (length({a}) + length({b})) END)"""
+
+# the mixed score of every pair of names of a block; l: (id, block, n) labels, r: (id, block, n) names
+_SCORED = f"""
+pairs AS (SELECT DISTINCT l.n AS x, r.n AS y FROM l JOIN r USING (block)),
+w AS (SELECT x, y, list_sort(string_split(x, ' ')) AS xs, list_sort(string_split(y, ' ')) AS ys FROM pairs),
+sets AS (SELECT *, array_to_string(list_sort(list_intersect(xs, ys)), ' ') AS shared, array_to_string(list_sort(list_distinct(list_filter(xs, lambda v: NOT list_contains(ys, v)))), ' ') AS lx, array_to_string(list_sort(list_distinct(list_filter(ys, lambda v: NOT list_contains(xs, v)))), ' ') AS ly FROM w),
+full_sets AS (SELECT *, array_to_string(xs, ' ') AS sx, array_to_string(ys, ' ') AS sy, trim(shared || ' ' || lx) AS fx, trim(shared || ' ' || ly) AS fy FROM sets),
+st AS (SELECT x, y, {_INDEL.format(a="sx", b="sy")} AS s, CASE WHEN shared <> '' AND (lx = '' OR ly = '') THEN 100.0 ELSE greatest(CASE WHEN shared <> '' THEN greatest({_INDEL.format(a="shared", b="fx")}, {_INDEL.format(a="shared", b="fy")}) ELSE 0 END, {_INDEL.format(a="fx", b="fy")}) END AS t FROM full_sets),
+ways AS (SELECT x, y, CASE WHEN length(x) <= length(y) THEN x ELSE y END AS a, CASE WHEN length(x) <= length(y) THEN y ELSE x END AS b FROM pairs UNION ALL SELECT x, y, y, x FROM pairs WHERE length(x) = length(y)),
+win AS (SELECT x, y, a, substr(b, (greatest(k, 0) + 1)::INTEGER, (length(a) + least(k, 0))::INTEGER) AS part FROM (SELECT *, unnest(range(1 - length(a), length(b))) AS k FROM ways)),
+p AS (SELECT x, y, max({_INDEL.format(a="a", b="part")}) AS p FROM (SELECT DISTINCT * FROM win) GROUP BY x, y),
+scored AS (SELECT x, y, (0.55 * s + 0.25 * t + 0.20 * p) * CASE WHEN least(length(x), length(y)) < 0.55 * greatest(length(x), length(y)) AND t > s + 15 THEN 0.75 ELSE 1 END AS score FROM st JOIN p USING (x, y))"""
+
+
+@query("fuzzy_match_block", f"""
+WITH l AS (SELECT s_suppkey AS id, s_nationkey AS block, replace(lower(s_name), '#', ' ') AS n FROM supplier), r AS (SELECT c_custkey AS id, c_nationkey AS block, replace(lower(c_name), '#', ' ') AS n FROM customer), {_SCORED}
+SELECT l.id AS label_id, r.id AS code, round(score, 4) AS score FROM l JOIN r USING (block) JOIN scored ON x = l.n AND y = r.n WHERE score >= 40 QUALIFY row_number() OVER (PARTITION BY l.id ORDER BY score DESC, length(r.n) DESC, r.id) = 1""")
 def fuzzy_match_block(t):
-    """Likeness of supplier and customer names inside their nation."""
+    """Likeness of supplier and customer names inside their nation: all of a nation's customers compete."""
     a = t.supplier.select(F.col("s_suppkey").alias("label_id"), F.col("s_nationkey").alias("block"), F.col("s_name").alias("label"))
     b = t.customer.select(F.col("c_custkey").alias("code"), F.col("c_nationkey").alias("block"), F.col("c_name").alias("name"))
     return matching.fuzzy(a, b, "block", 40.0).select("label_id", "code", F.round("score", 4).alias("score"))
@@ -241,11 +260,21 @@ def sql_surface(t):
     return t.spark.sql("SELECT l_returnflag, l_linestatus, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS qty FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY 1, 2")
 
 
-@query("new_parents_action")
+@query("new_parents_action", f"""
+WITH names AS (SELECT p_partkey AS k, p_name || ' ' || lower(p_type) || ' ' || (p_partkey % 40) AS n, p_brand AS block FROM part),
+r AS (SELECT k AS id, block, n FROM names WHERE k % 3 > 0),
+l AS (SELECT k AS id, block, CASE WHEN k % 5 = 0 THEN n || ' fund' WHEN k % 5 = 1 THEN substr(n, 3) ELSE reverse(n) END AS n FROM names WHERE k % 7 < 2), {_SCORED},
+best AS (SELECT r.id AS code, l.id AS label_id, score - CASE WHEN l.id % 2 = 0 THEN 2 ELSE 0 END AS score FROM r JOIN l USING (block) JOIN scored ON x = l.n AND y = r.n QUALIFY row_number() OVER (PARTITION BY r.id ORDER BY score - CASE WHEN l.id % 2 = 0 THEN 2 ELSE 0 END DESC, l.id) = 1)
+SELECT r.id AS code, label_id, round(score, 4) AS score, CASE WHEN score >= 95 THEN 'bind' WHEN score >= 90 THEN 'review' ELSE 'add' END AS action FROM r LEFT JOIN best ON best.code = r.id""")
 def new_parents_action(t):
-    parents = t.supplier.select(F.col("s_suppkey").alias("code"), F.col("s_nationkey").alias("block"), F.col("s_name").alias("name"))
-    labels = t.customer.select(F.col("c_custkey").alias("label_id"), F.col("c_nationkey").alias("block"), F.col("c_name").alias("label"))
-    return matching.new_parents(parents, parents.where("code % 3 = 0"), labels, labels.where("label_id % 2 = 0"), "block").groupBy("action").agg(F.count("*").alias("n"))
+    """Parts as parents, two in three not known; labels are shortened, lengthened or unlike names of the brand's parts, every other one mapped."""
+    k = F.col("p_partkey")
+    name = F.concat_ws(" ", "p_name", F.lower("p_type"), k % 40)
+    parents = t.part.select(k.alias("code"), F.col("p_brand").alias("block"), name.alias("name"))
+    said = F.when(k % 5 == 0, F.concat(name, F.lit(" fund"))).when(k % 5 == 1, F.substr(name, F.lit(3))).otherwise(F.reverse(name))
+    labels = t.part.where("p_partkey % 7 < 2").select(k.alias("label_id"), F.col("p_brand").alias("block"), said.alias("label"))
+    out = matching.new_parents(parents, parents.where("code % 3 = 0"), labels, labels.where("label_id % 2 = 0"), "block")
+    return out.select("code", "label_id", F.round("score", 4).alias("score"), "action")
 
 
 _LISTING = """

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import compare, families
 from ..sources import workbook
+from .market import _INDEL
 from .registry import query, real
 
 _FAMILY_OF = ("sebi_title", "cams", "uti_mega", "tab", "tab_coded", "untabbed")
@@ -96,11 +97,7 @@ def family_rejects(t):
 
 # ---------------------------------------------------------------- vendor comparison
 
-# likeness of sorted words: bits of a's characters still unmatched, one step for each character of b
 _SORTED = "array_to_string(list_sort(string_split({0}, ' ')), ' ')"
-_INDEL = """200.0 * bit_count(xor((1::BIGINT << length({a})) - 1, list_reduce(list_prepend((1::BIGINT << length({a})) - 1,
-    list_transform(string_split({b}, ''), lambda c: coalesce(list_sum(list_transform(range(0, length({a})), lambda i: CASE WHEN substr({a}, (i + 1)::INTEGER, 1) = c THEN 1::BIGINT << i::INTEGER ELSE 0::BIGINT END)), 0)::BIGINT)),
-    lambda r, m: ((r + (r & m)) | (r - (r & m))) & ((1::BIGINT << length({a})) - 1)))) / (length({a}) + length({b}))"""
 
 _VENDOR_SQL = rf"""
 WITH RECURSIVE o AS (
