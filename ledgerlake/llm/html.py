@@ -6,18 +6,21 @@ are never main text; the main text is the article's blocks where a page has any,
 that the suffix arrays find to be boilerplate:
 
 1. Every block of every page gives up to four keys, its first and its last run of ``MIN_RUN`` tokens and its least in
-   two orders (the whole of a shorter block); a block all of whose keys stand on fewer than ``MIN_PAGES`` pages of its host is
-   unique to its page and stays. Marked blocks are evidence too: a notice that one page marks tells of its copies.
-2. The others' token streams are concatenated, ``GROUP`` pages of a host at a time, and their suffix array gives all
-   runs of ``MIN_RUN`` tokens with the distinct pages of each; longer runs are chains of these. The groups' counts are
-   summed over the host, so groups change no result.
-3. A loose block goes where runs found on ``MIN_PAGES`` pages or more cover half of it; an article's block, where runs
-   found on as many and on ``ARTICLE_SHARE`` of the host's distinct articles cover all of it. Pages with an article
-   are counted among themselves, and so are those without.
+   two orders (the whole of a shorter block); a page's loose blocks also give the least of any ``LONG`` tokens. A block
+   all of whose keys stand on fewer than ``MIN_PAGES`` pages of its host is unique to its page and stays. Marked blocks
+   are evidence too: a notice that one page marks tells of its copies.
+2. The others' token streams are concatenated, ``GROUP`` pages or ``GROUP_BYTES`` of a host at a time, and their suffix
+   array gives all runs of ``MIN_RUN`` and of ``LONG`` tokens with the distinct pages of each; longer runs are chains
+   of these. The groups' counts are summed over the host, so groups change no result.
+3. A loose block goes where short runs found on ``MIN_PAGES`` pages or more cover half of it; of the others, what long
+   runs found on as many pages cover is taken out, and their unique runs stay, joined by a space. An article's block
+   goes only as a whole, where short runs found on ``ARTICLE_PAGES`` of the host's distinct articles and on
+   ``ARTICLE_SHARE`` of them cover all of it: a few articles that share a heading are no evidence. Pages with an
+   article are counted among themselves, and so are those without.
 
 Pages whose texts are copies of one another count once, so that a copied article isn't taken for boilerplate. Copies
 are dropped before they meet, so no group grows with them; html is read again instead of being shuffled where the
-blocks asked for are few enough to be broadcast (``ASKED`` pages, counted).
+blocks asked for are few enough to be broadcast (``ASKED_BYTES``, counted).
 
 Defined cases: null html or one without text gives an empty text; a null url is a host of its own; repeated rows
 count once as evidence and each get their text; a very long page is one row's work, in time that grows with its
@@ -39,10 +42,14 @@ from pyspark.sql import functions as F
 from . import common as C
 
 MIN_RUN = 4
+LONG = 12
 MIN_PAGES = 3
 GROUP = 200
-ASKED = 200_000
+GROUP_BYTES = 8 << 20
+ASKED_BYTES = 32 << 20
+ARTICLE_PAGES = 8
 ARTICLE_SHARE = 0.5
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 # Element names and class words, in alphabetical order
 DROPPED = frozenset("aside button datalist dialog footer form frame head iframe input label menu nav noscript option script select style svg template textarea title".split())
@@ -246,19 +253,19 @@ def suffix_array(tokens: np.ndarray, deep: int | None = None) -> tuple[np.ndarra
     return sa, lcp
 
 
-def _pages_of_runs(tokens: np.ndarray, page: np.ndarray, min_run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(suffix array, its groups of suffixes that share ``min_run`` tokens, distinct pages of each group); page -1: a separator."""
-    sa, lcp = suffix_array(tokens, min_run)
-    group = np.cumsum(lcp < min_run) - 1
+def _pages_of_runs(sa: np.ndarray, lcp: np.ndarray, page: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
+    """(groups of neighbouring suffixes that share ``run`` tokens, distinct pages of each group); page -1: a separator."""
+    group = np.cumsum(lcp < run) - 1
     pairs = np.unique(group * (int(page.max()) + 2) + page[sa] + 1)
-    return sa, group, np.bincount(pairs // (int(page.max()) + 2), minlength=int(group[-1]) + 1)
+    return group, np.bincount(pairs // (int(page.max()) + 2), minlength=int(group[-1]) + 1)
 
 
 def repeated(tokens: np.ndarray, page: np.ndarray, min_run: int = MIN_RUN, min_pages: int = MIN_PAGES) -> np.ndarray:
     """Marks of tokens that lie in a run of ``min_run`` tokens found on ``min_pages`` distinct pages (page -1: a separator)."""
     if len(tokens) == 0:
         return np.zeros(0, bool)
-    sa, group, pages = _pages_of_runs(tokens, page, min_run)
+    sa, lcp = suffix_array(tokens, min_run)
+    group, pages = _pages_of_runs(sa, lcp, page, min_run)
     return _covered(len(tokens), sa[(pages[group] >= min_pages) & (page[sa] >= 0)], min_run)
 
 
@@ -293,23 +300,31 @@ class _Group:
         self.of_token = np.where(real, self.page[self.owner], -1)
         values = np.zeros(len(real), np.uint64)
         values[real] = hashes
-        at = np.arange(len(real))
-        self.runs = at[at + MIN_RUN <= self.ends[self.owner]]  # starts of runs that lie in a block
-        self.run_hash = C.window_hashes(values, MIN_RUN)[self.runs].view(np.int64) if len(self.runs) else np.zeros(0, np.int64)
+        self.runs, self.run_hash = self._runs(values, MIN_RUN)
+        self.longs, self.long_hash = self._runs(values, LONG)
         self.short = np.flatnonzero(size < MIN_RUN)
         self.short_hash = C.range_hashes(data, offsets[self.short], offsets[self.short + 1]).view(np.int64)
 
+    def _runs(self, values: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
+        """(starts, hashes) of the runs that lie in a block."""
+        at = np.arange(len(values))
+        at = at[at + run <= self.ends[self.owner]]
+        return at, C.window_hashes(values, run)[at].view(np.int64) if len(at) else np.zeros(0, np.int64)
+
     def counts(self) -> tuple[np.ndarray, np.ndarray]:
         """(hashes of the runs and short blocks, distinct pages of each)."""
         if len(self.tokens) == 0:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        sa, group, pages = _pages_of_runs(self.tokens, self.of_token, MIN_RUN)
-        of = np.empty(len(sa), np.int64)
-        of[sa] = group
-        _, one = np.unique(of[self.runs], return_index=True)
+        sa, lcp = suffix_array(self.tokens, LONG)
         pairs = np.unique(np.stack([self.short_hash, self.page[self.short]]), axis=1)
-        short, n = np.unique(pairs[0], return_counts=True)
-        return np.concatenate([self.run_hash[one], short]), np.concatenate([pages[of[self.runs[one]]], n])
+        found = [np.unique(pairs[0], return_counts=True)]
+        for run, starts, hashes in ((MIN_RUN, self.runs, self.run_hash), (LONG, self.longs, self.long_hash)):
+            group, pages = _pages_of_runs(sa, lcp, self.of_token, run)
+            of = np.empty(len(sa), np.int64)
+            of[sa] = group
+            _, one = np.unique(of[starts], return_index=True)
+            found.append((hashes[one], pages[of[starts[one]]]))
+        return tuple(np.concatenate(x) for x in zip(*found))
 
     def _cover(self, common: np.ndarray) -> np.ndarray:
         """Tokens of every block that common runs cover, all of a short block that is common."""
@@ -319,12 +334,19 @@ class _Group:
         out[self.short] = np.where(np.isin(self.short_hash, common), (self.ends - self.starts)[self.short], 0)  # they can't hold a run
         return out
 
-    def goes(self, state: np.ndarray, found: np.ndarray, n: np.ndarray, pages: int) -> np.ndarray:
-        """Whether a block is boilerplate, by the host's counts ``n`` of runs ``found`` and its distinct pages."""
+    def goes(self, state: np.ndarray, found: np.ndarray, n: np.ndarray, pages: int) -> dict[int, list[tuple[int, int]]]:
+        """Of each block that is boilerplate or holds some, the tokens (from, to) that go, by the host's counts ``n`` of runs ``found`` and its distinct pages."""
         size = self.ends - self.starts
-        often, most = n >= MIN_PAGES, n >= max(MIN_PAGES, ARTICLE_SHARE * pages)
-        loose = 2 * self._cover(found[often]) >= size
-        return np.where(state == INSIDE, self._cover(found[most]) == size, (state == LOOSE) & loose)
+        often, most = found[n >= MIN_PAGES], found[n >= max(ARTICLE_PAGES, ARTICLE_SHARE * pages)]
+        whole = np.where(state == INSIDE, self._cover(most) == size, (state == LOOSE) & (2 * self._cover(often) >= size))
+        out = {i: [(0, int(size[i]))] for i in np.flatnonzero(whole).tolist()}
+        mark = _covered(len(self.tokens), self.longs[np.isin(self.long_hash, often)], LONG)
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], mark.astype(np.int8), [0]])))
+        for a, b in edge.reshape(-1, 2).tolist():  # a run doesn't pass its block's end
+            i = int(self.owner[a])
+            if state[i] == LOOSE and not whole[i]:
+                out.setdefault(i, []).append((a - int(self.starts[i]), b - int(self.starts[i])))
+        return out
 
 
 def _group_counts(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -332,19 +354,33 @@ def _group_counts(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"host": pdf["host"].iloc[0], "part": pdf["part"].iloc[0], "found": found, "n": n})
 
 
+_GONE = "host long, content long, block int, lo array<int>, hi array<int>"
+
+
 def _group_verdicts(pdf: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-    """(host, content, block) of the blocks that go."""
+    """The token ranges that go, of each block that loses any."""
+    names = [x.split()[0] for x in _GONE.split(", ")]
     if len(pdf) == 0:
-        return pd.DataFrame({"host": [], "content": [], "block": []})
+        return pd.DataFrame(columns=names, dtype=object)
     gone = _Group(pdf["content"].to_numpy(), pdf["text"].tolist()).goes(pdf["state"].to_numpy(), counts["found"].to_numpy(np.int64), counts["n"].to_numpy(np.int64), int(pdf["pages"].iloc[0]))
-    return pdf.loc[gone, ["host", "content", "block"]]
+    own = pdf.iloc[list(gone)]
+    side = lambda k: pd.Series([[s[k] for s in spans] for spans in gone.values()], index=own.index, dtype=object)
+    return own[["host", "content", "block"]].assign(lo=side(0), hi=side(1))
+
+
+def without(text: str, spans: list[tuple[int, int]]) -> str:
+    """A block's words outside some ranges, joined by a space."""
+    words = _WORD.findall(text)
+    for a, b in sorted(spans, reverse=True):
+        del words[a:b]
+    return " ".join(words)
 
 
 # ---------------------------------------------------------------- the passes over the pages
 
 
-def block_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, the block of each): a block's first and last run and its least ones in two orders, or the whole of a shorter block."""
+def block_keys(texts: list[str], loose: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, the block of each): a block's first and last run and its least ones in two orders, or the whole of a shorter block; of ``loose`` ones also the least of every ``LONG`` tokens."""
     data, offsets = C.text_bytes(pa.array(texts, pa.string()))
     h, first = C.word_hashes(data, offsets)
     whole = C.range_hashes(data, offsets[:-1], offsets[1:])
@@ -364,7 +400,12 @@ def block_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     new = np.ones(keys.shape, bool)
     new[:, 1:] = keys[:, 1:] != keys[:, :-1]
     block, at = np.nonzero(new)
-    return keys[block, at], block
+    found = [(keys[block, at], block)]
+    for i in np.flatnonzero(loose & (np.diff(first) >= LONG)).tolist():
+        inside = runs[first[i] : first[i + 1] - MIN_RUN + 1]
+        least = np.unique(np.lib.stride_tricks.sliding_window_view(inside, LONG - MIN_RUN + 1).min(1))
+        found.append((least, np.full(len(least), i)))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def scope_of(site: int, found: list[tuple[str, int]]) -> int:
@@ -384,9 +425,10 @@ def _evidence(batches):
 
     def rows(pages):
         texts = [t for *_, found in pages for t, _ in found]
-        keys, block = block_keys(texts) if texts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         state = np.array([x for *_, found in pages for _, x in found], np.int64)
         size = np.array([len(found) for *_, found in pages], np.int64)
+        loose = (state == LOOSE) & np.repeat([not any(x == INSIDE for _, x in found) for *_, found in pages], size)
+        keys, block = block_keys(texts, loose) if texts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         page = np.repeat(np.arange(len(pages)), size)[block]
         spot = (np.arange(len(texts)) - np.repeat(np.cumsum(size) - size, size))[block]
         ids = np.array([x[:4] for x in pages], np.int64).reshape(-1, 4)[page]
@@ -439,34 +481,40 @@ def _texts(batches):
         out = []
         for html, gone in zip(b.column("html").to_pylist(), b.column("gone").to_pylist()):
             found = page_parts(html)
-            gone = set(gone or ())
-            out.append("\n".join(found[i][0] for k, i in enumerate(main_blocks(found)) if k not in gone))
+            spans = {x["block"]: list(zip(x["lo"], x["hi"])) for x in gone or ()}
+            kept = (without(found[i][0], spans[k]) if k in spans else found[i][0] for k, i in enumerate(main_blocks(found)))
+            out.append("\n".join(filter(None, kept)))
         yield pa.RecordBatch.from_arrays([b.column("page_id").cast(pa.int64()), b.column("url").cast(pa.string()), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
 
-def _with(pages: DataFrame, side: DataFrame, how: str) -> DataFrame:
-    """Pages joined to a table of a row for each page's hash: broadcast where that is small."""
-    return pages.join(F.broadcast(side) if side.count() <= ASKED else side, ["site", "page"], how)
+def _with(pages: DataFrame, side: DataFrame, per_page: str, how: str) -> DataFrame:
+    """Pages joined to a table of a row for each page's hash and an array of blocks: broadcast where that is of few bytes."""
+    rows, items = side.agg(F.count("*"), F.sum(F.size(per_page))).first()
+    small = 64 * rows + 64 * (items or 0) <= ASKED_BYTES
+    return pages.join(F.broadcast(side) if small else side, ["site", "page"], how)
 
 
 def boilerplate(pages: DataFrame, group: int = GROUP) -> DataFrame:
-    """(site, page, gone): the places of the main blocks that go, of pages (site, page, html) that lose any."""
+    """(site, page, gone): the main blocks that lose tokens, by place, and which, of pages (site, page, html) that lose any."""
     marks = C.staged(pages.mapInArrow(C.released(_evidence), "site long, page long, host long, content long, block int, state int, key long"))
     often = marks.where("key is not null").groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES).select("host", "key")
     asked = marks.join(often, ["host", "key"], "left_semi").groupBy("site", "page", "host", "content").agg(F.array_sort(F.collect_set("block")).alias("asked"))  # at most a page's blocks
     asked = C.staged(asked)
-    fetched = _with(pages, asked, "inner").mapInArrow(C.released(_asked_blocks), "host long, content long, block int, state int, text string")
+    fetched = _with(pages, asked, "asked", "inner").mapInArrow(C.released(_asked_blocks), "host long, content long, block int, state int, text string")
     sizes = marks.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     sizes = C.staged(sizes)
     fetched = C.staged(C.small_or_salted_join(fetched.dropDuplicates(["host", "content", "block"]), sizes, "host", sizes.count()))
-    placed = fetched.withColumn("part", F.pmod("content", F.ceil(F.col("pages") / F.lit(group))).cast("long"))
+    weight = C.staged(fetched.groupBy("host").agg(F.sum(F.octet_length("text")).alias("bytes")))
+    placed = C.small_or_salted_join(fetched, weight, "host", weight.count())
+    parts = F.ceil(F.greatest(F.col("pages") / F.lit(group), F.col("bytes") / F.lit(GROUP_BYTES)))
+    placed = placed.withColumn("part", F.pmod("content", parts).cast("long")).drop("bytes")
     counts = C.staged(placed.groupBy("host", "part").applyInPandas(_group_counts, "host long, part long, found long, n long"))
     whole = counts.groupBy("host", "found").agg(F.sum("n").alias("total")).where(F.col("total") >= MIN_PAGES)
     common = counts.join(whole, ["host", "found"]).select("host", "part", "found", F.col("total").alias("n"))
-    gone = placed.where(F.col("state") > MARKED).groupBy("host", "part").cogroup(common.groupBy("host", "part")).applyInPandas(_group_verdicts, "host long, content long, block int")
-    gone = gone.groupBy("host", "content").agg(F.collect_list("block").alias("gone"))  # at most a page's blocks
+    gone = placed.where(F.col("state") > MARKED).groupBy("host", "part").cogroup(common.groupBy("host", "part")).applyInPandas(_group_verdicts, _GONE)
+    gone = gone.groupBy("host", "content").agg(F.collect_list(F.struct("block", "lo", "hi")).alias("gone"))  # at most a page's blocks
     out = C.staged(marks.select("site", "page", "host", "content").distinct().join(gone, ["host", "content"]).select("site", "page", "gone"))
-    for x in (marks, asked, sizes, fetched, counts):
+    for x in (marks, asked, sizes, fetched, weight, counts):
         C.drop_stage(x)
     return out
 
@@ -481,5 +529,5 @@ def extract(pages: DataFrame, group: int = GROUP) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     pages = with_page(pages.select("page_id", "url", "html"))
     gone = boilerplate(pages.select("site", "page", "html"), group)
-    out = _with(pages, gone, "left").select("page_id", "url", "html", "gone").mapInArrow(C.released(_texts), "page_id long, url string, text string")
+    out = _with(pages, gone, "gone", "left").select("page_id", "url", "html", "gone").mapInArrow(C.released(_texts), "page_id long, url string, text string")
     return out.withColumn("n_chars", F.length("text").cast("long"))

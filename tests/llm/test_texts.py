@@ -268,8 +268,28 @@ def test_runs_are_counted_over_the_whole_host(spark):
         assert got[60] == got[11]
 
 
-def test_given_pages(spark):
-    df = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+def test_runs_inside_loose_blocks_go(spark):
+    """No article, neutral class names: a passage inside longer blocks goes, their unique words stay; a heading that three articles share stays."""
+    notice = "this notice of fifteen words stands inside longer blocks of many pages on this site"
+    rows = []
+    for i in range(12):
+        own = [" ".join(f"{p}{i}_{k}" for k in range(20)) for p in "ab"]
+        held = f"{own[0]} {notice} {own[1]}" if i < 7 else f"{own[0]} {own[1]}"
+        rows.append((i, f"http://h.org/{i}", f"<div class=x><p>{held}</p></div><div class=y>{notice if i == 9 else f'end {i}'}</div>"))
+    rows += [(100 + i, f"http://a.org/{i}", f"<article><h1>One heading that three of these articles share</h1><p>text {i} of its own</p></article>") for i in range(3)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for size in (2, 200):
+        got = {r.page_id: r.text for r in html.extract(df, group=size).collect()}
+        for i in range(12):
+            own = " ".join(f"{p}{i}_{k}" for p in "ab" for k in range(20))
+            assert got[i] == own + ("" if i == 9 else f"\nend {i}"), i
+        assert all(got[100 + i] == f"One heading that three of these articles share\ntext {i} of its own" for i in range(3))
+    assert html.without("a b c d", [(0, 1), (2, 3)]) == "b d"
+
+
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_given_pages(spark, folder):
+    df = spark.read.parquet(f"/root/testdata/{folder}/pages.parquet")
     want = {}
     for r in df.collect():
         inner = re.search("<article>(.*)</article>", r.html, re.S).group(1)
