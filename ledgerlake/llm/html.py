@@ -487,10 +487,10 @@ def _texts(batches):
         yield pa.RecordBatch.from_arrays([b.column("page_id").cast(pa.int64()), b.column("url").cast(pa.string()), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
 
-def _with(pages: DataFrame, side: DataFrame, per_page: str, how: str) -> DataFrame:
-    """Pages joined to a table of a row for each page's hash and an array of blocks: broadcast where that is of few bytes."""
+def _with(pages: DataFrame, side: DataFrame, per_page: str, item: int, how: str) -> DataFrame:
+    """Pages joined to a table of a row for each page's hash and an array of items of so many bytes: broadcast where that is of few bytes."""
     rows, items = side.agg(F.count("*"), F.sum(F.size(per_page))).first()
-    small = 64 * rows + 64 * (items or 0) <= ASKED_BYTES
+    small = 64 * rows + item * (items or 0) <= ASKED_BYTES
     return pages.join(F.broadcast(side) if small else side, ["site", "page"], how)
 
 
@@ -500,7 +500,7 @@ def boilerplate(pages: DataFrame, group: int = GROUP) -> DataFrame:
     often = marks.where("key is not null").groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES).select("host", "key")
     asked = marks.join(often, ["host", "key"], "left_semi").groupBy("site", "page", "host", "content").agg(F.array_sort(F.collect_set("block")).alias("asked"))  # at most a page's blocks
     asked = C.staged(asked)
-    fetched = _with(pages, asked, "asked", "inner").mapInArrow(C.released(_asked_blocks), "host long, content long, block int, state int, text string")
+    fetched = _with(pages, asked, "asked", 8, "inner").mapInArrow(C.released(_asked_blocks), "host long, content long, block int, state int, text string")
     sizes = marks.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     sizes = C.staged(sizes)
     fetched = C.staged(C.small_or_salted_join(fetched.dropDuplicates(["host", "content", "block"]), sizes, "host", sizes.count()))
@@ -529,5 +529,5 @@ def extract(pages: DataFrame, group: int = GROUP) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
     pages = with_page(pages.select("page_id", "url", "html"))
     gone = boilerplate(pages.select("site", "page", "html"), group)
-    out = _with(pages, gone, "gone", "left").select("page_id", "url", "html", "gone").mapInArrow(C.released(_texts), "page_id long, url string, text string")
+    out = _with(pages, gone, "gone", 96, "left").select("page_id", "url", "html", "gone").mapInArrow(C.released(_texts), "page_id long, url string, text string")
     return out.withColumn("n_chars", F.length("text").cast("long"))
