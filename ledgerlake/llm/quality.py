@@ -111,8 +111,8 @@ def _count(labelled: dict[int, int], buckets: int):
         raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
         for b in batches:
             data, offsets = C.text_bytes(b.column("text"))
-            ids = np.asarray(b.column("doc_id").fill_null(-1))
-            is_good = np.isin(ids, good)
+            known = np.asarray(b.column("doc_id").is_valid())
+            is_good = known & np.isin(np.asarray(b.column("doc_id").fill_null(0)), good)
             for i, j in C.slices(offsets):
                 f, d = features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], buckets)
                 raw += np.bincount(f, minlength=buckets)
@@ -136,7 +136,7 @@ def _score(ratio: np.ndarray):
             for i, j in C.slices(offsets):
                 d, o = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
                 ok = ~_base_failed(base_counts(d, o))
-                yield pa.RecordBatch.from_pydict({"quality": b.column("quality").slice(i, j - i), "score": _scores(d, o, ratio)}).filter(pa.array(ok))
+                yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id").slice(i, j - i).cast(pa.int64()), "quality": b.column("quality").slice(i, j - i), "score": _scores(d, o, ratio)}).filter(pa.array(ok))
 
     return run
 
@@ -189,7 +189,8 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_labelled
         return ratio, -np.inf
     spark = docs.sparkSession
     few = F.broadcast(spark.createDataFrame(list(labelled.items()), "doc_id long, quality int"))  # max_labelled rows at most
-    seen = docs.join(few, "doc_id").select("text", "quality").mapInArrow(C.released(_score(ratio)), "quality int, score double").toPandas()
+    scored = docs.join(few, "doc_id").select("doc_id", "text", "quality").mapInArrow(C.released(_score(ratio)), "doc_id long, quality int, score double")
+    seen = scored.groupBy("doc_id", "quality").agg(F.min("score").alias("score")).toPandas()  # max_labelled rows at most, however often an id is repeated
     return ratio, best_threshold(seen.score[seen.quality == 1].to_numpy(), seen.score[seen.quality == 0].to_numpy())
 
 

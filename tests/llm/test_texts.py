@@ -323,13 +323,15 @@ def test_quality_verdicts(spark):
     clean = lambda: " ".join(rng.choice("the of and river stone light water moon".split()) + rng.choice(["", "s", ","]) for _ in range(120))
     junk = lambda: " ".join(rng.choice("zz qq xx".split()) + rng.choice("###,%%%,$$$".split(",")) + str(rng.randint(0, 99)) for _ in range(120))
     rows = [(i, clean() if i % 3 else junk()) for i in range(90)] + [(200 + d if d else None, t) for d, t in EDGE]
-    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(45)] + [(None, 1, 0), (3000, None, 0), (1, 5, 0)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(45)] + [(None, 1, 0), (3000, None, 0), (1, 5, 0), (0, 1, 0), (-1, 1, 0)], "doc_id long, quality int, toxic int")
     df = docs(spark, rows)
     got = quality.judge(df, labels).collect()
     assert len(got) == len(rows)
     assert all(r.kept == (not r.base_failed and r.doc_id % 3 > 0) for r in got if r.doc_id is not None and r.doc_id < 90)
     kept = quality.keep(df, labels)
     assert kept.columns == df.columns and kept.count() == sum(r.kept for r in got)
+    again = quality.judge(df.unionByName(df.where("doc_id < 45")), labels).collect()  # repeated rows are judged alike
+    assert {(r.doc_id, r.kept) for r in again if r.doc_id is not None} == {(r.doc_id, r.kept) for r in got if r.doc_id is not None}
     none = quality.judge(df, labels.limit(0)).collect()
     assert all(r.kept != r.base_failed for r in none)
     assert quality.judge(df.limit(0), labels).count() == 0
