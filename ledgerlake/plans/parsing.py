@@ -6,7 +6,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators import compare, families
+from ..functions import headers
+from ..operators import compare, families, indexes
 from ..sources import workbook
 from .market import _INDEL
 from .registry import query, real
@@ -139,3 +140,68 @@ def vendor_compare(t):
     weight = F.when(v == 3, F.col("weight") * 2).when((v == 4) & (F.col("book") % 2 == 0), 0.01).otherwise(F.col("weight"))
     theirs = o.where("v < 5").select("book", "id", said.alias("name"), weight.alias("weight"))
     return compare.vendor_compare(o, theirs, "book").select("book", "ours", "theirs", F.round("score", 6).alias("score"), "status")
+
+
+# ---------------------------------------------------------------- header tables and index sheets
+
+_STEMS = ("Sr No", "Name of the Instrument", "ISIN Code", "Coupon", "YTM %", "Yield to Call", "Yield", "Residual", "Maturity Date", "Face Value", "Put / Call", "Industry / Rating", "Credit Rating", "Rating Agency", "Sector", "Quantity", "Futures Price", "Market Value (Rs. in Lakhs)", "% to NAV", "Macaulay", "Modified Duration", "Duration", "Unlisted", "Exchange", "NSE Code", "Accrued Interest", "Dirty Price", "Asset Class", "Scheme Name", "Long / Short", "Margin", "Market Capital", "Underlying", "Trade Date", "Settlement Date", "Remarks", "ESG", "null", "col_3", "Units", "Yield to maturity", "12")
+_HEADS = "SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN stem || ' ' || p_name WHEN p_partkey % 5 = 1 THEN p_name || ' ' || stem WHEN p_partkey % 5 = 2 THEN upper(stem) || ' :' ELSE stem END AS h FROM (SELECT *, [{stems}][(p_partkey + p_size) % {n} + 1] AS stem FROM part)".format(stems=", ".join(f"'{s}'" for s in _STEMS), n=len(_STEMS))
+_CLEAN = r"regexp_replace(trim(regexp_replace(h, '\s+', ' ', 'g')), '^[.:*|]+|[.:*|]+$', '', 'g')"
+
+
+def _rule(field: str, pattern: str) -> str:
+    """DuckDB's expressions don't look behind: maturity after "to " is taken out first."""
+    if "(?<!to )" in pattern:
+        return f"WHEN regexp_matches(replace(lower(c), 'to maturity', 'to'), '{pattern.replace('(?<!to )', '')}') THEN '{field}'"
+    return f"WHEN regexp_matches(c, '{pattern}', 'i') THEN '{field}'"
+
+
+@query("universal_headers", f"""
+WITH h AS ({_HEADS}), c AS (SELECT p_partkey, {_CLEAN} AS c FROM h)
+SELECT p_partkey, c AS header, CASE WHEN c = '' OR regexp_matches(c, '^col(_\\d+)?$', 'i') OR lower(c) = 'null' THEN 'blank' {_rule('ignore', headers.IGNORED)} {' '.join(_rule(k, p) for k, p in headers.UNIVERSAL.items())} ELSE 'unmapped' END AS field FROM c""")
+def universal_headers(t):
+    """Headers made of known words and parts' names, by the table of all fields."""
+    return _heads(t).select("p_partkey", headers.clean_header(F.col("h")).alias("header"), headers.universal_field(F.col("h")).alias("field"))
+
+
+def _heads(t) -> DataFrame:
+    stem = F.element_at(F.array(*map(F.lit, _STEMS)), ((F.col("p_partkey") + F.col("p_size")) % len(_STEMS) + 1).cast("int"))
+    k = F.col("p_partkey") % 5
+    h = F.when(k == 0, F.concat_ws(" ", stem, "p_name")).when(k == 1, F.concat_ws(" ", "p_name", stem)).when(k == 2, F.concat(F.upper(stem), F.lit(" :"))).otherwise(stem)
+    return t.part.select("p_partkey", h.alias("h"))
+
+
+@query("index_pairs", """
+SELECT s_nationkey::VARCHAR AS file, CASE s_nationkey % 3 WHEN 0 THEN CASE WHEN s_suppkey % 2 = 0 THEN 'S' || s_suppkey ELSE (s_suppkey + 10)::VARCHAR END WHEN 1 THEN 'S' || s_suppkey ELSE 'F' || s_suppkey END AS code, s_name || ' Fund' AS name
+FROM supplier WHERE s_suppkey % 11 > 0""")
+def index_pairs(t):
+    """A contents sheet for each nation with its suppliers as funds: codes with short ones, short names alone, or codes whose header stands in an earlier row; rows without a name don't count."""
+    k, n = F.col("s_suppkey"), F.col("s_nationkey") % 3
+    row = F.row_number().over(Window.partitionBy("s_nationkey").orderBy("s_suppkey"))
+    name = F.when(k % 11 > 0, F.concat(F.regexp_replace("s_name", " ", "  "), F.lit("  Fund "))).otherwise("")
+    short = F.when((n == 0) & (k % 2 > 0), "").otherwise(F.concat(F.lit("S"), k))
+    cells = F.when(n == 0, F.array((k + 10).cast("string"), name, short)).when(n == 1, F.array(F.lit(""), short, name)).otherwise(F.array(F.concat(F.lit("F"), k), F.lit("x"), name))
+    body = t.supplier.select(F.col("s_nationkey").cast("string").alias("file"), (row + 2).alias("row_no"), cells.alias("cells"))
+    heads = {0: [["House"], [], ["Fund Code", " Scheme Name ", "Short Code"]], 1: [["1"], ["2"], ["", "SHORT NAME", "Fund Name"]], 2: [["Code"], ["Scheme names of the house"], ["", "", "Fund Description"]]}
+    own = F.array(*[F.array(*[F.array(*[F.lit(c) for c in r]).cast("array<string>") for r in heads[i]]) for i in range(3)])
+    top = t.nation.select(F.col("n_nationkey").cast("string").alias("file"), F.posexplode(F.element_at(own, (F.col("n_nationkey") % 3 + 1).cast("int"))).alias("row_no", "cells"))
+    grid = body.unionByName(top).withColumn("sheet", F.lit("Index"))
+    return indexes.index_pairs(grid).select("file", "code", "name")
+
+
+@query("scheme_rows", r"""
+SELECT CASE l_suppkey % 3 WHEN 0 THEN 'Fund ' || l_linenumber || ' of ' || l_suppkey WHEN 1 THEN 'Sheet ' || l_suppkey ELSE 'Sheet ' || l_suppkey END AS scheme, count(*) AS n, sum(l_quantity)::BIGINT AS quantity, min('Part ' || l_partkey) AS least
+FROM lineitem GROUP BY 1""")
+def scheme_rows(t):
+    """A sheet for each supplier whose lines are rows: with a scheme column, without one, or with totals and one-cell rows between."""
+    s = F.col("l_suppkey")
+    row = F.row_number().over(Window.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber"))
+    part, quantity, value = F.concat(F.lit("Part "), "l_partkey"), F.col("l_quantity").cast("long").cast("string"), F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    cells = F.when(s % 3 == 0, F.array(F.concat(F.lit("Fund "), "l_linenumber", F.lit(" of "), s), part, quantity, value)).otherwise(F.array(part, F.lit(""), quantity, value))
+    lines = t.lineitem.select(s, (row * 2 + 2).alias("row_no"), cells.alias("cells"))
+    between = t.lineitem.where(s % 3 == 2).select(s, (row * 2 + 3).alias("row_no"), F.when(row % 3 == 0, F.array(F.lit("Total"), F.lit(""), quantity, F.lit(""))).when(row % 3 == 1, F.array(part)).otherwise(F.array(F.lit("-"), F.lit("Sub Total"))).alias("cells"))
+    head = F.when(F.col("s_suppkey") % 3 == 0, F.array(*map(F.lit, ("Scheme", "Name of the Security", "Quantity", "Market Value (Rs)")))).otherwise(F.array(*map(F.lit, ("Security", "", "Qty", "Market Value (Rs)"))))
+    top = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.lit(2).alias("row_no"), head.alias("cells"))
+    grid = lines.unionByName(between).unionByName(top).withColumn("file", F.concat(F.lit("/x/File "), s, F.lit(".xlsx"))).withColumn("sheet", F.concat(F.lit("Sheet "), s))
+    got = indexes.scheme_rows(grid)
+    return got.groupBy("scheme").agg(F.count("*").alias("n"), F.sum(F.col("fields")["quantity"].cast("long")).alias("quantity"), F.min(F.col("fields")["instrument"]).alias("least"))

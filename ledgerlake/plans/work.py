@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import books, catalog, compare, connectors, guards, increments, listings, matching, serving, sheets
 from ..schemas import HOLDING_FIELDS
-from ..sources import bookstore, exports, paths, schememaster, trees
+from ..sources import bookstore, exports, manifest, paths, schememaster, trees
 from .registry import query, real, text
 
 
@@ -522,16 +522,42 @@ def wide_month_rows(t):
     return connectors.wide_months(wide, "p_partkey")
 
 
-@query("listing_plugin", "SELECT * FROM (VALUES ('a', 0::INTEGER, 'u0', 't'), ('a', 1, 'u1', NULL), ('b', 0, 'u2', 'x')) AS v(amc_id, ordinal, url, title)")
+@query("listing_plugin", """
+SELECT 'h' || (page_id % 5) AS house, '2026-0' || (page_id % 4 + 1) AS period, page_id AS ordinal, url, CASE WHEN page_id % 3 > 0 THEN 'Portfolio ' || page_id END AS title
+FROM pages WHERE url <> '' AND page_id % 4 IN (1, 2) AND page_id % 5 > 0 AND page_id % 3 > 0""")
 def listing_plugin(t):
-    """Landed listings read through the registered data source."""
-    import json
-
+    """Listings landed by house and period, read through the registered source for two periods and all houses but one: files of other folders aren't opened."""
     from ..sources import plugin
 
+    path = _place(t, "listings")
+    k = F.col("page_id")
+    rows = t.pages.select(F.concat(F.lit("h"), k % 5).alias("house"), F.lit("monthly").alias("cadence"), F.concat(F.lit("2026-0"), k % 4 + 1).alias("period"), k.alias("ordinal"), "url", F.when(k % 3 > 0, F.concat(F.lit("Portfolio "), k)).alias("title"))
+    rows.write.partitionBy("house", "cadence", "period").json(path)
     plugin.register(t.spark)
-    landed = {"a": [{"url": "u0", "title": "t"}, {"title": "no address"}, {"url": "u1"}], "b": [{"url": "u2", "title": "x"}], "c": []}
-    return t.spark.read.format("ledger_listing").option("landed", json.dumps(landed)).load()
+    got = t.spark.read.format("ledger_listing").load(path).where("period in ('2026-02', '2026-03') and house > 'h0' and title is not null")
+    return got.select("house", "period", "ordinal", "url", "title")
+
+
+@query("published_versions", """
+WITH b AS (SELECT o_custkey AS id, o_orderkey, year(o_orderdate) AS y FROM orders),
+v AS (SELECT unnest([1, 2, 3]) AS version)
+SELECT version::BIGINT AS version, count(*) AS books, count(DISTINCT id) AS ids, max(y)::BIGINT AS newest, CASE WHEN version = 1 THEN 0 ELSE (SELECT count(*) FROM b WHERE y >= 1996 AND id % 2 = 0) END::BIGINT AS notes
+FROM v JOIN b ON y <= CASE version WHEN 1 THEN 1995 WHEN 2 THEN 1996 ELSE 1997 END GROUP BY version""")
+def published_versions(t):
+    """Books published in three versions, the last after a publication that crashed before its commit; each version read on its own."""
+    root = _place(t, "published")
+    o = t.orders.select(F.col("o_custkey").alias("id"), "o_orderkey", F.year("o_orderdate").cast("long").alias("y"))
+    manifest.publish({"books": o.where("y <= 1995")}, root, partition_by={"books": ["y"]})
+    manifest.publish({"books": o.where("y <= 1996"), "notes": o.where("y >= 1996 and id % 2 = 0")}, root)
+    manifest.stage({"books": o.limit(0), "notes": o.limit(0)}, root)  # never committed
+    manifest.publish({"books": o.where("y <= 1997")}, root)
+    out = None
+    for v in manifest.versions(t.spark, root):
+        tables = manifest.pinned(t.spark, root, v)
+        notes = tables["notes"].agg(F.count("*").alias("notes")) if "notes" in tables else t.spark.range(1).select(F.lit(0).cast("long").alias("notes"))
+        one = tables["books"].agg(F.count("*").alias("books"), F.count_distinct("id").alias("ids"), F.max(F.col("y").cast("long")).alias("newest")).crossJoin(notes).withColumn("version", F.lit(v).cast("long"))  # one row by one
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("json_dimension", "SELECT n_nationkey::BIGINT AS id, n_name AS name FROM nation")
