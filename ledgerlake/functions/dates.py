@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 _MONTH = "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
@@ -224,8 +224,13 @@ def year_guard(token: Column) -> Column:
     return F.coalesce(n.between(20, 29), F.lit(False))
 
 
-def sync_window(spark, first: str, last: str):
-    """(as_of, cadence, rank) of a window of months in the safe order: all mid-month slices, then month ends, then monthly ones."""
-    months = spark.range(1).select(F.explode(F.sequence(F.to_date(F.lit(f"{first}-01")), F.to_date(F.lit(f"{last}-01")), F.expr("interval 1 month"))).alias("m"))
+def in_sync_order(months, keys: list[str]):
+    """The slices of months (column ``m``, first days) with cadence, rank and place in each key's safe order: all mid-month slices, then month ends, then monthly ones."""
     three = F.array(*[F.struct(d.alias("as_of"), F.lit(c).alias("cadence"), F.lit(k).alias("rank")) for k, (d, c) in enumerate(((fifteenth(F.col("m")), "fortnightly"), (F.last_day("m"), "fortnightly"), (F.last_day("m"), "monthly")))])
-    return months.select(F.explode(three).alias("x")).select("x.*").orderBy("rank", "as_of")
+    slices = months.select(*keys, F.explode(three).alias("x")).select(*keys, "x.*")
+    return slices.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy("rank", "as_of")))
+
+
+def months_between(first: Column, last: Column) -> Column:
+    """The first days of all months from one day's to another's."""
+    return F.sequence(F.trunc(first, "MM"), F.trunc(last, "MM"), F.expr("interval 1 month"))

@@ -26,12 +26,11 @@ def largest_snapshot(rows: DataFrame, file: str = "file") -> DataFrame:
     return rows.join(F.broadcast(best), file, "left_semi")  # one row
 
 
-def jobs(spark: SparkSession, first: str, last: str) -> DataFrame:
-    """Slices of a window of months in their safe order: mid-month, month-end fortnightly, month-end monthly."""
-    m = spark.range(1).select(F.explode(F.sequence(F.trunc(F.lit(first).cast("date"), "MM"), F.trunc(F.lit(last).cast("date"), "MM"), F.expr("interval 1 month"))).alias("m"))
-    kinds = F.array(*[F.struct(F.lit(k).alias("cadence"), F.lit(r).alias("rank"), F.lit(mid).alias("mid")) for k, r, mid in (("fortnightly", 0, True), ("fortnightly", 1, False), ("monthly", 2, False))])
-    j = m.select("m", F.explode(kinds).alias("k"))
-    return j.select(F.when(F.col("k.mid"), dates.fifteenth(F.col("m"))).otherwise(F.last_day("m")).alias("as_of"), F.col("k.cadence").alias("cadence"), F.col("k.rank").alias("rank")).orderBy("as_of", "rank")
+def jobs(windows: DataFrame, keys: list[str]) -> DataFrame:
+    """Fetch jobs of each key's window of months (columns first, last: any days in them): mid-month, month-end fortnightly, month-end monthly, with their place in the order of time."""
+    m = windows.select(*keys, F.explode(dates.months_between(F.col("first"), F.col("last"))).alias("m"))
+    j = dates.in_sync_order(m, keys).drop("place")
+    return j.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy("as_of", "rank")))
 
 
 def needs_rerun(months: DataFrame, today: str, month: str = "month") -> DataFrame:

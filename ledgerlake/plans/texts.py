@@ -69,11 +69,11 @@ def half_month_slice(t):
 
 
 @query("period_expansion", """
-WITH m AS (SELECT unnest(generate_series(TIMESTAMP '2025-11-01', TIMESTAMP '2026-10-01', INTERVAL 1 MONTH))::DATE AS m), c AS (SELECT m, unnest(['monthly', 'fortnightly']) AS cadence FROM m)
+WITH m AS (SELECT DISTINCT date_trunc('month', o_orderdate)::DATE AS m FROM orders), c AS (SELECT m, unnest(['monthly', 'fortnightly']) AS cadence FROM m)
 SELECT CAST(m AS VARCHAR) AS period, cadence, CASE WHEN cadence = 'monthly' THEN CAST(last_day(m) AS VARCHAR) ELSE CAST(m + 14 AS VARCHAR) || ',' || CAST(last_day(m) AS VARCHAR) END AS keys, CASE WHEN month(m) >= 4 THEN year(m) || '-' || lpad(((year(m) + 1) % 100)::VARCHAR, 2, '0') ELSE (year(m) - 1) || '-' || lpad((year(m) % 100)::VARCHAR, 2, '0') END AS fy FROM c""")
 def period_expansion(t):
-    """Months to storage keys by cadence, with their financial year."""
-    m = t.spark.sql("SELECT explode(sequence(date'2025-11-01', date'2026-10-01', interval 1 month)) AS m").withColumn("cadence", F.explode(F.array(F.lit("monthly"), F.lit("fortnightly"))))
+    """Months of orders to storage keys by cadence, with their financial year."""
+    m = t.orders.select(F.trunc("o_orderdate", "MM").alias("m")).distinct().withColumn("cadence", F.explode(F.array(F.lit("monthly"), F.lit("fortnightly"))))
     return m.select(text("m").alias("period"), "cadence", joined(dates.period_keys(F.col("m"), F.col("cadence"))).alias("keys"), dates.financial_year(F.col("m")).alias("fy"))
 
 

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import dates
 from ..operators import books, catalog, compare, connectors, guards, increments, listings, matching, serving, sheets
 from ..schemas import HOLDING_FIELDS
 from ..sources import bookstore, exports, manifest, paths, schememaster, trees
@@ -448,20 +449,30 @@ def month_unions(t):
     return increments.month_groups(t.orders.select(p.alias("period")).distinct()).select("ym", F.array_join("periods", ",").alias("periods"))
 
 
-@query("sync_order", """
-WITH m AS (SELECT unnest(generate_series(TIMESTAMP '2025-11-01', TIMESTAMP '2026-10-01', INTERVAL 1 MONTH))::DATE AS m)
-SELECT CAST(m + 14 AS VARCHAR) AS as_of, 'fortnightly' AS cadence, 0 AS rank FROM m UNION ALL SELECT CAST(last_day(m) AS VARCHAR), 'fortnightly', 1 FROM m UNION ALL SELECT CAST(last_day(m) AS VARCHAR), 'monthly', 2 FROM m""")
-def sync_order(t):
-    from ..functions.dates import sync_window
+_HOUSE_MONTHS = "SELECT DISTINCT c_nationkey AS house, date_trunc('month', o_orderdate)::DATE AS m FROM orders JOIN customer ON c_custkey = o_custkey"
+_SLICES = "SELECT house, m + 14 AS as_of, 'fortnightly' AS cadence, 0 AS rank FROM m UNION ALL SELECT house, last_day(m), 'fortnightly', 1 FROM m UNION ALL SELECT house, last_day(m), 'monthly', 2 FROM m"
+
 
-    return sync_window(t.spark, "2025-11", "2026-10").select(text("as_of").alias("as_of"), "cadence", "rank")
+def _house_months(t) -> DataFrame:
+    """The months in which each nation's customers ordered."""
+    return t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).select(F.col("c_nationkey").alias("house"), F.trunc("o_orderdate", "MM").alias("m")).distinct()
 
 
-@query("job_matrix", """
-WITH m AS (SELECT unnest(generate_series(TIMESTAMP '2025-11-01', TIMESTAMP '2026-10-01', INTERVAL 1 MONTH))::DATE AS m)
-SELECT CAST(m + 14 AS VARCHAR) AS as_of, 'fortnightly' AS cadence FROM m UNION ALL SELECT CAST(last_day(m) AS VARCHAR), unnest(['fortnightly', 'monthly']) FROM m""")
+@query("sync_order", f"WITH m AS ({_HOUSE_MONTHS}), s AS ({_SLICES}) SELECT house, CAST(as_of AS VARCHAR) AS as_of, cadence, row_number() OVER (PARTITION BY house ORDER BY rank, as_of)::BIGINT AS place FROM s")
+def sync_order(t):
+    """Each nation's months with orders, as slices in their safe order."""
+    out = dates.in_sync_order(_house_months(t), ["house"])
+    return out.select("house", text("as_of").alias("as_of"), "cadence", F.col("place").cast("long").alias("place"))
+
+
+@query("job_matrix", f"""
+WITH h AS ({_HOUSE_MONTHS}), w AS (SELECT house, min(m) AS a, max(m) AS b FROM h WHERE house % 2 = 0 OR month(m) > 6 GROUP BY house),
+m AS (SELECT house, unnest(generate_series(a::TIMESTAMP, b::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS m FROM w), s AS ({_SLICES})
+SELECT house, CAST(as_of AS VARCHAR) AS as_of, cadence, row_number() OVER (PARTITION BY house ORDER BY as_of, rank)::BIGINT AS place FROM s""")
 def job_matrix(t):
-    return increments.jobs(t.spark, "2025-11-05", "2026-10-20").select(text("as_of").alias("as_of"), "cadence")
+    """Fetch jobs of each nation's window of months, from its first orders to its last."""
+    windows = _house_months(t).where("house % 2 = 0 or month(m) > 6").groupBy("house").agg(F.date_add(F.min("m"), 4).alias("first"), F.last_day(F.max("m")).alias("last"))
+    return increments.jobs(windows, ["house"]).select("house", text("as_of").alias("as_of"), "cadence", F.col("place").cast("long").alias("place"))
 
 
 @query("snapshot_pick", "WITH c AS (SELECT o_orderpriority AS f, count(*) AS n FROM orders GROUP BY 1) SELECT o_orderkey FROM orders WHERE o_orderpriority = (SELECT f FROM c ORDER BY n DESC, f DESC LIMIT 1)")
@@ -492,11 +503,18 @@ def gap_severity(t):
     return t.orders.groupBy("o_custkey").agg(F.count("*").alias("n")).select("o_custkey", guards.severity(F.col("n"), 5, 20).alias("level"))
 
 
-@query("connector_stats", "SELECT * FROM (VALUES ('anchors', 18), ('rows', 17), ('script', 4), ('tree', 8), ('years', 1)) AS v(reader, houses)".replace("18", "{anchors}").replace("17", "{rows}").replace("4)", "{script})").replace("8)", "{tree})").replace("1)", "{years})").format(**{r: sum(1 for v in connectors.HOUSES.values() if v[0] == r) for r in ("anchors", "rows", "script", "tree", "years")}))
+_READERS = ", ".join(f"({i}, '{v[0]}')" for i, v in enumerate(connectors.HOUSES.values()))
+
+
+@query("connector_stats", rf"""
+WITH h(i, reader) AS (VALUES {_READERS}), p AS (SELECT page_id % {len(connectors.HOUSES) + 2} AS i, len(regexp_extract_all(html, '<a\s')) AS links FROM pages)
+SELECT coalesce(reader, 'none') AS reader, count(DISTINCT p.i) AS houses, count(*) AS pages, sum(links)::BIGINT AS links FROM p LEFT JOIN h USING (i) GROUP BY 1""")
 def connector_stats(t):
-    """Houses by the kind of their listing."""
-    rows = [(k, v[0]) for k, v in connectors.HOUSES.items()]
-    return t.spark.createDataFrame(rows, "house string, reader string").groupBy("reader").agg(F.count("*").cast("int").alias("houses"))
+    """Landed pages by the kind of their house's listing: houses, pages, links; two houses have no connector."""
+    known = t.spark.createDataFrame([(i, v[0]) for i, v in enumerate(connectors.HOUSES.values())], "i long, reader string")
+    pages = t.pages.select((F.col("page_id") % (len(connectors.HOUSES) + 2)).alias("i"), F.regexp_count("html", F.lit(r"<a\s")).cast("long").alias("links"))
+    by = pages.join(F.broadcast(known), "i", "left").groupBy(F.coalesce("reader", F.lit("none")).alias("reader"))  # a row a house
+    return by.agg(F.count_distinct("i").alias("houses"), F.count("*").alias("pages"), F.sum("links").alias("links"))
 
 
 @query("scored_listing", """

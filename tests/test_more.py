@@ -75,7 +75,8 @@ def test_increments(spark, tmp_path):
     assert sorted(r.id for r in increments.checkpoint_lines(spark, f"file://{tmp_path}/x.jsonl", "id int").collect()) == [1, 3]
     snap = spark.createDataFrame([("f1", 1), ("f2", 1), ("f2", 2)], "file string, x int")
     assert {r.file for r in increments.largest_snapshot(snap).collect()} == {"f2"}
-    j = increments.jobs(spark, "2026-01-20", "2026-02-01").collect()
+    windows = spark.createDataFrame([("h", "2026-01-20", "2026-02-01")], "house string, first string, last string").selectExpr("house", "date(first) first", "date(last) last")
+    j = increments.jobs(windows, ["house"]).orderBy("place").collect()
     assert [(str(r.as_of), r.cadence) for r in j] == [("2026-01-15", "fortnightly"), ("2026-01-31", "fortnightly"), ("2026-01-31", "monthly"), ("2026-02-15", "fortnightly"), ("2026-02-28", "fortnightly"), ("2026-02-28", "monthly")]
     d = increments.deltas(spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int"), spark.createDataFrame([("b", 3), ("c", 1)], "k string, n int"), "k", "n")
     assert {r.k: r.change for r in d.collect()} == {"a": "gone", "b": "changed", "c": "new"}

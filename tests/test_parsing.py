@@ -150,3 +150,114 @@ def test_vendor_compare_is_one_to_one(spark):
     assert got == {(1, 11, "match"), (2, 12, "off"), (3, None, "ours_only"), (4, 14, "match"), (None, 13, "theirs_only"), (6, None, "ours_only"), (7, 17, "match"), (None, 15, "negligible"), (None, 16, "theirs_only")}
     used = [r.theirs for r in out.collect() if r.theirs is not None]
     assert len(used) == len(set(used))
+
+
+# ---------------------------------------------------------------- headers and index sheets
+
+
+def test_universal_headers_equal_ordered_patterns(spark):
+    import re
+
+    from ledgerlake.functions import headers
+
+    rng = random.Random(4)
+    bits = ["Name of the", "Security", "code", "ISIN", "yield", "to maturity", "maturity", "date", "Market", "value", "(Rs in lakh)", "% to", "NAV", "rating", "industry /", "sector", "units", "price", "qty", "_x000d_", "\n", "null", "col_2", "", "top 10 issuers", "remarks:", "*", "scheme", "duration"]
+    texts = [" ".join(rng.choice(bits) for _ in range(rng.randint(0, 4))) for _ in range(400)] + [None, "SR", "col"]
+
+    def plain(h):
+        t = re.sub(r"\s+", " ", (h or "").replace("\r", " ").replace("\n", " ").replace("_x000d_", " ").replace("_x000a_", " ")).strip().strip(".:*|")
+        if not t or re.fullmatch(r"(?i)col(_\d+)?", t) or t.lower() == "null":
+            return "blank"
+        return "ignore" if re.search(headers.IGNORED, t, re.I) else next((k for k, p in headers.UNIVERSAL.items() if re.search(p, t, re.I)), "unmapped")
+
+    got = spark.createDataFrame([(x,) for x in texts], "h string").withColumn("f", headers.universal_field(likeness.F.col("h"))).collect()
+    assert [r.f for r in got] == [plain(x) for x in texts]
+
+
+def test_legacy_names_number_what_recurs(spark):
+    from ledgerlake.functions import headers
+
+    rows = [(["ISIN", "isin code", "Qty", "", " ", "Other", "Other", "Other", "Sector"],), ([],)]
+    got = [r.n for r in spark.createDataFrame(rows, "h array<string>").select(headers.legacy_names(likeness.F.col("h")).alias("n")).collect()]
+    assert got == [["isin", "isin code", "quantity", "col", "col_2", "Other", "Other_2", "Other_3", "industry"], []]
+
+
+GRID = "file string, sheet string, row_no int, cells array<string>"
+
+
+def test_index_pairs(spark):
+    from ledgerlake.operators import indexes
+
+    sheets = {
+        "a": [["Contents"], ["Fund ID", "Click", "Scheme Name", "Short Name"], ["12", "", "  One   Fund", "ONE"], ["13", "", "Two Fund", ""], ["", "", "No code", "X"], ["Fund Code", "", "Scheme Name", ""], ["T3", "", "Three Fund", "THREE"], ["9"], [None, None, None, None]],
+        "b": [["Short name", "Scheme name"], ["B1", "B One"]],
+        "c": [["nothing", "here"], ["x", "y"]],
+    }
+    grid = spark.createDataFrame([(f, "Index", i, c) for f, rows in sheets.items() for i, c in enumerate(rows)], GRID)
+    assert {(r.file, r.code, r.name) for r in indexes.index_pairs(grid).collect()} == {("a", "ONE", "One Fund"), ("a", "13", "Two Fund"), ("a", "T3", "Three Fund"), ("b", "B1", "B One")}
+    assert indexes.index_pairs(grid.limit(0)).count() == 0
+
+
+def test_scheme_rows(spark):
+    from ledgerlake.operators import indexes
+
+    sheets = {
+        ("/x/Some Pack.xlsx", "S/1"): [["title"], ["Fund", "Security", "Qty", "Market value"], ["Alpha: Fund", "A", "1", "2"], ["", "B", "3", "4"], ["Total", "", "7", ""], [], ["-", "total"], ["Beta Fund", "C"], ["x", "INE000A01011"]],
+        ("/x/Other.xlsx", "Tab"): [["Security", "Rating"], ["D", "AAA"], ["E", "AA", "ignored"]],
+        ("/x/None.xlsx", "Tab"): [["a", "b"]],
+    }
+    grid = spark.createDataFrame([(f, s, i, c) for (f, s), rows in sheets.items() for i, c in enumerate(rows)], GRID)
+    got = {(r.scheme, r.row_no, tuple(sorted(r.fields.items()))) for r in indexes.scheme_rows(grid).collect()}
+    assert {(s, n) for s, n, _ in got} == {("Alpha_ Fund", 2), ("Some Pack", 3), ("x", 8)}
+    assert ("Alpha_ Fund", 2, (("Fund", "Alpha: Fund"), ("instrument", "A"), ("market_value", "2"), ("quantity", "1"))) in got
+
+
+# ---------------------------------------------------------------- sources
+
+
+def test_listing_source_plans_only_wanted_files(spark, tmp_path):
+    import json
+
+    from pyspark.sql.datasource import EqualTo, In, StringContains
+
+    from ledgerlake.sources import plugin
+
+    for house in ("a", "b"):
+        for period in ("2026-01", "2026-02"):
+            d = tmp_path / f"house={house}" / "cadence=monthly" / f"period={period}"
+            d.mkdir(parents=True)
+            (d / "l.json").write_text("\n".join(json.dumps(r) for r in [{"ordinal": 1, "url": f"u-{house}-{period}", "extra": 3}, {"ordinal": 2, "title": "no address"}, {"ordinal": 3, "url": "", "title": "empty"}]))
+            (d / "_SUCCESS").write_text("")
+    (tmp_path / "loose.json").write_text("")
+    source = plugin.ListingSource({"path": f"file://{tmp_path}"})
+    reader = source.reader(None)
+    assert len(reader.partitions()) == 5
+    title = StringContains(("title",), "x")
+    assert list(reader.pushFilters([EqualTo(("house",), "a"), In(("period",), ("2026-02", "2026-03")), title])) == [title]
+    assert [p.keys for p in reader.partitions()] == [{"house": "a", "cadence": "monthly", "period": "2026-02"}]
+    plugin.register(spark)
+    df = spark.read.format("ledger_listing").load(f"file://{tmp_path}")
+    assert {r.url for r in df.collect()} == {f"u-{h}-{p}" for h in "ab" for p in ("2026-01", "2026-02")}
+    assert [r.url for r in df.where("period > '2026-01' and house <=> 'b'").collect()] == ["u-b-2026-02"]
+
+
+def test_versions_survive_crashes_and_conflicts(spark, tmp_path):
+    from ledgerlake.sources import manifest
+
+    root = f"file://{tmp_path}/store"
+    assert manifest.versions(spark, root) == [] and manifest.pinned(spark, root) == {}
+    one = spark.range(3)
+    assert manifest.publish({"t": one}, root) == 1
+    held = manifest.pinned(spark, root)["t"]
+    manifest.stage({"t": spark.range(9)}, root)  # a crash before the commit
+    assert manifest.pinned(spark, root)["t"].count() == 3
+    slow = manifest.stage({"t": spark.range(5)}, root)
+    assert manifest.commit(spark, root, manifest.stage({"u": spark.range(7)}, root), after=1) == 2
+    with pytest.raises(manifest.Conflict):
+        manifest.commit(spark, root, slow, after=1)
+    now = manifest.pinned(spark, root)
+    assert now["t"].count() == 3 and now["u"].count() == 7 and held.count() == 3
+    assert manifest.publish({"t": now["t"].union(spark.range(1))}, root) == 3 and manifest.pinned(spark, root)["t"].count() == 4
+    assert manifest.pinned(spark, root, 1)["t"].count() == 3
+    assert manifest.expire(spark, root, 1) == 2 and manifest.versions(spark, root) == [3]
+    assert manifest.pinned(spark, root)["t"].count() == 4 and manifest.pinned(spark, root)["u"].count() == 7
