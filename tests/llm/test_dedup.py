@@ -57,6 +57,27 @@ def test_near_dedup(spark, rows, limits):
     assert got == sorted(brute.near_components(distinct))
 
 
+def test_recall_where_nodes_are_dealt_in_parts_and_the_exact_way(spark):
+    """Pairs of likeness just over 0.8 in one template's crowd: their nodes are larger than a part. The trees find nearly all, the exact way all."""
+    rng = random.Random(7)
+    word = lambda: f"w{rng.randint(0, 10**7)}"
+    common, rows = [word() for _ in range(150)], []
+    for i in range(150):
+        own = [word() for _ in range(150)]
+        rows.append((2 * i, " ".join(common + own)))
+        for _ in range(8):
+            own[rng.randrange(150)] = word()
+        rows.append((2 * i + 1, " ".join(common + own)))
+    want = {d: c for d, _, c, _ in brute.near_components(rows)}
+    pairs = [d for d, c in want.items() if c != d]
+    assert len(pairs) > 100
+    df = table(spark, rows)
+    found = {r.doc_id: r.component_id for r in chosenpath.grouped(df, 4, node=20, cluster=40).collect()}
+    assert sum(found[d] == want[d] for d in pairs) >= 0.97 * len(pairs)
+    assert {r.doc_id: r.component_id for r in chosenpath.grouped(df, 4, exact=True).collect()} == want
+    assert chosenpath.dedup(df, 4, exact=True).count() == len(rows) - len(pairs)
+
+
 def test_near_dedup_keeps_columns_and_one_of_each_group(spark, rows):
     df = table(spark, rows)
     out = chosenpath.dedup(df, 5)
