@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
+from ..rules import once
+
 _MONTH = "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
 
 
@@ -63,14 +65,9 @@ def _named(text: Column, pattern: str, day: int, month: int, year: int) -> Colum
     return F.try_to_date(s, "d-MMM-yyyy")
 
 
-def _once(value: Column, body) -> Column:
-    """``body`` of a value that is named once, however often it is used there: the expression stays small."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def parse_as_of(text: Column) -> Column:
     """The as-of date of a banner: labelled day number, ISO, day-month-year, month-day-year, numeric (day first), else the last month and year, as its end."""
-    return _once(F.regexp_replace(F.replace(F.coalesce(text, F.lit("")), F.lit("_"), F.lit(" ")), r"(?i)(\d)(?:st|nd|rd|th)\b", "$1"), _as_of)
+    return once(F.regexp_replace(F.replace(F.coalesce(text, F.lit("")), F.lit("_"), F.lit(" ")), r"(?i)(\d)(?:st|nd|rd|th)\b", "$1"), _as_of)
 
 
 def _as_of(t: Column) -> Column:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..rules import once
 from .text import norm_text, squeeze
 
 # Spellings and renamings in the master's names, applied in this order
@@ -56,14 +57,53 @@ def strip_variant(c: Column, rounds: int = 4) -> Column:
     return reduce(lambda x, _: F.trim(F.regexp_replace(x, rf"(?i)\s*[-–(:]?\s*\b(?:{words})s?\b.*$", "")), range(rounds), c)
 
 
-def strip_description(c: Column) -> Column:
-    """Bracketed remarks (three deep) and "an open ended scheme ..." go."""
-    t = reduce(lambda x, _: F.regexp_replace(x, r"\s*\([^()]*\)\s*", " "), range(3), c)
-    return squeeze(F.regexp_replace(t, r"(?i)[\s\-–]*\b(?:an?\s+)?(?:open|close|closed)[\s-]*ended\b.*$", ""))
+# What a label says before and after a scheme's name, and labels that name none; tails go in this order
+STATEMENT_OF = r"(?i)^(?:monthly\s+|fortnightly\s+)?portfolio(?:\s+statement)?\s+of\s+(.+?)(?:\s+as\s+on\b.*)?$"
+DATE_TAILS = (r"(?i)\s+as\s+on\s+\d{1,2}\s*[-/]\s*[A-Za-z]{3,9}\s*[-/]\s*\d{2,4}\s*$", r"(?i)\s+as\s+on\s+\d{1,2}[-/]\d{1,2}[-/]\d{2,4}\s*$")
+OPEN_ENDED = (r"(?i)\s*\(+[^)]*(?:open[-\s]?ended|close[-\s]?ended|exchange\s+traded)[^)]*\)+\s*$", r"(?i)\s*\(+[^)]*(?:open[-\s]?ended|close[-\s]?ended).*$")
+DESCRIPTION_TAILS = (
+    r"(?i)\s+(?:for\s+)?(?:january|february|march|april|may|june|july|august|september|october|november|december)\s+20\d{2}\s*$",
+    r"(?i)\s*[-–—]\s*an?\s+open[-\s]?ended\b.*$", r"(?i)\s*[-–—]\s*a\s+relatively\b.*$", r"(?i)\s*\(?\s*(?:formerly|erstwhile)\s+know(?:n)?(?:\s+as)?\b.*$", r"(?i)\s*\(?\s*erstwhile\b.*$",
+    r"(?i)^[A-Z]{1,4}\d{0,4}\s*[-–—:]\s*", r"\s*\([A-Z0-9][^)]*$", r"(?i)\s*\(\s*the\s+scheme\s+has\b.*$", *OPEN_ENDED, *OPEN_ENDED, *OPEN_ENDED,
+    r"(?i)\s*\(\s*An?\s+[^)]{8,}\)\s*$", r"(?i)\s*\(\s*The\s+[^)]{8,}\)\s*$", r"(?i)\s*\(\s*\d{2,5}\s*days?\s*\)\s*$", r"(?i)\s*\(\s*A\s+\d+[^)]*\)\s*$", r"(?i)\s+\d{2,5}\s*days?\s*$",
+)
+NO_NAME = r"(?i)^name of mutual fund\s*:|^scheme\s*name\s*:?$"
+MATURITY = r"(?i)\b((?:jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)\s*-?\s*(?:19|20)\d{2})\b"
+PLAN_TAILS = (r"(?i)\s*[-–—]?\s*(?:direct|regular)\b.*$", r"(?i)\s*[-–—]?\s*(?:growth|idcw|dividend|payout|reinvestment)\b.*$")
+
 
+def cut(c: Column, tails) -> Column:
+    """Tails removed one after another."""
+    return reduce(lambda x, p: F.trim(F.regexp_replace(x, p, "")), tails, c)
 
-def match_key(c: Column) -> Column:
-    return root_key(strip_variant(strip_description(expand(c))))
+
+def strip_description(c: Column) -> Column:
+    """A scheme's name without what labels say around it: statements and dates, categories, former names, tickers, tenures; labels that name no scheme are empty."""
+
+    def body(t: Column) -> Column:
+        of = F.regexp_replace(F.regexp_extract(t, STATEMENT_OF, 1), r"^[ \-]+|[ \-]+$", "")
+        name = cut(F.when(of != "", of).otherwise(cut(t, DATE_TAILS)), DESCRIPTION_TAILS)
+        return F.when(name.rlike(NO_NAME), F.lit("")).otherwise(name)
+
+    return once(squeeze(F.coalesce(c, F.lit(""))), body)
+
+
+def match_key(base: Column, canonical: Column) -> Column:
+    """The key by which a fund is matched: its base name without descriptions and variant tails.
+
+    A month of maturity that only the canonical name tells is added; where that name, peeled of its plan, goes on
+    beyond the base name by three characters and more, it is the key.
+    """
+    or_else = lambda a, b: F.coalesce(F.nullif(a, F.lit("")), b)
+    plain = lambda c: once(or_else(strip_description(c), c), lambda t: or_else(strip_variant(t), t))
+    full = F.coalesce(canonical, F.lit(""))
+    month = F.nullif(F.regexp_extract(full, MATURITY, 1), F.lit(""))
+    dated = once(plain(F.coalesce(base, F.lit(""))), lambda t: F.when(~t.rlike(r"(?:19|20)\d{2}") & month.isNotNull(), F.concat(t, F.lit(" - "), month)).otherwise(t))
+    peeled = once(strip_description(cut(full, PLAN_TAILS)), lambda t: or_else(strip_variant(t), t))
+    longer = lambda key, own: F.startswith(own, key) & (key != "") & (F.length(own) >= F.length(key) + 3)
+    both = F.struct(dated.alias("a"), peeled.alias("b"))
+    key = once(both, lambda x: F.when(longer(root_key(x["a"]), root_key(x["b"])), x["b"]).otherwise(x["a"]))
+    return or_else(norm_text(key), norm_text(base))
 
 
 def peel(c: Column) -> Column:

@@ -189,9 +189,8 @@ def _search(measure: str, cutoff: float, pick, id_type: pa.DataType):
 
 
 def structure(name: Column) -> tuple[Column, Column]:
-    """What must agree: whether a name is of an exchange-traded fund, and of a fund of funds; and the years that it names."""
-    bit = lambda p: F.coalesce(name.rlike(p), F.lit(False)).cast("string")
-    kind = F.concat(bit(r"(?i)\betf\b|exchange traded"), bit(r"(?i)\bfof\b|fund of funds"))
+    """What must agree: whether a name is of a fund of funds, else whether of an exchange-traded fund; and the years that it names."""
+    kind = F.when(name.rlike(r"(?i)\bfof\b|fund of funds"), "fof").when(name.rlike(r"(?i)\betf\b|exchange traded"), "etf").otherwise("")
     return kind, F.array_join(F.array_sort(F.array_distinct(F.coalesce(F.regexp_extract_all(name, F.lit(r"\b(20\d\d)\b"), F.lit(1)), F.array().cast("array<string>")))), ",")
 
 

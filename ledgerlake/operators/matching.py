@@ -8,16 +8,14 @@ from pyspark.sql import functions as F
 from ..functions import names, text
 from ..functions.similarity import token_sort_ratio
 from ..rules import first_by
-from .likeness import best_alike
+from .likeness import best_alike, structure
 
 
 def structure_conflict(a: Column, b: Column) -> Column:
-    """Different years named, or only one of them a fund of funds or an exchange-traded fund."""
-    years = lambda c: F.regexp_extract_all(c, F.lit(r"\b(20\d\d)\b"), F.lit(1))
-    ya, yb = years(a), years(b)
-    apart = (F.size(ya) > 0) & (F.size(yb) > 0) & ~F.arrays_overlap(ya, yb)
-    bit = lambda c, p: F.coalesce(c.rlike(p), F.lit(False))
-    return apart | (bit(a, r"(?i)\betf\b|exchange traded") != bit(b, r"(?i)\betf\b|exchange traded")) | (bit(a, r"(?i)\bfof\b|fund of funds") != bit(b, r"(?i)\bfof\b|fund of funds"))
+    """Different years named, or only one of them a fund of funds, or (of others) an exchange-traded fund."""
+    (kind_a, years_a), (kind_b, years_b) = structure(a), structure(b)
+    apart = (years_a != "") & (years_b != "") & ~F.arrays_overlap(F.split(years_a, ","), F.split(years_b, ","))
+    return apart | (kind_a != kind_b)
 
 
 def containment_score(label: Column, name: Column) -> Column:

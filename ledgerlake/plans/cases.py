@@ -126,7 +126,7 @@ cases("source_cadence", [
 cases("name_root_keys", [(("Owsal Glit Fund",), "oswalgiltfund"), (("Large & Midcap Fund",), "largeandmidcapfund"), (("Bharat Bond ETF Fund of Funds",), "bharatbondfof"), (("MMF Plan",), "moneymarketfundplan"), (("Short Duratio Fund",), "shortdurationfund"), (("Low Duratio",), "lowduration"), (("Interval Fund Interval Fund II",), "intervalfundii"), ((None,), "")], names.root_key, "Keys in which renamed and misspelt names meet.")
 cases("label_expansions", [(("Edel NY 50 IDX",), "Edelweiss Nifty 50 Index Fund"), (("LMcap 250",), "LargeMidcap250"), (("G-S Fund",), "G-Sec Fund"), (("WD HC (I)",), "World Healthcare India"), (("FTP Series - 2",), "FTP Series II"), (("Fund of Funds - Conservative",), "FOF - C"), (("Multi-Asset Allocation Fund",), "Multi Asset Fund"), (("Smallcap250 Momentum Quality 100",), "Smallcap 250 Momentum quality index"), (("Fixed Term Plan 5",), "Fixed Term 5"), (("Unit Linked Insurance Scheme",), "ULIS"), (("",), "")], names.expand, "Short labels in full.")
 cases("variant_tails", [(("Acme Liquid Fund - Unclaimed Redemption",), "Acme Liquid Fund"), (("Acme Bond Fund Retail Plan",), "Acme Bond Fund"), (("Acme Fund (Formerly Beta Fund)",), "Acme Fund"), (("Acme Equity Fund",), "Acme Equity Fund"), (("Acme Super Institutional Cumulative",), "Acme")], names.strip_variant, "Names without variant tails.")
-cases("descriptions", [(("Acme Fund (An open ended equity scheme)",), "Acme Fund"), (("Acme Fund - An Open Ended Debt Scheme",), "Acme Fund"), (("Acme (A (B (C)))",), "Acme"), (("Acme",), "Acme")], names.strip_description, "Names without descriptions.")
+cases("descriptions", [(("Acme Fund (An open ended equity scheme)",), "Acme Fund"), (("Acme Fund - An Open Ended Debt Scheme",), "Acme Fund"), (("Acme (A (B (C)))",), "Acme (A (B (C)))"), (("Acme",), "Acme"), (("Monthly Portfolio Statement of Acme Fund as on 31-Jul-2026",), "Acme Fund"), (("IB01 - Acme Fund (1879 DAYS)",), "Acme Fund"), (("Scheme Name :",), "")], names.strip_description, "Names without descriptions.")
 cases("peeled_labels", [(("ABCD Fund as on 31 Aug 2026",), "ABCD Fund as on 31 Aug 2026|ABCD Fund|Fund"), (("ONE",), "ONE"), (("Flexi Cap Aug 2026",), "Flexi Cap Aug 2026|Flexi Cap|Cap"), (("",), "")], lambda c: F.array_join(names.peel(c), "|"), "A label's candidates in order.")
 cases("pack_codes", [(("IFCF_portfolio",), "IFCF"), (("Portfolio (RLF) Aug",), "RLF"), (("portfolio-SBI1",), "SBI1"), (("plain name",), None)], names.pack_code, "Short codes of file names.")
 cases("fund_names_of_files", [(("AcmeFlexiCapFund_Monthly_Portfolio_Aug_2026",), "Acme Flexi Cap Fund"), (("Acme-Liquid%20Fund-31",), "Acme Liquid Fund"), (("Portfolio",), "")], names.fund_from_file, "Fund names of file names.")

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import headers
+from ..functions import headers, names
 from ..operators import compare, families, indexes
 from ..sources import workbook
 from .market import _INDEL
@@ -205,3 +205,49 @@ def scheme_rows(t):
     grid = lines.unionByName(between).unionByName(top).withColumn("file", F.concat(F.lit("/x/File "), s, F.lit(".xlsx"))).withColumn("sheet", F.concat(F.lit("Sheet "), s))
     got = indexes.scheme_rows(grid)
     return got.groupBy("scheme").agg(F.count("*").alias("n"), F.sum(F.col("fields")["quantity"].cast("long")).alias("quantity"), F.min(F.col("fields")["instrument"]).alias("least"))
+
+
+# ---------------------------------------------------------------- descriptions and match keys
+
+_LABELS = """
+SELECT p_partkey, p_name, CASE p_partkey % 9 WHEN 0 THEN p_name || ' Fund (An open ended equity scheme)' WHEN 1 THEN 'Monthly Portfolio  Statement of ' || p_name || ' Fund as on 31-Jul-2026' WHEN 2 THEN 'IB01 - ' || p_name || ' Fund (1879 DAYS)' WHEN 3 THEN p_name || ' Fund (formerly known as Old ' || p_name || ')'
+  WHEN 4 THEN p_name || ' Fund - Unclaimed Redemption' WHEN 5 THEN p_name || ' Fund for June 2026' WHEN 6 THEN p_name || ' Fund (MOFUSTF' WHEN 7 THEN p_name || ' Fund - An open-ended scheme of ' || lower(p_type) ELSE 'Scheme Name:' END AS base,
+  CASE p_partkey % 4 WHEN 0 THEN p_name || ' Fund April 2027 - Direct Plan - Growth' WHEN 1 THEN p_name || ' Fund Series ' || p_size || ' Regular Plan' WHEN 2 THEN 'Another Fund' END AS canonical FROM part"""
+
+
+def _nested(sql: str, patterns) -> str:
+    """DuckDB's removal of tails, one after another."""
+    for p in patterns:
+        sql = f"trim(regexp_replace({sql}, '{p}', ''))"
+    return sql
+
+
+def _described(x: str) -> str:
+    of = f"regexp_extract({x}, '{names.STATEMENT_OF}', 1)"
+    return _nested(f"CASE WHEN {of} <> '' THEN trim({of}, ' -') ELSE {_nested(x, names.DATE_TAILS)} END", names.DESCRIPTION_TAILS)
+
+
+_SQUEEZED = r"trim(regexp_replace(coalesce({0}, ''), '\s+', ' ', 'g'))"
+_VARIANT_TAIL = r"(?i)\s*[-–(:]?\s*\b(?:" + "|".join(w.replace(" ", r"\s+") for w in names.VARIANT_WORDS) + r")s?\b.*$"
+_NORM = "trim(regexp_replace(replace(lower({0}), '&', ' and '), '[^a-z0-9]+', ' ', 'g'))"
+_KEYS_SQL = f"""
+WITH l AS ({_LABELS}),
+s AS (SELECT *, {_SQUEEZED.format('base')} AS b, {_SQUEEZED.format(_nested("coalesce(canonical, '')", names.PLAN_TAILS))} AS c FROM l),
+d AS (SELECT *, {_described('b')} AS bd, {_described('c')} AS cd FROM s),
+n AS (SELECT *, CASE WHEN regexp_matches(bd, '{names.NO_NAME}') THEN '' ELSE bd END AS described, CASE WHEN regexp_matches(cd, '{names.NO_NAME}') THEN '' ELSE cd END AS canon FROM d),
+v AS (SELECT *, coalesce(nullif(described, ''), base) AS x FROM n),
+w AS (SELECT *, coalesce(nullif({_nested('x', [_VARIANT_TAIL] * 4)}, ''), x) AS y, coalesce(nullif({_nested('canon', [_VARIANT_TAIL] * 4)}, ''), canon) AS z, regexp_extract(coalesce(canonical, ''), '{names.MATURITY}', 1) AS month FROM v),
+k AS (SELECT *, CASE WHEN NOT regexp_matches(y, '(?:19|20)\\d{{2}}') AND month <> '' THEN y || ' - ' || month ELSE y END AS dated FROM w),
+r AS (SELECT *, replace({_NORM.format('dated')}, ' ', '') AS ra, replace({_NORM.format('z')}, ' ', '') AS rb FROM k)
+SELECT p_partkey, described, coalesce(nullif({_NORM.format("CASE WHEN starts_with(rb, ra) AND ra <> '' AND length(rb) >= length(ra) + 3 THEN z ELSE dated END")}, ''), {_NORM.format('base')}) AS key FROM r"""
+
+
+@query("match_keys", _KEYS_SQL)
+def match_keys(t):
+    """Parts' names inside the texts that labels put around them, and the keys by which funds of such names are matched."""
+    k, n = F.col("p_partkey"), F.col("p_name")
+    forms = [F.concat(n, F.lit(" Fund (An open ended equity scheme)")), F.concat(F.lit("Monthly Portfolio  Statement of "), n, F.lit(" Fund as on 31-Jul-2026")), F.concat(F.lit("IB01 - "), n, F.lit(" Fund (1879 DAYS)")), F.concat(n, F.lit(" Fund (formerly known as Old "), n, F.lit(")")), F.concat(n, F.lit(" Fund - Unclaimed Redemption")), F.concat(n, F.lit(" Fund for June 2026")), F.concat(n, F.lit(" Fund (MOFUSTF")), F.concat(n, F.lit(" Fund - An open-ended scheme of "), F.lower("p_type")), F.lit("Scheme Name:")]
+    full = [F.concat(n, F.lit(" Fund April 2027 - Direct Plan - Growth")), F.concat(n, F.lit(" Fund Series "), F.col("p_size"), F.lit(" Regular Plan")), F.lit("Another Fund"), F.lit(None).cast("string")]
+    of = lambda xs: F.element_at(F.array(*xs), (k % len(xs) + 1).cast("int"))
+    p = t.part.select("p_partkey", of(forms).alias("base"), of(full).alias("canonical"))
+    return p.select("p_partkey", names.strip_description(F.col("base")).alias("described"), names.match_key(F.col("base"), F.col("canonical")).alias("key"))

@@ -22,6 +22,11 @@ def has(text: str | Column, pattern: str) -> Column:
     return F.coalesce(c, F.lit("")).rlike(f"(?i){pattern}")
 
 
+def once(value: Column, body) -> Column:
+    """``body`` of a value that is named once, however often it is used there: the expression stays small."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def nth_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows of each key in the given order (give it a unique last item)."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -85,8 +85,8 @@ def plain_conflict(a, b):
     import re
 
     years = [set(re.findall(r"\b(20\d\d)\b", x)) for x in (a, b)]
-    bit = lambda p, x: bool(re.search(p, x, re.I))
-    return bool(years[0] and years[1] and not years[0] & years[1]) or any(bit(p, a) != bit(p, b) for p in (r"\betf\b|exchange traded", r"\bfof\b|fund of funds"))
+    etf, fof = ([bool(re.search(p, x, re.I)) for x in (a, b)] for p in (r"\betf\b|exchange traded", r"\bfof\b|fund of funds"))
+    return bool(years[0] and years[1] and not years[0] & years[1]) or fof[0] != fof[1] or (etf[0] != etf[1] and not fof[0])
 
 
 @pytest.mark.parametrize("sizes", [{}, {"chunk": 3, "part": 5}])
