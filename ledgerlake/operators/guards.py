@@ -50,3 +50,22 @@ def completeness(files: DataFrame, outputs: DataFrame, group: list[str], key: st
 
 def severity(n: Column, warn: int = 0, fail: int = 20) -> Column:
     return F.when(n > fail, "fail").when(n > warn, "warn").otherwise("ok")
+
+
+def stamped_runs(filings: DataFrame, share: float = 0.9, least: int = 20) -> DataFrame:
+    """run_id, keys, stamped, phantom: runs whose keys nearly all bear the run's own day, as a sync does that stamps instead of reading.
+
+    filings: run_id, run_day, key, as_of. A run of fewer than ``least`` keys isn't judged. A null date isn't stamped.
+    """
+    one = filings.groupBy("run_id", "key").agg(F.max(F.coalesce(F.col("as_of") == F.col("run_day"), F.lit(False)).cast("int")).alias("s"))
+    runs = one.groupBy("run_id").agg(F.count("*").alias("keys"), F.sum("s").alias("stamped"))
+    return runs.withColumn("phantom", (F.col("keys") >= least) & (F.col("stamped") >= share * F.col("keys")))
+
+
+def without_stamps(filings: DataFrame, books: DataFrame, **params) -> DataFrame:
+    """Filings without those that a phantom run stamped, unless their book (key, as_of) is there."""
+    bad = stamped_runs(filings, **params).where("phantom").select("run_id", F.lit(True).alias("__bad"))
+    have = books.select("key", "as_of", F.lit(True).alias("__book")).distinct()
+    f = filings.join(bad, "run_id", "left").join(have, ["key", "as_of"], "left")
+    stamped = F.col("__bad").isNotNull() & F.coalesce(F.col("as_of") == F.col("run_day"), F.lit(False))
+    return f.where(~stamped | F.col("__book").isNotNull()).drop("__bad", "__book")

@@ -49,6 +49,41 @@ def schemes(catalog: DataFrame, wanted: str = "", amc_id: str | None = None, mos
     return df.where(hit).orderBy("name", "code").limit(most)
 
 
+def holdings_answers(requests: DataFrame, catalog: DataFrame, books: DataFrame) -> DataFrame:
+    """``answers`` for requests by code, else by a stored key, else by a stored path (request_id, code, key, path, as_of).
+
+    Keys and paths are allowed if the catalog (code, portfolio_id, latest_as_of, key, path) has them, else 404; a
+    request that names nothing, or a key of another form, is a 400. A key or path of several codes stands for the least.
+    """
+    text = lambda c: F.nullif(F.trim(F.col(c)), F.lit(""))
+    q = requests.select("request_id", text("code").alias("by_code"), text("key").alias("by_key"), text("path").alias("by_path"), "as_of")
+    for c in ("key", "path"):
+        least = catalog.where(F.col(c).isNotNull()).groupBy(F.col(c).alias(f"by_{c}")).agg(F.min("code").alias(f"{c}_code"))
+        q = q.join(least, f"by_{c}", "left")
+    said = F.when(F.col("by_code").isNotNull(), F.col("by_code")).when(F.col("by_key").isNotNull(), F.col("key_code")).otherwise(F.col("path_code"))
+    q = q.withColumn("code", said)
+    nothing = F.coalesce("by_code", "by_key", "by_path").isNull()
+    bad_key = F.col("by_code").isNull() & F.col("by_key").isNotNull() & ~valid_key(F.col("by_key"))
+    early = F.when(nothing | bad_key, 400).when(F.col("by_code").isNull() & F.col("code").isNull(), 404)
+    got = answers(q.select("request_id", "code", "as_of"), catalog.select("code", "portfolio_id", "latest_as_of"), books)
+    return got.join(q.select("request_id", early.alias("early")), "request_id").withColumn("status", F.coalesce("early", "status")).drop("early")
+
+
+def search(schemes: DataFrame, wanted: str, columns: tuple[str, ...] = ("scheme", "amc_id", "shortcode", "folder"), most: int = MOST_SCHEMES) -> DataFrame:
+    """The comparison page's search: rows of which a column contains the text, any case, and how many there are in all (a route's length)."""
+    t = F.lit(wanted.strip().lower())
+    hit = schemes.where(F.exists(F.array(*[F.lower(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in columns]), lambda c: F.contains(c, t)))
+    total = hit.agg(F.count("*").alias("count"))
+    return hit.orderBy(*columns).limit(most).crossJoin(F.broadcast(total))  # one row
+
+
+def hints(maps: DataFrame) -> DataFrame:
+    """key, codes: scheme codes by short code or folder, any case, each code once in order (maps: key, code, ordinal)."""
+    m = maps.select(F.upper(F.trim("key")).alias("key"), F.trim("code").alias("code"), "ordinal").where("key <> '' and code <> ''")
+    first = m.groupBy("key", "code").agg(F.min("ordinal").alias("ordinal"))
+    return first.groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("ordinal", "code"))), lambda x: x["code"]).alias("codes"))
+
+
 def register(spark: SparkSession, catalog: DataFrame, filings: DataFrame, books: DataFrame) -> None:
     """The documented routes as views: v_catalog, v_filings, v_book."""
     cat.public_row(catalog).createOrReplaceTempView("v_catalog")

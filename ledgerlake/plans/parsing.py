@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import headers, names
-from ..operators import compare, families, indexes
+from ..operators import compare, families, guards, indexes, rollups, serving
 from ..sources import workbook
 from .market import _INDEL
 from .registry import query, real
@@ -251,3 +251,64 @@ def match_keys(t):
     of = lambda xs: F.element_at(F.array(*xs), (k % len(xs) + 1).cast("int"))
     p = t.part.select("p_partkey", of(forms).alias("base"), of(full).alias("canonical"))
     return p.select("p_partkey", names.strip_description(F.col("base")).alias("described"), names.match_key(F.col("base"), F.col("canonical")).alias("key"))
+
+
+# ---------------------------------------------------------------- kept rollups, phantom runs, routes
+
+_DAY = "CAST(l_shipdate AS DATE)"
+
+
+@query("activity_rollup", f"SELECT l_suppkey, count(*) AS n, CAST(min({_DAY}) AS VARCHAR) AS first, CAST(max({_DAY}) AS VARCHAR) AS last, count(DISTINCT {_DAY}) AS days, true AS codes_near FROM lineitem GROUP BY 1")
+def activity_rollup(t):
+    """Each supplier's lines by month, kept; the months from 1998 come late and are counted again alone. The sketches' estimate lies within 6 % of the distinct parts."""
+    day = F.to_date("l_shipdate")
+    rows = t.lineitem.select("l_suppkey", day.alias("day"), F.col("l_partkey").alias("code"))
+    period = F.trunc("day", "MM")
+    early = rollups.states(rows.where("day < date'1998-01-01' or l_suppkey % 2 = 0"), ["l_suppkey"], period, "day", "code")
+    late = rollups.states(rows.where("day >= date'1998-01-01'"), ["l_suppkey"], period, "day", "code")
+    exact = rows.groupBy("l_suppkey").agg(F.count_distinct("code").alias("exact"))
+    got = rollups.merged(rollups.refreshed(early, late), ["l_suppkey"]).join(exact, "l_suppkey")
+    near = F.abs(F.col("codes") - F.col("exact")) <= 0.06 * F.col("exact")
+    return got.select("l_suppkey", "n", F.col("first").cast("string").alias("first"), F.col("last").cast("string").alias("last"), "days", near.alias("codes_near"))
+
+
+@query("stamped_runs", """
+WITH f AS (SELECT o_custkey % 40 AS run_id, DATE '1996-01-01' + CAST(o_custkey % 40 AS INTEGER) AS run_day, o_orderkey AS key, CASE WHEN o_custkey % 40 % 5 = 0 AND o_orderkey % 20 > 0 THEN DATE '1996-01-01' + CAST(o_custkey % 40 AS INTEGER) ELSE CAST(o_orderdate AS DATE) END AS as_of FROM orders),
+r AS (SELECT run_id, count(*) AS keys, count(*) FILTER (WHERE as_of = run_day) AS stamped FROM f GROUP BY run_id)
+SELECT f.run_id, count(*) AS kept, bool_or(keys >= 20 AND stamped >= 0.9 * keys) AS phantom FROM f JOIN r USING (run_id) WHERE NOT (keys >= 20 AND stamped >= 0.9 * keys AND as_of = run_day) OR key % 7 = 0 GROUP BY f.run_id""")
+def stamped_runs(t):
+    """Runs of filings, a fifth of which stamp their own day on nearly all keys; every seventh stamp has a book."""
+    run = F.col("o_custkey") % 40
+    run_day = F.date_add(F.lit("1996-01-01").cast("date"), run.cast("int"))
+    f = t.orders.select(run.alias("run_id"), run_day.alias("run_day"), F.col("o_orderkey").alias("key"), F.when((run % 5 == 0) & (F.col("o_orderkey") % 20 > 0), run_day).otherwise(F.to_date("o_orderdate")).alias("as_of"))
+    kept = guards.without_stamps(f, f.where("key % 7 = 0").select("key", "as_of"))
+    return kept.groupBy("run_id").agg(F.count("*").alias("kept")).join(guards.stamped_runs(f).select("run_id", "phantom"), "run_id")
+
+
+@query("holdings_route", """
+WITH b AS (SELECT DISTINCT o_custkey AS k, last_day(CAST(o_orderdate AS DATE)) AS d FROM orders), l AS (SELECT k, max(d) AS d FROM b GROUP BY k),
+q AS (SELECT c_custkey AS k, c_custkey % 7 AS v, l.d FROM customer LEFT JOIN l ON l.k = c_custkey)
+SELECT k AS request_id, CASE v WHEN 3 THEN 400 WHEN 4 THEN 404 WHEN 5 THEN 400 WHEN 6 THEN 404 ELSE CASE WHEN d IS NULL THEN 404 ELSE 200 END END AS status,
+  CASE WHEN v < 3 AND d IS NOT NULL THEN '/api/amfi/' || (k + 10000) || '?as_of=' || CAST(d AS VARCHAR) END AS self FROM q""")
+def holdings_route(t):
+    """Requests by code, by key and by path, without any, with keys that aren't stored or of another form, and with a strange path."""
+    k = F.col("c_custkey")
+    held = t.orders.select(F.concat(F.lit("p"), "o_custkey").alias("portfolio_id"), F.last_day(F.to_date("o_orderdate")).alias("as_of")).distinct()
+    newest = held.groupBy("portfolio_id").agg(F.max("as_of").alias("latest_as_of"))
+    stored, path = F.concat(F.lit("portfolios/latest/"), k, F.lit(".json")), F.concat(F.lit("data/"), k, F.lit("/portfolio.json"))
+    cat = t.customer.select((k + 10_000).cast("string").alias("code"), F.concat(F.lit("p"), k).alias("portfolio_id"), stored.alias("key"), path.alias("path")).join(newest, "portfolio_id", "left")
+    v = k % 7
+    key = F.when(v == 1, stored).when(v == 4, F.lit("portfolios/latest/none.json")).when(v == 5, F.lit("../etc/passwd"))
+    req = t.customer.select(k.alias("request_id"), F.when(v == 0, (k + 10_000).cast("string")).otherwise("").alias("code"), key.alias("key"), F.when(v == 2, path).when(v == 6, F.lit("/etc/passwd")).alias("path"), F.lit(None).cast("string").alias("as_of"))
+    return serving.holdings_answers(req, cat, held).select("request_id", "status", "self")
+
+
+@query("scheme_search", """
+WITH h AS (SELECT c_custkey AS code, c_name AS scheme, c_nationkey::VARCHAR AS amc_id, upper(c_mktsegment) AS shortcode, 'f' || (c_custkey % 100) AS folder FROM customer)
+SELECT code, scheme, count(*) OVER () AS count, (SELECT array_to_string(list(k ORDER BY k), ',') FROM (SELECT c_custkey AS k FROM customer WHERE 'F' || (c_custkey % 100) = upper(h.folder)) ) AS codes FROM h WHERE contains(lower(scheme), 'f7') OR contains(lower(amc_id), 'f7') OR contains(lower(shortcode), 'f7') OR contains(lower(folder), 'f7') ORDER BY scheme LIMIT 5000""")
+def scheme_search(t):
+    """The comparison page's search over four columns, each hit with the codes that its folder's hint tells."""
+    s = t.customer.select(F.col("c_custkey").alias("code"), F.col("c_name").alias("scheme"), F.col("c_nationkey").cast("string").alias("amc_id"), F.upper("c_mktsegment").alias("shortcode"), F.concat(F.lit("f"), F.col("c_custkey") % 100).alias("folder"))
+    told = serving.hints(s.select(F.concat(F.lit(" "), "folder").alias("key"), F.col("code").cast("string").alias("code"), F.col("code").alias("ordinal")))
+    found = serving.search(s, "F7 ").withColumn("key", F.upper("folder")).join(told, "key", "left")
+    return found.select("code", "scheme", "count", F.array_join("codes", ",").alias("codes"))
