@@ -1,3 +1,3 @@
 """Named queries over the driver's tables; importing this package registers them all."""
 
-from . import books, cases, market, parsing, texts, work  # noqa: F401
+from . import books, cases, market, parsing, ruled, texts, work  # noqa: F401
