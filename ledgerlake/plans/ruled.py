@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..functions import classify, dates, names, numbers
+from ..functions import classify, dates, landed, names, numbers
 from ..functions import similarity as S
 from ..functions import text as T
 from ..operators import matching, sheets
@@ -223,3 +223,87 @@ def name_scores(t):
     b = t.part.select((F.col("p_partkey") - 1).alias("p_partkey"), n.alias("b"))
     r = lambda c: F.round(c, 4)
     return a.join(b, "p_partkey").select("p_partkey", r(S.token_sort_ratio("a", "b")).alias("sort"), r(S.token_set_ratio("a", "b")).alias("sets"), r(S.partial_ratio("a", "b")).alias("part"), r(S.name_match_score("a", "b")).alias("mixed"))
+
+
+# ---------------------------------------------------------------- landed listings
+
+_SLICE = "CASE WHEN day({0}) BETWEEN 13 AND 16 THEN date_trunc('month', {0})::DATE + 14 WHEN day({0}) >= 27 OR day({0}) >= day(last_day({0})) - 3 THEN last_day({0}) END"
+_LANDED = """
+WITH d AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) + 10957 AS d FROM orders),
+x AS (SELECT o_orderkey, d, o_orderkey % 9 AS v, 'https://h.org/' || CASE o_orderkey % 9 WHEN 0 THEN 'Portfolio ' || strftime(d, '%d-%b-%Y') || '.xlsx' WHEN 1 THEN 'Weekly ' || strftime(d, '%b %Y') || '.xls' WHEN 2 THEN 'Half-Yearly Portfolio ' || strftime(d, '%b %Y') || '.xlsx' WHEN 3 THEN 'Consolidated SEBI Portfolio ' || strftime(d, '%b %Y') || '.zip?x=1'
+    WHEN 4 THEN 'Portfolio ' || strftime(d, '%b %Y') || '.pdf' WHEN 5 THEN 'Portfolio.xlsx' WHEN 6 THEN 'weekly-and-monthly ' || strftime(d, '%b %Y') || '.csv' WHEN 7 THEN 'slug' || o_orderkey || '.xlsm' ELSE 'Book ' || strftime(d, '%d-%b-%Y') || '.xlsx' END AS url,
+  CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE date_trunc('month', d + CASE WHEN o_orderkey % 4 = 0 THEN 31 ELSE 0 END)::DATE END AS period, CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderkey % 2 = 0 THEN last_day(d) ELSE date_trunc('month', d)::DATE + 14 END AS slice, o_orderkey % 11 = 0 AS trusted FROM d)"""
+
+
+def _landed(t):
+    k, d = F.col("o_orderkey"), F.date_add(F.to_date("o_orderdate"), 10_957)
+    on = lambda f: F.date_format(d, f)
+    forms = [F.concat(F.lit("Portfolio "), on("dd-MMM-yyyy"), F.lit(".xlsx")), F.concat(F.lit("Weekly "), on("MMM yyyy"), F.lit(".xls")), F.concat(F.lit("Half-Yearly Portfolio "), on("MMM yyyy"), F.lit(".xlsx")), F.concat(F.lit("Consolidated SEBI Portfolio "), on("MMM yyyy"), F.lit(".zip?x=1")), F.concat(F.lit("Portfolio "), on("MMM yyyy"), F.lit(".pdf")), F.lit("Portfolio.xlsx"), F.concat(F.lit("weekly-and-monthly "), on("MMM yyyy"), F.lit(".csv")), F.concat(F.lit("slug"), k, F.lit(".xlsm")), F.concat(F.lit("Book "), on("dd-MMM-yyyy"), F.lit(".xlsx"))]
+    url = F.concat(F.lit("https://h.org/"), F.element_at(F.array(*forms), (k % 9 + 1).cast("int")))
+    period = F.when(k % 7 > 0, F.trunc(F.date_add(d, F.when(k % 4 == 0, 31).otherwise(0)), "MM"))
+    key = F.when(k % 3 == 0, F.lit(None).cast("date")).when(k % 2 == 0, F.last_day(d)).otherwise(dates.fifteenth(d))
+    return t.orders.select("o_orderkey", d.alias("d"), url.alias("url"), period.alias("period"), key.alias("slice"), (k % 11 == 0).alias("trusted"))
+
+
+@query("landed_file_reasons", _LANDED + rf""",
+y AS (SELECT *, try_strptime(regexp_extract(url, '\d\d-[A-Z][a-z][a-z]-\d{{4}}'), '%d-%b-%Y')::DATE AS named, try_strptime('1 ' || replace(regexp_extract(url, '[A-Z][a-z][a-z][ -]20\d\d'), '-', ' '), '%d %b %Y')::DATE AS month FROM x)
+SELECT o_orderkey, CASE WHEN NOT regexp_matches(url, '{classify.SPREADSHEET}', 'i') THEN 'not_spreadsheet' WHEN regexp_matches(url, '{classify.NO_PORTFOLIO}', 'i') AND NOT regexp_matches(url, '{classify.CONSOLIDATED}', 'i') THEN 'excluded_non_portfolio' WHEN regexp_matches(url, 'weekly', 'i') AND NOT regexp_matches(url, 'monthly|fortnight', 'i') THEN 'weekly_not_portfolio' WHEN trusted THEN 'adapter_period'
+  WHEN period IS NOT NULL AND month <> period THEN 'wrong_month' WHEN slice IS NOT NULL AND named IS NOT NULL AND coalesce({_SLICE.format('named')} = slice, false) THEN 'as_of_slice' WHEN slice IS NOT NULL AND named IS NOT NULL THEN 'wrong_as_of_slice' WHEN period IS NOT NULL AND month = period THEN 'month_in_name' WHEN slice IS NOT NULL THEN 'undated_no_month' ELSE 'spreadsheet_on_disclosure_page' END AS reason FROM y""")
+def landed_file_reasons(t):
+    """Why landed files named after orders' days are kept or not, for wanted months and slices that fit some."""
+    x = _landed(t)
+    u = F.col("url")
+    return x.select("o_orderkey", classify.file_reason(u, F.lit(None).cast("string"), dates.extract_dates(u), dates.all_months(u), dates.matches_as_of(u, F.col("slice")), F.col("period"), F.col("slice"), F.col("trusted")).alias("reason"))
+
+
+@query("landed_days", _LANDED + f""",
+f AS (SELECT *, 'https://h.org/2026/a_' || CASE o_orderkey % 3 WHEN 0 THEN strftime(d, '%d%m%Y') WHEN 1 THEN strftime(d, '%d%m%y') ELSE o_orderkey::VARCHAR || 'x' END || '.xlsx' AS file, CASE o_orderkey % 4 WHEN 0 THEN epoch_ms(d::TIMESTAMP)::VARCHAR WHEN 1 THEN '/Date(' || epoch_ms(d::TIMESTAMP) || '+0000)/' WHEN 2 THEN 'soon' END AS published, CASE WHEN o_orderkey % 5 = 0 THEN 'Portfolio ' || strftime(d, '%b %Y') ELSE 'Portfolio' END AS title FROM x)
+SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 3 < 2 AND (day(d) = 15 OR day(d) >= 28) THEN d END AS VARCHAR) AS compact, CAST(CASE WHEN o_orderkey % 5 = 0 OR o_orderkey % 4 < 2 THEN date_trunc('month', d)::DATE END AS VARCHAR) AS month, contains(regexp_replace(file, '[^0-9A-Za-z]', '', 'g'), strftime(d, '%d%m%Y')) AS token,
+  CAST(CASE WHEN o_orderkey % 9 IN (0, 8) AND {_SLICE.format('d')} IS NOT NULL THEN CASE WHEN day(d) <> day({_SLICE.format('d')}) THEN d ELSE {_SLICE.format('d')} END ELSE coalesce({_SLICE.format('d')}, CASE WHEN o_orderkey % 9 IN (0, 8) THEN d END) END AS VARCHAR) AS chosen,
+  NOT contains(url, 'zip') AS single FROM f""")
+def landed_days(t):
+    """Days that files' digits give, months that titles or publication times give, tokens of a day, the choice between sheet's and name's day, and files within a scope."""
+    k, d = F.col("o_orderkey"), F.col("d")
+    x = _landed(t)
+    ms = F.unix_millis(d.cast("timestamp")).cast("string")
+    file = F.concat(F.lit("https://h.org/2026/a_"), F.when(k % 3 == 0, F.date_format(d, "ddMMyyyy")).when(k % 3 == 1, F.date_format(d, "ddMMyy")).otherwise(F.concat(k, F.lit("x"))), F.lit(".xlsx"))
+    published = F.when(k % 4 == 0, ms).when(k % 4 == 1, F.concat(F.lit("/Date("), ms, F.lit("+0000)/"))).when(k % 4 == 2, "soon")
+    title = F.when(k % 5 == 0, F.concat(F.lit("Portfolio "), F.date_format(d, "MMM yyyy"))).otherwise("Portfolio")
+    name = F.regexp_extract("url", r"([^/]+)$", 1)
+    named = F.when((k % 9).isin(0, 8), dates.parse_as_of(name))
+    return x.select("o_orderkey", landed.compact_day(file).cast("string").alias("compact"), landed.month_of_row(title, published).cast("string").alias("month"), landed.names_day(file, d).alias("token"), dates.choose_as_of(dates.filing_slice(d), named, name).cast("string").alias("chosen"), landed.in_scope(F.col("url"), "single").alias("single"))
+
+
+_PAGE = "'<div id=\"one\"><ul><li><b>Old</b><span>' || page_id || ' file</span><a href=\"/f/' || (page_id % 7) || '.xlsx\">f</a></li></ul></div><div id=\"two\">' || url || '</div>'"
+
+
+@query("landed_pages", f"""
+WITH x AS (SELECT page_id, url, {_PAGE} AS h FROM pages)
+SELECT page_id, split_part(split_part(h, 'id="one"', 2), 'id="two"', 1) AS tab, page_id || ' file' AS label, 'l' || (page_id % 3) || '=u' || (page_id % 5) || CASE WHEN page_id % 3 <> page_id % 4 AND page_id % 5 <> page_id % 6 THEN ',l' || (page_id % 4) || '=u' || (page_id % 6) ELSE '' END AS zipped, CASE WHEN page_id % 2 = 0 THEN page_id || ',' || (page_id + 1) ELSE page_id::VARCHAR END AS lines,
+  CASE page_id % 3 WHEN 0 THEN url WHEN 1 THEN 'https://h.org/f/' || page_id ELSE 'https://h.org/g' || page_id END AS address FROM x WHERE url LIKE 'http%'""")
+def landed_pages(t):
+    """Parts of landed pages: what stands in a tab, the last label before a link, labels and links by position, rows of lines of JSON, the first address of several fields."""
+    k = F.col("page_id")
+    h = F.expr(_PAGE)
+    item = F.regexp_extract(h, "(<li>.*</li>)", 1)
+    text = lambda *xs: F.concat(*[x if isinstance(x, Column) else F.lit(x) for x in xs])
+    labels = F.array(text("l", k % 3), text("l", k % 4), text("l", k % 3))
+    links = F.array(text("u", k % 5), text("u", k % 6))
+    lines = text('0:{"u":"', k, '"}\n1:[1]\nx', F.when(k % 2 == 0, text('\n2:{"u":"', k + 1, '"}')).otherwise(""))
+    fields = [F.when(k % 3 == 0, F.col("url")), F.when(k % 3 == 1, text("//f/", k)).otherwise(" "), text("g", k)]
+    got = F.array_join(F.transform(landed.json_lines(lines, "u string"), lambda r: r["u"]), ",")
+    return t.pages.where("url like 'http%'").select("page_id", landed.between(h, 'id="one"', 'id="two"').alias("tab"), landed.last_label(item).alias("label"), F.array_join(landed.zipped(labels, links), ",").alias("zipped"), got.alias("lines"), landed.first_address("https://h.org", *fields).alias("address"))
+
+
+@query("source_cadences", r"""
+WITH d AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) + 10957 AS d FROM orders),
+x AS (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN last_day(d) ELSE date_trunc('month', d)::DATE + 14 END AS slice, CASE WHEN o_orderkey % 3 = 0 THEN 'monthly' ELSE 'fortnightly' END AS kind,
+  CASE o_orderkey % 7 WHEN 0 THEN 'Fortnightly portfolio 15 ' || strftime(d, '%b %Y') || '.xlsx' WHEN 1 THEN 'Monthly portfolio ' || strftime(d, '%b %Y') || '.xlsx' WHEN 2 THEN 'debt_31-' || strftime(d, '%b-%Y') || '.xlsx' WHEN 3 THEN 'debt 15-' || strftime(d, '%b-%Y') || '.xlsx' WHEN 4 THEN 'in_mf_monthly_' || strftime(d, '%m') || '.xls' WHEN 5 THEN 'equity exposure.xls' END AS s FROM d)
+SELECT o_orderkey, NOT (s IS NOT NULL AND ((kind = 'monthly' AND slice = last_day(slice) AND o_orderkey % 7 = 0) OR (kind = 'fortnightly' AND day(slice) = 15 AND o_orderkey % 7 IN (1, 2, 4, 5) AND NOT (o_orderkey % 7 = 1 AND NOT contains(lower(s), 'monthly portfolio'))))) AS fits FROM x""")
+def source_cadences(t):
+    """Whether sources' names go with the slices that they are filed under."""
+    k, d = F.col("o_orderkey"), F.date_add(F.to_date("o_orderdate"), 10_957)
+    on = lambda f: F.date_format(d, f)
+    s = F.when(k % 7 == 0, F.concat(F.lit("Fortnightly portfolio 15 "), on("MMM yyyy"), F.lit(".xlsx"))).when(k % 7 == 1, F.concat(F.lit("Monthly portfolio "), on("MMM yyyy"), F.lit(".xlsx"))).when(k % 7 == 2, F.concat(F.lit("debt_31-"), on("MMM-yyyy"), F.lit(".xlsx"))).when(k % 7 == 3, F.concat(F.lit("debt 15-"), on("MMM-yyyy"), F.lit(".xlsx"))).when(k % 7 == 4, F.concat(F.lit("in_mf_monthly_"), on("MM"), F.lit(".xls"))).when(k % 7 == 5, "equity exposure.xls")
+    slice_ = F.when(k % 2 == 0, F.last_day(d)).otherwise(dates.fifteenth(d))
+    return t.orders.select("o_orderkey", dates.source_fits_cadence(s, slice_, F.when(k % 3 == 0, "monthly").otherwise("fortnightly")).alias("fits"))
