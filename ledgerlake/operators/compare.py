@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..functions import text
 from ..functions.numbers import pct, within_tolerance
@@ -100,15 +101,34 @@ def missing_by_house(funds: DataFrame, present: DataFrame, house: str, key: str)
     return out.where("missing > 0").orderBy(F.col("missing").desc(), F.col("total").desc(), house)
 
 
+def ranked(df: DataFrame, key: str, out: str = "place") -> DataFrame:
+    """Rows numbered from 1 in the order of a key, by ranges: only the ranges' counts meet in one task. The ranges are cached, since both uses must see the same ones."""
+    parts = df.repartitionByRange(key).select("*", F.spark_partition_id().alias("__p")).persist(StorageLevel.MEMORY_AND_DISK)
+    own = parts.withColumn("__n", F.row_number().over(Window.partitionBy("__p").orderBy(key)))
+    before = F.coalesce(F.sum("count").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    start = own.groupBy("__p").count().withColumn("__start", before).select("__p", "__start")
+    return own.join(F.broadcast(start), "__p").withColumn(out, (F.col("__start") + F.col("__n")).cast("long")).drop("__p", "__n", "__start")  # a row a range
+
+
 def missing_list(funds: DataFrame, present: DataFrame, key: str, slice_: str, most: int = 50) -> DataFrame:
-    """Per slice, the first ``most`` funds without a book there (a report's length)."""
-    every = present.agg(F.array_sort(F.collect_set(slice_)).alias("__all"))  # one row: the dates of a calendar
-    have = present.groupBy(key).agg(F.collect_set(slice_).alias("__have"))
-    lack = funds.select(key).join(have, key, "left").withColumn("__one", F.lit(1)).join(F.broadcast(every.withColumn("__one", F.lit(1))), "__one")
-    none = F.array().cast(every.schema["__all"].dataType)
-    lack = lack.select(key, F.explode(F.array_except("__all", F.coalesce("__have", none))).alias(slice_))
-    w = Window.partitionBy(slice_).orderBy(key)
-    return lack.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)
+    """Per slice, the first ``most`` funds without a book there (a report's length).
+
+    Funds are numbered in order; what a slice lacks lies in the gaps between the numbers that it holds. Work grows with
+    the held pairs and the report's length, not with funds times slices.
+    """
+    numbered = ranked(funds.select(key).distinct(), key)
+    total = numbered.agg(F.max("place").alias("total"))
+    held = present.select(key, slice_).distinct().join(numbered, key).select(slice_, "place")
+    every = present.select(slice_).distinct().crossJoin(F.broadcast(total))  # one row
+    ends = every.select(slice_, F.lit(0).cast("long").alias("place")).unionByName(every.select(slice_, (F.col("total") + 1).alias("place")))
+    marks = held.unionByName(ends)
+    order = Window.partitionBy(slice_).orderBy("place")
+    gaps = marks.withColumn("after", F.lag("place").over(order)).where(F.col("place") - F.col("after") > 1)
+    gaps = gaps.withColumn("size", F.col("place") - F.col("after") - 1)
+    gaps = gaps.withColumn("seen", F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).where(F.col("seen") < most)
+    take = F.least("size", F.lit(most) - F.col("seen"))
+    rows = gaps.select(slice_, F.posexplode(F.sequence(F.col("after") + 1, F.col("after") + take)).alias("at", "place"), "seen")
+    return rows.join(numbered, "place").select(slice_, key, (F.col("seen") + F.col("at") + 1).cast("int").alias("rank"))
 
 
 def parent_coverage(parents: DataFrame, plans: DataFrame) -> DataFrame:

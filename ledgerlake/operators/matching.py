@@ -34,11 +34,18 @@ def _pieces(key: str, size) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(key) - size + 1), lambda i: F.substring(F.col(key), i, size))
 
 
-def _one_piece(df: DataFrame, key: str) -> DataFrame:
-    """A stretch that stands for the key: of its longest size, the one of least hash."""
-    size = F.coalesce(*[F.when(F.length(key) >= g, F.lit(g)) for g in _GRAMS])
-    least = F.array_min(F.transform(_pieces(key, size), lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("x"))))
-    return df.where(F.length(key) > 0).withColumn("__g", least["x"])
+def _longest(key: str) -> Column:
+    """The longest size of stretches that a key has."""
+    return F.coalesce(*[F.when(F.length(key) >= g, F.lit(g)) for g in _GRAMS])
+
+
+def _one_piece(df: DataFrame, key: str, id_: str, block: str, others: DataFrame) -> DataFrame:
+    """A stretch that stands for the key: of its longest size, the one that fewest of the others hold. A key with a stretch that none holds has no partner."""
+    own = df.where(F.length(key) > 0).withColumn("__g", F.explode(F.array_distinct(_pieces(key, _longest(key)))))
+    often = others.groupBy(block, "__g").agg(F.count("*").alias("__f"))
+    own = own.join(often, [block, "__g"], "left").withColumn("__f", F.coalesce("__f", F.lit(0)))
+    rare = own.groupBy(id_, block, key).agg(F.min(F.struct("__f", F.xxhash64("__g"), "__g")).alias("__x"))
+    return rare.where(F.col("__x.__f") > 0).select(id_, block, key, F.col("__x.__g").alias("__g"))
 
 
 def _every_piece(df: DataFrame, key: str, sizes: tuple[int, ...] = _GRAMS) -> DataFrame:
@@ -48,12 +55,13 @@ def _every_piece(df: DataFrame, key: str, sizes: tuple[int, ...] = _GRAMS) -> Da
 def holding_pairs(a: DataFrame, b: DataFrame, block: str) -> DataFrame:
     """(label_id, code) of a block's compact keys ``__a`` and ``__b`` of which one may hold the other.
 
-    A key that is held has all its stretches in the one that holds it, so one of them, joined by equality, finds all
-    such pairs; work grows with the keys, not with the block's square.
+    A key that is held has all its stretches in the one that holds it, so the rarest of them, joined by equality, finds
+    all such pairs; work grows with the keys, not with the block's square, and no common stretch is a hot key.
     """
     a, b = a.select("label_id", block, "__a"), b.select("code", block, "__b")
-    inside = _one_piece(a, "__a").join(_every_piece(b, "__b"), [block, "__g"])
-    around = _every_piece(a, "__a", _GRAMS[:1]).join(_one_piece(b.where(F.length("__b") >= 10), "__b"), [block, "__g"])
+    all_b, all_a = _every_piece(b, "__b"), _every_piece(a, "__a", _GRAMS[:1])
+    inside = _one_piece(a, "__a", "label_id", block, all_b).join(all_b, [block, "__g"])
+    around = all_a.join(_one_piece(b.where(F.length("__b") >= 10), "__b", "code", block, all_a), [block, "__g"])
     both = inside.where(F.contains("__b", F.col("__a"))).unionByName(around.where(F.contains("__a", F.col("__b"))))
     return both.select("label_id", "code", block).distinct()
 
@@ -144,12 +152,13 @@ def _near_pairs(left: DataFrame, right: DataFrame, block: str) -> DataFrame:
     left, right: code, block, words (the name's), key (compact). The likeness asked for (94 and more) leaves at most
     one in eight characters to differ, so of so many words and one more, rarest first, two such names share one.
     """
-    gram = 8
-    grams = lambda d: d.where(F.length("key") >= gram).withColumn("__g", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("key") - gram + 1), lambda i: F.substring(F.col("key"), i, gram)))))
-    first = lambda d: d.where(F.length("key") >= gram).withColumn("__g", F.array_min(F.transform(F.sequence(F.lit(1), F.length("key") - gram + 1), lambda i: F.struct(F.xxhash64(F.substring(F.col("key"), i, gram)), F.substring(F.col("key"), i, gram).alias("g"))))["g"])
+    gram = (8,)
     side = lambda d, c, k, n: d.select(F.col("code").alias(c), block, F.col("words").alias(n), F.col("key").alias(k), *[x for x in ("__g", "__w") if x in d.columns])
-    l1, r1 = side(first(left), "code", "ka", "a"), side(grams(right), "sibling", "kb", "b")
-    l2, r2 = side(grams(left), "code", "ka", "a"), side(first(right), "sibling", "kb", "b")
+    all_left, all_right = _every_piece(left, "key", gram), _every_piece(right, "key", gram)
+    long = F.length("key") >= gram[0]
+    rarest = lambda d, others: d.join(_one_piece(d.where(long).select("code", block, "key"), "key", "code", block, others).select("code", block, "__g"), ["code", block])
+    l1, r1 = side(rarest(left, all_right), "code", "ka", "a"), side(all_right, "sibling", "kb", "b")
+    l2, r2 = side(all_left, "code", "ka", "a"), side(rarest(right, all_left), "sibling", "kb", "b")
     inside = l1.join(r1, [block, "__g"]).unionByName(l2.join(r2, [block, "__g"]))
     every = left.unionByName(right, allowMissingColumns=True).select(block, F.explode(F.array_distinct(F.split("words", " "))).alias("__w"))
     freq = every.groupBy(block, "__w").agg(F.count("*").alias("__f"))

@@ -261,3 +261,32 @@ def test_versions_survive_crashes_and_conflicts(spark, tmp_path):
     assert manifest.pinned(spark, root, 1)["t"].count() == 3
     assert manifest.expire(spark, root, 1) == 2 and manifest.versions(spark, root) == [3]
     assert manifest.pinned(spark, root)["t"].count() == 4 and manifest.pinned(spark, root)["u"].count() == 7
+
+
+def test_missing_lists_come_from_gaps(spark):
+    funds = spark.createDataFrame([(k,) for k in range(0, 400, 3)] + [(3,)], "k long")
+    rng = random.Random(1)
+    held = sorted({(rng.randrange(0, 400, 3), y) for y in (2020, 2021, 2022) for _ in range((y - 2019) * 60)} | {(1, 2020)} | {(k, 2030) for k in range(0, 400, 3)})
+    got = {(r.y, r.k): r["rank"] for r in compare.missing_list(funds, spark.createDataFrame(held, "k long, y int"), "k", "y", 20).collect()}
+    want = {}
+    for y in {y for _, y in held}:
+        lack = [k for k in range(0, 400, 3) if (k, y) not in set(held)][:20]
+        want |= {(y, k): i + 1 for i, k in enumerate(lack)}
+    assert got == want
+
+
+def test_rollups_and_phantom_runs(spark):
+    from ledgerlake.operators import guards, rollups
+
+    rows = spark.createDataFrame([("a", "2026-01-05", "x"), ("a", "2026-01-05", "y"), ("a", "2026-02-01", "x"), ("a", None, "z"), ("b", "2026-02-03", None)], "k string, d string, c string").selectExpr("k", "date(d) d", "c")
+    period = rollups.F.trunc("d", "MM")
+    held = rollups.states(rows.where("c <> 'y' or c is null"), ["k"], period, "d", "c")
+    late = rollups.states(rows.where("d < date'2026-02-01'"), ["k"], period, "d", "c")
+    got = {r.k: (r.n, str(r["first"]), str(r["last"]), r.days, r.codes) for r in rollups.merged(rollups.refreshed(held, late), ["k"]).collect()}
+    assert got == {"a": (4, "2026-01-05", "2026-02-01", 2, 3), "b": (1, "2026-02-03", "2026-02-03", 1, 0)}
+    assert [r.c for r in rollups.most_common(rows, "c", 2).collect()] == ["x", "y"]
+    filings = spark.createDataFrame([(1, "2026-03-01", k, "2026-03-01" if k < 19 else None) for k in range(20)] + [(2, "2026-03-02", k, "2026-03-02") for k in range(5)] + [(3, "2026-03-03", k, "2026-02-28") for k in range(30)], "run_id int, run_day string, key long, as_of string")
+    assert {r.run_id: r.phantom for r in guards.stamped_runs(filings).collect()} == {1: True, 2: False, 3: False}
+    books = spark.createDataFrame([(4, "2026-03-01"), (4, "2026-03-01")], "key long, as_of string")
+    kept = guards.without_stamps(filings, books).groupBy("run_id").count().collect()
+    assert {r.run_id: r["count"] for r in kept} == {1: 2, 2: 5, 3: 30}
