@@ -6,7 +6,7 @@ marker), rows (a flat landed table). The policy names are those of ``listings.PO
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import pages, trees
@@ -29,6 +29,53 @@ HOUSES = {
 }
 
 
+MONTHLY, FORTNIGHTLY = "monthly", "fortnightly"
+# What a house's rows must say, of what (title, url, both, or the file's name), what they mustn't unless they also say something, and which files count
+FILTERS = (
+    ("angel_one", MONTHLY, "name", r"monthly[-_\s]*portfolio", r"\baaum\b|half[-_\s]*year", "", ""),
+    ("axis", MONTHLY, "both", "monthly", "weekly", "", r"\.(pdf|xls|xlsx|xlsb)(\?.*)?$"),
+    ("bajaj", MONTHLY, "both", "monthly|portfolio", "fortnightly", "", r"\.xlsx?(\?|$)"),
+    ("bajaj", FORTNIGHTLY, "both", "fortnightly", "", "", r"\.xlsx?(\?|$)"),
+    ("boi", FORTNIGHTLY, "name", r"^\d{8}_", "", "", ""),
+    ("groww", MONTHLY, "title", "monthly portfolio", "fortnightly", "", r"\.xlsx?(\?|$)"),
+    ("helios", MONTHLY, "name", "portfolio|monthly|monthtly|^helios-", "fortnightly", "", ""),
+    ("helios", FORTNIGHTLY, "name", "fortnightly", "", "", ""),
+    ("hsbc", MONTHLY, "url", "/portfolios/", "", "", r"\.xlsx?(?:\?|$)"),
+    ("ilfs", MONTHLY, "url", "portfolio|monthly", "fortnight|halfyear", "", r"\.(xlsx|xls|zip|pdf)(\?|$)"),
+    ("mahindra", MONTHLY, "both", "", "fortnight", "", ""),
+    ("mahindra", FORTNIGHTLY, "both", "fortnight", "", "", ""),
+    ("motilal", MONTHLY, "both", "", "fortnight", "", r"\.(xlsx?|xlsb)(\?|$)"),
+    ("motilal", FORTNIGHTLY, "both", "fortnight", "", "", r"\.(xlsx?|xlsb)(\?|$)"),
+    ("nippon", MONTHLY, "title", "monthly portfolio", "", "", ""),
+    ("nippon", FORTNIGHTLY, "title", "fortnightly|debt schemes portfolio", "", "", ""),
+    ("sundaram", MONTHLY, "title", "", "fortnightly", "monthly", ""),
+    ("sundaram", FORTNIGHTLY, "title", "fortnightly", "", "", ""),
+    ("union", MONTHLY, "both", "monthly[- ]portfolio", "fortnight|weekly", "", r"\.(xlsx|xls|xlsb|pdf)(\?|$)"),
+)
+RULE = "house string, cadence string, part string, keep string, drop string, unless string, files string"
+
+
+def filters(spark: SparkSession) -> DataFrame:
+    """The houses' own filters as a table."""
+    return spark.createDataFrame(list(FILTERS), RULE)
+
+
+def filtered(listing: DataFrame, rules: DataFrame) -> DataFrame:
+    """Rows of a listing (house, cadence, title, url, ...) that their house's own filter of that cadence lets through; houses without one keep all.
+
+    All houses are judged in one pass: rules are joined, and their patterns searched, as columns. Any case counts; a
+    null title or address says nothing. A house and cadence have one rule.
+    """
+    title, url = F.coalesce("title", F.lit("")), F.coalesce("url", F.lit(""))
+    name = F.regexp_extract(url, r"([^/?#]+)(?:[?#].*)?$", 1)
+    said = F.when(F.col("part") == "title", title).when(F.col("part") == "url", url).when(F.col("part") == "name", name).otherwise(F.concat_ws(" ", title, url))
+    hit = lambda text, rule: F.regexp_like(text, F.concat(F.lit("(?i)"), F.col(rule)))
+    j = listing.join(F.broadcast(rules), ["house", "cadence"], "left").withColumn("said", said)  # a row a house and cadence
+    drop = (F.col("drop") != "") & hit(F.col("said"), "drop") & ~((F.col("unless") != "") & hit(F.col("said"), "unless"))
+    fits = hit(F.col("said"), "keep") & ~drop & hit(url, "files")
+    return j.where(F.col("part").isNull() | fits).select(*listing.columns)
+
+
 def read(landed: DataFrame, reader: str, marker: str = "=") -> DataFrame:
     """Landed pages (page_id, amc_id, url, html) as a listing (amc_id, ordinal, url, title)."""
     if reader in ("anchors", "years"):
@@ -45,6 +92,9 @@ def choose(landed: DataFrame, house: str, fortnightly: bool = False, marker: str
     """A house's listing under its policy."""
     reader, monthly, other = HOUSES[house]
     listing = landed if reader == "rows" else read(landed, reader, marker)
+    cadence = FORTNIGHTLY if fortnightly else MONTHLY
+    rows = listing.withColumn("house", F.lit(house)).withColumn("cadence", F.lit(cadence))
+    listing = filtered(rows, filters(landed.sparkSession)).select(*listing.columns)
     return listings.select(listing, listings.POLICIES[other if fortnightly else monthly])
 
 

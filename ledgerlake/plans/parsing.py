@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import headers, names
-from ..operators import compare, families, guards, indexes, rollups, serving
+from ..operators import compare, connectors, families, guards, indexes, rollups, serving
 from ..sources import workbook
 from .market import _INDEL
 from .registry import query, real
@@ -312,3 +312,30 @@ def scheme_search(t):
     told = serving.hints(s.select(F.concat(F.lit(" "), "folder").alias("key"), F.col("code").cast("string").alias("code"), F.col("code").alias("ordinal")))
     found = serving.search(s, "F7 ").withColumn("key", F.upper("folder")).join(told, "key", "left")
     return found.select("code", "scheme", "count", F.array_join("codes", ",").alias("codes"))
+
+
+# ---------------------------------------------------------------- houses' own filters
+
+_SAYS = ("Monthly Portfolio", "Fortnightly Portfolio", "Fortnightly and monthly", "AAUM", "Half Year monthly portfolio", "Debt Schemes Portfolio", "weekly monthly", "Scheme Portfolio", "helios-fund", "monthly_portfolio", "")
+_ENDS = (".xlsx", ".xls?v=1", ".zip", ".pdf", ".xlsb", "")
+_RULED = ", ".join("(" + ", ".join(f"'{x}'" for x in r) + ")" for r in connectors.FILTERS)
+_HOUSES = sorted({r[0] for r in connectors.FILTERS} | {"uti", "sbi"})
+
+
+@query("house_filters", f"""
+WITH rule(house, cadence, part, keep, stop, unless, files) AS (VALUES {_RULED}),
+h AS (SELECT unnest([{', '.join(f"'{h}'" for h in _HOUSES)}]) AS house, unnest(range(0, {len(_HOUSES)})) AS n), c AS (SELECT unnest(['monthly', 'fortnightly']) AS cadence),
+l AS (SELECT house, cadence, page_id AS ordinal, [{', '.join(f"'{x}'" for x in _SAYS)}][(page_id + n) % {len(_SAYS)} + 1] || CASE WHEN page_id % 3 = 0 THEN ' Aug 2026' ELSE '' END AS title,
+  'https://h.org/' || CASE WHEN page_id % 4 = 0 THEN 'portfolios/' ELSE 'x/' END || CASE page_id % 5 WHEN 0 THEN '31082026_' WHEN 1 THEN 'halfyear-' ELSE '' END || replace(lower([{', '.join(f"'{x}'" for x in _SAYS)}][(page_id * 7 + n) % {len(_SAYS)} + 1]), ' ', '-') || page_id || [{', '.join(f"'{x}'" for x in _ENDS)}][(page_id * 5 + n) % {len(_ENDS)} + 1] AS url FROM pages, h, c),
+j AS (SELECT l.*, part, keep, stop, unless, files, CASE part WHEN 'title' THEN title WHEN 'url' THEN url WHEN 'name' THEN regexp_extract(url, '([^/?#]+)(?:[?#].*)?$', 1) ELSE title || ' ' || url END AS said FROM l LEFT JOIN rule USING (house, cadence))
+SELECT house, cadence, ordinal, title, url FROM j WHERE part IS NULL OR (regexp_matches(said, '(?i)' || keep) AND NOT (stop <> '' AND regexp_matches(said, '(?i)' || stop) AND NOT (unless <> '' AND regexp_matches(said, '(?i)' || unless))) AND regexp_matches(url, '(?i)' || files))""")
+def house_filters(t):
+    """Listings of houses with and without filters of their own, a row for each page, both cadences, all filtered in one pass."""
+    k, n = F.col("page_id"), F.col("n")
+    of = lambda xs, i: F.element_at(F.array(*map(F.lit, xs)), (i % len(xs) + 1).cast("int"))
+    houses = F.array(*[F.struct(F.lit(h).alias("house"), F.lit(i).cast("long").alias("n")) for i, h in enumerate(_HOUSES)])
+    rows = t.pages.select("page_id", F.explode(houses).alias("h")).select("page_id", "h.*", F.explode(F.array(F.lit("monthly"), F.lit("fortnightly"))).alias("cadence"))
+    title = F.concat(of(_SAYS, k + n), F.when(k % 3 == 0, " Aug 2026").otherwise(""))
+    url = F.concat(F.lit("https://h.org/"), F.when(k % 4 == 0, "portfolios/").otherwise("x/"), F.when(k % 5 == 0, "31082026_").when(k % 5 == 1, "halfyear-").otherwise(""), F.replace(F.lower(of(_SAYS, k * 7 + n)), F.lit(" "), F.lit("-")), k, of(_ENDS, k * 5 + n))
+    listing = rows.select("house", "cadence", k.alias("ordinal"), title.alias("title"), url.alias("url"))
+    return connectors.filtered(listing, connectors.filters(t.spark))
