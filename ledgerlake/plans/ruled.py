@@ -69,11 +69,11 @@ _named = has("n", "|".join(classify.FUTURE_NAMES))
 ruled(
     "future_names", "Whether contracts named after parts are futures under a house's policy.",
     {"n": _CONTRACTS, "s": _BOOKS, "ind": pick("NULL", "'Banks'", "'Stock Futures'", key="(p_partkey * 7 + p_size)"), "i": _CODES, "neg": "p_partkey % 2 = 0", "swaps": "p_size % 2 = 0", "options": "p_size % 3 > 0"}, {"future": classify.is_future},
-    {"future": f"""CASE WHEN {has('n', 'covered +call')} THEN false WHEN {has('n', r'interest\s+rate\s+swaps?|\birs\b')} THEN swaps WHEN {has('s', r'\boptions?\b')} OR {has('ind', r'\boptions?\b')} OR {has('n', r'\b(?:put|call)\b')} THEN options
-  WHEN ({has('s', classify.FUTURE_SECTION)} OR {has('s', '^future')} OR {has('ind', r'\b(?:stock|index)\s+futures?\b')}) AND (trim(coalesce(i, '')) = '' OR {_named} OR neg) THEN true
-  WHEN {_named} AND NOT {has('n', classify.DATED_PAPER)} AND NOT {has('n', r'^\s*\d+(\.\d+)?\s*%')} THEN true
-  WHEN {has('n', r'(?<![A-Za-z0-9])\d{2}/\d{2}/\d{4}\s*$')} AND trim(coalesce(i, '')) = '' AND NOT contains(n, '%') AND NOT {has('n', classify.MATURING_PAPER)} THEN true
-  WHEN {has('n', r'\$\$\s*$')} THEN NOT {has('n', classify.DOLLAR_DEBT)} WHEN {has('n', r'(?<!\^)\^\s*$')} THEN NOT {has('n', classify.CARET_CASH)} ELSE false END"""},
+    {"future": f"""CASE WHEN {has('n', classify.COVERED_CALL)} THEN false WHEN {has('n', classify.SWAP_NAME)} THEN swaps WHEN {has('s', classify.OPTION_WORD)} OR {has('ind', classify.OPTION_WORD)} OR {has('n', classify.PUT_OR_CALL)} THEN options
+  WHEN ({has('s', classify.FUTURE_SECTION)} OR {has('s', classify.FUTURE_HEAD)} OR {has('ind', classify.FUTURE_INDUSTRY)}) AND (trim(coalesce(i, '')) = '' OR {_named} OR neg) THEN true
+  WHEN {_named} AND NOT {has('n', classify.DATED_PAPER)} AND NOT {has('n', classify.COUPON_NAME)} THEN true
+  WHEN {has('n', classify.DAY_ALONE)} AND trim(coalesce(i, '')) = '' AND NOT contains(n, '%') AND NOT {has('n', classify.MATURING_PAPER)} THEN true
+  WHEN {has('n', classify.DOLLARS)} THEN NOT {has('n', classify.DOLLAR_DEBT)} WHEN {has('n', classify.CARET)} THEN NOT {has('n', classify.CARET_CASH)} ELSE false END"""},
 )
 _RATINGS = pick("'CRISIL ' || CASE p_size % 3 WHEN 0 THEN 'AAA' WHEN 1 THEN 'AA+' ELSE 'A1+' END", "p_name", "'Sovereign'", "'[ICRA]AAA'", "' aa- / Stable'", "'icra/bbb'", "NULL", "'AAAA'", "'unrated'")
 _rating = lambda x: f"coalesce(regexp_matches(trim({x}), '{classify.RATING}', 'i'), false)"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import re
+import struct
 import zipfile
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape
@@ -12,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import legacy
+
 MAX_ROWS, MAX_COLS = 20_000, 80
 GRID = "file string, sheet_no int, sheet string, row_no int, cells array<string>, error string, size int"
 _REF = re.compile(r"([A-Z]+)(\d+)")
@@ -96,21 +99,27 @@ def sheets(content: bytes, max_rows: int = MAX_ROWS, max_cols: int = MAX_COLS) -
     return out
 
 
+def any_sheets(content: bytes) -> list[tuple[str, list[list[str]]]]:
+    """Sheets of a workbook of either kind, by its first bytes, whatever its name says."""
+    return legacy.sheets(content, MAX_ROWS, MAX_COLS) if content[:8] == legacy.MAGIC else sheets(content)
+
+
 def _grids(batches):
     for b in batches:
         for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
             cols = {k.split()[0]: [] for k in GRID.split(", ")}
             try:
                 books = [(path, content)]
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    if "xl/workbook.xml" not in z.namelist():
-                        books = [(f"{path}!{n}", c) for n, c in members(content)]
+                if content[:8] != legacy.MAGIC:
+                    with zipfile.ZipFile(io.BytesIO(content)) as z:
+                        if "xl/workbook.xml" not in z.namelist():
+                            books = [(f"{path}!{n}", c) for n, c in members(content)]
                 for name, raw in books:
-                    for k, (sheet, rows) in enumerate(sheets(raw)):
+                    for k, (sheet, rows) in enumerate(any_sheets(raw)):
                         for i, cells in enumerate(rows):
                             for c, v in zip(cols.values(), (name, k, sheet, i, cells, None, len(raw))):
                                 c.append(v)
-            except (zipfile.BadZipFile, KeyError, ElementTree.ParseError, OSError) as e:
+            except (zipfile.BadZipFile, KeyError, ElementTree.ParseError, OSError, ValueError, struct.error) as e:
                 for c, v in zip(cols.values(), (path, None, None, None, None, f"{type(e).__name__}: {e}"[:200], len(content))):
                     c.append(v)
             yield pa.RecordBatch.from_pydict(cols, pa.schema([("file", pa.string()), ("sheet_no", pa.int32()), ("sheet", pa.string()), ("row_no", pa.int32()), ("cells", pa.list_(pa.string())), ("error", pa.string()), ("size", pa.int32())]))
