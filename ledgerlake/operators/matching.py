@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..functions import names, text
 from ..functions.similarity import token_sort_ratio
@@ -183,6 +184,7 @@ def near_copies(master: DataFrame, bound: DataFrame, block: str) -> DataFrame:
     master: code, block, name. bound: code.
     """
     keyed = master.select("code", block, text.norm_text(F.col("name")).alias("words"), names.root_key(F.col("name")).alias("key")).where("key <> ''")
+    keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)  # many joins read these keys; a row a fund
     have, lack = keyed.join(bound.select("code").distinct(), "code", "left_semi"), keyed.join(bound.select("code").distinct(), "code", "left_anti")
     other = have.select(F.col("code").alias("sibling"), block, F.col("key").alias("kb"))
     equal = lack.join(other, (lack[block] == other[block]) & (lack["key"] == other["kb"])).select("code", "sibling", F.lit(0).alias("rank"))
@@ -202,6 +204,7 @@ def attach_variants(master: DataFrame, bound: DataFrame, block: str) -> DataFram
     m = master.where(~names.is_closed_end(F.col("name")))
     stripped = names.strip_variant(F.col("name"))
     keyed = m.select("code", block, "name", names.root_key(F.col("name")).alias("whole"), names.root_key(stripped).alias("key"), text.norm_text(stripped).alias("words"), names.root_key(text.invested_in(F.col("name"))).alias("host"))
+    keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)  # many joins read these keys; a row a fund
     have, lack = keyed.join(bound.select("code").distinct(), "code", "left_semi"), keyed.join(bound.select("code").distinct(), "code", "left_anti")
     target = lambda c, k: have.select(F.col("code").alias("sibling"), block, c.alias(k))
     host = lack.where("host <> ''").join(target(F.col("whole"), "host"), [block, "host"]).select("code", "sibling", F.lit(0).alias("rank"), F.lit(100.0).alias("score"))

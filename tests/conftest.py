@@ -10,6 +10,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from ledgerlake.session import session
 
-    s = session("local[4]", 4, spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="4g")
+    s = session("local[4]", 4, spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="6g")
     s.sparkContext.setLogLevel("ERROR")
     return s
