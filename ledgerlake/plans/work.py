@@ -110,9 +110,9 @@ _WORDS = ("Alpha", "Bravo", "Charlie", "Delta", "Echo", "Foxtrot", "Golf", "Hote
 
 
 def _word(c):
-    """A word that stands for a number of at most six digits: a syllable for each digit."""
-    s = F.lpad(text(c), 6, "0")
-    return F.concat(F.lit("Q"), F.translate(s, "0123456789", "bcdfghjklm"))
+    """A word that stands for a number under ten millions: a letter for the millions, a syllable for each of six digits. Words of two numbers differ in a letter at least, never by a longer form."""
+    s = F.lpad(text(c % 1_000_000), 6, "0")
+    return F.concat(F.translate(text(F.floor(c / 1_000_000)), "0123456789", "QRSTUVWXYN"), F.translate(s, "0123456789", "bcdfghjklm"))
 
 
 @query("house_names", """
@@ -138,8 +138,14 @@ def _funds(t, tails: list) -> tuple[DataFrame, DataFrame]:
     word = F.concat(_word(k), F.lit(" "), F.reverse(_word(k)))
     base = F.concat(word, F.lit(" Opportunity Fund"))
     tail = F.element_at(F.array(*[f(word, base) for f in tails]), (k % len(tails) + 1).cast("int"))
-    a = t.part.select(k.alias("code"), F.col("p_brand").alias("block"), base.alias("name"))
-    return a.unionByName(t.part.select((k + 1_000_000).alias("code"), F.col("p_brand").alias("block"), tail.alias("name"))), a.select("code")
+    # twice the key, and one more for the variant: at a million keys, theirs and those of the variants would meet
+    a = t.part.select((k * 2).alias("code"), F.col("p_brand").alias("block"), base.alias("name"))
+    return a.unionByName(t.part.select((k * 2 + 1).alias("code"), F.col("p_brand").alias("block"), tail.alias("name"))), a.select("code")
+
+
+def _told(found: DataFrame) -> DataFrame:
+    """Variants by their fund's key and a million, siblings by their key."""
+    return found.select(((F.col("code") - 1) / 2 + 1_000_000).cast("long").alias("code"), (F.col("sibling") / 2).cast("long").alias("sibling"), "score")
 
 
 @query("near_copy_binding", _VARIANTS.format(score="95.0::DOUBLE", where="v < 4"))
@@ -147,7 +153,7 @@ def near_copy_binding(t):
     """Equal keys, an optional closing "fund", one name inside the other, a small difference; a name of other words stays unbound."""
     tails = [lambda w, b: F.upper(b), lambda w, b: F.concat(w, F.lit(" Opportunity")), lambda w, b: F.concat(b, F.lit(" Growth")), lambda w, b: F.concat(w, F.lit(" Oportunity Fund")), lambda w, b: F.concat(F.lit("Zz"), F.reverse(w), F.lit(" Large Equity Scheme"))]
     master, bound = _funds(t, tails)
-    return matching.near_copies(master, bound, "block").select("code", "sibling", "score")
+    return _told(matching.near_copies(master, bound, "block"))
 
 
 @query("variant_siblings", _VARIANTS.format(score="100.0::DOUBLE", where="v < 3"))
@@ -155,7 +161,7 @@ def variant_siblings(t):
     """Variants follow the fund whose name they bear or that they invest in; closed-end funds and strangers don't."""
     tails = [lambda w, b: F.concat(b, F.lit(" - Unclaimed Redemption")), lambda w, b: F.concat(F.lit("Zz Pool (Invested in "), b, F.lit(")")), lambda w, b: F.concat(b, F.lit(" Retail")), lambda w, b: F.concat(b, F.lit(" Fixed Maturity Plan")), lambda w, b: F.concat(F.lit("Zz "), F.reverse(w), F.lit(" Scheme"))]
     master, bound = _funds(t, tails)
-    return matching.attach_variants(master, bound, "block").select("code", "sibling", "score")
+    return _told(matching.attach_variants(master, bound, "block"))
 
 
 @query("unmatched_funds", "SELECT p_partkey AS code FROM part WHERE p_partkey % 7 <> 0")
