@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -200,9 +200,12 @@ _CODE = re.compile(r"[A-Za-z0-9./\-]{1,16}")
 CONTRACT_ROWS, REPO_ROWS = 8, 30
 
 
+_GAPS, _NUMBER = re.compile(r"[,%\s]"), re.compile(r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?")
+
+
 def _number(s: str | None) -> float | None:
-    s = re.sub(r"[,%\s]", "", s or "")
-    return float(s) if re.fullmatch(r"[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?", s) else None
+    s = _GAPS.sub("", s or "")
+    return float(s) if _NUMBER.fullmatch(s) else None
 
 
 _HINT = [re.compile(h, re.I) for h in HEADER_HINTS]
@@ -234,16 +237,20 @@ class _Sheet:
         for cells in self.rows:
             lead = _lead(cells)
             rank = 3 if _R["grand"].search(lead) else 2 if _R["net_assets"].fullmatch(lead) else 0
-            numbers = [n for n in map(_number, cells[1:]) if n is not None]
-            if rank and len(numbers) > 1 and (rank, abs(numbers[0])) > best:
+            numbers = [n for n in map(_number, cells[1:]) if n is not None] if rank else []
+            if len(numbers) > 1 and (rank, abs(numbers[0])) > best:
                 best = (rank, abs(numbers[0]))
         return best[1] or None
 
     def header(self) -> int | None:
-        scored = [(_score(r), i) for i, r in enumerate(self.rows[:MAX_HEADER_ROW])]
-        good = next((i for s, i in scored if s >= 10), None)
-        best = max(scored, key=lambda x: (x[0], -x[1]), default=(-1, 0))
-        return good if good is not None else best[1] if best[0] >= 2 else None
+        best = (-1, 0)
+        for i, r in enumerate(self.rows[:MAX_HEADER_ROW]):
+            score = _score(r)
+            if score >= 10:
+                return i
+            if score > best[0]:
+                best = (score, i)
+        return best[1] if best[0] >= 2 else None
 
     def bind(self, cells: list[str]) -> None:
         self.names = alias_headers([c or f"col_{i + 1}" for i, c in enumerate(cells)])
@@ -256,7 +263,8 @@ class _Sheet:
         """None: no header. Else whether the table that it opens holds holdings too, or contracts within a few rows."""
         filled = [c for c in cells if c]
         joined = " | ".join(filled)
-        if not self.out or len(filled) < 3 or _score(cells) < 0 or not _R["named"].search(joined) or not (re.search(r"\bisin\b", joined, re.I) or _R["percent"].search(joined)):
+        # the score, of many patterns, comes last
+        if not self.out or len(filled) < 3 or not _R["named"].search(joined) or not (re.search(r"\bisin\b", joined, re.I) or _R["percent"].search(joined)) or _score(cells) < 0:
             return None
         new = set(alias_headers(cells))
         if {"pct_nav", "instrument"} <= new and new & {"isin", "market_value"}:
@@ -377,14 +385,44 @@ def parse_sheet(rows: list[list[str]], leading_code: bool = False) -> list[dict]
     return _Sheet(rows, leading_code).read()
 
 
-def parse_tables(grid: DataFrame) -> DataFrame:
-    """Holdings of every sheet; a sheet (20,000 rows at most) is one group."""
-    names = [x.split()[0] for x in PARSED.split(", ")]
+def parsed_groups(rows: DataFrame, keys: list[str], leading: str | None = None) -> DataFrame:
+    """Holdings of every group of rows (keys, row_no, cells), sorted and streamed; one group is held at a time. ``leading`` names the column that tells whether codes may stand before names."""
+    types, parsed = dict(rows.dtypes), PARSED.split(", ")[2:]
+    names = [x.split()[0] for x in parsed]
+    kinds = [{"int": pa.int32(), "boolean": pa.bool_(), "map<string,string>": pa.map_(pa.string(), pa.string())}.get(x.split()[1], pa.string()) for x in parsed]
+
+    def told(key_types, groups: list, found: list) -> pa.RecordBatch:
+        arrays = [pa.array([g[k] for g in groups], t) for k, t in enumerate(key_types)]
+        arrays += [pa.array([list(r[n].items()) for r in found] if n == "raw" else [r[n] for r in found], t) for n, t in zip(names, kinds)]
+        return pa.RecordBatch.from_arrays(arrays, names=[*keys, *names])
+
+    def run(batches):
+        at, held, coded, groups, found, key_types = None, [], False, [], [], None
+        for b in batches:
+            key_types = key_types or [c.type for c in b.columns[: len(keys)]]
+            own = zip(*(c.to_pylist() for c in b.columns[: len(keys)]))
+            lead = b.column(len(keys) + 1).to_pylist() if leading else [False] * b.num_rows
+            for group, cells, code in zip(own, b.column(len(keys)).to_pylist(), lead):
+                if group != at:
+                    more = parse_sheet(held, coded)
+                    groups += [at] * len(more)
+                    found += more
+                    at, held, coded = group, [], bool(code)
+                    if len(found) > 5_000:
+                        yield told(key_types, groups, found)
+                        groups, found = [], []
+                held.append(cells or [])
+        if at is not None:
+            more = parse_sheet(held, coded)
+            yield told(key_types, groups + [at] * len(more), found + more)
+
+    # a number of tasks: by bytes, much work would go to few
+    spark = rows.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    rows = rows.repartition(tasks, *keys).sortWithinPartitions(*keys, "row_no").select(*keys, "cells", *([leading] if leading else []))
+    return rows.mapInArrow(run, ", ".join([*(f"{k} {types[k]}" for k in keys), *parsed]))
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row_no")
-        found = parse_sheet([list(c) if c is not None else [] for c in pdf["cells"]])
-        file, sheet = pdf["file"].iloc[0], pdf["sheet"].iloc[0]
-        return pd.DataFrame([r | {"file": file, "sheet": sheet} for r in found], columns=names)
 
-    return grid.groupBy("file", "sheet").applyInPandas(one, PARSED)
+def parse_tables(grid: DataFrame) -> DataFrame:
+    """Holdings of every sheet; a sheet (20,000 rows at most) is one group."""
+    return parsed_groups(grid, ["file", "sheet"])
