@@ -11,7 +11,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import NamedTuple
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -19,6 +18,7 @@ from pyspark.storagelevel import StorageLevel
 from ..functions import dates
 from ..rules import first_by, has, ordered_case
 from ..sources import paths, workbook
+from ..sources.stages import staged
 from . import sheets
 
 HOUSE = "house string, family string, leading_code boolean, multi_sheet boolean, skip_mega boolean"
@@ -148,20 +148,6 @@ def _marked(grid: DataFrame) -> DataFrame:
     return g.withColumn("row_no", F.col("row_no") - F.min("row_no").over(of))
 
 
-def _holdings(rows: DataFrame) -> DataFrame:
-    """Holdings of every block of a sheet."""
-    names = [x.split()[0] for x in sheets.PARSED.split(", ")][2:]
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row_no")
-        found = sheets.parse_sheet([list(c) if c is not None else [] for c in pdf["cells"]], bool(pdf["leading"].iloc[0]))
-        own = {k: pdf[k].iloc[0] for k in ("file", "sheet_no", "block")}
-        return pd.DataFrame([own | r for r in found], columns=["file", "sheet_no", "block", *names])
-
-    schema = "file string, sheet_no int, block int, " + ", ".join(sheets.PARSED.split(", ")[2:])
-    return rows.select("file", "sheet_no", "block", "row_no", "cells", "leading").groupBy("file", "sheet_no", "block").applyInPandas(one, schema)
-
-
 def _counted_sheets(tabs: DataFrame) -> DataFrame:
     """Sheets that count by their family's rule; an only sheet called index does."""
     tab, w = F.trim(F.coalesce(F.col("sheet"), F.lit(""))), Window.partitionBy("file")
@@ -202,30 +188,33 @@ def _named(b: DataFrame) -> DataFrame:
     return b.withColumn("scheme", F.when(whole & bare & (F.length(said) > 8), said).otherwise(F.col("scheme")))
 
 
+def rejected(files: DataFrame, houses: DataFrame) -> DataFrame:
+    """(path, reason) of the files that no driver takes or that can't be read: every file is worked out once, read where it has a driver, and no cell is kept."""
+    return routed(files, houses).select("path", "content", "reason").mapInArrow(workbook.problems, "path string, reason string")
+
+
 def parse(files: DataFrame, houses: DataFrame) -> Parsed:
     """Books and holdings of all files (path, content) by their houses' drivers.
 
     A file that can't be read or has no driver is told in ``rejected``; sheets without holdings are dropped where a
     workbook has others; of the books of one file with one short code the richest stays, the first on a tie (files by
     size, then sheets in order). A null house, family or content is a reason; an empty table gives empty results.
+
+    Cells are read once and kept; holdings are staged. What is rejected is worked out on its own, without cells.
     """
     f = routed(files, houses)
     grid = workbook.grids(f.where("reason is null and content is not null")).persist(StorageLevel.MEMORY_AND_DISK)
-    told = f.drop("content")
-    empty = f.where("reason is null and content is null").select("path", F.lit("it has no content").alias("reason"))
-    unread = grid.where("error is not null").select(F.col("file").alias("path"), F.col("error").alias("reason"))
-    rejected = told.where("reason is not null").select("path", "reason").unionByName(unread).unionByName(empty)
     cells = grid.where("error is null").drop("error")
-    own = told.select("path", "house", "family", "leading_code", "multi_sheet", "skip_mega")
 
     keys, unit = ["file", "sheet_no"], ["file", "sheet_no", "block"]
-    tabs = _sheet_facts(cells).withColumn("path", F.split_part("file", F.lit("!"), F.lit(1))).join(own, "path")
-    tabs = _counted_sheets(_counted_workbooks(tabs)).withColumn("leading", F.coalesce(_of_family("leading"), F.col("leading_code"), F.lit(False))).withColumn("marks", _of_family("marks"))
+    # a path tells its house, so files aren't worked out again
+    tabs = routed(_sheet_facts(cells).withColumn("path", F.split_part("file", F.lit("!"), F.lit(1))), houses).drop("reason")
+    tabs = staged(_counted_sheets(_counted_workbooks(tabs)).withColumn("leading", F.coalesce(_of_family("leading"), F.col("leading_code"), F.lit(False))).withColumn("marks", _of_family("marks")))
 
     kept = cells.select(*keys, "row_no", "cells").join(tabs.select(*keys, "leading", "marks"), keys)
     marked = _marked(kept.where("marks"))
     columns = [*unit, "row_no", "cells", "leading"]
-    holdings = _holdings(kept.where("not marks").withColumn("block", F.lit(0)).select(columns).unionByName(marked.select(columns)))
+    holdings = staged(sheets.parsed_groups(kept.where("not marks").withColumn("block", F.lit(0)).select(columns).unionByName(marked.select(columns)), unit, "leading"))
 
     counts = holdings.groupBy(*unit).agg(F.count("*").alias("n_holdings"))
     days = marked.where(F.col("row_no") < sheets.AS_OF_ROWS).withColumn("joined", sheets.joined_cells(F.col("cells"))).withColumn("d", F.when(has("joined", sheets.WEAK_LABEL), sheets.row_as_of(F.col("cells"))))
@@ -244,4 +233,4 @@ def parse(files: DataFrame, houses: DataFrame) -> Parsed:
     rest = b.where(~F.coalesce(code != "", F.lit(False)) | ~F.col("family").isin("sebi_title", "cams"))
     out = deduped.unionByName(rest.select(deduped.columns))
     books = out.select("house", "family", F.coalesce(paths.cadence_of(F.col("path")), F.lit("monthly")).alias("cadence"), paths.period_of(F.col("path")).alias("period"), "file", "sheet_no", "sheet", "block", "scheme", "shortcode", "as_of", F.col("n_holdings"))
-    return Parsed(books, holdings, rejected, grid)
+    return Parsed(books, holdings, rejected(files, houses), grid)
