@@ -93,7 +93,7 @@ FROM supplier WHERE s_suppkey % 10 = 0 GROUP BY 1""")
 def family_rejects(t):
     """Files that no driver takes, with the reason."""
     files, houses = landed_files(t)
-    return families.parse(files, houses).rejected.groupBy("reason").agg(F.count("*").alias("n"))
+    return families.rejected(files, houses).groupBy("reason").agg(F.count("*").alias("n"))
 
 
 # ---------------------------------------------------------------- vendor comparison
