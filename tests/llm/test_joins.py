@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -63,6 +64,64 @@ def test_many_texts_outside_the_largest_component(spark):
     assert 1 < len({r[2] for r in want}) < len(want)
 
 
+def template_rows(m, changed, seed=3, words=90):
+    """Texts of one template, each with up to ``changed`` words of its own: all meet in one cluster, about half are linked."""
+    rng = random.Random(seed)
+    base = [f"t{i}" for i in range(words)]
+    rows = []
+    for i in range(m):
+        w = list(base)
+        for _ in range(rng.randint(1, changed)):
+            w[rng.randrange(words)] = f"e{rng.randint(0, 10**7)}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("limits", [{"cluster": 12}, {"cluster": 12, "blocks": 1}, {"cluster": 12, "blocks": 1, "shingles": 2000}, {"blocks": 1, "shingles": 900}])
+def test_large_cluster_of_a_template(spark, limits):
+    """By pairs of blocks, by short lists, and by the large lists of a cluster at once."""
+    rows = template_rows(90, 5)
+    got = sorted(map(tuple, divideskip.linked(table(spark, rows), 3, **limits).select("doc_id", "n_shingles", "component_id").collect()))
+    assert got == sorted(r[:3] for r in brute.near_components(rows, 3, 90))
+
+
+def test_template_is_searched_without_a_lookup_for_each_pair():
+    """Pairs of one template are looked up together: 1,200 sets of 200 shingles took 23 s pair by pair."""
+    from ledgerlake.llm.chosenpath import shingle_sets
+
+    text = [t.encode() for _, t in template_rows(1200, 14, words=202)]
+    value, bounds = shingle_sets(np.frombuffer(b"".join(text), np.uint8), np.cumsum([0, *map(len, text)]), 3)
+    n = np.diff(bounds)
+    order = np.argsort(n, kind="stable")
+    sets = [value[bounds[i] : bounds[i + 1]] for i in order]
+    n = n[order]
+    began = time.process_time()
+    u = divideskip.joined(np.concatenate(sets), np.concatenate([[0], np.cumsum(n)]), 90, np.ones(len(n), bool))
+    assert time.process_time() - began < 6
+    shingles, code = np.unique(np.concatenate(sets), return_inverse=True)
+    dense = np.zeros((len(n), len(shingles)), np.float32)
+    dense[np.repeat(np.arange(len(n)), n), code] = 1
+    both = np.rint(dense @ dense.T).astype(int)
+    want = list(range(len(n)))
+    for i, j in np.argwhere(np.triu(100 * both >= 90 * (n[:, None] + n - both), 1)).tolist():
+        a, b = want[i], want[j]
+        if a != b:
+            want = [min(a, b) if c in (a, b) else c for c in want]
+    got = [u.find(i) for i in range(len(n))]
+    assert got == want and 1 < len(set(got)) < len(got)
+
+
+def test_lists_count_what_they_hold():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(np.concatenate([rng.choice(150, rng.integers(1, 90)), 1000 + rng.choice(5000, 20)])).astype(np.uint64) for _ in range(200)]
+    index = divideskip.Lists(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))
+    assert (index.column < 0).any() and index.bits.shape[1] > 1
+    names = np.unique(np.concatenate(sets))
+    for some in (rng.choice(len(names), 40, replace=False), np.flatnonzero(index.column < 0)[:30], np.flatnonzero(index.column >= 0)[70:90], np.zeros(0, np.int64)):
+        for places in (np.arange(200), np.array([3]), np.array([0, 17, 150, 199]), np.zeros(0, np.int64)):
+            assert index.held(some, places).tolist() == [len(np.intersect1d(names[some], sets[p])) for p in places.tolist()]
+
+
 def test_search_space_is_exact():
     """Every pair at the threshold shares a segment, whatever its sizes."""
     rng = np.random.default_rng(1)
