@@ -134,7 +134,7 @@ def vendor_compare(t):
     """Orders as books, lines as holdings; the vendor turns, cuts or lengthens some names, renames or drops others, and states other weights. Names of one book compete."""
     name = F.concat_ws(" ", "p_name", F.lower("p_type"), F.lit("series"), F.col("p_size") % 4)
     o = t.lineitem.join(t.part, F.col("p_partkey") == F.col("l_partkey")).select(F.col("l_orderkey").alias("book"), (F.col("l_orderkey") * 100 + F.col("l_linenumber") * 10).alias("id"), name.alias("name"), (F.col("l_quantity") / 10).alias("weight"), (F.col("p_partkey") % 6).alias("v"))
-    o = o.withColumn("id", F.col("id") + F.row_number().over(Window.partitionBy("id").orderBy("weight", "v", "name")) - 1)
+    o = o.repartition("book").withColumn("id", F.col("id") + F.row_number().over(Window.partitionBy("book", "id").orderBy("weight", "v", "name")) - 1)  # an id is of one book
     v = F.col("v")
     said = F.when(v == 1, F.array_join(F.reverse(F.split("name", " ")), " ")).when(v == 2, F.substr("name", F.lit(2))).when(v == 3, F.concat("name", F.lit("s"))).when(v == 4, F.concat(F.lit("x"), F.reverse("name"))).otherwise(F.col("name"))
     weight = F.when(v == 3, F.col("weight") * 2).when((v == 4) & (F.col("book") % 2 == 0), 0.01).otherwise(F.col("weight"))

@@ -152,6 +152,62 @@ def test_vendor_compare_is_one_to_one(spark):
     assert len(used) == len(set(used))
 
 
+def vendor_rows(seed=8, books=40):
+    rng = random.Random(seed)
+    words = ["alpha", "beta", "gama", "delta", "epsilon", "zeta", "bank", "power", "steel", "works"]
+    sides = []
+    for first in (0, 1):
+        rows = []
+        for i in range(books * 6):
+            name = " ".join(rng.sample(words, rng.randint(2, 4)))
+            if rng.random() < 0.4:
+                name = name[1:] if rng.random() < 0.5 else name + "s"
+            name = rng.choice([name, name.upper(), name, name, None if rng.random() < 0.1 else name])
+            book = None if rng.random() < 0.03 else f"b{rng.randrange(books) if rng.random() < 0.8 else 0}"
+            rows.append((book, 2 * i + first, name, None if rng.random() < 0.1 else rng.choice([0.01, 1.0, 5.0, 9.0])))
+        sides.append(rows)
+    return sides
+
+
+def test_vendor_compare_in_small_and_large_books(spark):
+    from ledgerlake.functions import similarity
+
+    ours, theirs = vendor_rows()
+    norm = {n: n.lower() for _, _, n, _ in ours + theirs if n}
+    pairs = {}
+    for b in {r[0] for r in ours} - {None}:
+        a, o = ([r for r in rows if r[0] == b and r[2]] for rows in (ours, theirs))
+        nth = lambda rows: {(norm[r[2]], sum(q[1] < r[1] and norm[q[2]] == norm[r[2]] for q in rows)): r[1] for r in rows}
+        x, y = nth(a), nth(o)
+        pairs |= {x[k]: (y[k], 100.0) for k in x if k in y}
+        edges = [(-similarity.token_sort(norm[r[2]], norm[q[2]]), r[1], q[1]) for r in a for q in o if r[1] not in pairs and q[1] not in {y[k] for k in x if k in y}]
+        used = set()
+        for s, i, j in sorted(e for e in edges if e[0] <= -88):
+            if i not in pairs and j not in used:
+                used.add(j)
+                pairs[i] = (j, -s)
+    taken = {j for j, _ in pairs.values()}
+    want = {(r[1], *pairs.get(r[1], (None, None))) for r in ours if r[2]} | {(None, r[1], None) for r in theirs if r[2] and r[1] not in taken}
+    assert sum(1 for _, s in pairs.values() if s < 100) > 5
+    schema = "book string, id long, name string, weight double"
+    x, y = spark.createDataFrame(ours, schema), spark.createDataFrame(theirs, schema)
+    seen = []
+    for most in (1000, 20, 0):
+        rows = compare.vendor_compare(x, y, "book", most=most).collect()
+        assert len(rows) == len(want) and {(r.ours, r.theirs, r.score) for r in rows} == want
+        seen.append(sorted(map(str, rows)))
+    assert seen[0] == seen[1] == seen[2]
+
+
+def test_vendor_compare_deals_names_once(spark, monkeypatch):
+    plans, real = [], getattr(compare, "staged", None)
+    monkeypatch.setattr(compare, "staged", lambda d: plans.append(d) or real(d), raising=False)
+    ours, theirs = vendor_rows()
+    schema = "book string, id long, name string, weight double"
+    plans.append(compare.vendor_compare(spark.createDataFrame(ours, schema), spark.createDataFrame(theirs, schema), "book"))
+    assert sum(d._jdf.queryExecution().executedPlan().toString().count("Exchange ") for d in plans) == 1
+
+
 # ---------------------------------------------------------------- headers and index sheets
 
 
