@@ -199,6 +199,21 @@ def test_vendor_compare_in_small_and_large_books(spark):
     assert seen[0] == seen[1] == seen[2]
 
 
+def test_likeness_of_few_texts():
+    from ledgerlake.functions import similarity
+    from ledgerlake.operators.likeness import alike_texts
+
+    rng = random.Random(1)
+    words = ["almond", "antique", "blue", "steel", "copper", "series", "1", "2", "polished", "brushed", "x" * 20]
+    for k in range(400):
+        left = [" ".join(rng.sample(words, rng.randint(1, 9))) for _ in range(3 if k % 8 else 15)]
+        right = [x[1:] if rng.random() < 0.3 else x + "s" * rng.randint(0, 9) for x in left] + ["a"]
+        cutoff = rng.choice([50.0, 88.0, 95.0, 100.0])
+        want = [(i, j, s) for i, x in enumerate(left) for j, y in enumerate(right) if (s := similarity.token_sort(x, y)) >= cutoff]
+        assert sorted(alike_texts(left, right, cutoff)) == want
+    assert alike_texts([], ["a"], 88.0) == []
+
+
 def test_vendor_compare_deals_names_once(spark, monkeypatch):
     plans, real = [], getattr(compare, "staged", None)
     monkeypatch.setattr(compare, "staged", lambda d: plans.append(d) or real(d), raising=False)
